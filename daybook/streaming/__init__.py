@@ -1,0 +1 @@
+"""No streaming operators: every job of the engine is a batch over a closed time window."""
