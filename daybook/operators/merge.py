@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 KEY = "row_key"
 
@@ -26,12 +27,15 @@ def latest_per_key(batch: DataFrame, newest: Sequence[str], key: str = KEY) -> D
     return batch.groupBy(key).agg(best).select(key, *[f"best.`{c}`" for c in batch.columns if c != key])
 
 
-def changed(old: Column, new: Column, fill_absent: bool = False) -> Column:
-    """Patch test: the old cell is neither absent nor blank and differs from the new one."""
-    differs = ~old.eqNullSafe(new)
-    if fill_absent:
-        return differs & ~F.coalesce(old.cast("string") == "", F.lit(False))
-    return old.isNotNull() & (old.cast("string") != "") & differs
+def changed(old: Column, new: Column, is_text: bool = True, fill_absent: bool = False) -> Column:
+    """Patch test: the old cell is neither absent nor blank and differs from the new one.
+
+    With ``fill_absent`` an absent cell counts as different too; a blank one never does.
+    """
+    test = ~old.eqNullSafe(new)
+    if is_text:
+        test = test & ~old.eqNullSafe(F.lit(""))
+    return test if fill_absent else old.isNotNull() & test
 
 
 def insert_or_patch(
@@ -57,14 +61,12 @@ def insert_or_patch(
 
     old, new = F.col(family), F.col(f"new_{family}")
     inserted = old.isNull() & new.isNotNull()
+    cells = batch.schema[family].dataType
+    differs = {c: changed(old[c], new[c], isinstance(cells[c].dataType, StringType), c in fill) for c in patch}
     patched = F.struct(
         *[
-            (
-                F.when(changed(old[c], new[c], c in fill), new[c]).otherwise(old[c])
-                if c in patch
-                else old[c]
-            ).alias(c)
-            for c in batch.schema[family].dataType.names
+            (F.when(differs[c], new[c]).otherwise(old[c]) if c in differs else old[c]).alias(c)
+            for c in cells.names
         ]
     )
     result = {
@@ -77,7 +79,7 @@ def insert_or_patch(
         logged = F.map_concat(F.map_filter(F.col(log), lambda k, _: k != day), entry)
         result[log] = (
             F.when(inserted, entry)
-            .when(new.isNotNull() & changed(old[column], new[column]), F.coalesce(logged, entry))
+            .when(new.isNotNull() & differs[column], F.coalesce(logged, entry))
             .otherwise(F.col(log))
         )
     return joined.select(KEY, *[result.get(c, F.col(c)).alias(c) for c in target.columns if c != KEY])
