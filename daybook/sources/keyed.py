@@ -7,6 +7,8 @@ that dies half way leaves the current version in place.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -14,13 +16,17 @@ from daybook.operators.merge import KEY
 from daybook.sources.archives import append_manifest, latest_path, read_manifest
 
 
+def _catalog_name(path: str) -> str:
+    return "keyed_" + hashlib.md5(path.encode()).hexdigest()
+
+
 def open_bucketed(spark: SparkSession, path: str, schema: StructType, buckets: int) -> DataFrame:
     """A path written by ``publish`` as a bucketed table.
 
     The key distribution of the files is declared to Spark, so joins and
     aggregates on the key read them without a shuffle.
     """
-    name = "keyed_" + "".join(ch if ch.isalnum() else "_" for ch in path.strip("/"))[-100:]
+    name = _catalog_name(path)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet LOCATION '{path}' "
@@ -35,14 +41,12 @@ def publish(
     """Write a version of ``table`` and make it the current one; returns its path."""
     spark = rows.sparkSession
     path = f"{root}/{table}/{table}_{stamp}"
-    name = f"write_{table}_{stamp}".lower()
-    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
     (
         rows.write.mode("error")
         .option("path", path)
         .bucketBy(buckets, KEY)
         .sortBy(KEY)
-        .saveAsTable(name)
+        .saveAsTable(_catalog_name(path))
     )
     count = spark.read.parquet(path).count()
     append_manifest(spark, f"{root}/manifest", [(stamp, stamp, stamp, table, path, description, count)])
