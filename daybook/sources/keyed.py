@@ -1,4 +1,4 @@
-"""Keyed tables on storage: versioned snapshots behind a manifest, bucketed by key.
+"""Keyed tables on storage: versioned snapshots behind a list of versions, bucketed by key.
 
 A merge reads the current version, writes the next one to a new path and then
 appends it to the manifest; the path being read is never overwritten, and a job
@@ -49,14 +49,14 @@ def publish(
         .saveAsTable(_catalog_name(path))
     )
     count = spark.read.parquet(path).count()
-    append_manifest(spark, f"{root}/manifest", [(stamp, stamp, stamp, table, path, description, count)])
+    append_manifest(spark, f"{root}/versions", [(stamp, stamp, stamp, table, path, description, count)])
     return path
 
 
 def current(spark: SparkSession, root: str, table: str, schema: StructType, buckets: int) -> DataFrame:
     """The current version, or an empty table before the first one."""
     try:
-        path = latest_path(read_manifest(spark, f"{root}/manifest"), table)
+        path = latest_path(read_manifest(spark, f"{root}/versions"), table)
     except Exception as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
