@@ -14,23 +14,29 @@ MAX_AREAS = 10_000
 
 
 def _step(kept: Column, area: Column) -> Column:
-    hit = F.array_position(F.transform(kept, lambda k: contain_each_other(k["name"], area["name"])), True)
-    same = F.array_position(F.transform(kept, lambda k: k["code"].eqNullSafe(area["code"])), True)
+    found = F.struct(
+        F.array_position(F.transform(kept, lambda k: contain_each_other(k["name"], area["name"])), True).alias("hit"),
+        F.array_position(F.transform(kept, lambda k: k["code"].eqNullSafe(area["code"])), True).alias("same"),
+    )
 
     def row(base: Column, **cells: Column) -> Column:
         return F.struct(*[cells.get(c, base[c]).alias(c) for c in CELLS])
 
-    absorbed = F.transform(
-        kept, lambda k, i: F.when(i == hit - 1, row(k, other_code=area["code"])).otherwise(row(k))
-    )
-    replaced = F.transform(
-        kept, lambda k, i: F.when(i == same - 1, row(area, position=k["position"])).otherwise(row(k))
-    )
-    return (
-        F.when(hit > 0, absorbed)
-        .when(same > 0, replaced)
-        .otherwise(F.concat(kept, F.array(row(area))))
-    )
+    def place(at: Column) -> Column:
+        absorbed = F.transform(
+            kept, lambda k, i: F.when(i == at["hit"] - 1, row(k, other_code=area["code"])).otherwise(row(k))
+        )
+        replaced = F.transform(
+            kept, lambda k, i: F.when(i == at["same"] - 1, row(area, position=k["position"])).otherwise(row(k))
+        )
+        return (
+            F.when(at["hit"] > 0, absorbed)
+            .when(at["same"] > 0, replaced)
+            .otherwise(F.concat(kept, F.array(row(area))))
+        )
+
+    # The one-element array binds both positions, so that they are searched once per step.
+    return F.transform(F.array(found), place)[0]
 
 
 def fold_aliases(areas: DataFrame) -> DataFrame:
