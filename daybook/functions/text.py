@@ -30,16 +30,6 @@ def blank_if_absent(column: Column) -> Column:
     return F.when(column.isNull() | (column == "None"), F.lit("")).otherwise(column)
 
 
-def text_cell(column: Column) -> Column:
-    """A field written as text; a missing one is a blank cell."""
-    return F.coalesce(column.cast("string"), F.lit(""))
-
-
-def flag_cell(column: Column) -> Column:
-    """A boolean written as ``True``/``False``."""
-    return F.coalesce(F.initcap(column.cast("string")), F.lit(""))
-
-
 def all_digits(column: Column) -> Column:
     # \z, not $: Java's $ also matches before a closing line break.
     return mentions(column, r"^[0-9]+\z")

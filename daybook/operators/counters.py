@@ -24,17 +24,13 @@ def count_combinations(rows: DataFrame, by: Iterable[str], weight: Column | None
 
 
 def apply_rules(
-    combinations: DataFrame, key: str, metrics: Iterable[str], rules: Mapping[str, list[Column]]
+    combinations: DataFrame, key: str, metrics: Iterable[str], rules: Mapping[str, list[str]]
 ) -> DataFrame:
-    """One weighted conditional sum per metric; a metric without a rule stays 0."""
-    sums = []
-    for metric in metrics:
-        hits = rules.get(metric, [])
-        weight = F.lit(0)
-        if hits:
-            met = hits[0]
-            for test in hits[1:]:
-                met = met | test
-            weight = F.when(met, F.col("n")).otherwise(0)
-        sums.append(F.sum(weight).cast("long").alias(metric))
+    """One weighted conditional sum per metric; a metric without a rule stays 0.
+
+    Rules are SQL tests over the combination columns, so that a rule table reads as data.
+    """
+    sums = [
+        F.expr(f"sum(if({' or '.join(rules.get(metric, ['false']))}, n, 0)) as `{metric}`") for metric in metrics
+    ]
     return combinations.groupBy(key).agg(*sums)

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from daybook.functions.cells import struct_of
+
 KEY = "row_key"
 
 
@@ -27,15 +29,17 @@ def latest_per_key(batch: DataFrame, newest: Sequence[str], key: str = KEY) -> D
     return batch.groupBy(key).agg(best).select(key, *[f"best.`{c}`" for c in batch.columns if c != key])
 
 
-def changed(old: Column, new: Column, is_text: bool = True, fill_absent: bool = False) -> Column:
+def changed(old: str, new: str, is_text: bool = True, fill_absent: bool = False) -> str:
     """Patch test: the old cell is neither absent nor blank and differs from the new one.
 
     With ``fill_absent`` an absent cell counts as different too; a blank one never does.
     """
-    test = ~old.eqNullSafe(new)
+    tests = [f"not ({old} <=> {new})"]
     if is_text:
-        test = test & ~old.eqNullSafe(F.lit(""))
-    return test if fill_absent else old.isNotNull() & test
+        tests.append(f"not ({old} <=> '')")
+    if not fill_absent:
+        tests.append(f"{old} is not null")
+    return " and ".join(tests)
 
 
 def insert_or_patch(
@@ -45,44 +49,41 @@ def insert_or_patch(
     patch: Sequence[str],
     fill: Sequence[str] = (),
     companions: Sequence[str] = (),
-    history: tuple[str, str, Column] | None = None,
+    history: tuple[str, str, str] | None = None,
 ) -> DataFrame:
     """Insert rows whose ``family`` is absent, else patch only the changed ``patch`` columns.
 
     ``fill`` names patch columns that are also filled when absent. ``companions``
     are families inserted together with ``family`` and never patched. ``history``
-    is (map family, column, date): the column's value is logged under the date on
-    insert and on change. One full outer join on the key; both sides hold a key
+    is (map family, column, ISO date): the column's value is logged under the date
+    on insert and on change. One full outer join on the key; both sides hold a key
     once, so the key cannot be skewed, and a bucketed target is not shuffled.
     """
-    incoming = [family, *companions]
-    fresh_rows = batch.select(KEY, *[F.col(f).alias(f"new_{f}") for f in incoming])
-    joined = target.join(fresh_rows, KEY, "full_outer")
-
-    old, new = F.col(family), F.col(f"new_{family}")
-    inserted = old.isNull() & new.isNotNull()
-    cells = batch.schema[family].dataType
-    differs = {c: changed(old[c], new[c], isinstance(cells[c].dataType, StringType), c in fill) for c in patch}
-    patched = F.struct(
-        *[
-            (F.when(differs[c], new[c]).otherwise(old[c]) if c in differs else old[c]).alias(c)
-            for c in cells.names
-        ]
-    )
-    result = {
-        family: F.when(new.isNull(), old).when(old.isNull(), new).otherwise(patched),
-        **{f: F.when(inserted, F.col(f"new_{f}")).otherwise(F.col(f)) for f in companions},
+    incoming = batch.selectExpr(KEY, *[f"{f} as new_{f}" for f in (family, *companions)])
+    types = batch.schema[family].dataType
+    old, new = family, f"new_{family}"
+    test = {
+        c: changed(f"{old}.`{c}`", f"{new}.`{c}`", isinstance(types[c].dataType, StringType), c in fill)
+        for c in patch
     }
+    patched = struct_of(
+        {c: f"if({test[c]}, {new}.`{c}`, {old}.`{c}`)" if c in test else f"{old}.`{c}`" for c in types.names}
+    )
+    inserted = f"{old} is null and {new} is not null"
+    result = {family: f"case when {new} is null then {old} when {old} is null then {new} else {patched} end"}
+    for f in companions:
+        result[f] = f"if({inserted}, new_{f}, {f})"
     if history:
         log, column, day = history
-        entry = F.create_map(day, new[column])
-        logged = F.map_concat(F.map_filter(F.col(log), lambda k, _: k != day), entry)
+        entry = f"map(date'{day}', {new}.`{column}`)"
+        logged = f"map_concat(map_filter({log}, (day, _) -> day <> date'{day}'), {entry})"
         result[log] = (
-            F.when(inserted, entry)
-            .when(new.isNotNull() & differs[column], F.coalesce(logged, entry))
-            .otherwise(F.col(log))
+            f"case when {inserted} then {entry} "
+            f"when {new} is not null and {test[column]} then coalesce({logged}, {entry}) else {log} end"
         )
-    return joined.select(KEY, *[result.get(c, F.col(c)).alias(c) for c in target.columns if c != KEY])
+    return target.join(incoming, KEY, "full_outer").selectExpr(
+        KEY, *[f"{result.get(c, c)} as {c}" for c in target.columns if c != KEY]
+    )
 
 
 def replace_rows(target: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
@@ -99,18 +100,16 @@ def put_columns(target: DataFrame, batch: DataFrame, family: str) -> DataFrame:
 
     Rows only one side knows are kept; columns the batch lacks stay as they are.
     """
-    new = F.col("new_cells")
-    joined = target.join(batch.select(KEY, F.col(family).alias("new_cells")), KEY, "full_outer")
-    old = F.col(family)
     given = set(batch.schema[family].dataType.names)
-    cells = F.struct(
-        *[
-            (F.when(new.isNotNull(), new[c]).otherwise(old[c]) if c in given else old[c]).alias(c)
-            for c in target.schema[family].dataType.names
-        ]
+    cells = {
+        c: f"if(new_cells is not null, new_cells.`{c}`, {family}.`{c}`)" if c in given else f"{family}.`{c}`"
+        for c in target.schema[family].dataType.names
+    }
+    merged = f"if({family} is null and new_cells is null, null, {struct_of(cells)})"
+    incoming = batch.selectExpr(KEY, f"{family} as new_cells")
+    return target.join(incoming, KEY, "full_outer").selectExpr(
+        KEY, *[f"{merged if c == family else c} as {c}" for c in target.columns if c != KEY]
     )
-    merged = F.when(old.isNotNull() | new.isNotNull(), cells)
-    return joined.select(KEY, *[(merged if c == family else F.col(c)).alias(c) for c in target.columns if c != KEY])
 
 
 def daily_status(changes: DataFrame, key: str, day: Column, status: str, order: Sequence[str]) -> DataFrame:

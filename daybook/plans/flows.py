@@ -8,33 +8,22 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.cells import cell, struct_of
 from daybook.functions.records import default_pricing, expire, failure_log, last_item
 from daybook.functions.records import EXPIRED_DESC, EXPIRED_STATUS
 from daybook.functions.text import (
-    flag_cell,
     is_space,
     joined_names,
     locality_from_username,
     mentions_test,
     subject_mentions_test,
-    text_cell,
 )
-from daybook.functions.times import real_instant, real_instant_or
+from daybook.functions.times import real_instant_or
 from daybook.operators.merge import KEY, insert_or_patch, latest_per_key, put_columns, replace_rows
 from daybook.plans.labels import Labels
 from daybook.plans.run import Run
 from daybook.sources.collections import in_window
 
-# How a cell is written. "text": string, blank when missing. "flag": True/False.
-# "instant": timestamp, absent when missing or the sentinel. "as_is": unchanged.
-CELLS: dict[str, Callable[[Column], Column]] = {
-    "text": text_cell,
-    "flag": flag_cell,
-    "instant": real_instant,
-    "as_is": lambda column: column,
-}
-
-
 def always(_: Labels) -> Column:
     return F.lit(True)
 
@@ -61,12 +50,9 @@ class Flow:
     derive: Callable[[Run, Labels], dict[str, Column]] = field(default=lambda run, labels: {})
     history: tuple[str, str] | None = None
 
-    def columns(self, family: str) -> list[Column]:
-        made = []
-        for line in self.families[family].strip().splitlines():
-            name, source, *cell = line.split()
-            made.append(CELLS[cell[0] if cell else "text"](F.col(source)).alias(name))
-        return made
+    def cells(self, family: str) -> dict[str, str]:
+        lines = (line.split() for line in self.families[family].strip().splitlines())
+        return {name: cell(source, *kind) for name, source, *kind in lines}
 
     def _complete(self) -> Column:
         return F.coalesce(F.col(self.key).isNotNull() & self.required(), F.lit(False))
@@ -78,15 +64,15 @@ class Flow:
     def flatten(self, documents: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
         """Keyed rows of the usable records, one per key."""
         usable = documents.filter(self.keep(labels)).filter(self._complete())
-        derived = usable.withColumns(self.derive(run, labels)) if self.derive(run, labels) else usable
-        rows = derived.select(
-            F.col(self.key).cast("string").alias(KEY),
-            *[F.struct(*self.columns(f)).alias(f) for f in self.families],
-        )
+        extra = self.derive(run, labels)
+        derived = usable.withColumns(extra) if extra else usable
         first = next(iter(self.families))
-        order = [f"{first}.{c}" for c in self.newest.split()]
-        ranked = rows.withColumns({f"_newest{i}": F.col(c) for i, c in enumerate(order)})
-        return latest_per_key(ranked, [f"_newest{i}" for i in range(len(order))]).select(rows.columns)
+        newest = [f"_newest_{c}" for c in self.newest.split()]
+        rows = derived.selectExpr(
+            f"cast({self.key} as string) as {KEY}",
+            *[f"{struct_of(self.cells(f))} as {f}" for f in self.families],
+        ).selectExpr("*", *[f"{first}.{c} as _newest_{c}" for c in self.newest.split()])
+        return latest_per_key(rows, newest).select(KEY, *self.families)
 
     def merge(self, target: DataFrame, rows: DataFrame, run: Run) -> DataFrame:
         family, *companions = self.families
@@ -94,7 +80,7 @@ class Flow:
             return replace_rows(target, rows)
         if self.write == "put":
             return put_columns(target, rows, family)
-        history = (*self.history, run.log_date) if self.history else None
+        history = (*self.history, run.closed_day.isoformat()) if self.history else None
         return insert_or_patch(
             target, rows, family, self.patch.split(), self.fill.split(), companions, history
         )

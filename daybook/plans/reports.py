@@ -87,12 +87,12 @@ METRICS = _metric_names()
 CUMULATIVE_DDL = "date_report date, locality_code string, " + ", ".join(f"{m} int" for m in METRICS)
 
 
-def _rules() -> dict[str, list[Column]]:
+def _rules() -> dict[str, list[str]]:
     """Metric -> tests over (arm, origin, created_*, expired_*)."""
-    rules: dict[str, list[Column]] = {}
+    rules: dict[str, list[str]] = {}
 
-    def rule(metric: str, test: Column, flag: str | None = None) -> None:
-        rules.setdefault(metric, []).append(test if flag is None else test & (F.col(flag) == 1))
+    def rule(metric: str, test: str, flag: str | None = None) -> None:
+        rules.setdefault(metric, []).append(test if flag is None else f"({test} and {flag} = 1)")
 
     # (arm, class, metric suffix, flag that dates it)
     dated = [
@@ -105,15 +105,14 @@ def _rules() -> dict[str, list[Column]]:
         ("ps_expired", "_ps", "_expired", "created"),
     ]
     for arm, kind, suffix, flag in dated:
-        test = F.col("arm") == arm
         for c in ("", kind):
             if suffix != "_expired":
-                rule(f"total{c}{suffix}", test)
+                rule(f"total{c}{suffix}", f"arm = '{arm}'")
             for period in PERIODS:
-                rule(f"total{c}_{period}{suffix}", test, f"{flag}_{period}")
+                rule(f"total{c}_{period}{suffix}", f"arm = '{arm}'", f"{flag}_{period}")
     for origin in ("vneid", "online"):
-        rule(f"total_{origin}", F.col("origin") == origin)
-        rule(f"total_{origin}_date", F.col("origin") == origin, "created_date")
+        rule(f"total_{origin}", f"origin = '{origin}'")
+        rule(f"total_{origin}_date", f"origin = '{origin}'", "created_date")
     return rules
 
 

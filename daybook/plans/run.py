@@ -39,10 +39,6 @@ class Run:
     def day_close(self) -> Column:
         return day_close(self.date_column)
 
-    @property
-    def log_date(self) -> Column:
-        return self.day_close.cast("date")
-
     @property
     def ingest_window(self) -> tuple[Column, Column]:
         return ingest_window(self.date_column)

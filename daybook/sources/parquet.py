@@ -17,8 +17,8 @@ def read_where(spark: SparkSession, path: str, field: str | None = None, value:
 
 def typed(rows: DataFrame, ddl: str) -> DataFrame:
     """Columns in declared order and type; the last step before a sink."""
-    schema = StructType.fromDDL(ddl)
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    fields = StructType.fromDDL(ddl).fields
+    return rows.selectExpr(*[f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in fields])
 
 
 def write_report(report: DataFrame, path: str, stamp: str) -> None:

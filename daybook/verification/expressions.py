@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import times
+from daybook.functions.cells import cell
 from daybook.functions.records import (
     EXPIRED_DESC,
     EXPIRED_STATUS,
@@ -14,7 +15,7 @@ from daybook.functions.records import (
     failure_log,
     last_item,
 )
-from daybook.functions.text import blank_if_absent, is_space, joined_names, locality_from_username, text_cell
+from daybook.functions.text import blank_if_absent, is_space, joined_names, locality_from_username
 from daybook.functions.times import instant, to_epoch_ms
 from daybook.verification.registry import query
 from daybook.verification.scans import DATED_ORDERS, dated_orders
@@ -78,8 +79,8 @@ def last_element_fields(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "pages").select("page_id", last_item(pricings).alias("last"))
     return rows.select(
         "page_id",
-        text_cell(F.col("last.Name")).alias("last_link"),
-        text_cell(F.col("last.Code")).alias("long_link"),
+        F.expr(cell("last.Name")).alias("last_link"),
+        F.expr(cell("last.Code")).alias("long_link"),
     )
 
 
@@ -118,7 +119,7 @@ from events
 """)
 def epoch_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     stored = F.when(F.col("event_type") == "signup", instant(times.NO_DATE)).otherwise(F.col("ts"))
-    text = text_cell(to_epoch_ms(times.real_instant(stored)))
+    text = to_epoch_ms(times.real_instant(stored)).cast("string")
     back = times.from_epoch_ms(text)
     return table(spark, folder, "events").select(
         "event_id", to_epoch_ms(back).alias("at_ms"), times.micro_label(back).alias("at_text")

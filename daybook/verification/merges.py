@@ -167,7 +167,7 @@ def status_map_history(spark: SparkSession, folder: str) -> DataFrame:
     nothing = first.limit(0).withColumn("status_log", F.lit(None).cast("map<date,string>"))
     rows = nothing
     for batch, day in ((first, "1999-10-31"), (second, "1999-11-30")):
-        log = ("status_log", "status", F.lit(day).cast("date"))
+        log = ("status_log", "status", day)
         rows = insert_or_patch(rows, batch, "info", ["status"], history=log)
     return rows.select("row_key", F.explode("status_log").alias("log_date", "status")).withColumn(
         "log_date", F.date_format("log_date", "yyyy-MM-dd")
