@@ -27,12 +27,15 @@ def span(rows: DataFrame, key: str, time: Column, *by: str) -> DataFrame:
     )
 
 
-def manifest_rows(spans: DataFrame, date_report: str, table: str, folder: str, stem: str) -> DataFrame:
-    """Manifest row of each span; the file is named by the first and last time."""
+def manifest_rows(
+    spans: DataFrame, date_report: str, table: str, folder: str, stem: str, *by: str
+) -> DataFrame:
+    """Manifest row of each span, after its group columns; the file is named by the first and last time."""
     file_name = F.concat(
         F.lit(f"{folder}/{stem}_"), compact_label("first_time"), F.lit("_"), compact_label("last_time"), F.lit(".parquet")
     )
     return spans.select(
+        *by,
         F.lit(date_report).alias("date_report"),
         micro_label(F.col("first_time")).alias("start_time"),
         micro_label(F.col("last_time")).alias("end_time"),

@@ -48,7 +48,7 @@ def publish(
         .sortBy(KEY)
         .saveAsTable(_catalog_name(path))
     )
-    count = spark.read.parquet(path).count()
+    count = spark.read.schema(rows.schema).parquet(path).count()
     append_manifest(spark, f"{root}/versions", [(stamp, stamp, stamp, table, path, description, count)])
     return path
 

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType, TimestampType
 
-from daybook.functions.times import NO_DATE, instant, to_epoch_ms
+from daybook.functions.cells import struct_of
+from daybook.functions.times import NO_DATE, instant
 from daybook.operators.merge import KEY
 from daybook.plans import flows
 from daybook.plans.labels import Labels
@@ -25,41 +26,48 @@ FIRST_WINDOW = ("1997-06-14 17:00:00", "1998-06-14 17:00:00")
 SECOND_WINDOW = ("1998-02-28 17:00:00", "1999-02-28 17:00:00")
 
 
-def tag(name: str, key: Column) -> Column:
-    return F.concat(F.lit(f"{name}-"), key)
+def tag_text(name: str, key: str) -> str:
+    return f"concat('{name}-', {key})"
 
 
-def tags(key: Column, names: str) -> Column:
+def tag(name: str, key: str) -> Column:
+    return F.expr(tag_text(name, key))
+
+
+def tags(key: str, names: str) -> Column:
     """Struct of tagged text fields."""
-    return F.struct(*[tag(n, key).alias(n) for n in names.split()])
+    return F.expr(struct_of({n: tag_text(n, key) for n in names.split()}))
 
 
-def documents(rows: DataFrame, collection: str, key: Column, **given: Column) -> DataFrame:
-    """Documents of a collection: the given fields, tags in other text fields, null elsewhere."""
-    fields = StructType.fromDDL(SCHEMAS[collection]).fields
+def documents(rows: DataFrame, collection: str, key: str, **given: Column) -> DataFrame:
+    """Documents of a collection: the given fields, tags in other text fields, null elsewhere.
+
+    ``key`` is SQL text; it is the record's key unless that is given.
+    """
     columns = []
-    for f in fields:
+    for f in StructType.fromDDL(SCHEMAS[collection]).fields:
         if f.name in given:
-            value = given[f.name].cast(f.dataType)
+            columns.append(given[f.name].cast(f.dataType).alias(f.name))
+        elif f.name in ("_id", "requestId"):
+            columns.append(F.expr(f"{key} as {f.name}"))
         elif isinstance(f.dataType, StringType):
-            value = tag(f.name, key)
+            columns.append(F.expr(f"{tag_text(f.name, key)} as {f.name}"))
         else:
-            value = F.lit(None).cast(f.dataType)
-        columns.append(value.alias(f.name))
+            columns.append(F.expr(f"cast(null as {f.dataType.simpleString()}) as {f.name}"))
     return rows.select(*columns)
 
 
 def flat(rows: DataFrame) -> DataFrame:
     """Families as prefixed columns, instants as epoch milliseconds."""
-    columns = [F.col(KEY)]
+    columns = [KEY]
     for family in rows.schema.fields:
         if isinstance(family.dataType, StructType):
             for f in family.dataType.fields:
-                cell = F.col(f"{family.name}.{f.name}")
+                cell = f"{family.name}.{f.name}"
                 if isinstance(f.dataType, TimestampType):
-                    cell = to_epoch_ms(cell)
-                columns.append(cell.alias(f"{family.name}_{f.name}"))
-    return rows.select(*columns)
+                    cell = f"unix_millis({cell})"
+                columns.append(f"{cell} as {family.name}_{f.name}")
+    return rows.selectExpr(*columns)
 
 
 def tag_sql(family: str, pairs: str) -> str:
@@ -92,7 +100,7 @@ def cert_order_documents(spark: SparkSession, folder: str, later: bool) -> DataF
     """Orders as documents; the later state of an order is 300 days on, 7 statuses further."""
     orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
     rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    key = F.col("o_orderkey").cast("string")
+    key = "cast(o_orderkey as string)"
     segment, priority, state = F.col("c_mktsegment"), F.col("o_orderpriority"), F.col("o_orderstatus")
     name, made = F.col("c_name"), F.col("o_orderdate")
     updated = made + F.expr("INTERVAL 300 DAYS") if later else made + F.expr("INTERVAL 1 HOUR")
@@ -120,7 +128,6 @@ def cert_order_documents(spark: SparkSession, folder: str, later: bool) -> DataF
         rows,
         "CertOrder",
         key,
-        _id=key,
         FullName=F.when(segment == "MACHINERY", F.concat(F.lit("Test "), name))
         .when(segment == "HOUSEHOLD", F.concat(F.lit("tESt "), name))
         .otherwise(name),
@@ -260,13 +267,12 @@ def cert_order_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 def register_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with a positive balance registered on the day of their number."""
     customer = table(spark, folder, "customer").filter(F.col("c_acctbal") > 0)
-    key = F.col("c_custkey").cast("string")
+    key = "cast(c_custkey as string)"
     made = F.timestamp_millis(F.lit(867715200000) + (F.col("c_custkey") % 400) * 86400000)
     return documents(
         customer,
         "Register",
         key,
-        _id=key,
         status=F.col("c_nationkey"),
         createdDate=made,
         modifiedDate=F.when(F.col("c_mktsegment") == "BUILDING", instant(NO_DATE)).otherwise(
@@ -281,7 +287,7 @@ def register_documents(spark: SparkSession, folder: str) -> DataFrame:
 def user_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Customers outside BUILDING as users; the words of their name are roles."""
     customer = table(spark, folder, "customer").filter(F.col("c_mktsegment") != "BUILDING")
-    key = F.col("c_custkey").cast("string")
+    key = "cast(c_custkey as string)"
     made = F.timestamp_millis(F.lit(867715200000) + (F.col("c_custkey") % 300) * 86400000)
     roles = F.transform(
         F.split("c_name", "#"), lambda w: F.struct(F.when(w != "Customer", w).alias("name"))
@@ -290,7 +296,6 @@ def user_documents(spark: SparkSession, folder: str) -> DataFrame:
         customer,
         "User",
         key,
-        _id=key,
         status=F.col("c_nationkey"),
         createDate=made,
         modifiedDate=made + F.expr("INTERVAL 5 HOURS"),
@@ -393,8 +398,8 @@ def user_table(spark: SparkSession, folder: str) -> DataFrame:
 def turn_order_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Lineitems as turn orders: copies of a line are versions of one document."""
     line = table(spark, folder, "lineitem")
-    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    part, supplier = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
+    key = "concat(l_orderkey, '-', l_linenumber)"
+    part, supplier = "cast(l_partkey as string)", "cast(l_suppkey as string)"
 
     def pricing(name: str) -> Column:
         return F.struct(
@@ -408,11 +413,10 @@ def turn_order_documents(spark: SparkSession, folder: str) -> DataFrame:
         line,
         "PersonalSignTurnOrder",
         key,
-        _id=key,
         Status=F.col("l_linenumber"),
         CreatedDate=instant("1998-01-01 00:00:00"),
         UpdatedDate=F.col("l_shipdate"),
-        TotalMoney=F.concat_ws("-", part, supplier),
+        TotalMoney=F.expr("concat(l_partkey, '-', l_suppkey)"),
         Pricings=F.when(F.col("l_returnflag") == "A", F.array(pricing("one"), pricing("two"))).when(
             F.col("l_returnflag") == "N", F.array()
         ),
@@ -471,13 +475,12 @@ def turn_order_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def request_documents(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
-    key = F.col("o_orderkey").cast("string")
+    key = "cast(o_orderkey as string)"
     made, state = F.col("o_orderdate"), F.col("o_orderstatus")
     return documents(
         orders,
         "RequestCert",
         key,
-        _id=key,
         createdDate=made,
         updatedTime=F.when(state == "F", instant(NO_DATE)).otherwise(made + F.expr("INTERVAL 1 DAY")),
         approveTime=F.when(state == "P", made + F.expr("INTERVAL 2 DAYS")),
@@ -488,14 +491,12 @@ def request_documents(spark: SparkSession, folder: str) -> DataFrame:
 def cert_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Lineitems as certificates of the request of their order, several per request."""
     line = table(spark, folder, "lineitem")
-    key = F.col("l_orderkey").cast("string")
-    part = F.col("l_partkey").cast("string")
+    key = "cast(l_orderkey as string)"
     return documents(
         line,
         "Cert",
         key,
-        requestId=key,
-        serial=F.concat_ws("-", part, F.col("l_suppkey").cast("string")),
+        serial=F.expr("concat(l_partkey, '-', l_suppkey)"),
         validFrom=F.col("l_shipdate"),
         validTo=F.col("l_shipdate") + F.expr("INTERVAL 365 DAYS"),
         createDate=F.col("l_shipdate"),
@@ -557,7 +558,7 @@ def credential_documents(spark: SparkSession, folder: str, later: bool) -> DataF
     """Orders as credentials; their certificate dates follow the order date."""
     orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
     rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    key = F.col("o_orderkey").cast("string")
+    key = "cast(o_orderkey as string)"
     segment, priority, state = F.col("c_mktsegment"), F.col("o_orderpriority"), F.col("o_orderstatus")
     made = F.col("o_orderdate")
 
@@ -573,7 +574,7 @@ def credential_documents(spark: SparkSession, folder: str, later: bool) -> DataF
 
     identity = F.struct(
         tag("_id", key).alias("_id"),
-        F.when(segment == "MACHINERY", F.concat(F.lit("a TEST "), key)).otherwise(tag("name", key)).alias("name"),
+        F.when(segment == "MACHINERY", F.concat(F.lit("a TEST "), F.expr(key))).otherwise(tag("name", key)).alias("name"),
         *[tag(n, key).alias(n) for n in ("email", "phone")],
         F.when(priority == "1-URGENT", tag("OPER", key)).when(priority == "2-HIGH", tag("aOPER", key)).alias("username"),
         *[tag(n, key).alias(n) for n in ("uid", "createdByClientId", "createdByClientName")],
@@ -593,7 +594,6 @@ def credential_documents(spark: SparkSession, folder: str, later: bool) -> DataF
         rows,
         "Credential",
         key,
-        _id=key,
         identity=F.when(F.col("c_nationkey") != 24, identity),
         contract=contract,
         subjectDN=F.when(priority == "4-NOT SPECIFIED", F.concat(F.lit("CN="), state, F.lit(" Test,O=X")))
@@ -713,7 +713,7 @@ def credential_status_log(spark: SparkSession, folder: str) -> DataFrame:
 def transaction_documents(spark: SparkSession, folder: str, late: bool) -> DataFrame:
     """Events as transactions; the late copy of January's second half has finished."""
     events = table(spark, folder, "events")
-    key = F.col("event_id").cast("string")
+    key = "cast(event_id as string)"
     if late:
         events = events.filter(F.col("ts") >= instant("2024-01-15 00:00:00"))
     finished = F.col("ts") + F.expr("INTERVAL 1 MINUTE")
@@ -721,7 +721,6 @@ def transaction_documents(spark: SparkSession, folder: str, late: bool) -> DataF
         events,
         "SignatureTransaction",
         key,
-        _id=key,
         status=F.when(F.lit(late), "1").otherwise(F.col("event_type")),
         reqTime=F.date_trunc("second", "ts"),
         expireTime=F.when(F.col("event_type") == "view", instant(NO_DATE)).otherwise(
@@ -773,12 +772,11 @@ def transaction_two_runs(spark: SparkSession, folder: str) -> DataFrame:
 def guide_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns as problem guides, their text whole; system turns have no date."""
     turns = table(spark, folder, "conversations")
-    key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    key = "concat(conv_id, '-', turn)"
     return documents(
         turns,
         "ProblemGuide",
         key,
-        _id=key,
         GuideContent=F.col("text"),
         Status=F.when(F.col("role") != "assistant", F.col("role")),
         CreatedDate=F.when(F.col("role") == "system", instant(NO_DATE)).when(
