@@ -12,9 +12,9 @@ from daybook.plans.tables import table_schema
 from daybook.sources.archives import append_manifest
 from daybook.sources.keyed import current, publish
 
-# Tables that may be named, and the one that is archived.
+# The table that is archived, and those a cut-off accepts without doing anything.
 ARCHIVED = "SignatureTransaction"
-ACCEPTED = ("Cert", "CertOrder", "User", "Credential", "PersonalSignTurnOrder", "Locality", "ProblemGuide")
+ACCEPTED = ("Cert", "CertOrder", "User", "Credential", "PersonalSignTurnOrder")
 DESCRIPTION = "Cut off data by time"
 
 

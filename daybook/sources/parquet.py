@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Columns of the status dictionary.
+DICTIONARY_DDL = "type string, table string, code int, description_vi string"
+
 
 def read_where(spark: SparkSession, path: str, field: str | None = None, value: object | None = None) -> DataFrame:
     """Parquet with one optional equality, which reaches the scan."""
@@ -21,19 +24,28 @@ def typed(rows: DataFrame, ddl: str) -> DataFrame:
     return rows.selectExpr(*[f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in fields])
 
 
-def write_report(report: DataFrame, path: str, stamp: str) -> None:
-    """Append a report below its year and stamp.
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """Status dictionary with the position of each entry, for first-match lookups."""
+    return spark.read.schema(DICTIONARY_DDL).parquet(path).withColumn("position", F.monotonically_increasing_id())
+
+
+def write_report(report: DataFrame, path: str, stamp: str) -> int:
+    """Append a report below its year and stamp; returns its number of rows.
 
     Only the partitions present in ``report`` are replaced, so a second run of
-    the same stamp replaces its rows instead of doubling them. ``stamp`` is the
-    column that identifies the run; its first run of digits is the year.
+    the same stamp replaces its rows instead of doubling them, and an empty report
+    writes no rows. ``stamp`` is the column that identifies the run; its first run
+    of four digits is the year.
     """
-    keyed = report.withColumn("report_stamp", F.col(stamp).cast("string")).withColumn(
-        "report_year", F.regexp_extract("report_stamp", r"(\d{4})", 1)
+    written = Observation()
+    keyed = report.observe(written, F.count("*").alias("rows")).withColumn(
+        "report_stamp", F.col(stamp).cast("string")
     )
     (
-        keyed.write.mode("overwrite")
+        keyed.withColumn("report_year", F.regexp_extract("report_stamp", r"(\d{4})", 1))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("report_year", "report_stamp")
         .parquet(path)
     )
+    return written.get["rows"]

@@ -71,16 +71,22 @@ def _pricing(priority):
     return F.when(priority == PRICING[0][0], PRICING[0][1]).when(priority == PRICING[1][0], PRICING[1][1]).otherwise("11111")
 
 
-def credentials(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as credentials, localities are the nations of their customers."""
+def located_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with the nation of their customer."""
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    orders = dated_orders(spark, folder)
+    places = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    return table(spark, folder, "orders").join(places, F.col("o_custkey") == F.col("c_custkey"))
+
+
+def credentials(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as credentials, localities are the nations of their customers."""
+    shipped = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
     status = F.col("o_orderstatus")
     source = F.col("o_orderkey") % 5
     return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        located_orders(spark, folder)
+        .join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .select(
             F.col("o_orderkey").cast("string").alias("row_key"),
             F.struct(
@@ -97,15 +103,10 @@ def credentials(spark: SparkSession, folder: str) -> DataFrame:
 
 def certs(spark: SparkSession, folder: str) -> DataFrame:
     """Lineitems as certificate requests for the credential of their order."""
-    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     flag = F.col("l_returnflag")
     return (
         table(spark, folder, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(located_orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.struct(
                 F.col("l_orderkey").cast("string").alias("credential_id"),
