@@ -19,6 +19,7 @@ SESSION = build_session(
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "6g",
+        "spark.sql.maxMetadataStringLength": "1000",
         "spark.sql.warehouse.dir": f"{FOLDER}/warehouse",
         "spark.checkpoint.dir": f"{FOLDER}/checkpoints",
     },
