@@ -86,13 +86,17 @@ def insert_or_patch(
     )
 
 
-def replace_rows(target: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
-    """Whole-row put: the batch replaces rows of the same key.
+def replace_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """Whole-row put: rows of the batch replace those of the same key.
 
-    The anti join leaves a large target in place when the batch is small enough
-    for Spark to broadcast.
+    A full outer join rather than an anti join and a union, which would compute
+    the batch twice.
     """
-    return target.join(batch.select(key), key, "left_anti").unionByName(batch)
+    columns = [c for c in target.columns if c != KEY]
+    incoming = batch.selectExpr(KEY, f"{struct_of({c: c for c in columns})} as new_row")
+    return target.join(incoming, KEY, "full_outer").selectExpr(
+        KEY, *[f"if(new_row is not null, new_row.`{c}`, `{c}`) as `{c}`" for c in columns]
+    )
 
 
 def put_columns(target: DataFrame, batch: DataFrame, family: str) -> DataFrame:

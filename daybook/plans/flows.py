@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daybook.functions.cells import cell, struct_of
@@ -22,7 +22,7 @@ from daybook.functions.times import real_instant_or
 from daybook.operators.merge import KEY, insert_or_patch, latest_per_key, put_columns, replace_rows
 from daybook.plans.labels import Labels
 from daybook.plans.run import Run
-from daybook.sources.collections import in_window
+from daybook.sources.collections import WINDOW_FIELDS, in_window
 
 def always(_: Labels) -> Column:
     return F.lit(True)
@@ -57,12 +57,18 @@ class Flow:
     def _complete(self) -> Column:
         return F.coalesce(F.col(self.key).isNotNull() & self.required(), F.lit(False))
 
-    def quarantined(self, documents: DataFrame, labels: Labels = Labels()) -> DataFrame:
-        """Kept records that cannot be written, whole, for inspection."""
-        return documents.filter(self.keep(labels)).filter(~self._complete())
+    def scan(self, documents: DataFrame, run: Run) -> DataFrame:
+        """Documents of the run's window; problem guides are always read in full."""
+        if self.collection not in WINDOW_FIELDS:
+            return documents
+        return in_window(documents, self.collection, *run.ingest_window)
+
+    def quarantined(self, documents: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
+        """Records of the window that should be kept but cannot be written, whole, for inspection."""
+        return self.scan(documents, run).filter(self.keep(labels)).filter(~self._complete())
 
     def flatten(self, documents: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
-        """Keyed rows of the usable records, one per key."""
+        """Keyed rows of the usable documents, one per key."""
         usable = documents.filter(self.keep(labels)).filter(self._complete())
         extra = self.derive(run, labels)
         derived = usable.withColumns(extra) if extra else usable
@@ -85,11 +91,27 @@ class Flow:
             target, rows, family, self.patch.split(), self.fill.split(), companions, history
         )
 
-    def ingest(self, target: DataFrame, documents: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
-        """Windowed scan, flatten and merge."""
-        if self.collection != "ProblemGuide":
-            documents = in_window(documents, self.collection, *run.ingest_window)
-        return self.merge(target, self.flatten(documents, run, labels), run)
+    def ingest(
+        self,
+        target: DataFrame,
+        documents: DataFrame,
+        run: Run,
+        labels: Labels = Labels(),
+        seen: Observation | None = None,
+    ) -> DataFrame:
+        """Windowed scan, flatten and merge.
+
+        ``seen`` is filled, by the write of the result, with the number of records
+        scanned and quarantined; no second scan counts them.
+        """
+        scanned = self.scan(documents, run)
+        if seen is not None:
+            scanned = scanned.observe(
+                seen,
+                F.count("*").alias("scanned"),
+                F.count_if(self.keep(labels) & ~self._complete()).alias("quarantined"),
+            )
+        return self.merge(target, self.flatten(scanned, run, labels), run)
 
 
 # Fixed values, all of the column maps below: names of the keyed columns and the

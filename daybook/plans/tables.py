@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import DateType, MapType, StringType, StructField, StructType
 
 from daybook.plans import flows
@@ -45,11 +45,15 @@ def ingest_into(
     stamp: str,
     labels: Labels = Labels(),
     buckets: int = 200,
-) -> str:
-    """Merge one collection into the stored table and make the result current."""
+) -> dict[str, object]:
+    """Merge one collection into the stored table and make the result current.
+
+    Returns the new path and how many records were scanned and quarantined.
+    """
     target = current(spark, root, flow.table, table_schema(spark, flow.table), buckets)
-    merged = flow.ingest(target, documents, run, labels)
-    return publish(merged, root, flow.table, stamp, buckets)
+    seen = Observation()
+    merged = flow.ingest(target, documents, run, labels, seen)
+    return {"path": publish(merged, root, flow.table, stamp, buckets), **seen.get}
 
 
 def daily_ingest(
@@ -60,11 +64,10 @@ def daily_ingest(
     labels: Labels = Labels(),
     buckets: int = 200,
 ) -> dict[str, dict[str, object]]:
-    """All flows in order. Per collection: the new path and how many records were quarantined."""
-    outcome = {}
-    for step, flow in enumerate(flows.DAILY):
-        source = documents(flow.collection)
-        stamp = f"{run.time:%Y%m%d%H%M%S}{step:02d}"
-        path = ingest_into(spark, root, flow, source, run, stamp, labels, buckets)
-        outcome[flow.collection] = {"path": path, "quarantined": flow.quarantined(source, labels).count()}
-    return outcome
+    """All flows in order; the outcome of each by collection."""
+    return {
+        flow.collection: ingest_into(
+            spark, root, flow, documents(flow.collection), run, f"{run.time:%Y%m%d%H%M%S}{step:02d}", labels, buckets
+        )
+        for step, flow in enumerate(flows.DAILY)
+    }

@@ -251,16 +251,6 @@ def cert_order_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     return flat(flows.CERT_ORDER.ingest(first, cert_order_documents(spark, folder, True), SECOND))
 
 
-@query("""
-select cast(o_orderkey as varchar) as row_key
-from orders join customer on c_custkey = o_custkey
-where c_nationkey = 24 and c_mktsegment <> 'MACHINERY' and o_orderpriority <> '1-URGENT' and c_acctbal >= 0
-  and not (o_orderpriority = '5-LOW' and o_orderstatus = 'P')
-""")
-def cert_order_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    return flows.CERT_ORDER.quarantined(cert_order_documents(spark, folder, False)).select(F.col("_id").alias("row_key"))
-
-
 # --- registrations and users into one table --------------------------------------
 
 
@@ -707,6 +697,18 @@ def credential_status_log(spark: SparkSession, folder: str) -> DataFrame:
     ).select("row_key", F.date_format("day", "yyyy-MM-dd").alias("log_date"), "status")
 
 
+# Credentials of nation 24 lack their identity.
+@query(f"""
+select cast(o_orderkey as varchar) as row_key
+from orders join customer on c_custkey = o_custkey
+where o_orderdate + interval 1 day >= timestamp '{FIRST_WINDOW[0]}' and o_orderdate < timestamp '{FIRST_WINDOW[1]}'
+  and c_nationkey = 24 and o_orderpriority <> '4-NOT SPECIFIED'
+""")
+def credential_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    documents = credential_documents(spark, folder, False)
+    return flows.CREDENTIAL.quarantined(documents, FIRST).select(F.col("_id").alias("row_key"))
+
+
 # --- signature transactions ------------------------------------------------------
 
 

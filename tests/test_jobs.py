@@ -114,7 +114,11 @@ def test_daily_ingest_reports_and_cut_off(spark, space):
     assert space.report_signing(NEXT) == NO_ROWS
 
     outcome = space.ingest(RUN)
-    assert {c: o["quarantined"] for c, o in outcome.items() if o["quarantined"]} == {"CertOrder": 1, "Credential": 1}
+    assert {c: o["quarantined"] for c, o in outcome.items() if o["quarantined"]} == {"Credential": 1}
+    assert {c: o["scanned"] for c, o in outcome.items()} == {
+        "Register": 2, "User": 1, "CertOrder": 2, "PersonalSignTurnOrder": 1, "Credential": 6, "RequestCert": 1,
+        "Cert": 1, "SignatureTransaction": 3,
+    }
     assert set(outcome) == {f.collection for f in flows.DAILY}
 
     users = {r.row_key: r for r in space.table("User").collect()}
