@@ -153,7 +153,7 @@ def valid_ps_keys(credentials: DataFrame, run: Run) -> DataFrame:
     """Keys of active personal credentials that are still valid."""
     return (
         dated_credentials(credentials)
-        .filter((F.col("status") == ACTIVE) & _is_ps(F.col("pricing_code")))
+        .filter((F.col("status") == ACTIVE) & F.col("pricing_code").isin(*PS_CODES))
         .filter(F.col("valid_to") > run.cumulative_bounds["end"])
         .select("row_key")
         .distinct()
