@@ -30,7 +30,11 @@ NO_ROWS = "Không có bản ghi phù hợp"
 
 @dataclass(frozen=True)
 class Workspace:
-    """Where the jobs read and write. ``documents`` opens a collection by name."""
+    """Where the jobs read and write.
+
+    ``documents`` opens a collection by name, ``open_archives`` archived transaction
+    collections, all that are named at once.
+    """
 
     spark: SparkSession
     root: str
@@ -38,6 +42,7 @@ class Workspace:
     dictionary: str = ""
     labels: Labels = Labels()
     buckets: int = 200
+    open_archives: Callable[[list[str]], DataFrame] | None = None
 
     def table(self, name: str) -> DataFrame:
         return current(self.spark, self.root, name, table_schema(self.spark, name), self.buckets)
@@ -47,7 +52,9 @@ class Workspace:
         return "" if rows else NO_ROWS
 
     def ingest(self, run: Run) -> dict[str, dict[str, object]]:
-        return daily_ingest(self.spark, self.root, self.documents, run, self.labels, self.buckets)
+        return daily_ingest(
+            self.spark, self.root, self.documents, run, self.labels, self.buckets, self.open_archives
+        )
 
     def report_signing(self, run: Run) -> str:
         """Empty text on success, like the other reports."""

@@ -421,6 +421,13 @@ ORDER_STATE_HEADERS = (
 )
 
 
+def display_signing(report: DataFrame) -> DataFrame:
+    """The report in client and month order, its stamp last."""
+    return report.orderBy("client_id", "month").select(
+        "client_id", "month", "client_name", "success", "un_success", "data_report"
+    )
+
+
 def display_cumulative(report: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
     """The report without its date, under presentation headers, in locality order."""
     headers = cumulative_headers(run, labels)

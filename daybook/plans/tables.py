@@ -11,6 +11,7 @@ from daybook.plans import flows
 from daybook.plans.flows import Flow
 from daybook.plans.labels import Labels
 from daybook.plans.run import Run
+from daybook.sources.archives import scan_with_archives
 from daybook.sources.collections import SCHEMAS
 from daybook.sources.keyed import current, publish
 
@@ -63,11 +64,19 @@ def daily_ingest(
     run: Run,
     labels: Labels = Labels(),
     buckets: int = 200,
+    open_archives: Callable[[list[str]], DataFrame] | None = None,
 ) -> dict[str, dict[str, object]]:
-    """All flows in order; the outcome of each by collection."""
-    return {
-        flow.collection: ingest_into(
-            spark, root, flow, documents(flow.collection), run, f"{run.time:%Y%m%d%H%M%S}{step:02d}", labels, buckets
-        )
-        for step, flow in enumerate(flows.DAILY)
-    }
+    """All flows in order; the outcome of each by collection.
+
+    With ``open_archives`` transactions come from the live collection and from
+    every archived one whose time span meets the window.
+    """
+    outcome = {}
+    for step, flow in enumerate(flows.DAILY):
+        source = documents(flow.collection)
+        if open_archives and flow is flows.SIGNATURE_TRANSACTION:
+            window = run.ingest_window
+            source = scan_with_archives(source, documents("CutOff"), flow.collection, *window, open_archives)
+        stamp = f"{run.time:%Y%m%d%H%M%S}{step:02d}"
+        outcome[flow.collection] = ingest_into(spark, root, flow, source, run, stamp, labels, buckets)
+    return outcome

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,21 +46,21 @@ def overlapping(catalogue: DataFrame, source: str, start: Column | None, end: Co
 
 
 def scan_with_archives(
-    spark: SparkSession,
     live: DataFrame,
     catalogue: DataFrame,
     source: str,
     start: Column | None,
     end: Column | None,
-    root: str,
+    open_archives: Callable[[list[str]], DataFrame],
 ) -> DataFrame:
     """Live rows and the rows of every overlapping archive.
 
-    The archive list is as small as the catalogue and picks whole paths before
-    any data is read; the same filter then applies to all of it.
+    The archive list is as small as the catalogue and is chosen before any data is
+    read; ``open_archives`` opens all of it at once, and the same filter then
+    applies to live and archived rows.
     """
-    names = [r["collectionName"] for r in overlapping(catalogue, source, start, end).select("collectionName").collect()]
-    if not names:
+    chosen = overlapping(catalogue, source, start, end).select("collectionName").distinct().collect()
+    if not chosen:
         return live
-    archived = spark.read.schema(live.schema).parquet(*[f"{root}/{name}" for name in sorted(names)])
-    return live.unionByName(archived)
+    archived = open_archives(sorted(row["collectionName"] for row in chosen))
+    return live.unionByName(archived, allowMissingColumns=True)

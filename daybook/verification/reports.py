@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from daybook.functions.times import instant
 from daybook.plans.reports import (
-    CLASSES,
     METRICS,
     ORDER_STATE_COLUMNS,
+    ORDER_STATE_HEADERS,
     PERIODS,
     cumulative_headers,
     cumulative_report,
     display_cumulative,
+    display_order_state,
+    display_signing,
     issued_certs,
     order_state_report,
     orders_in_window,
@@ -48,7 +50,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("""
+SIGNING_SQL = """
 select '2024/02/15 00:00:00' as data_report, cast(user_id as varchar) as client_id,
        arg_min(event_type, event_id) filter (where event_type <> 'error') as client_name,
        strftime(ts, '%Y-%m') as month,
@@ -57,11 +59,19 @@ select '2024/02/15 00:00:00' as data_report, cast(user_id as varchar) as client_
 from events
 where ts >= timestamp '2023-12-31 17:00:00' and ts < timestamp '2024-01-31 17:00:00'
 group by user_id, strftime(ts, '%Y-%m')
-""")
+"""
+
+
+@query(SIGNING_SQL)
 def signing_by_client_month(spark: SparkSession, folder: str) -> DataFrame:
     return signing_report(transactions(spark, folder), SIGNING_RUN)
 
 
+@query(SIGNING_SQL)
+def signing_display(spark: SparkSession, folder: str) -> DataFrame:
+    return display_signing(signing_by_client_month(spark, folder))
+
+
 # --- cumulative report -----------------------------------------------------------
 
 PRICING = (("4-NOT SPECIFIED", "17187"), ("5-LOW", "18046"))
@@ -279,7 +289,7 @@ code as (select n_nationkey % 20 as code, arg_min(n_name, n_nationkey) as descri
 """
 
 
-@query(f"""
+STATE_SQL = f"""
 with {STATE}
 select '30/06/1998' as ngay_lay_dl, printf('P%02d', c_nationkey) as ma_tinh,
        case o_orderstatus when 'F' then '' else o_orderstatus end as sdt_lh, c_name as ten_kh,
@@ -303,7 +313,10 @@ select '30/06/1998', case when c_mktsegment = 'HOUSEHOLD' then 'abc'
        '', '', coalesce(r_name, 'own ' || c_mktsegment), coalesce(r_name, 'own ' || c_mktsegment), '', '', '',
        coalesce(r_name, 'own ' || c_mktsegment)
 from unmatched left join region on r_regionkey = c_nationkey % 7
-""")
+"""
+
+
+@query(STATE_SQL)
 def order_registration_state(spark: SparkSession, folder: str) -> DataFrame:
     return order_state_report(
         state_orders(spark, folder),
@@ -314,6 +327,16 @@ def order_registration_state(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _state_display_sql() -> str:
+    named = ", ".join(f'{c} as "{h}"' for c, h in zip(ORDER_STATE_COLUMNS, ORDER_STATE_HEADERS))
+    return f"select {named} from ({STATE_SQL})"
+
+
+@query(_state_display_sql())
+def order_registration_display(spark: SparkSession, folder: str) -> DataFrame:
+    return display_order_state(order_registration_state(spark, folder))
+
+
 @query(f"with {STATE} select cast(c_custkey as varchar) as row_key, c_name as full_name from unmatched")
 def unmatched_registration_anti_join(spark: SparkSession, folder: str) -> DataFrame:
     chosen = orders_in_window(state_orders(spark, folder), STATE_RUN)

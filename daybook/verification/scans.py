@@ -198,9 +198,13 @@ def archive_overlap_scan(spark: SparkSession, folder: str) -> DataFrame:
         "fromTime",
         "toTime",
     )
-    live = spark.read.schema(orders.drop("month").schema).parquet(f"{root}/month=200108")
+    schema = orders.drop("month").schema
+
+    def open_months(names: list[str]) -> DataFrame:
+        return spark.read.schema(schema).parquet(*[f"{root}/{name}" for name in names])
+
     start, end = instant("1998-06-15 00:00:00"), instant("1998-09-15 00:00:00")
-    rows = scan_with_archives(spark, live, catalogue, "orders", start, end, root)
+    rows = scan_with_archives(open_months(["month=200108"]), catalogue, "orders", start, end, open_months)
     return rows.filter(half_open(F.col("o_orderdate"), start, end)).select(
         "o_orderkey", "o_custkey", to_epoch_ms(F.col("o_orderdate")).alias("created_ms")
     )

@@ -91,6 +91,19 @@ class Documents:
                 {"_id": f"x{i}", "reqTime": datetime(2025, 4, 20 + i), "status": "1", "appId": "app", "appName": "App"}
                 for i in range(3)
             ],
+            "CutOff": [
+                {
+                    "sourceCollection": "SignatureTransaction",
+                    "collectionName": f"Archive{year}",
+                    "fromTime": datetime(year, 1, 1),
+                    "toTime": datetime(year, 12, 31),
+                }
+                for year in (2023, 2024)
+            ],
+            "Archive2024": [
+                {"_id": "a1", "reqTime": datetime(2024, 11, 1), "appId": "old"},
+                {"_id": "a2", "reqTime": datetime(2024, 1, 1), "appId": "before the window"},
+            ],
             "ProblemGuide": [{"_id": "p1", "Status": "1", "type": "t"}],
             "AreaLocal": [{"code": "01", "name": "north", "localities": [{"code": "HN", "name": "Hanoi"}]}],
             "Wards": [{"ProvinceId": 7, "ProvinceCode": "HN", "WardId": 1, LABELS.ward_field: 4}],
@@ -100,6 +113,10 @@ class Documents:
         ddl = ward_schema(LABELS) if collection == "Wards" else SCHEMAS[collection]
         return self.spark.createDataFrame(self.rows[collection], ddl)
 
+    def archives(self, names):
+        assert names == ["Archive2024"], "2023 does not meet the window"
+        return self.spark.createDataFrame(self.rows[names[0]], SCHEMAS["SignatureTransaction"])
+
 
 @pytest.fixture(scope="module")
 def space(spark):
@@ -107,7 +124,8 @@ def space(spark):
     dictionary = f"{root}/dictionary"
     entries = [("status", "CertOrder", 52, "failed"), ("status", "Register", 3, "done")]
     spark.createDataFrame(entries, "type string, table string, code int, description_vi string").write.parquet(dictionary)
-    return Workspace(spark, root, Documents(spark), dictionary, LABELS, buckets=4)
+    documents = Documents(spark)
+    return Workspace(spark, root, documents, dictionary, LABELS, 4, documents.archives)
 
 
 def test_daily_ingest_reports_and_cut_off(spark, space):
@@ -117,7 +135,7 @@ def test_daily_ingest_reports_and_cut_off(spark, space):
     assert {c: o["quarantined"] for c, o in outcome.items() if o["quarantined"]} == {"Credential": 1}
     assert {c: o["scanned"] for c, o in outcome.items()} == {
         "Register": 2, "User": 1, "CertOrder": 2, "PersonalSignTurnOrder": 1, "Credential": 6, "RequestCert": 1,
-        "Cert": 1, "SignatureTransaction": 3,
+        "Cert": 1, "SignatureTransaction": 4,
     }
     assert set(outcome) == {f.collection for f in flows.DAILY}
 
@@ -166,11 +184,11 @@ def test_daily_ingest_reports_and_cut_off(spark, space):
     assert space.cut_off("SignatureTransaction", NEXT)
     assert space.table("SignatureTransaction").count() == 0
     entry = read_manifest(spark, f"{space.root}/manifest").filter("table_name = 'SignatureTransaction'").first()
-    assert entry["count"] == 3
-    assert entry.file_name.endswith("signature_transaction_20250420000000_20250422000000.parquet")
-    assert (entry.start_time, entry.end_time) == ("2025-04-20 00:00:00.000000", "2025-04-22 00:00:00.000000")
+    assert entry["count"] == 4
+    assert entry.file_name.endswith("signature_transaction_20241101000000_20250422000000.parquet")
+    assert (entry.start_time, entry.end_time) == ("2024-11-01 00:00:00.000000", "2025-04-22 00:00:00.000000")
     archive = spark.read.parquet(entry.file_name)
-    assert archive.columns[:2] == ["_id", "date_report"] and archive.count() == 3
+    assert archive.columns[:2] == ["_id", "date_report"] and archive.count() == 4
     assert not space.cut_off("SignatureTransaction", NEXT), "nothing left to archive"
 
     assert space.cut_off("ProblemGuide", NEXT)

@@ -116,9 +116,12 @@ def test_scan_spans_overlapping_archives(spark):
     )
     live = spark.createDataFrame([("live", datetime(2024, 1, 10))], ddl)
 
+    def open_parts(names):
+        return spark.read.schema(ddl).parquet(*[f"{root}/{n}" for n in names])
+
     def ids(start, end):
         bounds = [instant(b) if b else None for b in (start, end)]
-        return {r["_id"] for r in scan_with_archives(spark, live, catalogue, "T", *bounds, root).collect()}
+        return {r["_id"] for r in scan_with_archives(live, catalogue, "T", *bounds, open_parts).collect()}
 
     assert ids("2024-01-02 00:00:00", "2024-01-03 00:00:00") == {"live", "early1", "early2", "middle3", "middle4"}
     assert ids("2024-01-05 00:00:00", "2024-01-06 00:00:00") == {"live"}
