@@ -166,7 +166,8 @@ select strftime(run_date, '%Y-%m-%d') as run_date,
        epoch_ms(start_year + interval 1 year) as end_year,
        epoch_ms("end" - interval 365 day) as ingest_start,
        epoch_ms(start_month - interval 1 month) as month_from,
-       epoch_ms(start_month) as month_to
+       epoch_ms(start_month) as month_to,
+       epoch_ms(date_trunc('month', run_date - interval 1 month) + interval 17 hour - interval 1 day) as calendar_from
 from b
 """)
 def report_bounds(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,6 +176,7 @@ def report_bounds(spark: SparkSession, folder: str) -> DataFrame:
     bounds = times.cumulative_bounds(day)
     bounds["ingest_start"] = times.ingest_window(day)[0]
     bounds["month_from"], bounds["month_to"] = times.monthly_window(day)
+    bounds["calendar_from"] = times.monthly_window(day, calendar_month=True)[0]
     return days.select(
         F.date_format(day, "yyyy-MM-dd").alias("run_date"),
         *[to_epoch_ms(bound).alias(name) for name, bound in bounds.items()],

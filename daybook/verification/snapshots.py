@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.times import to_epoch_ms
+from daybook.functions.times import instant, to_epoch_ms
 from daybook.plans.archiving import ARCHIVED, archive_transactions, manifest_rows, span
 from daybook.plans.flows import SIGNATURE_TRANSACTION
 from daybook.plans.locality import publish_localities, read_localities
 from daybook.plans.run import Run
 from daybook.plans.tables import ingest_into, table_schema
 from daybook.session import work_folder
-from daybook.sources.archives import latest_entry, read_manifest
+from daybook.sources.archives import latest_entry, overlapping, read_manifest
 from daybook.sources.keyed import current
 from daybook.verification.flows import transaction_documents
 from daybook.verification.lookups import FOLD, areas
@@ -71,6 +73,34 @@ def locality_snapshot_by_ward(spark: SparkSession, folder: str) -> DataFrame:
     return read_localities(spark, root)
 
 
+# Months of orders as archives, against a closed window and both half-open ones.
+@query("""
+with c as (
+  select strftime(o_orderdate, '%Y-%m') as month, min(o_orderdate) as f, max(o_orderdate) as t from orders group by 1)
+select 'both' as bounds, month from c where t >= timestamp '1998-06-30 00:00:00' and f <= timestamp '1998-09-01 00:00:00'
+union all
+select 'from', month from c where t >= timestamp '1998-06-30 00:00:00'
+union all
+select 'to', month from c where f <= timestamp '1998-09-01 00:00:00'
+union all
+select 'none', month from c
+""")
+def archive_catalogue_overlap(spark: SparkSession, folder: str) -> DataFrame:
+    catalogue = (
+        table(spark, folder, "orders")
+        .groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("collectionName"))
+        .agg(F.min("o_orderdate").alias("fromTime"), F.max("o_orderdate").alias("toTime"))
+        .withColumn("sourceCollection", F.lit("orders"))
+    )
+    start, end = instant("1998-06-30 00:00:00"), instant("1998-09-01 00:00:00")
+    windows = {"both": (start, end), "from": (start, None), "to": (None, end), "none": (None, None)}
+    found = [
+        overlapping(catalogue, "orders", *window).select(F.lit(name).alias("bounds"), F.col("collectionName").alias("month"))
+        for name, window in windows.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 MANIFEST = """
 select '19980615000000' as date_report,
        strftime(arg_min(o_orderdate, o_orderkey), '%Y-%m-%d %H:%M:%S.%f') as start_time,
