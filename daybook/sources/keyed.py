@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from daybook.operators.merge import KEY
+from daybook.session import path_exists
 from daybook.sources.archives import append_manifest, latest_path, read_manifest
 
 
@@ -55,12 +56,8 @@ def publish(
 
 def current(spark: SparkSession, root: str, table: str, schema: StructType, buckets: int) -> DataFrame:
     """The current version, or an empty table before the first one."""
-    try:
-        path = latest_path(read_manifest(spark, f"{root}/versions"), table)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        path = None
+    versions = f"{root}/versions"
+    path = latest_path(read_manifest(spark, versions), table) if path_exists(spark, versions) else None
     if path is None:
         return spark.createDataFrame([], schema)
     return open_bucketed(spark, path, schema, buckets)

@@ -177,7 +177,7 @@ def _cumulative_sql() -> str:
     return (
         f"with {CERTIFICATES}, hits as ({' union all '.join(parts)}), "
         f"sums as (select locality as locality_code, {sums} from hits group by locality) "
-        f"select date '1998-06-15' as date_report, locality_code, {zero} from sums"
+        f"select '1998-06-15' as date_report, locality_code, {zero} from sums"
     )
 
 
@@ -186,7 +186,8 @@ CUMULATIVE_SQL = _cumulative_sql()
 
 @query(CUMULATIVE_SQL)
 def accumulated_by_locality(spark: SparkSession, folder: str) -> DataFrame:
-    return cumulative_report(credentials(spark, folder), certs(spark, folder), CUMULATIVE_RUN)
+    report = cumulative_report(credentials(spark, folder), certs(spark, folder), CUMULATIVE_RUN)
+    return report.withColumn("date_report", F.date_format("date_report", "yyyy-MM-dd"))
 
 
 def _display_sql() -> str:
