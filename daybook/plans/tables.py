@@ -13,7 +13,7 @@ from daybook.plans.labels import Labels
 from daybook.plans.run import Run
 from daybook.sources.archives import scan_with_archives
 from daybook.sources.collections import SCHEMAS
-from daybook.sources.keyed import current, publish
+from daybook.sources.keyed import current, publish, shuffled_by_bucket
 
 ALL_FLOWS = (*flows.DAILY, flows.PROBLEM_GUIDE)
 
@@ -53,8 +53,10 @@ def ingest_into(
     """
     target = current(spark, root, flow.table, table_schema(spark, flow.table), buckets)
     seen = Observation()
-    merged = flow.ingest(target, documents, run, labels, seen)
-    return {"path": publish(merged, root, flow.table, stamp, buckets), **seen.get}
+    with shuffled_by_bucket(spark, buckets):
+        merged = flow.ingest(target, documents, run, labels, seen)
+        path = publish(merged, root, flow.table, stamp, buckets)
+    return {"path": path, **seen.get}
 
 
 def daily_ingest(

@@ -8,6 +8,8 @@ that dies half way leaves the current version in place.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -36,6 +38,22 @@ def open_bucketed(spark: SparkSession, path: str, schema: StructType, buckets: i
     return spark.table(f"`{name}`")
 
 
+@contextmanager
+def shuffled_by_bucket(spark: SparkSession, buckets: int) -> Iterator[None]:
+    """Shuffle into as many partitions as there are buckets.
+
+    Then a merge shuffles its batch once, and each task writes the files of its
+    own buckets only.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(buckets))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def publish(
     rows: DataFrame, root: str, table: str, stamp: str, buckets: int, description: str = "Keyed table version"
 ) -> str:

@@ -254,20 +254,26 @@ def cert_order_two_runs(spark: SparkSession, folder: str) -> DataFrame:
 # --- registrations and users into one table --------------------------------------
 
 
+def ordering_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with the dates of their first and last order."""
+    dates = (
+        table(spark, folder, "orders")
+        .groupBy("o_custkey")
+        .agg(F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"))
+    )
+    return table(spark, folder, "customer").join(dates, F.col("c_custkey") == F.col("o_custkey"))
+
+
 def register_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers with a positive balance registered on the day of their number."""
-    customer = table(spark, folder, "customer").filter(F.col("c_acctbal") > 0)
+    """Customers with a positive balance; they registered with their first order."""
     key = "cast(c_custkey as string)"
-    made = F.timestamp_millis(F.lit(867715200000) + (F.col("c_custkey") % 400) * 86400000)
     return documents(
-        customer,
+        ordering_customers(spark, folder).filter(F.col("c_acctbal") > 0),
         "Register",
         key,
         status=F.col("c_nationkey"),
-        createdDate=made,
-        modifiedDate=F.when(F.col("c_mktsegment") == "BUILDING", instant(NO_DATE)).otherwise(
-            made + F.expr("INTERVAL 2 HOURS")
-        ),
+        createdDate=F.col("first_order"),
+        modifiedDate=F.when(F.col("c_mktsegment") == "BUILDING", instant(NO_DATE)).otherwise(F.col("last_order")),
         address=F.when(
             F.col("c_mktsegment") != "FURNITURE", tags(key, "provinceId districtId wardId streetName address")
         ),
@@ -276,19 +282,17 @@ def register_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def user_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Customers outside BUILDING as users; the words of their name are roles."""
-    customer = table(spark, folder, "customer").filter(F.col("c_mktsegment") != "BUILDING")
     key = "cast(c_custkey as string)"
-    made = F.timestamp_millis(F.lit(867715200000) + (F.col("c_custkey") % 300) * 86400000)
     roles = F.transform(
         F.split("c_name", "#"), lambda w: F.struct(F.when(w != "Customer", w).alias("name"))
     )
     return documents(
-        customer,
+        ordering_customers(spark, folder).filter(F.col("c_mktsegment") != "BUILDING"),
         "User",
         key,
         status=F.col("c_nationkey"),
-        createDate=made,
-        modifiedDate=made + F.expr("INTERVAL 5 HOURS"),
+        createDate=F.col("first_order"),
+        modifiedDate=F.when(F.col("c_nationkey") != 7, F.col("last_order") + F.expr("INTERVAL 5 HOURS")),
         provinceCodes=F.when(
             F.col("c_nationkey") > 9, F.array(F.struct(F.lit("north").alias("name")), F.struct(F.lit("south").alias("name")))
         ),
@@ -353,28 +357,30 @@ _USER_TAGS = """
 
 
 @query(f"""
-with r as (
-  select *, cast(c_custkey as varchar) as k,
-         timestamp '1997-07-01 00:00:00' + to_days(cast(c_custkey % 400 as integer)) as made
-  from customer where c_acctbal > 0),
+with c as (
+  select customer.*, cast(c_custkey as varchar) as k, made, last from customer
+  join (select o_custkey, min(o_orderdate) as made, max(o_orderdate) as last from orders group by o_custkey)
+    on o_custkey = c_custkey),
+r as (select *, case when c_mktsegment <> 'BUILDING' then last end as modified from c where c_acctbal > 0),
 u as (
-  select *, cast(c_custkey as varchar) as k,
-         timestamp '1997-07-01 00:00:00' + to_days(cast(c_custkey % 300 as integer)) as made
-  from customer where c_mktsegment <> 'BUILDING'),
+  select *, case when c_nationkey <> 7 then last + interval 5 hour end as modified
+  from c where c_mktsegment <> 'BUILDING'),
 a as (
   select k, {tag_sql("register", _REGISTER_TAGS)}, {_address_sql("register", _REGISTER_PLACE)},
          cast(c_nationkey as varchar) as register_status, epoch_ms(made) as register_create_date,
-         case when c_mktsegment <> 'BUILDING' then epoch_ms(made + interval 2 hour) end as register_modified_date
-  from r where made >= timestamp '{FIRST_WINDOW[0]}' and made < timestamp '{FIRST_WINDOW[1]}'),
+         epoch_ms(modified) as register_modified_date
+  from r where (made >= timestamp '{FIRST_WINDOW[0]}' or modified >= timestamp '{FIRST_WINDOW[0]}')
+    and made < timestamp '{FIRST_WINDOW[1]}'),
 b as (
   select k, {tag_sql("info", _USER_TAGS)}, {_address_sql("info", _USER_PLACE)},
          cast(c_nationkey as varchar) as info_status, epoch_ms(made) as info_create_date,
-         epoch_ms(made + interval 5 hour) as info_modified_date,
+         epoch_ms(modified) as info_modified_date,
          case when c_nationkey < 20 then 'False' else '' end as info_is_com_admin,
          case when c_nationkey = 3 then 'True' else 'False' end as info_is_test,
          case when c_nationkey > 9 then 'north, south' else '' end as info_province_codes,
          case when c_mktsegment = 'HOUSEHOLD' then '' else ', ' || split_part(c_name, '#', 2) end as info_roles
-  from u where made < timestamp '{FIRST_WINDOW[1]}')
+  from u where (made >= timestamp '{FIRST_WINDOW[0]}' or modified >= timestamp '{FIRST_WINDOW[0]}')
+    and made < timestamp '{FIRST_WINDOW[1]}')
 select coalesce(a.k, b.k) as row_key, a.* exclude (k), b.* exclude (k) from a full outer join b on a.k = b.k
 """)
 def user_table(spark: SparkSession, folder: str) -> DataFrame:
