@@ -9,7 +9,7 @@ from daybook.functions.times import compact_label, micro_label
 from daybook.operators.merge import KEY
 from daybook.plans.run import Run
 from daybook.plans.tables import table_schema
-from daybook.sources.archives import append_manifest
+from daybook.sources.archives import append_manifest, recorded
 from daybook.sources.keyed import current, publish
 
 # The table that is archived, and those a cut-off accepts without doing anything.
@@ -56,19 +56,27 @@ def archive_transactions(spark: SparkSession, root: str, run: Run, buckets: int
 
     The live table is emptied only after the archive was read back with the same
     number of rows, and by publishing an empty version: the archived one stays on
-    storage until it is cleaned up.
+    storage until it is cleaned up. A run that failed on the way can be started
+    again: an archive it recorded is kept, one it did not record is written anew.
     """
-    schema = table_schema(spark, ARCHIVED)
+    schema, manifest = table_schema(spark, ARCHIVED), f"{root}/manifest"
     live = current(spark, root, ARCHIVED, schema, buckets)
     spans = span(live.select(KEY, F.col("info.req_time").alias("req_time")), KEY, F.col("req_time"))
+    stamp = f"{run.time:%Y%m%d%H%M%S}"
     entry = manifest_rows(
-        spans, f"{run.time:%Y%m%d%H%M%S}", ARCHIVED, f"{root}/signature_transaction", "signature_transaction"
+        spans, stamp, ARCHIVED, f"{root}/signature_transaction", "signature_transaction"
     ).first()
     if entry["count"] == 0:
         return False
-    archive_rows(live, run.time_column).write.mode("error").parquet(entry["file_name"])
-    if spark.read.parquet(entry["file_name"]).count() != entry["count"]:
+    path = entry["file_name"]
+    earlier = recorded(spark, manifest, path)
+    if stamp not in earlier:
+        if earlier:
+            raise FileExistsError(f"{path} was archived by another run")
+        archive_rows(live, run.time_column).write.mode("overwrite").parquet(path)
+    if spark.read.schema(archive_rows(live, run.time_column).schema).parquet(path).count() != entry["count"]:
         return False
-    append_manifest(spark, f"{root}/manifest", [tuple(entry)])
-    publish(live.limit(0), root, ARCHIVED, f"{run.time:%Y%m%d%H%M%S}_empty", buckets, "Emptied after archiving")
+    if not earlier:
+        append_manifest(spark, manifest, [tuple(entry)])
+    publish(live.limit(0), root, ARCHIVED, f"{stamp}_empty", buckets, "Emptied after archiving")
     return True

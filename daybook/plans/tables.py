@@ -13,7 +13,7 @@ from daybook.plans.labels import Labels
 from daybook.plans.run import Run
 from daybook.sources.archives import scan_with_archives
 from daybook.sources.collections import SCHEMAS
-from daybook.sources.keyed import current, publish, shuffled_by_bucket
+from daybook.sources.keyed import current, is_published, publish, shuffled_by_bucket, version_path
 
 ALL_FLOWS = (*flows.DAILY, flows.PROBLEM_GUIDE)
 
@@ -70,15 +70,19 @@ def daily_ingest(
 ) -> dict[str, dict[str, object]]:
     """All flows in order; the outcome of each by collection.
 
-    With ``open_archives`` transactions come from the live collection and from
+    A run that is started again, with the same run time, goes on after the tables
+    it has already published. With ``open_archives`` transactions come from the live collection and from
     every archived one whose time span meets the window.
     """
     outcome = {}
     for step, flow in enumerate(flows.DAILY):
+        stamp = f"{run.time:%Y%m%d%H%M%S}{step:02d}"
+        if is_published(spark, root, flow.table, stamp):
+            outcome[flow.collection] = {"path": version_path(root, flow.table, stamp)}
+            continue
         source = documents(flow.collection)
         if open_archives and flow is flows.SIGNATURE_TRANSACTION:
             window = run.ingest_window
             source = scan_with_archives(source, documents("CutOff"), flow.collection, *window, open_archives)
-        stamp = f"{run.time:%Y%m%d%H%M%S}{step:02d}"
         outcome[flow.collection] = ingest_into(spark, root, flow, source, run, stamp, labels, buckets)
     return outcome

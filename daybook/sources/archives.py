@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.windows import overlaps
+from daybook.session import path_exists
 
 # Columns of the manifest.
 MANIFEST_DDL = (
@@ -24,6 +25,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_DDL).parquet(path)
 
 
+def recorded(spark: SparkSession, path: str, file_name: str) -> list[str]:
+    """Report dates under which the manifest lists a file."""
+    if not path_exists(spark, path):
+        return []
+    entries = read_manifest(spark, path).filter(F.col("file_name") == file_name)
+    return [row["date_report"] for row in entries.select("date_report").distinct().collect()]
+
+
 def latest_entry(manifest: DataFrame, table: str) -> DataFrame:
     """Manifest row of the newest snapshot of ``table``."""
     return (

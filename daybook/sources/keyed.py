@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from daybook.operators.merge import KEY
 from daybook.session import path_exists
-from daybook.sources.archives import append_manifest, latest_path, read_manifest
+from daybook.sources.archives import append_manifest, latest_path, read_manifest, recorded
 
 
 def _catalog_name(path: str) -> str:
@@ -54,14 +54,28 @@ def shuffled_by_bucket(spark: SparkSession, buckets: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+def version_path(root: str, table: str, stamp: str) -> str:
+    return f"{root}/{table}/{table}_{stamp}"
+
+
+def is_published(spark: SparkSession, root: str, table: str, stamp: str) -> bool:
+    return bool(recorded(spark, f"{root}/versions", version_path(root, table, stamp)))
+
+
 def publish(
     rows: DataFrame, root: str, table: str, stamp: str, buckets: int, description: str = "Keyed table version"
 ) -> str:
-    """Write a version of ``table`` and make it the current one; returns its path."""
+    """Write a version of ``table`` and make it the current one; returns its path.
+
+    A path that was written but never listed is what a failed job left behind, and
+    is written anew; a listed one is never touched.
+    """
     spark = rows.sparkSession
-    path = f"{root}/{table}/{table}_{stamp}"
+    path = version_path(root, table, stamp)
+    if is_published(spark, root, table, stamp):
+        raise FileExistsError(f"version {stamp} of {table} is already published")
     (
-        rows.write.mode("error")
+        rows.write.mode("overwrite")
         .option("path", path)
         .bucketBy(buckets, KEY)
         .sortBy(KEY)

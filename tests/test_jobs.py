@@ -2,16 +2,17 @@ from datetime import date, datetime
 
 import pytest
 
-from daybook.plans import flows
+from daybook.plans import archiving, flows
 from daybook.plans.jobs import NO_ROWS, Workspace
 from daybook.plans.labels import Labels
 from daybook.plans.locality import ward_schema
 from daybook.plans.reports import METRICS
 from daybook.plans.run import Run
-from daybook.plans.tables import table_schema
+from daybook.plans.tables import ingest_into, table_schema
 from daybook.session import work_folder
 from daybook.sources.archives import read_manifest
 from daybook.sources.collections import SCHEMAS
+from daybook.sources.keyed import current
 
 LABELS = Labels("Acme", "Pen")
 MADE = datetime(2025, 5, 1)
@@ -153,6 +154,8 @@ def test_daily_ingest_reports_and_cut_off(spark, space):
     assert {r.row_key for r in space.table("Cert").collect()} == {"r1", "r9"}
     assert [r.info.sign_turn_number for r in space.table("PersonalSignTurnOrder").collect()] == ["0"]
 
+    assert all("scanned" not in o for o in space.ingest(RUN).values()), "a finished run is not repeated"
+
     # A second run changes one status, which is logged, and leaves the rest alone.
     space.documents.rows["Credential"][0] = credential("c1", status="1")
     space.ingest(NEXT)
@@ -197,6 +200,35 @@ def test_daily_ingest_reports_and_cut_off(spark, space):
     assert space.cut_off("User", NEXT) and not space.cut_off("Unknown", NEXT)
 
 
+def test_archiving_can_be_started_again(spark, monkeypatch):
+    root = work_folder(spark, "again")
+    rows = [{"_id": f"x{i}", "reqTime": datetime(2025, 4, 20 + i)} for i in range(3)]
+    documents = spark.createDataFrame(rows, SCHEMAS["SignatureTransaction"])
+    ingest_into(spark, root, flows.SIGNATURE_TRANSACTION, documents, RUN, "1", buckets=4)
+
+    def live():
+        return current(spark, root, "SignatureTransaction", table_schema(spark, "SignatureTransaction"), 4).count()
+
+    def fail(*_, **__):
+        raise RuntimeError("lost")
+
+    for step in ("append_manifest", "publish"):
+        with monkeypatch.context() as patched:
+            patched.setattr(archiving, step, fail)
+            with pytest.raises(RuntimeError):
+                archiving.archive_transactions(spark, root, NEXT, 4)
+        assert live() == 3, "nothing is emptied before the archive is recorded"
+    assert archiving.archive_transactions(spark, root, NEXT, 4)
+    assert live() == 0
+    assert read_manifest(spark, f"{root}/manifest").count() == 1
+
+    # The same rows once more, under another run: the recorded archive is not overwritten.
+    ingest_into(spark, root, flows.SIGNATURE_TRANSACTION, documents, RUN, "3", buckets=4)
+    with pytest.raises(FileExistsError):
+        archiving.archive_transactions(spark, root, Run.on("2025-07-01"), 4)
+    assert live() == 3
+
+
 def test_every_flow_column_is_declared_once(spark):
     for flow in (*flows.DAILY, flows.PROBLEM_GUIDE):
         cells = {f: flow.cells(f) for f in flow.families}

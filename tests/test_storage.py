@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from daybook.operators.merge import insert_or_patch, latest_per_key
 from daybook.sources.archives import append_manifest, latest_entry, latest_path, read_manifest, scan_with_archives
 from daybook.sources.collections import SCHEMAS, in_window, read_collection
-from daybook.sources.keyed import current, publish
+from daybook.sources.keyed import current, is_published, publish, version_path
 from daybook.sources.parquet import read_dictionary, read_where, write_report
 from daybook.functions.times import instant
 from daybook.session import work_folder
@@ -37,10 +37,22 @@ def test_versions(spark):
     assert sorted((r.row_key, r.info.s) for r in now.collect()) == [("a", "1"), ("b", "2"), ("c", "2")]
     publish(now.limit(0), root, "T", "20240103", 4)
     assert current(spark, root, "T", first.schema, 4).count() == 0
-    with pytest.raises(Exception, match="already exists"):
+    with pytest.raises(FileExistsError):
         publish(batch, root, "T", "20240103", 4)
 
 
+def test_a_failed_job_leaves_the_current_version(spark):
+    root = work_folder(spark, "failed")
+    first = spark.createDataFrame([("a", ("1",)), ("b", ("1",))], DDL)
+    publish(first, root, "T", "1", 4)
+    # What a job leaves that dies after its files and before the list of versions.
+    first.write.parquet(version_path(root, "T", "2"))
+    assert current(spark, root, "T", first.schema, 4).count() == 2
+    publish(first.filter("row_key = 'a'"), root, "T", "2", 4)
+    assert [r.row_key for r in current(spark, root, "T", first.schema, 4).collect()] == ["a"]
+    assert is_published(spark, root, "T", "2") and not is_published(spark, root, "T", "3")
+
+
 def test_merge_does_not_shuffle_a_bucketed_target(spark):
     root = work_folder(spark, "bucketed")
     rows = spark.range(1000).select(F.col("id").cast("string").alias("row_key"), F.struct(F.lit("x").alias("s")).alias("info"))
