@@ -131,23 +131,30 @@ def nation_areas(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Walks the nations in order; "kept" is the list of representatives so far and
-# "taken" the representative that absorbed the nation of this step.
-FOLD = """
+def fold_sql(areas: str, rank: str) -> str:
+    """SQL of the fold over the names of ``areas``, in the order of ``rank`` from 0.
+
+    ``kept`` is the list of representatives so far and ``taken`` the one that
+    absorbed the area of this step.
+    """
+    hits = "list_filter(w.kept, lambda x: contains(lower(x.n), lower(n_name)) or contains(lower(n_name), lower(x.n)))"
+    return f"""
 walk as (
   select -1 as pos, cast([] as struct(k integer, n varchar)[]) as kept, cast(null as integer) as taken
   union all
   select w.pos + 1,
-         case when len(list_filter(w.kept, lambda x: contains(lower(x.n), lower(n_name)) or contains(lower(n_name), lower(x.n)))) > 0
-              then w.kept else list_append(w.kept, {'k': n_nationkey, 'n': n_name}) end,
-         list_filter(w.kept, lambda x: contains(lower(x.n), lower(n_name)) or contains(lower(n_name), lower(x.n)))[1].k
-  from walk w join nation on n_nationkey = w.pos + 1),
+         case when len({hits}) > 0 then w.kept else list_append(w.kept, {{'k': {rank}, 'n': n_name}}) end,
+         {hits}[1].k
+  from walk w join {areas} on {rank} = w.pos + 1),
 folded as (
   select r.pos as k, (select max(t.pos) from walk t where t.taken = r.pos) as last_taken
   from walk r where r.pos >= 0 and r.taken is null)
 """
 
 
+FOLD = fold_sql("nation", "n_nationkey")
+
+
 @query(f"""
 with recursive {FOLD}
 select cast(n_nationkey as varchar) as code, n_name as name, coalesce(cast(last_taken as varchar), '') as other_code,

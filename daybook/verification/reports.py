@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.times import instant
@@ -77,7 +77,7 @@ def signing_display(spark: SparkSession, folder: str) -> DataFrame:
 PRICING = (("4-NOT SPECIFIED", "17187"), ("5-LOW", "18046"))
 
 
-def _pricing(priority):
+def _pricing(priority: Column) -> Column:
     return F.when(priority == PRICING[0][0], PRICING[0][1]).when(priority == PRICING[1][0], PRICING[1][1]).otherwise("11111")
 
 

@@ -17,7 +17,7 @@ from daybook.session import work_folder
 from daybook.sources.archives import latest_entry, overlapping, read_manifest
 from daybook.sources.keyed import current
 from daybook.verification.flows import transaction_documents
-from daybook.verification.lookups import FOLD, areas
+from daybook.verification.lookups import areas, fold_sql
 from daybook.verification.registry import query
 from daybook.verification.tables import table
 
@@ -39,16 +39,11 @@ def ward_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Region 0 is left out; the others are folded in the order of region and nation.
-SNAPSHOT = FOLD.replace("from walk w join nation on n_nationkey = w.pos + 1", "from walk w join ranked on rank = w.pos + 1").replace(
-    "list_append(w.kept, {'k': n_nationkey, 'n': n_name})", "list_append(w.kept, {'k': rank, 'n': n_name})"
-)
-
-
 @query(f"""
 with recursive ranked as (
   select *, cast(row_number() over (order by n_regionkey, n_nationkey) - 1 as integer) as rank
   from nation where n_regionkey <> 0),
-{SNAPSHOT},
+{fold_sql("ranked", "rank")},
 area as (
   select r.n_nationkey as code, o.n_nationkey as other, r.n_regionkey, r_name
   from folded join ranked r on r.rank = k left join ranked o on o.rank = last_taken
