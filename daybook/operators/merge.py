@@ -2,7 +2,7 @@
 
 A keyed table has one row per ``row_key`` and one struct per column family. A
 null struct is a family the row does not have; inside it a null is an absent
-cell and ``''`` a blank one.
+cell and ``''`` a blank one. A ``period`` column, where there is one, is kept.
 """
 
 from __future__ import annotations
@@ -16,6 +16,16 @@ from pyspark.sql.types import StringType
 from daybook.functions.cells import struct_of
 
 KEY = "row_key"
+# Where a stored row lies: the month it was born in. It is set by the insert and kept.
+PERIOD = "period"
+
+
+def _join_batch(target: DataFrame, batch: DataFrame, columns: list[str]) -> DataFrame:
+    """Full outer join; the batch's columns are SQL texts, a period both sides have is settled."""
+    if PERIOD not in target.columns:
+        return target.join(batch.selectExpr(KEY, *columns), KEY, "full_outer")
+    joined = target.join(batch.selectExpr(KEY, *columns, f"{PERIOD} as new_period"), KEY, "full_outer")
+    return joined.withColumn(PERIOD, F.coalesce(PERIOD, "new_period"))
 
 
 def latest_per_key(batch: DataFrame, newest: Sequence[str], key: str = KEY) -> DataFrame:
@@ -59,7 +69,7 @@ def insert_or_patch(
     on insert and on change. One full outer join on the key; both sides hold a key
     once, so the key cannot be skewed, and a bucketed target is not shuffled.
     """
-    incoming = batch.selectExpr(KEY, *[f"{f} as new_{f}" for f in (family, *companions)])
+    incoming = [f"{f} as new_{f}" for f in (family, *companions)]
     types = batch.schema[family].dataType
     old, new = family, f"new_{family}"
     test = {
@@ -81,7 +91,7 @@ def insert_or_patch(
             f"case when {inserted} then {entry} "
             f"when {new} is not null and {test[column]} then coalesce({logged}, {entry}) else {log} end"
         )
-    return target.join(incoming, KEY, "full_outer").selectExpr(
+    return _join_batch(target, batch, incoming).selectExpr(
         KEY, *[f"{result.get(c, c)} as {c}" for c in target.columns if c != KEY]
     )
 
@@ -92,10 +102,11 @@ def replace_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
     A full outer join rather than an anti join and a union, which would compute
     the batch twice.
     """
-    columns = [c for c in target.columns if c != KEY]
-    incoming = batch.selectExpr(KEY, f"{struct_of({c: c for c in columns})} as new_row")
-    return target.join(incoming, KEY, "full_outer").selectExpr(
-        KEY, *[f"if(new_row is not null, new_row.`{c}`, `{c}`) as `{c}`" for c in columns]
+    put = [c for c in target.columns if c not in (KEY, PERIOD)]
+    result = {c: f"if(new_row is not null, new_row.`{c}`, `{c}`)" for c in put}
+    incoming = [f"{struct_of({c: c for c in put})} as new_row"]
+    return _join_batch(target, batch, incoming).selectExpr(
+        KEY, *[f"{result.get(c, c)} as `{c}`" for c in target.columns if c != KEY]
     )
 
 
@@ -110,8 +121,7 @@ def put_columns(target: DataFrame, batch: DataFrame, family: str) -> DataFrame:
         for c in target.schema[family].dataType.names
     }
     merged = f"if({family} is null and new_cells is null, null, {struct_of(cells)})"
-    incoming = batch.selectExpr(KEY, f"{family} as new_cells")
-    return target.join(incoming, KEY, "full_outer").selectExpr(
+    return _join_batch(target, batch, [f"{family} as new_cells"]).selectExpr(
         KEY, *[f"{merged if c == family else c} as {c}" for c in target.columns if c != KEY]
     )
 

@@ -10,7 +10,7 @@ from daybook.operators.merge import KEY
 from daybook.plans.run import Run
 from daybook.plans.tables import table_schema
 from daybook.sources.archives import append_manifest, recorded
-from daybook.sources.keyed import current, publish
+from daybook.sources.keyed import current, publish_empty
 
 # The table that is archived, and those a cut-off accepts without doing anything.
 ARCHIVED = "SignatureTransaction"
@@ -55,7 +55,7 @@ def archive_transactions(spark: SparkSession, root: str, run: Run, buckets: int
     """Archive the live transactions; False when there are none or the copy is not whole.
 
     The live table is emptied only after the archive was read back with the same
-    number of rows, and by publishing an empty version: the archived one stays on
+    number of rows, and by listing an empty version: the archived one stays on
     storage until it is cleaned up. A run that failed on the way can be started
     again: an archive it recorded is kept, one it did not record is written anew.
     """
@@ -78,5 +78,5 @@ def archive_transactions(spark: SparkSession, root: str, run: Run, buckets: int
         return False
     if not earlier:
         append_manifest(spark, manifest, [tuple(entry)])
-    publish(live.limit(0), root, ARCHIVED, f"{stamp}_empty", buckets, "Emptied after archiving")
+    publish_empty(spark, root, ARCHIVED, f"{stamp}_empty")
     return True

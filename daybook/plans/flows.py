@@ -18,8 +18,8 @@ from daybook.functions.text import (
     mentions_test,
     subject_mentions_test,
 )
-from daybook.functions.times import real_instant_or
-from daybook.operators.merge import KEY, insert_or_patch, latest_per_key, put_columns, replace_rows
+from daybook.functions.times import month_label, real_instant_or
+from daybook.operators.merge import KEY, PERIOD, insert_or_patch, latest_per_key, put_columns, replace_rows
 from daybook.plans.labels import Labels
 from daybook.plans.run import Run
 from daybook.sources.collections import WINDOW_FIELDS, in_window
@@ -33,13 +33,15 @@ class Flow:
     """One collection's way into a keyed table.
 
     ``families`` maps a column family to lines of ``column source [cell]``. The
-    first family decides between insert and patch. ``keep`` drops records on
+    first family decides between insert and patch; its ``born`` column tells the
+    month a new row is stored under. ``keep`` drops records on
     purpose; kept records that miss something ``required`` are quarantined.
     """
 
     collection: str
     table: str
     families: dict[str, str]
+    born: str
     key: str = "_id"
     write: str = "patch"
     patch: str = ""
@@ -57,11 +59,23 @@ class Flow:
     def _complete(self) -> Column:
         return F.coalesce(F.col(self.key).isNotNull() & self.required(), F.lit(False))
 
-    def scan(self, documents: DataFrame, run: Run) -> DataFrame:
-        """Documents of the run's window; problem guides are always read in full."""
-        if self.collection not in WINDOW_FIELDS:
+    def scan(
+        self, documents: DataFrame, run: Run, labels: Labels = Labels(), seen: Observation | None = None
+    ) -> DataFrame:
+        """Documents of the run's window; problem guides are always read in full.
+
+        ``seen`` is filled, by whatever writes the result, with the number of records
+        scanned and quarantined; no second scan counts them.
+        """
+        if self.collection in WINDOW_FIELDS:
+            documents = in_window(documents, self.collection, *run.ingest_window)
+        if seen is None:
             return documents
-        return in_window(documents, self.collection, *run.ingest_window)
+        return documents.observe(
+            seen,
+            F.count("*").alias("scanned"),
+            F.count_if(self.keep(labels) & ~self._complete()).alias("quarantined"),
+        )
 
     def quarantined(self, documents: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
         """Records of the window that should be kept but cannot be written, whole, for inspection."""
@@ -78,7 +92,8 @@ class Flow:
             f"cast({self.key} as string) as {KEY}",
             *[f"{struct_of(self.cells(f))} as {f}" for f in self.families],
         ).selectExpr("*", *[f"{first}.{c} as _newest_{c}" for c in self.newest.split()])
-        return latest_per_key(rows, newest).select(KEY, *self.families)
+        period = F.coalesce(month_label(F.col(f"{first}.{self.born}")), F.lit("none"))
+        return latest_per_key(rows, newest).select(KEY, *self.families, period.alias(PERIOD))
 
     def merge(self, target: DataFrame, rows: DataFrame, run: Run) -> DataFrame:
         family, *companions = self.families
@@ -91,27 +106,9 @@ class Flow:
             target, rows, family, self.patch.split(), self.fill.split(), companions, history
         )
 
-    def ingest(
-        self,
-        target: DataFrame,
-        documents: DataFrame,
-        run: Run,
-        labels: Labels = Labels(),
-        seen: Observation | None = None,
-    ) -> DataFrame:
-        """Windowed scan, flatten and merge.
-
-        ``seen`` is filled, by the write of the result, with the number of records
-        scanned and quarantined; no second scan counts them.
-        """
-        scanned = self.scan(documents, run)
-        if seen is not None:
-            scanned = scanned.observe(
-                seen,
-                F.count("*").alias("scanned"),
-                F.count_if(self.keep(labels) & ~self._complete()).alias("quarantined"),
-            )
-        return self.merge(target, self.flatten(scanned, run, labels), run)
+    def ingest(self, target: DataFrame, documents: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
+        """Windowed scan, flatten and merge."""
+        return self.merge(target, self.flatten(self.scan(documents, run), run, labels), run)
 
 
 # Fixed values, all of the column maps below: names of the keyed columns and the
@@ -174,6 +171,7 @@ CERT_ORDER = Flow(
     " acceptance_url log_content log_created_date serial",
     fill="log_content log_created_date",
     newest="updated_date created_date",
+    born="created_date",
     keep=lambda labels: (
         F.col("Pricing").isNotNull()
         & F.col("DHSXKDCustomerInfo").isNotNull()
@@ -211,6 +209,7 @@ REGISTER = Flow(
     },
     patch="status status_desc modified_date",
     newest="modified_date create_date",
+    born="create_date",
 )
 
 USER = Flow(
@@ -251,6 +250,7 @@ USER = Flow(
     },
     patch="status status_desc modified_date province_code province_codes roles pre_status",
     newest="modified_date create_date",
+    born="create_date",
     required=lambda: F.col("createDate").isNotNull(),
     derive=lambda run, labels: {
         "_province_codes": joined_names(F.col("provinceCodes")),
@@ -292,6 +292,7 @@ PERSONAL_SIGN_TURN_ORDER = Flow(
     patch="status status_desc updated_date payment_status payment_status_desc pricing_name"
     " pricing_code code sign_turn_number total_money",
     newest="updated_date created_date",
+    born="created_date",
     required=lambda: F.col("CreatedDate").isNotNull(),
     derive=lambda run, labels: {
         "_pricing": last_item(F.col("Pricings")),
@@ -331,6 +332,7 @@ REQUEST_CERT = Flow(
     },
     patch="status status_desc updated_time approve_time",
     newest="updated_time created_date",
+    born="created_date",
     required=lambda: F.col("createdDate").isNotNull(),
     derive=lambda run, labels: {
         "_locality": F.when(is_space(F.col("username")), locality_from_username(F.col("username"))),
@@ -354,6 +356,7 @@ CERT = Flow(
         """,
     },
     newest="cert_created_date",
+    born="cert_created_date",
     required=lambda: (
         F.col("validFrom").isNotNull() & F.col("validTo").isNotNull() & F.col("createDate").isNotNull()
     ),
@@ -396,6 +399,7 @@ CREDENTIAL = Flow(
     patch="status status_desc modified_date serial valid_from valid_to request_cert_id"
     " cert_status cert_status_desc",
     newest="modified_date created_date",
+    born="created_date",
     history=("status_log", "status"),
     keep=lambda labels: (
         ~mentions_test(F.col("identity.name"))
@@ -460,6 +464,7 @@ SIGNATURE_TRANSACTION = Flow(
         """,
     },
     newest="finish_date req_time",
+    born="req_time",
     required=lambda: F.col("reqTime").isNotNull(),
 )
 
@@ -480,6 +485,7 @@ PROBLEM_GUIDE = Flow(
     },
     patch="status status_desc type_error type_error_desc error_message guide_content",
     newest="created_date",
+    born="created_date",
     derive=lambda run, labels: {"_created": real_instant_or(F.col("CreatedDate"), run.time_column)},
 )
 

@@ -1,7 +1,7 @@
 """The jobs a scheduler starts: daily ingest, three reports and the cut-off.
 
-Everything below ``root`` is laid out as: ``<table>/`` versions of the keyed
-tables, ``versions`` their list, ``manifest`` the archives and snapshots.
+Below ``root`` lie the versions of the keyed tables (``<table>/``), their list
+(``versions``), the reports, the archives and snapshots, and their ``manifest``.
 """
 
 from __future__ import annotations

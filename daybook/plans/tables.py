@@ -7,19 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import DateType, MapType, StringType, StructField, StructType
 
+from daybook.operators.merge import PERIOD
 from daybook.plans import flows
 from daybook.plans.flows import Flow
 from daybook.plans.labels import Labels
 from daybook.plans.run import Run
 from daybook.sources.archives import scan_with_archives
 from daybook.sources.collections import SCHEMAS
-from daybook.sources.keyed import current, is_published, publish, shuffled_by_bucket, version_path
+from daybook.sources.keyed import (
+    current,
+    is_published,
+    publish,
+    shuffled_by_bucket,
+    stage,
+    touched_rows,
+    version_path,
+)
 
 ALL_FLOWS = (*flows.DAILY, flows.PROBLEM_GUIDE)
 
 
 def table_schema(spark: SparkSession, table: str) -> StructType:
-    """``row_key``, a struct per family of every flow into the table, and its history map."""
+    """``row_key``, a struct per family of every flow into the table, its history map, and the period."""
     run = Run.on("2000-01-01")
     fields = [StructField("row_key", StringType())]
     for flow in ALL_FLOWS:
@@ -27,10 +36,10 @@ def table_schema(spark: SparkSession, table: str) -> StructType:
             continue
         documents = spark.createDataFrame([], SCHEMAS[flow.collection])
         shape = flow.flatten(documents, run).schema
-        fields += [StructField(f.name, f.dataType) for f in shape.fields if f.name != "row_key"]
+        fields += [StructField(f.name, f.dataType) for f in shape.fields if f.name in flow.families]
         if flow.history:
             fields.append(StructField(flow.history[0], MapType(DateType(), StringType())))
-    return StructType(fields)
+    return StructType([*fields, StructField(PERIOD, StringType())])
 
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
@@ -49,12 +58,17 @@ def ingest_into(
 ) -> dict[str, object]:
     """Merge one collection into the stored table and make the result current.
 
-    Returns the new path and how many records were scanned and quarantined.
+    The batch is written once, bucketed like the table, as two steps read it: its
+    keys tell which periods of the table it touches, and only those are merged and
+    written again. Returns the new path and how many records were scanned and
+    quarantined.
     """
-    target = current(spark, root, flow.table, table_schema(spark, flow.table), buckets)
+    schema = table_schema(spark, flow.table)
     seen = Observation()
     with shuffled_by_bucket(spark, buckets):
-        merged = flow.ingest(target, documents, run, labels, seen)
+        target = current(spark, root, flow.table, schema, buckets)
+        batch = stage(flow.flatten(flow.scan(documents, run, labels, seen), run, labels), buckets)
+        merged = flow.merge(touched_rows(target, batch), batch, run)
         path = publish(merged, root, flow.table, stamp, buckets)
     return {"path": path, **seen.get}
 

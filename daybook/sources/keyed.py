@@ -1,8 +1,10 @@
-"""Keyed tables on storage: versioned snapshots behind a list of versions, bucketed by key.
+"""Keyed tables on storage: partitioned by period, bucketed by key, versioned.
 
-A merge reads the current version, writes the next one to a new path and then
-appends it to the manifest; the path being read is never overwritten, and a job
-that dies half way leaves the current version in place.
+A version writes the periods it changes to a new path; a small list then names,
+per table and period, the path that counts. The table is the newest path of each
+period, declared to Spark as one partitioned and bucketed table. The path being
+read is never overwritten, periods a run does not touch are not written again, and
+a job that dies half way leaves the current version in place.
 """
 
 from __future__ import annotations
@@ -12,29 +14,66 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from daybook.operators.merge import KEY
-from daybook.session import path_exists
-from daybook.sources.archives import append_manifest, latest_path, read_manifest, recorded
+from daybook.operators.merge import KEY, PERIOD
+from daybook.session import path_exists, work_folder
 
+VERSIONS_DDL = "stamp string, table_name string, period string, path string, count bigint"
 
-def _catalog_name(path: str) -> str:
-    return "keyed_" + hashlib.md5(path.encode()).hexdigest()
 
+def _catalog_name(*parts: str) -> str:
+    return "keyed_" + hashlib.md5("\n".join(parts).encode()).hexdigest()
 
-def open_bucketed(spark: SparkSession, path: str, schema: StructType, buckets: int) -> DataFrame:
-    """A path written by ``publish`` as a bucketed table.
 
-    The key distribution of the files is declared to Spark, so joins and
-    aggregates on the key read them without a shuffle.
+def version_path(root: str, table: str, stamp: str) -> str:
+    return f"{root}/{table}/{table}_{stamp}"
+
+
+def _versions(spark: SparkSession, root: str, table: str) -> DataFrame:
+    if not path_exists(spark, f"{root}/versions"):
+        return spark.createDataFrame([], VERSIONS_DDL)
+    return spark.read.schema(VERSIONS_DDL).parquet(f"{root}/versions").filter(F.col("table_name") == table)
+
+
+def _list_version(spark: SparkSession, root: str, rows: list[tuple]) -> None:
+    """One file, so that a version appears as a whole."""
+    spark.createDataFrame(rows, VERSIONS_DDL).coalesce(1).write.mode("append").parquet(f"{root}/versions")
+
+
+def is_published(spark: SparkSession, root: str, table: str, stamp: str) -> bool:
+    return not _versions(spark, root, table).filter(F.col("stamp") == stamp).isEmpty()
+
+
+def _locations(spark: SparkSession, root: str, table: str) -> dict[str, str]:
+    """Newest path of each period that holds rows; as many as there are periods."""
+    newest = (
+        _versions(spark, root, table)
+        .filter(F.col("period").isNotNull())
+        .groupBy("period")
+        .agg(F.max_by("path", "stamp").alias("path"))
+    )
+    return {row["period"]: row["path"] for row in newest.collect() if row["path"]}
+
+
+def current(spark: SparkSession, root: str, table: str, schema: StructType, buckets: int) -> DataFrame:
+    """The current version; empty before the first one.
+
+    Joins and aggregates on the key read it without a shuffle, and a filter on
+    the period reads only the periods it names.
     """
-    name = _catalog_name(path)
+    locations = _locations(spark, root, table)
+    if not locations:
+        return spark.createDataFrame([], schema)
+    name = _catalog_name(*sorted(locations.values()))
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet LOCATION '{path}' "
-        f"CLUSTERED BY (`{KEY}`) SORTED BY (`{KEY}`) INTO {buckets} BUCKETS"
+        f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet PARTITIONED BY (`{PERIOD}`) "
+        f"CLUSTERED BY (`{KEY}`) SORTED BY (`{KEY}`) INTO {buckets} BUCKETS LOCATION '{root}/{table}/{name}'"
     )
+    partitions = " ".join(f"PARTITION (`{PERIOD}` = '{p}') LOCATION '{path}'" for p, path in locations.items())
+    spark.sql(f"ALTER TABLE `{name}` ADD IF NOT EXISTS {partitions}")
     return spark.table(f"`{name}`")
 
 
@@ -54,21 +93,36 @@ def shuffled_by_bucket(spark: SparkSession, buckets: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def version_path(root: str, table: str, stamp: str) -> str:
-    return f"{root}/{table}/{table}_{stamp}"
+def stage(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows written to the shared work folder, bucketed by key, for more than one use."""
+    spark = rows.sparkSession
+    path = work_folder(spark, "batch")
+    name = _catalog_name(path)
+    rows.write.option("path", path).bucketBy(buckets, KEY).sortBy(KEY).saveAsTable(name)
+    return spark.table(name)
 
 
-def is_published(spark: SparkSession, root: str, table: str, stamp: str) -> bool:
-    return bool(recorded(spark, f"{root}/versions", version_path(root, table, stamp)))
+def touched_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows of the periods a batch changes: where its keys lie, or will lie if they are new.
 
+    Only the keys of the table are read for it.
+    """
+    lying = target.select(KEY, F.col(PERIOD).alias("lies"))
+    periods = (
+        batch.select(KEY, PERIOD)
+        .join(lying, KEY, "left")
+        .select(F.coalesce("lies", PERIOD).alias("period"))
+        .distinct()
+    )
+    return target.filter(F.col(PERIOD).isin([row["period"] for row in periods.collect()]))
 
-def publish(
-    rows: DataFrame, root: str, table: str, stamp: str, buckets: int, description: str = "Keyed table version"
-) -> str:
-    """Write a version of ``table`` and make it the current one; returns its path.
 
-    A path that was written but never listed is what a failed job left behind, and
-    is written anew; a listed one is never touched.
+def publish(rows: DataFrame, root: str, table: str, stamp: str, buckets: int) -> str:
+    """Write the periods of ``rows`` as a version and make them current; returns its path.
+
+    ``rows`` must hold all rows of each period it has any of. A path that was
+    written but never listed is what a failed job left behind, and is written
+    anew; a listed one is never touched.
     """
     spark = rows.sparkSession
     path = version_path(root, table, stamp)
@@ -77,19 +131,19 @@ def publish(
     (
         rows.write.mode("overwrite")
         .option("path", path)
+        .partitionBy(PERIOD)
         .bucketBy(buckets, KEY)
         .sortBy(KEY)
         .saveAsTable(_catalog_name(path))
     )
-    count = spark.read.schema(rows.schema).parquet(path).count()
-    append_manifest(spark, f"{root}/versions", [(stamp, stamp, stamp, table, path, description, count)])
+    counts = spark.table(_catalog_name(path)).groupBy(PERIOD).count().collect()
+    listed = [(stamp, table, c[PERIOD], f"{path}/{PERIOD}={c[PERIOD]}", c["count"]) for c in counts]
+    # The row without a period marks the version as complete, even one without rows.
+    _list_version(spark, root, [*listed, (stamp, table, None, path, sum(c["count"] for c in counts))])
     return path
 
 
-def current(spark: SparkSession, root: str, table: str, schema: StructType, buckets: int) -> DataFrame:
-    """The current version, or an empty table before the first one."""
-    versions = f"{root}/versions"
-    path = latest_path(read_manifest(spark, versions), table) if path_exists(spark, versions) else None
-    if path is None:
-        return spark.createDataFrame([], schema)
-    return open_bucketed(spark, path, schema, buckets)
+def publish_empty(spark: SparkSession, root: str, table: str, stamp: str) -> None:
+    """Make the table empty: every period it has gets a version without a path."""
+    emptied = [(stamp, table, period, "", 0) for period in _locations(spark, root, table)]
+    _list_version(spark, root, [*emptied, (stamp, table, None, "", 0)])

@@ -212,7 +212,7 @@ def test_archiving_can_be_started_again(spark, monkeypatch):
     def fail(*_, **__):
         raise RuntimeError("lost")
 
-    for step in ("append_manifest", "publish"):
+    for step in ("append_manifest", "publish_empty"):
         with monkeypatch.context() as patched:
             patched.setattr(archiving, step, fail)
             with pytest.raises(RuntimeError):

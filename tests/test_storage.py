@@ -6,18 +6,26 @@ from pyspark.sql import functions as F
 from daybook.operators.merge import insert_or_patch, latest_per_key
 from daybook.sources.archives import append_manifest, latest_entry, latest_path, read_manifest, scan_with_archives
 from daybook.sources.collections import SCHEMAS, in_window, read_collection
-from daybook.sources.keyed import current, is_published, publish, version_path
+from daybook.sources.keyed import (
+    current,
+    is_published,
+    publish,
+    publish_empty,
+    stage,
+    touched_rows,
+    version_path,
+)
 from daybook.sources.parquet import read_dictionary, read_where, write_report
 from daybook.functions.times import instant
 from daybook.session import work_folder
 
-DDL = "row_key string, info struct<s:string>"
+STORED = "row_key string, info struct<s:string>, period string"
 
 
 def exchanges(frame):
     """Columns that are shuffled by, from the initial physical plan."""
-    plan = frame._jdf.queryExecution().sparkPlan().toString(), frame._jdf.queryExecution().executedPlan().toString()
-    return [line.strip() for line in plan[1].splitlines() if "Exchange" in line]
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line.strip() for line in plan.splitlines() if "Exchange" in line]
 
 
 def test_work_folder_is_below_the_shared_one(spark):
@@ -26,43 +34,65 @@ def test_work_folder_is_below_the_shared_one(spark):
 
 def test_versions(spark):
     root = work_folder(spark, "keyed")
-    first = spark.createDataFrame([("a", ("1",)), ("b", ("1",))], DDL)
+    first = spark.createDataFrame([("a", ("1",), "p1"), ("b", ("1",), "p1"), ("z", ("1",), "p9")], STORED)
     assert current(spark, root, "T", first.schema, 4).count() == 0
     publish(first, root, "T", "20240101", 4)
-    publish(spark.createDataFrame([("z", ("9",))], DDL), root, "Other", "20250101", 4)
+    publish(spark.createDataFrame([("y", ("9",), "p1")], STORED), root, "Other", "20250101", 4)
     held = current(spark, root, "T", first.schema, 4)
-    batch = spark.createDataFrame([("b", ("2",)), ("c", ("2",))], DDL)
-    publish(insert_or_patch(held, batch, "info", ["s"]), root, "T", "20240102", 4)
+
+    # b lies in p1 and stays there; c is new in p2; p9 is not touched.
+    batch = stage(spark.createDataFrame([("b", ("2",), "p2"), ("c", ("2",), "p2")], STORED), 4)
+    touched = touched_rows(held, batch)
+    assert sorted(r.row_key for r in touched.collect()) == ["a", "b"]
+    path = publish(insert_or_patch(touched, batch, "info", ["s"]), root, "T", "20240102", 4)
     now = current(spark, root, "T", first.schema, 4)
-    assert sorted((r.row_key, r.info.s) for r in now.collect()) == [("a", "1"), ("b", "2"), ("c", "2")]
-    publish(now.limit(0), root, "T", "20240103", 4)
-    assert current(spark, root, "T", first.schema, 4).count() == 0
+    assert sorted((r.row_key, r.info.s, r.period) for r in now.collect()) == [
+        ("a", "1", "p1"), ("b", "2", "p1"), ("c", "2", "p2"), ("z", "1", "p9"),
+    ]
+    assert sorted(r.row_key for r in spark.read.parquet(path).collect()) == ["a", "b", "c"]
     with pytest.raises(FileExistsError):
-        publish(batch, root, "T", "20240103", 4)
+        publish(first, root, "T", "20240102", 4)
+
+    publish_empty(spark, root, "T", "20240103")
+    assert current(spark, root, "T", first.schema, 4).count() == 0
+    publish(first.limit(0), root, "T", "20240104", 4)
+    assert is_published(spark, root, "T", "20240104")
+    publish(first.filter("row_key = 'a'"), root, "T", "20240105", 4)
+    assert [r.row_key for r in current(spark, root, "T", first.schema, 4).collect()] == ["a"]
 
 
 def test_a_failed_job_leaves_the_current_version(spark):
     root = work_folder(spark, "failed")
-    first = spark.createDataFrame([("a", ("1",)), ("b", ("1",))], DDL)
+    first = spark.createDataFrame([("a", ("1",), "p"), ("b", ("1",), "p")], STORED)
     publish(first, root, "T", "1", 4)
     # What a job leaves that dies after its files and before the list of versions.
-    first.write.parquet(version_path(root, "T", "2"))
+    first.write.partitionBy("period").parquet(version_path(root, "T", "2"))
     assert current(spark, root, "T", first.schema, 4).count() == 2
     publish(first.filter("row_key = 'a'"), root, "T", "2", 4)
     assert [r.row_key for r in current(spark, root, "T", first.schema, 4).collect()] == ["a"]
     assert is_published(spark, root, "T", "2") and not is_published(spark, root, "T", "3")
 
 
-def test_merge_does_not_shuffle_a_bucketed_target(spark):
+def test_merge_shuffles_neither_table_nor_staged_batch(spark):
     root = work_folder(spark, "bucketed")
-    rows = spark.range(1000).select(F.col("id").cast("string").alias("row_key"), F.struct(F.lit("x").alias("s")).alias("info"))
+    rows = spark.range(1000).select(
+        F.col("id").cast("string").alias("row_key"),
+        F.struct(F.lit("x").alias("s")).alias("info"),
+        F.concat(F.lit("p"), (F.col("id") % 4).cast("string")).alias("period"),
+    )
     publish(rows, root, "T", "1", 8)
     target = current(spark, root, "T", rows.schema, 8)
-    batch = latest_per_key(rows.select("row_key", "info"), ["info"])
-    merged = insert_or_patch(target, batch, "info", ["s"])
+    batch = stage(rows.filter("period = 'p1'").withColumn("info", F.struct(F.lit("y").alias("s"))), 8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert len(exchanges(merged)) == 1, "only the batch is shuffled, once for both its steps"
+        touched = touched_rows(target, batch)
+        merged = insert_or_patch(touched, batch, "info", ["s"])
+        assert exchanges(merged) == []
+        plan = touched._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(period" in plan and "p1" in plan
+        assert merged.groupBy("info.s").count().collect() == [("y", 250)]
+        unstaged = insert_or_patch(touched, latest_per_key(rows, ["info"]), "info", ["s"])
+        assert len(exchanges(unstaged)) == 1, "a batch is shuffled once for de-duplication and join"
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
