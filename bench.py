@@ -21,6 +21,7 @@ HEADLINE = (
     "turn_order_table",
     "cert_table",
     "credential_two_runs",
+    "credential_stored_two_runs",
     "transaction_two_runs",
     "keyed_merge",
     "latest_version_per_key",

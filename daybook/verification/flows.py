@@ -16,8 +16,10 @@ from daybook.operators.merge import KEY
 from daybook.plans import flows
 from daybook.plans.labels import Labels
 from daybook.plans.run import Run
-from daybook.plans.tables import empty_table
+from daybook.plans.tables import empty_table, ingest_into, table_schema
+from daybook.session import work_folder
 from daybook.sources.collections import SCHEMAS
+from daybook.sources.keyed import current
 from daybook.verification.registry import query
 from daybook.verification.tables import table
 
@@ -673,7 +675,7 @@ def _two_runs(spark: SparkSession, folder: str) -> DataFrame:
     return flows.CREDENTIAL.ingest(first, credential_documents(spark, folder, True), SECOND, LABELS)
 
 
-@query(
+CREDENTIALS_SQL = (
     "with "
     + _CREDENTIALS
     + merged_sql(
@@ -683,10 +685,23 @@ def _two_runs(spark: SparkSession, folder: str) -> DataFrame:
         numbers="info_modified_date info_valid_from info_valid_to",
     )
 )
+
+
+@query(CREDENTIALS_SQL)
 def credential_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     return flat(_two_runs(spark, folder))
 
 
+@query(CREDENTIALS_SQL)
+def credential_stored_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through storage: the second run writes only the periods it touches."""
+    root, flow = work_folder(spark, "credentials"), flows.CREDENTIAL
+    for run, later in ((FIRST, False), (SECOND, True)):
+        source = credential_documents(spark, folder, later)
+        ingest_into(spark, root, flow, source, run, run.run_date.isoformat(), LABELS, buckets=8)
+    return flat(current(spark, root, flow.table, table_schema(spark, flow.table), 8))
+
+
 @query(
     "with "
     + _CREDENTIALS
