@@ -9,8 +9,14 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daybook.functions.cells import cell, struct_of
-from daybook.functions.records import default_pricing, expire, failure_log, last_item
-from daybook.functions.records import EXPIRED_DESC, EXPIRED_STATUS
+from daybook.functions.records import (
+    EXPIRED_DESC,
+    EXPIRED_STATUS,
+    default_pricing,
+    expire,
+    failure_log,
+    last_item,
+)
 from daybook.functions.text import (
     is_space,
     joined_names,
@@ -24,6 +30,7 @@ from daybook.plans.labels import Labels
 from daybook.plans.run import Run
 from daybook.sources.collections import WINDOW_FIELDS, in_window
 
+
 def always(_: Labels) -> Column:
     return F.lit(True)
 
@@ -34,8 +41,8 @@ class Flow:
 
     ``families`` maps a column family to lines of ``column source [cell]``. The
     first family decides between insert and patch; its ``born`` column tells the
-    month a new row is stored under. ``keep`` drops records on
-    purpose; kept records that miss something ``required`` are quarantined.
+    month a new row is stored under. ``keep`` drops records on purpose; kept
+    records that miss something ``required`` are quarantined.
     """
 
     collection: str

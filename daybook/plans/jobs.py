@@ -18,6 +18,7 @@ from daybook.plans.locality import publish_localities, read_localities
 from daybook.plans.reports import cumulative_report, order_state_report, signing_report
 from daybook.plans.run import Run
 from daybook.plans.tables import daily_ingest, ingest_into, table_schema
+from daybook.session import configure
 from daybook.sources.keyed import current
 from daybook.sources.parquet import read_dictionary, write_report
 
@@ -44,6 +45,9 @@ class Workspace:
     buckets: int = 200
     open_archives: Callable[[list[str]], DataFrame] | None = None
 
+    def __post_init__(self) -> None:
+        configure(self.spark)
+
     def table(self, name: str) -> DataFrame:
         return current(self.spark, self.root, name, table_schema(self.spark, name), self.buckets)
 

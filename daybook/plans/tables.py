@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql.types import DateType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from daybook.operators.merge import PERIOD
 from daybook.plans import flows
@@ -30,16 +30,16 @@ ALL_FLOWS = (*flows.DAILY, flows.PROBLEM_GUIDE)
 def table_schema(spark: SparkSession, table: str) -> StructType:
     """``row_key``, a struct per family of every flow into the table, its history map, and the period."""
     run = Run.on("2000-01-01")
-    fields = [StructField("row_key", StringType())]
+    columns = ["row_key string"]
     for flow in ALL_FLOWS:
         if flow.table != table:
             continue
-        documents = spark.createDataFrame([], SCHEMAS[flow.collection])
-        shape = flow.flatten(documents, run).schema
-        fields += [StructField(f.name, f.dataType) for f in shape.fields if f.name in flow.families]
+        shape = flow.flatten(spark.createDataFrame([], SCHEMAS[flow.collection]), run).schema
+        columns += [f"{family} {shape[family].dataType.simpleString()}" for family in flow.families]
         if flow.history:
-            fields.append(StructField(flow.history[0], MapType(DateType(), StringType())))
-    return StructType([*fields, StructField(PERIOD, StringType())])
+            columns.append(f"{flow.history[0]} map<date,string>")
+    # Stored cells may all be absent, whatever the flow says of its own.
+    return StructType.fromDDL(", ".join([*columns, f"{PERIOD} string"]))
 
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:

@@ -111,13 +111,28 @@ def areas(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Documents as areas of their source, the lines of the text their localities; src0
+# stands for the whole country.
 @query("""
-select r_name as area_name, lpad(cast(r_regionkey as varchar), 2, '0') as area_code,
-       cast(n_nationkey as varchar) as code, n_name as name
-from nation join region on r_regionkey = n_regionkey where r_regionkey <> 0
+with l as (
+  select source, lang, unnest(string_split(text, chr(10))) as line,
+         generate_subscripts(string_split(text, chr(10)), 1) as pos
+  from documents where source <> 'src0')
+select source as area_code, lang as area_name, cast(pos - 1 as varchar) as code, line as name from l
 """)
 def hierarchy_explode(spark: SparkSession, folder: str) -> DataFrame:
-    return explode_areas(areas(spark, folder)).select("area_name", "area_code", "code", "name")
+    localities = F.transform(
+        F.split("text", "\n", -1),
+        lambda line, i: F.struct(
+            i.cast("string").alias("code"), line.alias("name"), F.lit(None).cast("string").alias("otherCode")
+        ),
+    )
+    documents = table(spark, folder, "documents").select(
+        F.when(F.col("source") == "src0", "00").otherwise(F.col("source")).alias("code"),
+        F.col("lang").alias("name"),
+        localities.alias("localities"),
+    )
+    return explode_areas(documents).select("area_code", "area_name", "code", "name")
 
 
 def nation_areas(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,14 +170,24 @@ folded as (
 FOLD = fold_sql("nation", "n_nationkey")
 
 
+# Brands in the order of their first part: Brand#1 is contained in Brand#10 to 19.
 @query(f"""
-with recursive {FOLD}
-select cast(n_nationkey as varchar) as code, n_name as name, coalesce(cast(last_taken as varchar), '') as other_code,
-       cast(n_regionkey as varchar) as area_code
-from folded join nation on n_nationkey = k
+with recursive brands as (
+  select p_brand, min(p_partkey) as first_part, arg_min(p_type, p_partkey) as kind from part group by p_brand),
+ranked as (
+  select *, p_brand as n_name, cast(row_number() over (order by first_part) - 1 as integer) as rank from brands),
+{fold_sql("ranked", "rank")}
+select r.p_brand as code, coalesce(o.p_brand, '') as other_code, r.kind as area_code, r.first_part as position
+from folded join ranked r on r.rank = k left join ranked o on o.rank = last_taken
 """)
 def alias_fold(spark: SparkSession, folder: str) -> DataFrame:
-    return fold_aliases(nation_areas(spark, folder)).select("code", "name", "other_code", "area_code")
+    brands = (
+        table(spark, folder, "part")
+        .groupBy(F.col("p_brand").alias("code"))
+        .agg(F.min("p_partkey").alias("position"), F.min_by("p_type", "p_partkey").alias("area_code"))
+        .select("*", F.col("code").alias("name"), F.lit("").alias("other_code"), F.lit("").alias("area_name"))
+    )
+    return fold_aliases(brands).select("code", "other_code", "area_code", "position")
 
 
 @query(f"""
