@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
@@ -27,6 +28,7 @@ from daybook.sources.keyed import (
 ALL_FLOWS = (*flows.DAILY, flows.PROBLEM_GUIDE)
 
 
+@lru_cache(maxsize=None)
 def table_schema(spark: SparkSession, table: str) -> StructType:
     """``row_key``, a struct per family of every flow into the table, its history map, and the period."""
     run = Run.on("2000-01-01")

@@ -698,8 +698,8 @@ def credential_stored_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     root, flow = work_folder(spark, "credentials"), flows.CREDENTIAL
     for run, later in ((FIRST, False), (SECOND, True)):
         source = credential_documents(spark, folder, later)
-        ingest_into(spark, root, flow, source, run, run.run_date.isoformat(), LABELS, buckets=8)
-    return flat(current(spark, root, flow.table, table_schema(spark, flow.table), 8))
+        ingest_into(spark, root, flow, source, run, run.run_date.isoformat(), LABELS, buckets=4)
+    return flat(current(spark, root, flow.table, table_schema(spark, flow.table), 4))
 
 
 @query(

@@ -145,13 +145,13 @@ def archive_and_empty(spark: SparkSession, folder: str) -> DataFrame:
     root = work_folder(spark, "archiving")
     run = Run.on("2024-01-29")
     documents = transaction_documents(spark, folder, False)
-    ingest_into(spark, root, SIGNATURE_TRANSACTION, documents, run, "20240129000000", buckets=8)
-    if not archive_transactions(spark, root, run, buckets=8):
+    ingest_into(spark, root, SIGNATURE_TRANSACTION, documents, run, "20240129000000", buckets=4)
+    if not archive_transactions(spark, root, run, buckets=4):
         raise RuntimeError("the archive is not whole")
     manifest = read_manifest(spark, f"{root}/manifest")
     entry = latest_entry(manifest, ARCHIVED).first()
     archive = spark.read.parquet(entry["file_name"])
-    live = current(spark, root, ARCHIVED, table_schema(spark, ARCHIVED), 8)
+    live = current(spark, root, ARCHIVED, table_schema(spark, ARCHIVED), 4)
 
     def counted(rows: DataFrame, what: str) -> DataFrame:
         return rows.agg(
