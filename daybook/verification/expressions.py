@@ -39,7 +39,7 @@ last_error as (
 select d.doc_id, e.content,
        epoch_ms(timestamp '2024-01-01 00:00:00') + 60000 * e.pos as at_ms
 from documents d left join last_error e on e.doc_id = d.doc_id
-""")
+""", text="at_ms")
 def last_error_log(spark: SparkSession, folder: str) -> DataFrame:
     logs = F.transform(
         lines(F.col("text")),
@@ -116,7 +116,7 @@ select event_id,
        case when event_type <> 'signup' then epoch_us(ts) // 1000 end as at_ms,
        case when event_type <> 'signup' then strftime(date_trunc('millisecond', ts), '%Y-%m-%d %H:%M:%S.%f') end as at_text
 from events
-""")
+""", text="at_ms")
 def epoch_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     stored = F.when(F.col("event_type") == "signup", instant(times.NO_DATE)).otherwise(F.col("ts"))
     text = to_epoch_ms(times.real_instant(stored)).cast("string")

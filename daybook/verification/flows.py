@@ -246,7 +246,8 @@ CERT_ORDER_COLUMNS = (
         "info_status info_status_desc info_updated_date info_acceptance_url info_log_content info_log_created_date",
         fill="info_log_content info_log_created_date",
         numbers="info_updated_date info_log_created_date",
-    )
+    ),
+    text="info_updated_date info_log_created_date",
 )
 def cert_order_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     first = flows.CERT_ORDER.ingest(empty_table(spark, "CertOrder"), cert_order_documents(spark, folder, False), FIRST)
@@ -384,7 +385,7 @@ b as (
   from u where (made >= timestamp '{FIRST_WINDOW[0]}' or modified >= timestamp '{FIRST_WINDOW[0]}')
     and made < timestamp '{FIRST_WINDOW[1]}')
 select coalesce(a.k, b.k) as row_key, a.* exclude (k), b.* exclude (k) from a full outer join b on a.k = b.k
-""")
+""", text="register_create_date register_modified_date info_create_date info_modified_date")
 def user_table(spark: SparkSession, folder: str) -> DataFrame:
     registered = flows.REGISTER.ingest(empty_table(spark, "User"), register_documents(spark, folder), FIRST)
     return flat(flows.USER.ingest(registered, user_documents(spark, folder), FIRST))
@@ -541,7 +542,7 @@ b as (
     partition by k
     order by l_shipdate desc, cast(l_partkey as varchar) || '-' || cast(l_suppkey as varchar) desc) = 1)
 select coalesce(a.k, b.k) as row_key, a.* exclude (k), b.* exclude (k) from a full outer join b on a.k = b.k
-""")
+""", text="info_created_date info_updated_time info_approve_time cert_valid_from cert_valid_to cert_cert_created_date")
 def cert_table(spark: SparkSession, folder: str) -> DataFrame:
     requested = flows.REQUEST_CERT.ingest(empty_table(spark, "Cert"), request_documents(spark, folder), FIRST)
     return flat(flows.CERT.ingest(requested, cert_documents(spark, folder), FIRST))
@@ -687,12 +688,12 @@ CREDENTIALS_SQL = (
 )
 
 
-@query(CREDENTIALS_SQL)
+@query(CREDENTIALS_SQL, text="info_valid_from info_valid_to")
 def credential_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     return flat(_two_runs(spark, folder))
 
 
-@query(CREDENTIALS_SQL)
+@query(CREDENTIALS_SQL, text="info_valid_from info_valid_to")
 def credential_stored_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     """The same through storage: the second run writes only the periods it touches."""
     root, flow = work_folder(spark, "credentials"), flows.CREDENTIAL
@@ -780,7 +781,7 @@ select k as row_key, {tag_sql("info", _TRANSACTION_TAGS)},
             then epoch_ms(second + interval 1 minute) end as info_finish_date,
        cast(user_id as varchar) as info_app_id, event_type as info_app_name
 from e where second < timestamp '2024-01-28 17:00:00'
-""")
+""", text="info_expired_time info_finish_date")
 def transaction_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     flow = flows.SIGNATURE_TRANSACTION
     first = flow.ingest(

@@ -99,7 +99,7 @@ with b as (
 select cast(c_custkey as varchar) as row_key, c_name as name, case when b.k is not null then b.n
        when c_nationkey = 0 then -1 end as n, b.last_order
 from customer left join b on b.k = c_custkey
-""")
+""", text="n last_order")
 def family_merge(spark: SparkSession, folder: str) -> DataFrame:
     window = (F.col("o_orderdate") >= instant("1998-05-31 17:00:00")) & (
         F.col("o_orderdate") < instant("1998-06-30 17:00:00")

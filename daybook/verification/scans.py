@@ -47,7 +47,7 @@ with {DATED_ORDERS}
 select o_orderkey, epoch_ms(o_orderdate) as created_ms, epoch_ms(last_ship) as updated_ms from dated
 where (o_orderdate >= timestamp '{START}' or last_ship >= timestamp '{START}')
   and o_orderdate < timestamp '{END}'
-""")
+""", text="updated_ms")
 def incremental_window_scan(spark: SparkSession, folder: str) -> DataFrame:
     window = touched_in(F.col("o_orderdate"), F.col("last_ship"), instant(START), instant(END))
     return _dates(dated_orders(spark, folder).filter(window))
@@ -68,7 +68,7 @@ def created_window_scan(spark: SparkSession, folder: str) -> DataFrame:
 with {DATED_ORDERS}
 select o_orderkey, epoch_ms(o_orderdate) as created_ms, epoch_ms(last_ship) as updated_ms from dated
 where last_ship is null or (last_ship >= timestamp '{START}' and last_ship < timestamp '{END}')
-""")
+""", text="updated_ms")
 def null_passing_filter(spark: SparkSession, folder: str) -> DataFrame:
     window = half_open(F.col("last_ship"), instant(START), instant(END), null_passes=True)
     return _dates(dated_orders(spark, folder).filter(window))
@@ -79,7 +79,7 @@ with {DATED_ORDERS}
 select o_orderkey, epoch_ms(o_orderdate) as created_ms, epoch_ms(last_ship) as updated_ms from dated
 where (o_orderdate >= timestamp '{START}' and o_orderdate < timestamp '{END}')
    or (last_ship >= timestamp '{START}' and last_ship < timestamp '{END}')
-""")
+""", text="updated_ms")
 def two_range_scan(spark: SparkSession, folder: str) -> DataFrame:
     start, end = instant(START), instant(END)
     window = half_open(F.col("o_orderdate"), start, end) | half_open(F.col("last_ship"), start, end)

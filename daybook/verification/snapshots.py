@@ -140,7 +140,7 @@ union all
 select 'manifest', count(*), epoch_ms(arg_min(second, k)), epoch_ms(arg_max(second, k)) from e
 union all
 select 'live', 0, null, null
-""")
+""", text="first_ms last_ms")
 def archive_and_empty(spark: SparkSession, folder: str) -> DataFrame:
     root = work_folder(spark, "archiving")
     run = Run.on("2024-01-29")
