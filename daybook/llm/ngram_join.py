@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import unused, written
+from daybook.llm.common import written
 from daybook.llm.components import components
 from daybook.llm.shingles import mixed, shingle_hashes
 
@@ -34,10 +34,12 @@ from daybook.llm.shingles import mixed, shingle_hashes
 GRAM_BITS = 58
 #: Slots of the table of frequency classes, one byte each: its size never grows.
 SLOTS = 1 << 21
-#: Slots of the bit table of sets that meet others; an eighth of it in bytes.
-MEETING_SLOTS = 1 << 24
+#: Slots of the bit tables that thin out a scan; 2 MB, whatever the input.
+BIT_SLOTS = 1 << 24
 #: n-grams seen less often than this keep class 0.
 FREQUENT = 8
+#: Prefixes are taken anew while an n-gram of class 0 stands in more of them than this.
+CROWDED = 512
 #: Sets in a trie.
 TRIE = 256
 
@@ -68,40 +70,50 @@ def _fingerprint(grams: np.ndarray) -> int:
     return int(mixed(np.array([mixed(grams ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64)]))[0] >> np.uint64(2))
 
 
-def _frequency_classes(texts: DataFrame, width: int, percent: int) -> np.ndarray:
+def _frequency_classes(texts: DataFrame, width: int) -> np.ndarray:
     """One byte per slot: the binary logarithm of how many texts hold an n-gram of it.
 
-    Counted are the prefixes of all texts, and of all n-grams those that several
-    texts of one batch share. Any table gives right results; a good one keeps
-    frequent n-grams out of prefixes.
+    Counted are n-grams that several texts of one batch share. Any table gives
+    right results; a good one keeps frequent n-grams out of prefixes.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(_distinct_grams(batch.column(0), width))
-            if not sets:
-                continue
-            grams, n = np.unique(np.concatenate(sets), return_counts=True)
-            firsts = np.unique(np.concatenate([s[: prefix_length(len(s), percent)] for s in sets]))
-            keep = (n > 1) | np.isin(grams, firsts, assume_unique=True)
-            slot = (grams[keep] & np.uint64(SLOTS - 1)).astype(np.int32)
+            grams, n = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
+            keep = n > 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[keep].astype(np.int64)), pa.array(slot), pa.array(n[keep].astype(np.int64))],
-                ["gram", "slot", "n"],
+                [pa.array(grams[keep].astype(np.int64)), pa.array(n[keep].astype(np.int64))], ["gram", "n"]
             )
 
-    counted = (
-        texts.mapInArrow(count, "gram long, slot int, n long")
-        .groupBy("gram")
-        .agg(F.sum("n").alias("n"), F.first("slot").alias("slot"))
-        .where(F.col("n") >= FREQUENT)
-        .groupBy("slot")
-        .agg(F.max("n").alias("n"))
+    counted = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return _raised(np.zeros(SLOTS, np.uint8), counted.where(F.col("n") >= FREQUENT))
+
+
+def _raised(classes: np.ndarray, counted: DataFrame) -> np.ndarray:
+    """``classes`` raised to the counts of (gram, n)."""
+    out = classes.copy()
+    slots = counted.groupBy(F.col("gram").bitwiseAND(SLOTS - 1).cast("int").alias("slot")).agg(F.max("n").alias("n"))
+    for row in slots.select("slot", F.floor(F.log2("n")).cast("int").alias("k")).toLocalIterator():
+        out[row["slot"]] = max(out[row["slot"]], min(row["k"], 31))
+    return out
+
+
+def _bit_table(keys: DataFrame, key: str) -> np.ndarray:
+    """A bit for every slot that a value of ``key`` falls on; its size is fixed."""
+    slot = F.pmod(F.col(key), F.lit(BIT_SLOTS))
+    found = keys.groupBy(F.floor(slot / 32).cast("int").alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, int(pmod({key}, 32)))")).alias("bits")
     )
-    classes = np.zeros(SLOTS, np.uint8)
-    for row in counted.select("slot", F.floor(F.log2("n")).cast("int").alias("k")).toLocalIterator():
-        classes[row["slot"]] = min(row["k"], 31)
-    return classes
+    out = np.zeros(BIT_SLOTS // 32, np.uint32)
+    for row in found.toLocalIterator():
+        out[row["at"]] = row["bits"]
+    return out
+
+
+def _in_table(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = (keys & np.int64(BIT_SLOTS - 1)).astype(np.int64)
+    return (bits[slot >> 5] >> (slot & 31).astype(np.uint32) & 1).astype(bool)
 
 
 def _prefixes(texts: DataFrame, classes: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -130,39 +142,65 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
 
 
-def _meeting_sets(texts: DataFrame, meeting: DataFrame, classes: np.ndarray, width: int) -> DataFrame:
-    """(set_id, grams) of the sets that meet another one, each once.
+def _shared_grams(rows: DataFrame) -> DataFrame:
+    """(gram, least, n) of the n-grams that stand in the prefixes of several sets."""
+    return (
+        rows.select("set_id", F.explode("prefix").alias("gram"))
+        .groupBy("gram")
+        .agg(F.min("set_id").alias("least"), F.max("set_id").alias("most"), F.count(F.lit(1)).alias("n"))
+        .where("least < most")
+        .select("gram", "least", "n")
+    )
+
+
+def _meetings(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """(gram, set_id, place, least): which sets meet where, each once."""
+    table = rows.sparkSession.sparkContext.broadcast(_bit_table(shared, "gram"))
 
-    The scan filters by a bit table of fixed size before anything is moved; the
-    rows that its collisions let through are removed by the join.
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.asarray(batch.column(1).offsets)
+            flat = np.asarray(batch.column(1).values)[ends[0] : ends[-1]]
+            sizes = np.diff(ends)
+            place = np.arange(len(flat)) - np.repeat(ends[:-1] - ends[0], sizes)
+            owner = np.repeat(np.asarray(batch.column(0).fill_null(0)), sizes)
+            keep = _in_table(table.value, flat)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat[keep]), pa.array(owner[keep]), pa.array(place[keep].astype(np.int32))],
+                ["gram", "set_id", "place"],
+            )
+
+    entries = rows.select("set_id", "prefix").mapInArrow(read, "gram long, set_id long, place int")
+    return entries.join(shared.select("gram", "least"), "gram").distinct()
+
+
+def _sets(texts: DataFrame, wanted: DataFrame, classes: np.ndarray, width: int) -> DataFrame:
+    """(set_id, grams) of the sets of ``wanted``, each once.
+
+    The scan filters by a bit table of fixed size before anything is moved.
     """
-    bits = np.zeros(MEETING_SLOTS // 8, np.uint8)
-    slots = meeting.select(F.pmod("set_id", F.lit(MEETING_SLOTS)).cast("int").alias("slot")).distinct()
-    for row in slots.toLocalIterator():
-        bits[row["slot"] >> 3] |= 1 << (row["slot"] & 7)
-    shared = texts.sparkSession.sparkContext.broadcast((classes, bits))
+    shared = texts.sparkSession.sparkContext.broadcast((classes, _bit_table(wanted, "set_id")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            table, wanted = shared.value
-            ids, sets, seen = [], [], set()
+            table, bits = shared.value
+            ids, sets = [], []
             for grams in _distinct_grams(batch.column(0), width):
                 if not len(grams):
                     continue
                 name = _fingerprint(grams)
-                slot = name % MEETING_SLOTS
-                if wanted[slot >> 3] >> (slot & 7) & 1 and name not in seen:
+                if name not in seen and _in_table(bits, np.array([name]))[0]:
                     seen.add(name)
                     ids.append(name)
                     sets.append(_ordered(grams, table))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(sets)], ["set_id", "grams"])
 
     found = texts.mapInArrow(read, "set_id long, grams array<long>")
-    # Equal sets hold equal arrays, so any of them will do; one is kept by each task first.
-    place = unused(found, "_place")
-    marked = written(found.withColumn(place, F.monotonically_increasing_id()), "sets")
-    first = marked.groupBy("set_id").agg(F.min(place).alias(place))
-    return marked.join(first, ["set_id", place], "left_semi").join(meeting, "set_id", "left_semi").drop(place)
+    # Equal sets hold equal arrays: one of them is kept.
+    marked = written(found.withColumn("place", F.monotonically_increasing_id()), "sets")
+    first = marked.groupBy("set_id").agg(F.min("place").alias("kept"))
+    return marked.join(first, "set_id").where("place = kept").select("set_id", "grams")
 
 
 def similar_in_trie(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[bool]:
@@ -192,12 +230,14 @@ def similar_in_trie(probe: np.ndarray, sets: list[np.ndarray], percent: int) ->
     return out
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, classes: np.ndarray, width: int, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose sets are similar enough.
 
     The sets compared with one set form tries of about ``TRIE`` sets, dealt out
     one by one, so that a set with very many partners is no single task.
     """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    sets = _sets(texts.select("text"), wanted, classes, width)
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TRIE).alias("tries"))
     dealt = written(
         pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("tries")).alias("trie")), "pairs"
@@ -253,10 +293,6 @@ def _reaches(a: str, b: str, percent: int) -> Column:
     return least * (100 + percent) >= (F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")) * percent
 
 
-def _size_fits(a: Column | str, b: Column | str, percent: int) -> Column:
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
-
-
 def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The columns of ``docs`` but ``text``, with n_shingles, set_id and root.
 
@@ -266,42 +302,35 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
     """
     others = [c for c in docs.columns if c != text]
     texts = docs.select(F.col(text).alias("text") if text in docs.columns else F.lit(None), *others)
-    classes = _frequency_classes(texts.select("text"), width, percent)
-    rows = written(_prefixes(texts, classes, width, percent), "prefixes")
-
-    # An n-gram under which one set only is known tells nothing.
-    entries = rows.select("set_id", F.posexplode("prefix").alias("place", "gram"))
-    shared = (
-        entries.groupBy("gram")
-        .agg(F.min("set_id").alias("least"), F.max("set_id").alias("most"))
-        .where("least < most")
-        .select("gram", "least")
-    )
-    met = written(entries.join(shared, "gram").distinct(), "meetings")
+    classes = _frequency_classes(texts.select("text"), width)
+    while True:
+        rows = written(_prefixes(texts, classes, width, percent), "prefixes")
+        shared = written(_shared_grams(rows), "shared")
+        crowded = shared.where((F.col("n") > CROWDED) & (F.shiftright("gram", GRAM_BITS) == 0))
+        better = _raised(classes, crowded)
+        if (better == classes).all():
+            break
+        classes = better
+
+    met = written(_meetings(rows, shared), "meetings")
     sizes = rows.select("set_id", "n_shingles").where("set_id is not null")
-    meeting = met.select("set_id").distinct()
-    sizes = written(sizes.join(meeting, "set_id", "left_semi").distinct(), "sizes")
-    sets = written(_meeting_sets(texts.select("text"), meeting, classes, width), "sets")
-
-    first = met.where("set_id <> least").select(F.col("least").alias("a"), F.col("set_id").alias("b")).distinct()
-    first = _fitting(first, sizes, percent)
-    checked = written(first, "checked")
-    links = written(_links(checked, sets, percent), "links")
+    sizes = written(sizes.join(met.select("set_id").distinct(), "set_id", "left_semi").distinct(), "sizes")
+    met = met.join(sizes, "set_id").withColumn("reach", F.col("n_shingles") - F.col("place"))
+
+    p, q = met.where("set_id = least").alias("p"), met.where("set_id <> least").alias("q")
+    first = p.join(q, (F.col("p.gram") == F.col("q.gram")) & _reaches("p", "q", percent))
+    checked = written(first.select(F.col("p.set_id").alias("a"), F.col("q.set_id").alias("b")).distinct(), "checked")
+    links = written(_links(checked, texts, classes, width, percent), "links")
     roots = written(components(links), "roots")
 
     # Pairs that meet but are in different groups yet.
     grouped = met.join(roots, F.col("set_id") == F.col("node"), "left").select(
-        "gram", "set_id", "place", F.coalesce("root", "set_id").alias("root")
+        "gram", "set_id", "reach", "n_shingles", F.coalesce("root", "set_id").alias("root")
     )
-    mixed_grams = (
+    between = (
         grouped.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("gram")
     )
-    open_sets = written(
-        grouped.join(mixed_grams, "gram", "left_semi")
-        .join(sizes, "set_id")
-        .select("gram", "set_id", "root", "n_shingles", (F.col("n_shingles") - F.col("place")).alias("reach")),
-        "open",
-    )
+    open_sets = written(grouped.join(between, "gram", "left_semi"), "open")
     a, b = open_sets.alias("p"), open_sets.alias("q")
     pairs = (
         a.join(b, (F.col("p.gram") == F.col("q.gram")) & (F.col("p.root") < F.col("q.root"))
@@ -310,7 +339,7 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
         .distinct()
         .join(checked, ["a", "b"], "left_anti")
     )
-    more = written(_links(written(pairs, "rest"), sets, percent), "more")
+    more = written(_links(written(pairs, "rest"), texts, classes, width, percent), "more")
     roots = components(links.unionByName(more))
     return (
         rows.drop("prefix")
@@ -320,13 +349,6 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
     )
 
 
-def _fitting(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sizes allow the similarity."""
-    size_a = sizes.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("size_a"))
-    size_b = sizes.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("size_b"))
-    return pairs.join(size_a, "a").join(size_b, "b").where(_size_fits("size_a", "size_b", percent)).select("a", "b")
-
-
 def component_ids(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id): component_id is the least doc_id of the row's group.
 
