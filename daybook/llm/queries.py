@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import ngram_join
+from daybook.llm import ngram_join, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,3 +25,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose 5-word shingles are at least 80 % alike."""
     return ngram_join.component_ids(table(spark, folder, "documents"), percent=80, width=5)
+
+
+@query
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every document and the verdict of the base rules and the learned list."""
+    return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
