@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.bits import without
 from daybook.llm.common import written
 from daybook.llm.components import components
 from daybook.llm.shingles import mixed, shingle_hashes
@@ -365,21 +366,14 @@ def component_ids(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFra
 def one_of_each_group(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """``docs`` without near duplicates: of each group the row with the least doc_id stays.
 
-    Rows are told apart by doc_id and text; rows that repeat both stay or go
-    together, and of a group of null ids only, those with the least text hash stay.
+    Rows are told apart by doc_id and text: rows that repeat both stay or go
+    together, and of rows without doc_id the one with the least hash stays.
     """
-    mark = "_text_hash"
-    narrow = docs.select("doc_id", "text", F.xxhash64("text").alias(mark))
-    grouped = written(similar_groups(narrow, "text", width, percent), "groups")
-    # max of the reversed order would prefer nulls; a missing id sorts after all others.
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", mark)).alias("best")
-    kept = (
-        grouped.where("root is not null").groupBy("root").agg(best).select("best.doc_id", f"best.{mark}")
-        .unionByName(grouped.where("root is null").select("doc_id", mark).distinct())
-    )
-    left, right = docs.alias("l"), kept.alias("r")
-    return left.join(
-        right,
-        F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & F.xxhash64(F.col("l.text")).eqNullSafe(F.col(f"r.{mark}")),
-        "left_semi",
-    )
+    key = F.xxhash64("doc_id", "text")
+    narrow = docs.select("doc_id", "text", key.alias("row_key"))
+    grouped = written(similar_groups(narrow, "text", width, percent).where("root is not null"), "groups")
+    # A missing id sorts after all others.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    best = grouped.groupBy("root").agg(F.min(order).alias("best"))
+    dropped = grouped.join(best, "root").where(F.col("row_key") != F.col("best.row_key")).select("row_key")
+    return without(docs, key, written(dropped, "dropped"), "row_key")

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import WHITE, bind, unused, words
+from daybook.llm.common import WHITE, bind, words
 
 #: Labelled rows the rules are learned from at most, the first by hash of the id.
 FIT_ROWS = 20_000
@@ -73,39 +73,44 @@ def repeated_words(w: Column) -> Column:
     return F.when(F.size(w) < WINDOW, F.lit(0)).otherwise(bind(windows, counted)).cast("long")
 
 
-def with_statistics(docs: DataFrame, text: str = "text", into: str = "stats") -> DataFrame:
-    """``docs`` with a struct column ``into`` of ``COUNTS`` and ``FEATURES``.
+def statistics(text: Column) -> Column:
+    """A struct of ``COUNTS`` and ``FEATURES`` of a whole text.
 
-    Long lines, texts and words are taken whole.
+    One expression that computes its parts once: it can be moved or filtered by
+    without the words being split anew for each use.
     """
-    body, split = unused(docs, "_body"), unused(docs, "_words")
-    filled = docs.withColumn(body, F.coalesce(F.col(text), F.lit("")))
-    ready = filled.withColumn(split, words(F.col(body)))
-    lines = F.filter(F.split(F.col(body), "\n"), lambda x: x.rlike(f"[^{WHITE}]"))
-    counts = F.struct(
-        F.size(split).cast("long").alias("n_words"),
-        F.aggregate(F.col(split), F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"),
-        (F.length(body) - F.length(F.translate(F.col(body), "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        F.size(lines).cast("long").alias("n_lines"),
-        bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col(split)).alias("n_repeat_words"),
-        F.regexp_count(F.col(body), F.lit(r"\p{Lu}")).alias("n_upper"),
-        F.regexp_count(F.col(body), F.lit(r"[.!?]")).alias("n_marks"),
-    )
-    raw = unused([*ready.columns], "_counts")
-    counted = ready.withColumn(raw, counts).drop(body, split)
-    c = lambda name: F.col(f"{raw}.{name}")
-    share = lambda part, whole: F.when(c(whole) > 0, c(part) / c(whole)).otherwise(F.lit(0.0))
-    stats = F.struct(
-        *[c(name).alias(name) for name in COUNTS],
-        share("n_symbols", "n_words").alias("symbols_per_word"),
-        share("n_repeat_words", "n_words").alias("repeat_share"),
-        share("word_chars", "n_words").alias("chars_per_word"),
-        share("n_upper", "word_chars").alias("upper_share"),
-        share("n_marks", "n_words").alias("marks_per_word"),
-        share("n_dup_lines", "n_lines").alias("dup_line_share"),
-    )
-    return counted.withColumn(into, stats).drop(raw)
+
+    def counts(body: Column, w: Column) -> Column:
+        lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(f"[^{WHITE}]"))
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.aggregate(w, F.lit(0).cast("long"), lambda n, x: n + F.length(x)).alias("word_chars"),
+            (F.length(body) - F.length(F.translate(body, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+            bind(lines, lambda x: F.struct(F.size(x).alias("all"), F.size(F.array_distinct(x)).alias("kinds"))).alias("lines"),
+            repeated_words(w).alias("n_repeat_words"),
+            F.regexp_count(body, F.lit(r"\p{Lu}")).alias("n_upper"),
+            F.regexp_count(body, F.lit(r"[.!?]")).alias("n_marks"),
+        )
+
+    def features(c: Column) -> Column:
+        share = lambda part, whole: F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
+        n_dup_lines = (c["lines"]["all"] - c["lines"]["kinds"]).cast("long")
+        return F.struct(
+            c["n_words"].alias("n_words"),
+            c["word_chars"].alias("word_chars"),
+            c["n_symbols"].alias("n_symbols"),
+            n_dup_lines.alias("n_dup_lines"),
+            c["n_repeat_words"].alias("n_repeat_words"),
+            share(c["n_symbols"], c["n_words"]).alias("symbols_per_word"),
+            share(c["n_repeat_words"], c["n_words"]).alias("repeat_share"),
+            share(c["word_chars"], c["n_words"]).alias("chars_per_word"),
+            share(c["n_upper"], c["word_chars"]).alias("upper_share"),
+            share(c["n_marks"], c["n_words"]).alias("marks_per_word"),
+            share(n_dup_lines, c["lines"]["all"]).alias("dup_line_share"),
+        )
+
+    filled = F.coalesce(text, F.lit(""))
+    return bind(bind(filled, lambda body: bind(words(body), lambda w: counts(body, w))), features)
 
 
 @dataclass(frozen=True)
@@ -114,8 +119,8 @@ class Condition:
     above: bool
     bound: float
 
-    def column(self, stats: str) -> Column:
-        value = F.col(f"{stats}.{self.feature}").cast("double")
+    def column(self, stats: Column) -> Column:
+        value = stats[self.feature].cast("double")
         return value >= self.bound if self.above else value <= self.bound
 
     def holds(self, x: np.ndarray) -> np.ndarray:
@@ -205,8 +210,8 @@ def learn_rules(x: np.ndarray, bad: np.ndarray) -> list[Rule]:
     return rules
 
 
-def accepts(rules: list[Rule], stats: str = "stats") -> Column:
-    """False if a rule fires on the struct column ``stats``, in order; else true."""
+def accepts(rules: list[Rule], stats: Column) -> Column:
+    """False if a rule fires on the statistics, in order; else true."""
     out = F.lit(True)
     for rule in reversed(rules):
         all_hold = rule[0].column(stats)
@@ -232,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: st
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("text"))
     joined = texts.join(F.broadcast(taken), F.col("_id") == F.col(key))  # at most fit_rows narrow rows
     rows = (
-        with_statistics(joined)
+        joined.withColumn("stats", statistics(F.col("text")))
         .select(F.xxhash64(key).alias(order), key, "_quality", *[F.col(f"stats.{f}").cast("double").alias(f) for f in FEATURES])
         .orderBy(order, key, "_quality", *FEATURES)
         .limit(fit_rows)
@@ -244,27 +249,24 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: st
     return learn_rules(x, np.array([r["_quality"] == 0 for r in rows]))
 
 
-def base_failed(stats: str = "stats") -> Column:
+def base_failed(stats: Column) -> Column:
     """Fewer than 50 words, or more than half of them in repeated windows."""
-    n, again = F.col(f"{stats}.n_words"), F.col(f"{stats}.n_repeat_words")
-    return (n < 50) | (100 * again > 50 * n)
+    return (stats["n_words"] < 50) | (100 * stats["n_repeat_words"] > 50 * stats["n_words"])
 
 
 def judged(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """One row per document: doc_id, n_words and the base counts, base_failed, kept."""
     rules = fit(docs, labels, fit_rows)
-    out = with_statistics(docs.select("doc_id", "text"))
-    return out.select(
+    stats = F.col("stats")
+    return docs.select("doc_id", statistics(F.col("text")).alias("stats")).select(
         "doc_id",
-        *[F.col(f"stats.{name}").alias(name) for name in COUNTS],
-        base_failed().alias("base_failed"),
-        (~base_failed() & accepts(rules)).alias("kept"),
+        *[stats[name].alias(name) for name in COUNTS],
+        base_failed(stats).alias("base_failed"),
+        (~base_failed(stats) & accepts(rules, stats)).alias("kept"),
     )
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows and columns of ``docs`` that the base rules and the learned rules keep."""
-    stats = unused(docs, "_stats")
-    out = with_statistics(docs, into=stats)
     rules = fit(docs, labels, fit_rows)
-    return out.where(~base_failed(stats) & accepts(rules, stats)).drop(stats)
+    return docs.where(bind(statistics(F.col("text")), lambda s: ~base_failed(s) & accepts(rules, s)))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daybook.llm import ngram_join, quality
+from daybook.llm import decontamination, mixing, ngram_join, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,12 +22,37 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_exact_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in 8 shards of equal numbers of rows, in a uniformly random order."""
+    rows = table(spark, folder, "documents").select(
+        "doc_id",
+        sharding.size_of_text(F.col("text")).alias("size"),
+        sharding.crc32_of_text(F.col("text")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+    )
+    dealt = sharding.shuffled_shards(rows, 8, scan=True)
+    return dealt.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 @query
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose 5-word shingles are at least 80 % alike."""
     return ngram_join.component_ids(table(spark, folder, "documents"), percent=80, width=5)
 
 
+@query
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and benchmark item it holds, with the place and similarity of the best window."""
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix of all sources takes."""
+    return mixing.taken_words(table(spark, folder, "documents"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every document and the verdict of the base rules and the learned list."""
