@@ -155,53 +155,61 @@ def _shared_grams(rows: DataFrame) -> DataFrame:
 
 
 def _meetings(rows: DataFrame, shared: DataFrame) -> DataFrame:
-    """(gram, set_id, place, least): which sets meet where, each once."""
+    """(gram, set_id, row_key, n_shingles, reach, least): which sets meet where, each once.
+
+    reach is how many n-grams the set has from this one on; row_key names one row
+    that has the set.
+    """
     table = rows.sparkSession.sparkContext.broadcast(_bit_table(shared, "gram"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends = np.asarray(batch.column(1).offsets)
-            flat = np.asarray(batch.column(1).values)[ends[0] : ends[-1]]
-            sizes = np.diff(ends)
-            place = np.arange(len(flat)) - np.repeat(ends[:-1] - ends[0], sizes)
-            owner = np.repeat(np.asarray(batch.column(0).fill_null(0)), sizes)
+            ends = np.asarray(batch.column(3).offsets)
+            flat = np.asarray(batch.column(3).values)[ends[0] : ends[-1]]
+            lengths = np.diff(ends)
             keep = _in_table(table.value, flat)
+            owner, key, size = (np.repeat(np.asarray(batch.column(i).fill_null(0)), lengths) for i in range(3))
+            reach = size - (np.arange(len(flat)) - np.repeat(ends[:-1] - ends[0], lengths))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[keep]), pa.array(owner[keep]), pa.array(place[keep].astype(np.int32))],
-                ["gram", "set_id", "place"],
+                [pa.array(x[keep]) for x in (flat, owner, key, size, reach)],
+                ["gram", "set_id", "row_key", "n_shingles", "reach"],
             )
 
-    entries = rows.select("set_id", "prefix").mapInArrow(read, "gram long, set_id long, place int")
-    return entries.join(shared.select("gram", "least"), "gram").distinct()
+    entries = rows.select("set_id", "row_key", "n_shingles", "prefix").mapInArrow(
+        read, "gram long, set_id long, row_key long, n_shingles long, reach long"
+    )
+    # Of rows with equal sets one stands for all.
+    return (
+        entries.groupBy("gram", "set_id", "n_shingles", "reach")
+        .agg(F.min("row_key").alias("row_key"))
+        .join(shared.select("gram", "least"), "gram")
+    )
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, classes: np.ndarray, width: int) -> DataFrame:
-    """(set_id, grams) of the sets of ``wanted``, each once.
+    """(set_id, row_key, grams) of the rows of ``wanted``, and of some others.
 
-    The scan filters by a bit table of fixed size before anything is moved.
+    The scan filters by a bit table of fixed size before anything is moved; what
+    its collisions let through finds no partner when it is joined.
     """
-    shared = texts.sparkSession.sparkContext.broadcast((classes, _bit_table(wanted, "set_id")))
+    shared = texts.sparkSession.sparkContext.broadcast((classes, _bit_table(wanted, "row_key")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
             table, bits = shared.value
-            ids, sets = [], []
-            for grams in _distinct_grams(batch.column(0), width):
-                if not len(grams):
-                    continue
-                name = _fingerprint(grams)
-                if name not in seen and _in_table(bits, np.array([name]))[0]:
-                    seen.add(name)
-                    ids.append(name)
-                    sets.append(_ordered(grams, table))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(sets)], ["set_id", "grams"])
-
-    found = texts.mapInArrow(read, "set_id long, grams array<long>")
-    # Equal sets hold equal arrays: one of them is kept.
-    marked = written(found.withColumn("place", F.monotonically_increasing_id()), "sets")
-    first = marked.groupBy("set_id").agg(F.min("place").alias("kept"))
-    return marked.join(first, "set_id").where("place = kept").select("set_id", "grams")
+            keys = np.asarray(batch.column(1))
+            chosen = _in_table(bits, keys)
+            sets = list(_distinct_grams(batch.column(0).filter(pa.array(chosen)), width))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([_fingerprint(x) for x in sets], pa.int64()),
+                    pa.array(keys[chosen]),
+                    _lists([_ordered(x, table) for x in sets]),
+                ],
+                ["set_id", "row_key", "grams"],
+            )
+
+    return written(texts.mapInArrow(read, "set_id long, row_key long, grams array<long>"), "sets")
 
 
 def similar_in_trie(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[bool]:
@@ -237,15 +245,20 @@ def _links(pairs: DataFrame, texts: DataFrame, classes: np.ndarray, width: int,
     The sets compared with one set form tries of about ``TRIE`` sets, dealt out
     one by one, so that a set with very many partners is no single task.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    sets = _sets(texts.select("text"), wanted, classes, width)
+    wanted = pairs.select(F.explode(F.array("key_a", "key_b")).alias("row_key")).distinct()
+    sets = _sets(texts.select("text", "row_key"), wanted, classes, width)
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TRIE).alias("tries"))
     dealt = written(
-        pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("tries")).alias("trie")), "pairs"
+        pairs.join(sizes, "a").select("a", "key_a", "b", "key_b", F.pmod(F.xxhash64("b"), F.col("tries")).alias("trie")),
+        "pairs",
     )
-    members = dealt.join(sets, dealt["b"] == sets["set_id"]).select("a", "trie", "b", "grams")
-    heads = dealt.select("a", "trie").distinct()
-    heads = heads.join(sets, heads["a"] == sets["set_id"]).select("a", "trie", F.col("a").alias("b"), "grams")
+    # Sets grow with the input: they are met by moving both sides, never by copying one.
+    own = sets.hint("merge")
+    members = dealt.join(own, (F.col("b") == F.col("set_id")) & (F.col("key_b") == F.col("row_key")))
+    members = members.select("a", "trie", "b", "grams")
+    heads = dealt.groupBy("a", "trie").agg(F.min("key_a").alias("key_a"))
+    heads = heads.join(own, (F.col("a") == F.col("set_id")) & (F.col("key_a") == F.col("row_key")))
+    heads = heads.select("a", "trie", F.col("a").alias("b"), "grams")
     grouped = (
         members.withColumn("head", F.lit(0))
         .unionByName(heads.withColumn("head", F.lit(1)))
@@ -294,6 +307,20 @@ def _reaches(a: str, b: str, percent: int) -> Column:
     return least * (100 + percent) >= (F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")) * percent
 
 
+def _pairs(met: DataFrame) -> DataFrame:
+    """(a, key_a, b, key_b) of the sets that meet, each pair once, a the lesser one."""
+    low = F.col("p.set_id") < F.col("q.set_id")
+    pick = lambda x, y, name: F.when(low, F.col(f"{x}.{name}")).otherwise(F.col(f"{y}.{name}"))
+    return (
+        met.select(
+            pick("p", "q", "set_id").alias("a"), pick("p", "q", "row_key").alias("key_a"),
+            pick("q", "p", "set_id").alias("b"), pick("q", "p", "row_key").alias("key_b"),
+        )
+        .groupBy("a", "b")
+        .agg(F.min("key_a").alias("key_a"), F.min("key_b").alias("key_b"))
+    )
+
+
 def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The columns of ``docs`` but ``text``, with n_shingles, set_id and root.
 
@@ -302,7 +329,8 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
     ``width``-word n-grams. Rows with the empty set have null set_id and root.
     """
     others = [c for c in docs.columns if c != text]
-    texts = docs.select(F.col(text).alias("text") if text in docs.columns else F.lit(None), *others)
+    row = [F.col(f"`{c}`") for c in docs.columns]
+    texts = docs.select(F.col(f"`{text}`").alias("text"), F.xxhash64(*row).alias("row_key"), *others)
     classes = _frequency_classes(texts.select("text"), width)
     while True:
         rows = written(_prefixes(texts, classes, width, percent), "prefixes")
@@ -314,36 +342,29 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
         classes = better
 
     met = written(_meetings(rows, shared), "meetings")
-    sizes = rows.select("set_id", "n_shingles").where("set_id is not null")
-    sizes = written(sizes.join(met.select("set_id").distinct(), "set_id", "left_semi").distinct(), "sizes")
-    met = met.join(sizes, "set_id").withColumn("reach", F.col("n_shingles") - F.col("place"))
-
     p, q = met.where("set_id = least").alias("p"), met.where("set_id <> least").alias("q")
     first = p.join(q, (F.col("p.gram") == F.col("q.gram")) & _reaches("p", "q", percent))
-    checked = written(first.select(F.col("p.set_id").alias("a"), F.col("q.set_id").alias("b")).distinct(), "checked")
+    checked = written(_pairs(first), "checked")
     links = written(_links(checked, texts, classes, width, percent), "links")
     roots = written(components(links), "roots")
 
     # Pairs that meet but are in different groups yet.
     grouped = met.join(roots, F.col("set_id") == F.col("node"), "left").select(
-        "gram", "set_id", "reach", "n_shingles", F.coalesce("root", "set_id").alias("root")
+        "gram", "set_id", "row_key", "reach", "n_shingles", F.coalesce("root", "set_id").alias("root")
     )
     between = (
         grouped.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("gram")
     )
     open_sets = written(grouped.join(between, "gram", "left_semi"), "open")
-    a, b = open_sets.alias("p"), open_sets.alias("q")
-    pairs = (
-        a.join(b, (F.col("p.gram") == F.col("q.gram")) & (F.col("p.root") < F.col("q.root"))
-               & _reaches("p", "q", percent))
-        .select(F.least("p.set_id", "q.set_id").alias("a"), F.greatest("p.set_id", "q.set_id").alias("b"))
-        .distinct()
-        .join(checked, ["a", "b"], "left_anti")
+    p, q = open_sets.alias("p"), open_sets.alias("q")
+    across = p.join(
+        q, (F.col("p.gram") == F.col("q.gram")) & (F.col("p.root") < F.col("q.root")) & _reaches("p", "q", percent)
     )
+    pairs = _pairs(across).join(checked, ["a", "b"], "left_anti")
     more = written(_links(written(pairs, "rest"), texts, classes, width, percent), "more")
     roots = components(links.unionByName(more))
     return (
-        rows.drop("prefix")
+        rows.drop("prefix", "row_key")
         .join(roots, F.col("set_id") == F.col("node"), "left")
         .withColumn("root", F.coalesce("root", "set_id"))
         .drop("node")
