@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontamination, mixing, ngram_join, quality, sharding
+from daybook.llm import decontamination, html_text, mixing, ngram_join, pii, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,6 +35,12 @@ def op2_exact_shards(spark: SparkSession, folder: str) -> DataFrame:
     return dealt.withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@query
+def op3_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: base counts and their hash, and all spans."""
+    return pii.digest(table(spark, folder, "documents"))
+
+
 @query
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose 5-word shingles are at least 80 % alike."""
@@ -57,3 +63,9 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every document and the verdict of the base rules and the learned list."""
     return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extracted(table(spark, folder, "pages"))
