@@ -84,6 +84,13 @@ def _passes(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _fails(kind: str, match: Column) -> Column:
+    """Whether a match that does not pass is of the kind's form; a few digits are no failed card."""
+    if kind == "card":
+        return F.length(F.regexp_replace(match, "[^0-9]", "")).between(16, 19) & ~_passes(kind, match)
+    return ~_passes(kind, match)
+
+
 def luhn(digits: Column) -> Column:
     """Whether a string of digits passes the Luhn check."""
 
@@ -103,7 +110,7 @@ def base_spans(text: Column, kind: str) -> Column:
     bare = lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"))
     split = lambda found: F.struct(
         F.transform(F.filter(found, lambda x: _passes(kind, x["match"])), bare).alias("good"),
-        F.transform(F.filter(found, lambda x: ~_passes(kind, x["match"])), bare).alias("failed"),
+        F.transform(F.filter(found, lambda x: _fails(kind, x["match"])), bare).alias("failed"),
     )
     none = F.struct(F.array().cast(_SPAN).alias("good"), F.array().cast(_SPAN).alias("failed"))
     return F.when(text.rlike(TRIGGERS[kind]), bind(spans(text, PATTERNS[kind]), split)).otherwise(none)
@@ -179,9 +186,9 @@ def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     seed = F.coalesce(*[F.when(_begins(F.col(f"{base[k]}.good"), start, end), F.lit(k)) for k in KINDS])
     begun = lambda k: F.filter(F.col(f"{base[k]}.good"), lambda b: (b["start"] >= start) & (b["start"] < end))
     whole = F.coalesce(*[F.get(begun(k), 0)["match"] for k in KINDS], F.col("c.value"))
-    failed = F.lit(False)
-    for k in KINDS:
-        failed = failed | _touches(F.col(f"{base[k]}.failed"), start, end)
+    failed = F.array_compact(
+        F.array(*[F.when(_touches(F.col(f"{base[k]}.failed"), start, end), F.lit(k)) for k in KINDS])
+    )
     occurrences = written(
         found.where(F.size(cands) > 0)
         .withColumn("c", F.explode(cands))
@@ -197,9 +204,9 @@ def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     for k in KINDS:
         form = form | ((F.col("kind") == k) & F.col("value").rlike(FORMS[k]))
     more = (
-        occurrences.where("seed is null and not known and not failed")
+        occurrences.where("seed is null and not known")
         .join(patterns, "left")
-        .where(form)
+        .where(form & ~F.array_contains("failed", F.col("kind")))
         .groupBy("row", "start", "end")
         .agg(F.max(F.struct("sure", "kind")).alias("best"))
         .groupBy(F.col("row").alias("_more_row"))
