@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontamination, html_text, mixing, ngram_join, pii, quality, sharding
+from daybook.llm import (
+    decontamination,
+    html_text,
+    line_dedup,
+    mixing,
+    ngram_join,
+    pii,
+    quality,
+    sharding,
+    suffix_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,6 +63,18 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the 200-byte strings that occur again."""
+    return suffix_dedup.digest(table(spark, folder, "documents"))
+
+
+@query
+def op7_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Which lines of every document are similar to a line that is kept elsewhere."""
+    return line_dedup.digest(table(spark, folder, "documents"))
+
+
 @query
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """How many words of every document the mix of all sources takes."""
