@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from daybook.llm import (
     decontamination,
     html_text,
+    licences,
     line_dedup,
     mixing,
     ngram_join,
@@ -32,6 +33,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The licence that every document states or inherits; its path is source/lang/doc_id."""
+    documents = table(spark, folder, "documents")
+    paths = documents.select("doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
+    return licences.scanned(paths)
+
+
 @query
 def op2_exact_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Documents in 8 shards of equal numbers of rows, in a uniformly random order."""
