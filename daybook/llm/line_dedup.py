@@ -163,9 +163,11 @@ def without_fuzzy_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     row = unused(docs, "row")
     whole = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     named = whole.select("doc_id", F.col(f"`{text}`").alias("text"), F.col(row).alias("row"))
-    gone = removed_lines(named).where(F.size("removed") > 0).select(F.col("row").alias("_row"), F.col("removed").alias("_removed"))
-    kept = F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda x, i: ~F.array_contains("_removed", i))
-    left = F.when(F.col("_removed").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(kept, "\n"))
-    return whole.join(gone, F.col(row) == F.col("_row"), "left").select(
+    key, places = unused(whole, "_gone_row"), unused(whole, "_removed")
+    gone = removed_lines(named).where(F.size("removed") > 0)
+    gone = gone.select(F.col("row").alias(key), F.col("removed").alias(places))
+    kept = F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda x, i: ~F.array_contains(places, i))
+    left = F.when(F.col(places).isNull(), F.col(f"`{text}`")).otherwise(F.array_join(kept, "\n"))
+    return whole.join(gone, F.col(row) == F.col(key), "left").select(
         *[left.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     )

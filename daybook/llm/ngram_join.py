@@ -326,7 +326,8 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
 
     Rows are in one group, with one ``root``, if a chain of links joins them; two
     rows link if 100 * intersection >= ``percent`` * union of their sets of
-    ``width``-word n-grams. Rows with the empty set have null set_id and root.
+    ``width``-word n-grams. Rows with the empty set have null set_id and root. The
+    columns kept are the caller's few; they may not be called as the added ones.
     """
     others = [c for c in docs.columns if c != text]
     row = [F.col(f"`{c}`") for c in docs.columns]
@@ -391,10 +392,10 @@ def one_of_each_group(docs: DataFrame, percent: int = 80, width: int = 5) -> Dat
     together, and of rows without doc_id the one with the least hash stays.
     """
     key = F.xxhash64("doc_id", "text")
-    narrow = docs.select("doc_id", "text", key.alias("row_key"))
+    narrow = docs.select("doc_id", "text", key.alias("own_key"))
     grouped = written(similar_groups(narrow, "text", width, percent).where("root is not null"), "groups")
     # A missing id sorts after all others.
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own_key")
     best = grouped.groupBy("root").agg(F.min(order).alias("best"))
-    dropped = grouped.join(best, "root").where(F.col("row_key") != F.col("best.row_key")).select("row_key")
-    return without(docs, key, written(dropped, "dropped"), "row_key")
+    dropped = grouped.join(best, "root").where(F.col("own_key") != F.col("best.own_key")).select("own_key")
+    return without(docs, key, written(dropped, "dropped"), "own_key")
