@@ -1,42 +1,53 @@
-"""Fold of areas whose names contain each other into representatives with an other code."""
+"""Fold of areas whose names contain each other into representatives with an other code.
+
+The fold goes through the areas in order, but an area depends only on earlier
+ones that share its code, or the code of an earlier area whose name pairs with
+its own. So it runs in rounds: each round decides every area that no undecided
+area is in the way of, by joins on codes, and writes what it decided.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.text import contain_each_other
+from daybook.session import work_folder
 
 CELLS = ["position", "code", "name", "other_code", "area_code", "area_name"]
-# The fold is sequential by definition; areas are the administrative units of one
-# country, far below this limit.
-MAX_AREAS = 10_000
 
 
-def _step(kept: Column, area: Column) -> Column:
-    found = F.struct(
-        F.array_position(F.transform(kept, lambda k: contain_each_other(k["name"], area["name"])), True).alias("hit"),
-        F.array_position(F.transform(kept, lambda k: k["code"].eqNullSafe(area["code"])), True).alias("same"),
-    )
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    def row(base: Column, **cells: Column) -> Column:
-        return F.struct(*[cells.get(c, base[c]).alias(c) for c in CELLS])
 
-    def place(at: Column) -> Column:
-        absorbed = F.transform(
-            kept, lambda k, i: F.when(i == at["hit"] - 1, row(k, other_code=area["code"])).otherwise(row(k))
-        )
-        replaced = F.transform(
-            kept, lambda k, i: F.when(i == at["same"] - 1, row(area, position=k["position"])).otherwise(row(k))
-        )
-        return (
-            F.when(at["hit"] > 0, absorbed)
-            .when(at["same"] > 0, replaced)
-            .otherwise(F.concat(kept, F.array(row(area))))
+def _parts(name: Column) -> Column:
+    """All distinct substrings of a name."""
+    n = F.length(name)
+    return F.array_distinct(
+        F.flatten(
+            F.transform(
+                F.sequence(F.lit(1), n),
+                lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(name, i, k)),
+            )
         )
+    )
 
-    # The one-element array binds both positions, so that they are searched once per step.
-    return F.transform(F.array(found), place)[0]
+
+def _pairs(areas: DataFrame) -> DataFrame:
+    """(later, earlier, slot): earlier areas whose name contains a later one's or lies in it.
+
+    Names are met by their parts with an equi-join; names, not areas, are paired,
+    so that a name which many areas have is one row.
+    """
+    names = areas.select(F.lower("name").alias("low")).distinct()
+    parts = names.select(F.col("low").alias("whole"), F.explode(_parts(F.col("low"))).alias("low"))
+    inside = parts.join(names, "low").select(F.col("whole").alias("x"), F.col("low").alias("y"))
+    both = _stored(inside.unionByName(inside.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "names")
+    later = areas.select(F.lower("name").alias("x"), F.col("position").alias("later"))
+    earlier = areas.select(F.lower("name").alias("y"), F.col("position").alias("earlier"), "slot")
+    return later.join(both, "x").join(earlier, "y").where("earlier < later").select("later", "earlier", "slot")
 
 
 def fold_aliases(areas: DataFrame) -> DataFrame:
@@ -48,10 +59,76 @@ def fold_aliases(areas: DataFrame) -> DataFrame:
     an unmatched name replaces the earlier entry in place. Blank names, which
     every name contains, are left out.
     """
+    # A place among the representatives belongs to a code; a missing code is one as well.
+    slot = F.when(F.col("code").isNull(), "").otherwise(F.concat(F.lit("="), F.col("code")))
     named = areas.select(*CELLS).filter(F.coalesce(F.length("name"), F.lit(0)) > 0)
-    found = named.limit(MAX_AREAS + 1).count()
-    if found > MAX_AREAS:
-        raise ValueError(f"more than {MAX_AREAS} areas: not an area dimension")
-    ordered = named.agg(F.array_sort(F.collect_list(F.struct(*CELLS))).alias("all"))
-    nothing = F.filter("all", lambda _: F.lit(False))
-    return ordered.select(F.explode(F.aggregate("all", nothing, _step)).alias("kept")).select("kept.*")
+    named = _stored(named.withColumn("slot", slot), "areas")
+    pairs = _stored(_pairs(named), "pairs")
+    own = named.select(F.col("position").alias("later"), "slot")
+    needs = _stored(pairs.select("later", "slot").unionByName(own).distinct(), "needs")
+
+    undecided = named.select("position", "slot")
+    decided = None  # position, slot, into: the slot that absorbed the area, or null
+    while not undecided.isEmpty():
+        first = undecided.groupBy("slot").agg(F.min("position").alias("first"))
+        waiting = needs.join(first, "slot").where("first < later").select("later").distinct()
+        ready = undecided.join(waiting, F.col("position") == F.col("later"), "left_anti")
+        if decided is None:
+            verdict = ready.select("position", "slot", F.lit(None).cast("string").alias("into"))
+        else:
+            verdict = _decide(ready, decided, pairs)
+        verdict = _stored(verdict, "round")
+        decided = verdict if decided is None else decided.unionByName(verdict)
+        undecided = _stored(undecided.join(verdict, "position", "left_anti"), "undecided")
+    if decided is None:
+        return named.select(*CELLS)
+    return _representatives(named, decided)
+
+
+def _decide(ready: DataFrame, decided: DataFrame, pairs: DataFrame) -> DataFrame:
+    """What becomes of areas for which all that matters is decided."""
+    holders = decided.where("into is null").select("slot", F.col("position").alias("holder"))
+    starts = holders.groupBy("slot").agg(F.min("holder").alias("start"))
+    mine = ready.select(F.col("position").alias("later"))
+    wanted = pairs.join(mine, "later", "left_semi").select("later", "slot").distinct()
+    # Who stands in a slot when the area comes: its last holder before it.
+    standing = (
+        wanted.join(holders, "slot").where("holder < later").groupBy("later", "slot").agg(F.max("holder").alias("earlier"))
+    )
+    hits = (
+        standing.join(pairs.select("later", "earlier").distinct(), ["later", "earlier"], "left_semi")
+        .join(starts, "slot")
+        .groupBy("later")
+        .agg(F.min_by("slot", "start").alias("into"))
+    )
+    return ready.join(hits, F.col("position") == F.col("later"), "left").select("position", "slot", "into")
+
+
+def _representatives(named: DataFrame, decided: DataFrame) -> DataFrame:
+    held = (
+        decided.where("into is null")
+        .groupBy("slot")
+        .agg(F.min("position").alias("start"), F.max("position").alias("holder"))
+    )
+    codes = named.select("position", F.col("code").alias("taken"))
+    absorbed = (
+        decided.where("into is not null")
+        .join(codes, "position")
+        .join(held.select(F.col("slot").alias("into"), "holder"), "into")
+        .where(F.col("position") > F.col("holder"))
+        .groupBy("into")
+        .agg(F.max(F.struct("position", "taken")).alias("last"))
+    )
+    return (
+        held.join(named.drop("slot"), F.col("holder") == F.col("position"))
+        .join(absorbed, F.col("slot") == F.col("into"), "left")
+        .select(
+            F.col("start").alias("position"),
+            "code",
+            "name",
+            F.when(F.col("last").isNotNull(), F.col("last.taken")).otherwise(F.col("other_code")).alias("other_code"),
+            "area_code",
+            "area_name",
+        )
+        .orderBy("position")
+    )

@@ -51,8 +51,8 @@ def archive_rows(rows: DataFrame, date_report: Column) -> DataFrame:
     return rows.select(F.col(KEY).alias("_id"), date_report.alias("date_report"), "info.*")
 
 
-def archive_transactions(spark: SparkSession, root: str, run: Run, buckets: int = 200) -> bool:
-    """Archive the live transactions; False when there are none or the copy is not whole.
+def archive_transactions(spark: SparkSession, root: str, run: Run) -> bool:
+    """Archive the live transactions; False when there are none, an error when the copy is not whole.
 
     The live table is emptied only after the archive was read back with the same
     number of rows, and by listing an empty version: the archived one stays on
@@ -60,7 +60,7 @@ def archive_transactions(spark: SparkSession, root: str, run: Run, buckets: int
     again: an archive it recorded is kept, one it did not record is written anew.
     """
     schema, manifest = table_schema(spark, ARCHIVED), f"{root}/manifest"
-    live = current(spark, root, ARCHIVED, schema, buckets)
+    live = current(spark, root, ARCHIVED, schema)
     spans = span(live.select(KEY, F.col("info.req_time").alias("req_time")), KEY, F.col("req_time"))
     stamp = f"{run.time:%Y%m%d%H%M%S}"
     entry = manifest_rows(
@@ -74,8 +74,9 @@ def archive_transactions(spark: SparkSession, root: str, run: Run, buckets: int
         if earlier:
             raise FileExistsError(f"{path} was archived by another run")
         archive_rows(live, run.time_column).write.mode("overwrite").parquet(path)
-    if spark.read.schema(archive_rows(live, run.time_column).schema).parquet(path).count() != entry["count"]:
-        return False
+    copied = spark.read.schema(archive_rows(live, run.time_column).schema).parquet(path).count()
+    if copied != entry["count"]:
+        raise RuntimeError(f"{path} holds {copied} of {entry['count']} rows; the live table stays as it is")
     if not earlier:
         append_manifest(spark, manifest, [tuple(entry)])
     publish_empty(spark, root, ARCHIVED, f"{stamp}_empty")

@@ -67,7 +67,7 @@ class Flow:
         return F.coalesce(F.col(self.key).isNotNull() & self.required(), F.lit(False))
 
     def scan(
-        self, documents: DataFrame, run: Run, labels: Labels = Labels(), seen: Observation | None = None
+        self, documents: DataFrame, run: Run, labels: Labels, seen: Observation | None = None
     ) -> DataFrame:
         """Documents of the run's window; problem guides are always read in full.
 
@@ -84,11 +84,11 @@ class Flow:
             F.count_if(self.keep(labels) & ~self._complete()).alias("quarantined"),
         )
 
-    def quarantined(self, documents: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
+    def quarantined(self, documents: DataFrame, run: Run, labels: Labels) -> DataFrame:
         """Records of the window that should be kept but cannot be written, whole, for inspection."""
-        return self.scan(documents, run).filter(self.keep(labels)).filter(~self._complete())
+        return self.scan(documents, run, labels).filter(self.keep(labels)).filter(~self._complete())
 
-    def flatten(self, documents: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
+    def flatten(self, documents: DataFrame, run: Run, labels: Labels) -> DataFrame:
         """Keyed rows of the usable documents, one per key."""
         usable = documents.filter(self.keep(labels)).filter(self._complete())
         extra = self.derive(run, labels)
@@ -113,9 +113,9 @@ class Flow:
             target, rows, family, self.patch.split(), self.fill.split(), companions, history
         )
 
-    def ingest(self, target: DataFrame, documents: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
+    def ingest(self, target: DataFrame, documents: DataFrame, run: Run, labels: Labels) -> DataFrame:
         """Windowed scan, flatten and merge."""
-        return self.merge(target, self.flatten(self.scan(documents, run), run, labels), run)
+        return self.merge(target, self.flatten(self.scan(documents, run, labels), run, labels), run)
 
 
 # Fixed values, all of the column maps below: names of the keyed columns and the

@@ -40,33 +40,34 @@ class Workspace:
     spark: SparkSession
     root: str
     documents: Callable[[str], DataFrame]
+    open_archives: Callable[[list[str]], DataFrame]
+    labels: Labels
     dictionary: str = ""
-    labels: Labels = Labels()
     buckets: int = 200
-    open_archives: Callable[[list[str]], DataFrame] | None = None
 
     def __post_init__(self) -> None:
         configure(self.spark)
 
     def table(self, name: str) -> DataFrame:
-        return current(self.spark, self.root, name, table_schema(self.spark, name), self.buckets)
+        return current(self.spark, self.root, name, table_schema(self.spark, name))
 
-    def _report(self, report: DataFrame, folder: str, stamp: str) -> str:
-        rows = write_report(report, f"{self.root}/{folder}", stamp)
+    def _report(self, report: DataFrame, folder: str, stamp: str, year: int) -> str:
+        """A report is filed under the year of the period it closes, not of the day it runs."""
+        rows = write_report(report, f"{self.root}/{folder}", stamp, year)
         return "" if rows else NO_ROWS
 
     def ingest(self, run: Run) -> dict[str, dict[str, object]]:
         return daily_ingest(
-            self.spark, self.root, self.documents, run, self.labels, self.buckets, self.open_archives
+            self.spark, self.root, self.documents, run, self.labels, self.open_archives, self.buckets
         )
 
     def report_signing(self, run: Run) -> str:
         """Empty text on success, like the other reports."""
-        return self._report(signing_report(self.table(ARCHIVED), run), SIGNING_FOLDER, "data_report")
+        return self._report(signing_report(self.table(ARCHIVED), run), SIGNING_FOLDER, "data_report", run.closed_month_end.year)
 
     def report_cumulative(self, run: Run) -> str:
         report = cumulative_report(self.table("Credential"), self.table("Cert"), run)
-        return self._report(report, CUMULATIVE_FOLDER, "date_report")
+        return self._report(report, CUMULATIVE_FOLDER, "date_report", run.closed_day.year)
 
     def report_order_state(self, run: Run) -> str:
         report = order_state_report(
@@ -76,12 +77,12 @@ class Workspace:
             read_localities(self.spark, self.root, self.labels),
             run,
         )
-        return self._report(report, ORDER_STATE_FOLDER, "ngay_lay_dl")
+        return self._report(report, ORDER_STATE_FOLDER, "ngay_lay_dl", run.closed_day.year)
 
     def cut_off(self, table: str, run: Run) -> bool:
         """Archive or snapshot a table. Other known tables are accepted, unknown ones refused."""
         if table == ARCHIVED:
-            return archive_transactions(self.spark, self.root, run, self.buckets)
+            return archive_transactions(self.spark, self.root, run)
         if table == "Locality":
             wards, areas = self.documents("Wards"), self.documents("AreaLocal")
             publish_localities(self.spark, self.root, wards, areas, run, self.labels)

@@ -10,11 +10,11 @@ class Labels:
     """The operator running the service and the service's product name.
 
     They occur in package names, in two geography field names and in report
-    headers; data and headers of a deployment match once both are given.
+    headers; data and headers of a deployment match only with the right ones, so neither has a default.
     """
 
-    operator: str = "Operator"
-    service: str = "Service"
+    operator: str
+    service: str
 
     @property
     def personal_packages(self) -> tuple[str, ...]:

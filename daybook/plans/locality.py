@@ -9,14 +9,14 @@ from daybook.operators.aliases import fold_aliases
 from daybook.operators.lookups import resolve_area
 from daybook.plans.labels import Labels
 from daybook.plans.run import Run
-from daybook.sources.archives import append_manifest, latest_path, read_manifest
+from daybook.sources.archives import append_manifest, latest_path, read_manifest, recorded
 from daybook.sources.parquet import typed
 
 # Fixed value: code of the area that stands for the whole country.
 WHOLE_COUNTRY = "00"
 
 
-def ward_schema(labels: Labels = Labels()) -> str:
+def ward_schema(labels: Labels) -> str:
     # Field names of the ward documents.
     return (
         "ProvinceId int, ProvinceName string, ProvinceCode string, DistrictId int, DistrictName string, "
@@ -24,7 +24,7 @@ def ward_schema(labels: Labels = Labels()) -> str:
     )
 
 
-def snapshot_schema(labels: Labels = Labels()) -> str:
+def snapshot_schema(labels: Labels) -> str:
     # Columns of the snapshot.
     return (
         "area_local_code string, area_local_name string, province_id int, province_name string, "
@@ -54,7 +54,7 @@ def explode_areas(areas: DataFrame) -> DataFrame:
     )
 
 
-def locality_snapshot(wards: DataFrame, areas: DataFrame, labels: Labels = Labels()) -> DataFrame:
+def locality_snapshot(wards: DataFrame, areas: DataFrame, labels: Labels) -> DataFrame:
     representatives = fold_aliases(explode_areas(areas))
     resolved = resolve_area(
         wards.withColumn("province_code", F.coalesce("ProvinceCode", F.lit(""))), representatives, "province_code"
@@ -78,12 +78,18 @@ def locality_snapshot(wards: DataFrame, areas: DataFrame, labels: Labels = Label
 
 
 def publish_localities(
-    spark: SparkSession, root: str, wards: DataFrame, areas: DataFrame, run: Run, labels: Labels = Labels()
+    spark: SparkSession, root: str, wards: DataFrame, areas: DataFrame, run: Run, labels: Labels
 ) -> str:
-    """Write a snapshot and its manifest row; returns the path."""
+    """Write a snapshot and its manifest row; returns the path.
+
+    A path without a manifest row is what a failed run left behind, and is written
+    anew; a recorded one is kept.
+    """
     stamp, at = f"{run.time:%Y%m%d%H%M%S}", f"{run.time:%Y-%m-%d %H:%M:%S.%f}"
     path = f"{root}/locality/locality_{stamp}.parquet"
-    locality_snapshot(wards, areas, labels).write.mode("error").parquet(path)
+    if recorded(spark, f"{root}/manifest", path):
+        return path
+    locality_snapshot(wards, areas, labels).write.mode("overwrite").parquet(path)
     count = spark.read.parquet(path).count()
     append_manifest(
         spark, f"{root}/manifest", [(stamp, at, at, "Locality", path, "Update data by request", count)]
@@ -91,7 +97,7 @@ def publish_localities(
     return path
 
 
-def read_localities(spark: SparkSession, root: str, labels: Labels = Labels()) -> DataFrame:
+def read_localities(spark: SparkSession, root: str, labels: Labels) -> DataFrame:
     """The newest snapshot."""
     path = latest_path(read_manifest(spark, f"{root}/manifest"), "Locality")
     if path is None:

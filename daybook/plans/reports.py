@@ -428,7 +428,7 @@ def display_signing(report: DataFrame) -> DataFrame:
     )
 
 
-def display_cumulative(report: DataFrame, run: Run, labels: Labels = Labels()) -> DataFrame:
+def display_cumulative(report: DataFrame, run: Run, labels: Labels) -> DataFrame:
     """The report without its date, under presentation headers, in locality order."""
     headers = cumulative_headers(run, labels)
     return report.drop("date_report").orderBy("locality_code").toDF(*headers.values())

@@ -3,40 +3,52 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
-from daybook.operators.merge import PERIOD
+from daybook.operators.merge import KEY, PERIOD
 from daybook.plans import flows
 from daybook.plans.flows import Flow
 from daybook.plans.labels import Labels
 from daybook.plans.run import Run
+from daybook.session import work_folder
 from daybook.sources.archives import scan_with_archives
 from daybook.sources.collections import SCHEMAS
 from daybook.sources.keyed import (
+    bucket_count,
+    changed_keys,
     current,
+    discard,
     is_published,
     publish,
+    rows_of_periods,
     shuffled_by_bucket,
     stage,
-    touched_rows,
     version_path,
 )
 
 ALL_FLOWS = (*flows.DAILY, flows.PROBLEM_GUIDE)
 
 
-@lru_cache(maxsize=None)
 def table_schema(spark: SparkSession, table: str) -> StructType:
     """``row_key``, a struct per family of every flow into the table, its history map, and the period."""
-    run = Run.on("2000-01-01")
+    if table not in _SCHEMAS:
+        _SCHEMAS[table] = _table_schema(spark, table)
+    return _SCHEMAS[table]
+
+
+# Shapes are the same in every session; only their text form is kept.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def _table_schema(spark: SparkSession, table: str) -> StructType:
+    run, labels = Run.on("2000-01-01"), Labels("-", "-")
     columns = ["row_key string"]
     for flow in ALL_FLOWS:
         if flow.table != table:
             continue
-        shape = flow.flatten(spark.createDataFrame([], SCHEMAS[flow.collection]), run).schema
+        shape = flow.flatten(spark.createDataFrame([], SCHEMAS[flow.collection]), run, labels).schema
         columns += [f"{family} {shape[family].dataType.simpleString()}" for family in flow.families]
         if flow.history:
             columns.append(f"{flow.history[0]} map<date,string>")
@@ -55,23 +67,33 @@ def ingest_into(
     documents: DataFrame,
     run: Run,
     stamp: str,
-    labels: Labels = Labels(),
+    labels: Labels,
     buckets: int = 200,
 ) -> dict[str, object]:
     """Merge one collection into the stored table and make the result current.
 
-    The batch is written once, bucketed like the table, as two steps read it: its
-    keys tell which periods of the table it touches, and only those are merged and
-    written again. Returns the new path and how many records were scanned and
-    quarantined.
+    The batch is written once, bucketed like the table. It is merged with the rows
+    of its own keys first, which tells what really changes; only the periods of
+    those rows are written again, and none if nothing changes. ``buckets`` counts
+    for the first version of a table; later ones keep its buckets. Returns the new
+    path and how many records were scanned and quarantined.
     """
     schema = table_schema(spark, flow.table)
+    buckets = bucket_count(spark, root, flow.table, buckets)
     seen = Observation()
+    staged = work_folder(spark, "batch")
     with shuffled_by_bucket(spark, buckets):
-        target = current(spark, root, flow.table, schema, buckets)
-        batch = stage(flow.flatten(flow.scan(documents, run, labels, seen), run, labels), buckets)
-        merged = flow.merge(touched_rows(target, batch), batch, run)
+        target = current(spark, root, flow.table, schema)
+        batch = stage(flow.flatten(flow.scan(documents, run, labels, seen), run, labels), buckets, staged)
+        old = target.join(batch.select(KEY), KEY, "left_semi")
+        moved = work_folder(spark, "changed")
+        changes = stage(changed_keys(old, flow.merge(old, batch, run)), buckets, moved)
+        periods = [row[PERIOD] for row in changes.select(PERIOD).distinct().collect()]
+        touched = rows_of_periods(target, periods)
+        merged = flow.merge(touched, batch.join(changes.select(KEY), KEY, "left_semi"), run)
         path = publish(merged, root, flow.table, stamp, buckets)
+    discard(batch, staged)
+    discard(changes, moved)
     return {"path": path, **seen.get}
 
 
@@ -80,15 +102,15 @@ def daily_ingest(
     root: str,
     documents: Callable[[str], DataFrame],
     run: Run,
-    labels: Labels = Labels(),
+    labels: Labels,
+    open_archives: Callable[[list[str]], DataFrame],
     buckets: int = 200,
-    open_archives: Callable[[list[str]], DataFrame] | None = None,
 ) -> dict[str, dict[str, object]]:
     """All flows in order; the outcome of each by collection.
 
     A run that is started again, with the same run time, goes on after the tables
-    it has already published. With ``open_archives`` transactions come from the live collection and from
-    every archived one whose time span meets the window.
+    it has already published. Transactions come from the live collection and from
+    every archived one whose time span meets the window; ``open_archives`` opens these.
     """
     outcome = {}
     for step, flow in enumerate(flows.DAILY):
@@ -97,7 +119,7 @@ def daily_ingest(
             outcome[flow.collection] = {"path": version_path(root, flow.table, stamp)}
             continue
         source = documents(flow.collection)
-        if open_archives and flow is flows.SIGNATURE_TRANSACTION:
+        if flow is flows.SIGNATURE_TRANSACTION:
             window = run.ingest_window
             source = scan_with_archives(source, documents("CutOff"), flow.collection, *window, open_archives)
         outcome[flow.collection] = ingest_into(spark, root, flow, source, run, stamp, labels, buckets)

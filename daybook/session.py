@@ -47,3 +47,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a path below the work folder, on whatever file system it lies."""
+    if "/daybook-" not in path:
+        raise ValueError(f"{path} is no work folder")
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -15,18 +15,27 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 from daybook.operators.merge import KEY, PERIOD
-from daybook.session import path_exists, work_folder
+from daybook.session import path_exists, remove_path
 
-VERSIONS_DDL = "stamp string, table_name string, period string, path string, count bigint"
+# ``sequence`` counts publications of a table: the newest path is the last published
+# one, whatever its stamp. ``buckets`` is what the files of a path were written with.
+VERSIONS_DDL = (
+    "stamp string, table_name string, period string, path string, count bigint, sequence bigint, buckets int"
+)
 
 
 def _catalog_name(*parts: str) -> str:
     return "keyed_" + hashlib.md5("\n".join(parts).encode()).hexdigest()
 
 
+def _quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def version_path(root: str, table: str, stamp: str) -> str:
     return f"{root}/{table}/{table}_{stamp}"
 
@@ -46,33 +55,53 @@ def is_published(spark: SparkSession, root: str, table: str, stamp: str) -> bool
     return not _versions(spark, root, table).filter(F.col("stamp") == stamp).isEmpty()
 
 
-def _locations(spark: SparkSession, root: str, table: str) -> dict[str, str]:
-    """Newest path of each period that holds rows; as many as there are periods."""
+def _next_sequence(spark: SparkSession, root: str, table: str) -> int:
+    return (_versions(spark, root, table).agg(F.max("sequence")).first()[0] or 0) + 1
+
+
+def _locations(spark: SparkSession, root: str, table: str) -> dict[str, tuple[str, int]]:
+    """Newest path of each period that holds rows, and its buckets; as many as there are periods."""
     newest = (
         _versions(spark, root, table)
         .filter(F.col("period").isNotNull())
         .groupBy("period")
-        .agg(F.max_by("path", "stamp").alias("path"))
+        .agg(F.max_by(F.struct("path", "buckets"), "sequence").alias("newest"))
+        .select("period", "newest.*")
     )
-    return {row["period"]: row["path"] for row in newest.collect() if row["path"]}
+    return {row["period"]: (row["path"], row["buckets"]) for row in newest.collect() if row["path"]}
 
 
-def current(spark: SparkSession, root: str, table: str, schema: StructType, buckets: int) -> DataFrame:
+def bucket_count(spark: SparkSession, root: str, table: str, wanted: int) -> int:
+    """What the table's files are bucketed by; ``wanted`` if it has none yet.
+
+    Every version of a table is written with the count of the one before, so that
+    all its periods are bucketed alike.
+    """
+    counts = {buckets for _, buckets in _locations(spark, root, table).values()}
+    if len(counts) > 1:
+        raise ValueError(f"periods of {table} are bucketed unlike: {sorted(counts)}")
+    return counts.pop() if counts else wanted
+
+
+def current(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
     """The current version; empty before the first one.
 
     Joins and aggregates on the key read it without a shuffle, and a filter on
     the period reads only the periods it names.
     """
-    locations = _locations(spark, root, table)
+    locations = {period: path for period, (path, _) in _locations(spark, root, table).items()}
     if not locations:
         return spark.createDataFrame([], schema)
+    buckets = bucket_count(spark, root, table, 0)
     name = _catalog_name(*sorted(locations.values()))
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet PARTITIONED BY (`{PERIOD}`) "
-        f"CLUSTERED BY (`{KEY}`) SORTED BY (`{KEY}`) INTO {buckets} BUCKETS LOCATION '{root}/{table}/{name}'"
+        f"CLUSTERED BY (`{KEY}`) SORTED BY (`{KEY}`) INTO {buckets} BUCKETS LOCATION {_quoted(f'{root}/{table}/{name}')}"
+    )
+    partitions = " ".join(
+        f"PARTITION (`{PERIOD}` = {_quoted(p)}) LOCATION {_quoted(path)}" for p, path in locations.items()
     )
-    partitions = " ".join(f"PARTITION (`{PERIOD}` = '{p}') LOCATION '{path}'" for p, path in locations.items())
     spark.sql(f"ALTER TABLE `{name}` ADD IF NOT EXISTS {partitions}")
     return spark.table(f"`{name}`")
 
@@ -93,28 +122,40 @@ def shuffled_by_bucket(spark: SparkSession, buckets: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def stage(rows: DataFrame, buckets: int) -> DataFrame:
-    """Rows written to the shared work folder, bucketed by key, for more than one use."""
+def stage(rows: DataFrame, buckets: int, path: str) -> DataFrame:
+    """Rows written to a path of the shared work folder, bucketed by key, for more than one use."""
     spark = rows.sparkSession
-    path = work_folder(spark, "batch")
     name = _catalog_name(path)
     rows.write.option("path", path).bucketBy(buckets, KEY).sortBy(KEY).saveAsTable(name)
     return spark.table(name)
 
 
-def touched_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Rows of the periods a batch changes: where its keys lie, or will lie if they are new.
+def discard(staged: DataFrame, path: str) -> None:
+    """Forget a staged batch and remove its files."""
+    spark = staged.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS `{_catalog_name(path)}`")
+    remove_path(spark, path)
+
+
+def rows_of_periods(target: DataFrame, periods: list[str]) -> DataFrame:
+    return target.filter(F.col(PERIOD).isin(periods))
+
+
+def changed_keys(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(row_key, period) of the rows of ``new`` that ``old`` lacks or has otherwise.
 
-    Only the keys of the table are read for it.
+    Both hold a key once and are bucketed by it, so nothing is shuffled.
     """
-    lying = target.select(KEY, F.col(PERIOD).alias("lies"))
-    periods = (
-        batch.select(KEY, PERIOD)
-        .join(lying, KEY, "left")
-        .select(F.coalesce("lies", PERIOD).alias("period"))
-        .distinct()
+    cells = lambda df: F.struct(
+        *[
+            F.array_sort(F.map_entries(f.name)).alias(f.name) if isinstance(f.dataType, MapType) else F.col(f.name)
+            for f in sorted(df.schema.fields, key=lambda f: f.name)
+            if f.name != KEY
+        ]
     )
-    return target.filter(F.col(PERIOD).isin([row["period"] for row in periods.collect()]))
+    before = old.select(KEY, cells(old).alias("before"))
+    after = new.select(KEY, PERIOD, cells(new).alias("after"))
+    return after.join(before, KEY, "left").filter(~F.col("after").eqNullSafe(F.col("before"))).select(KEY, PERIOD)
 
 
 def publish(rows: DataFrame, root: str, table: str, stamp: str, buckets: int) -> str:
@@ -125,7 +166,7 @@ def publish(rows: DataFrame, root: str, table: str, stamp: str, buckets: int) ->
     anew; a listed one is never touched.
     """
     spark = rows.sparkSession
-    path = version_path(root, table, stamp)
+    path, sequence = version_path(root, table, stamp), _next_sequence(spark, root, table)
     if is_published(spark, root, table, stamp):
         raise FileExistsError(f"version {stamp} of {table} is already published")
     (
@@ -137,13 +178,16 @@ def publish(rows: DataFrame, root: str, table: str, stamp: str, buckets: int) ->
         .saveAsTable(_catalog_name(path))
     )
     counts = spark.table(_catalog_name(path)).groupBy(PERIOD).count().collect()
-    listed = [(stamp, table, c[PERIOD], f"{path}/{PERIOD}={c[PERIOD]}", c["count"]) for c in counts]
+    listed = [(stamp, table, c[PERIOD], f"{path}/{PERIOD}={c[PERIOD]}", c["count"], sequence, buckets) for c in counts]
     # The row without a period marks the version as complete, even one without rows.
-    _list_version(spark, root, [*listed, (stamp, table, None, path, sum(c["count"] for c in counts))])
+    _list_version(spark, root, [*listed, (stamp, table, None, path, sum(c["count"] for c in counts), sequence, buckets)])
+    # The version is read by its listed paths; the name it was written under is not needed again.
+    spark.sql(f"DROP TABLE IF EXISTS `{_catalog_name(path)}`")
     return path
 
 
 def publish_empty(spark: SparkSession, root: str, table: str, stamp: str) -> None:
     """Make the table empty: every period it has gets a version without a path."""
-    emptied = [(stamp, table, period, "", 0) for period in _locations(spark, root, table)]
-    _list_version(spark, root, [*emptied, (stamp, table, None, "", 0)])
+    sequence = _next_sequence(spark, root, table)
+    emptied = [(stamp, table, period, "", 0, sequence, None) for period in _locations(spark, root, table)]
+    _list_version(spark, root, [*emptied, (stamp, table, None, "", 0, sequence, None)])

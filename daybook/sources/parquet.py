@@ -25,24 +25,29 @@ def typed(rows: DataFrame, ddl: str) -> DataFrame:
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """Status dictionary with the position of each entry, for first-match lookups."""
-    return spark.read.schema(DICTIONARY_DDL).parquet(path).withColumn("position", F.monotonically_increasing_id())
+    """Status dictionary with the position of each entry, for first-match lookups.
+
+    Positions follow the names of the files and the rows within them, however
+    Spark deals the files out.
+    """
+    place = F.struct("_metadata.file_path", "_metadata.row_index")
+    return spark.read.schema(DICTIONARY_DDL).parquet(path).withColumn("position", place)
 
 
-def write_report(report: DataFrame, path: str, stamp: str) -> int:
+def write_report(report: DataFrame, path: str, stamp: str, year: int) -> int:
     """Append a report below its year and stamp; returns its number of rows.
 
     Only the partitions present in ``report`` are replaced, so a second run of
     the same stamp replaces its rows instead of doubling them, and an empty report
-    writes no rows. ``stamp`` is the column that identifies the run; its first run
-    of four digits is the year.
+    writes no rows. ``stamp`` is the column that identifies the run, ``year`` that
+    of the period the report is about.
     """
     written = Observation()
     keyed = report.observe(written, F.count("*").alias("rows")).withColumn(
         "report_stamp", F.col(stamp).cast("string")
     )
     (
-        keyed.withColumn("report_year", F.regexp_extract("report_stamp", r"(\d{4})", 1))
+        keyed.withColumn("report_year", F.lit(str(year)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("report_year", "report_stamp")

@@ -23,6 +23,7 @@ from daybook.sources.keyed import current
 from daybook.verification.registry import query
 from daybook.verification.tables import table
 
+LABELS = Labels("Operator", "BUILDING")
 FIRST, SECOND = Run.on("1998-06-15"), Run.on("1999-03-01")
 FIRST_WINDOW = ("1997-06-14 17:00:00", "1998-06-14 17:00:00")
 SECOND_WINDOW = ("1998-02-28 17:00:00", "1999-02-28 17:00:00")
@@ -250,8 +251,8 @@ CERT_ORDER_COLUMNS = (
     text="info_updated_date info_log_created_date",
 )
 def cert_order_two_runs(spark: SparkSession, folder: str) -> DataFrame:
-    first = flows.CERT_ORDER.ingest(empty_table(spark, "CertOrder"), cert_order_documents(spark, folder, False), FIRST)
-    return flat(flows.CERT_ORDER.ingest(first, cert_order_documents(spark, folder, True), SECOND))
+    first = flows.CERT_ORDER.ingest(empty_table(spark, "CertOrder"), cert_order_documents(spark, folder, False), FIRST, LABELS)
+    return flat(flows.CERT_ORDER.ingest(first, cert_order_documents(spark, folder, True), SECOND, LABELS))
 
 
 # --- registrations and users into one table --------------------------------------
@@ -387,8 +388,8 @@ b as (
 select coalesce(a.k, b.k) as row_key, a.* exclude (k), b.* exclude (k) from a full outer join b on a.k = b.k
 """, text="register_create_date register_modified_date info_create_date info_modified_date")
 def user_table(spark: SparkSession, folder: str) -> DataFrame:
-    registered = flows.REGISTER.ingest(empty_table(spark, "User"), register_documents(spark, folder), FIRST)
-    return flat(flows.USER.ingest(registered, user_documents(spark, folder), FIRST))
+    registered = flows.REGISTER.ingest(empty_table(spark, "User"), register_documents(spark, folder), FIRST, LABELS)
+    return flat(flows.USER.ingest(registered, user_documents(spark, folder), FIRST, LABELS))
 
 
 # --- signing-turn orders ---------------------------------------------------------
@@ -466,7 +467,7 @@ from newest
 """)
 def turn_order_table(spark: SparkSession, folder: str) -> DataFrame:
     target = empty_table(spark, "PersonalSignTurnOrder")
-    return flat(flows.PERSONAL_SIGN_TURN_ORDER.ingest(target, turn_order_documents(spark, folder), FIRST))
+    return flat(flows.PERSONAL_SIGN_TURN_ORDER.ingest(target, turn_order_documents(spark, folder), FIRST, LABELS))
 
 
 # --- certificate requests and certificates into one table ------------------------
@@ -544,13 +545,13 @@ b as (
 select coalesce(a.k, b.k) as row_key, a.* exclude (k), b.* exclude (k) from a full outer join b on a.k = b.k
 """, text="info_created_date info_updated_time info_approve_time cert_valid_from cert_valid_to cert_cert_created_date")
 def cert_table(spark: SparkSession, folder: str) -> DataFrame:
-    requested = flows.REQUEST_CERT.ingest(empty_table(spark, "Cert"), request_documents(spark, folder), FIRST)
-    return flat(flows.CERT.ingest(requested, cert_documents(spark, folder), FIRST))
+    requested = flows.REQUEST_CERT.ingest(empty_table(spark, "Cert"), request_documents(spark, folder), FIRST, LABELS)
+    return flat(flows.CERT.ingest(requested, cert_documents(spark, folder), FIRST, LABELS))
 
 
 # --- credentials with status history, two runs -----------------------------------
 
-LABELS = Labels(service="BUILDING")
+
 
 
 def credential_documents(spark: SparkSession, folder: str, later: bool) -> DataFrame:
@@ -700,7 +701,17 @@ def credential_stored_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     for run, later in ((FIRST, False), (SECOND, True)):
         source = credential_documents(spark, folder, later)
         ingest_into(spark, root, flow, source, run, run.run_date.isoformat(), LABELS, buckets=4)
-    return flat(current(spark, root, flow.table, table_schema(spark, flow.table), 4))
+    return flat(current(spark, root, flow.table, table_schema(spark, flow.table)))
+
+
+@query(CREDENTIALS_SQL, text="info_valid_from info_valid_to")
+def stored_merge_new_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """As above, the second run asking for other buckets than the table has: every key stays once."""
+    root, flow = work_folder(spark, "credentials"), flows.CREDENTIAL
+    for run, later, buckets in ((FIRST, False, 4), (SECOND, True, 8)):
+        source = credential_documents(spark, folder, later)
+        ingest_into(spark, root, flow, source, run, run.run_date.isoformat(), LABELS, buckets=buckets)
+    return flat(current(spark, root, flow.table, table_schema(spark, flow.table)))
 
 
 @query(
@@ -728,7 +739,7 @@ where o_orderdate + interval 1 day >= timestamp '{FIRST_WINDOW[0]}' and o_orderd
 """)
 def credential_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     documents = credential_documents(spark, folder, False)
-    return flows.CREDENTIAL.quarantined(documents, FIRST).select(F.col("_id").alias("row_key"))
+    return flows.CREDENTIAL.quarantined(documents, FIRST, LABELS).select(F.col("_id").alias("row_key"))
 
 
 # --- signature transactions ------------------------------------------------------
@@ -771,7 +782,7 @@ _TRANSACTION_TAGS = """
 """
 
 
-@query(f"""
+TRANSACTIONS_SQL = f"""
 with e as (select *, cast(event_id as varchar) as k, date_trunc('second', ts) as second from events)
 select k as row_key, {tag_sql("info", _TRANSACTION_TAGS)},
        case when ts >= timestamp '2024-01-15 00:00:00' and second < timestamp '2024-01-24 17:00:00' then '1' else event_type end as info_status,
@@ -781,13 +792,26 @@ select k as row_key, {tag_sql("info", _TRANSACTION_TAGS)},
             then epoch_ms(second + interval 1 minute) end as info_finish_date,
        cast(user_id as varchar) as info_app_id, event_type as info_app_name
 from e where second < timestamp '2024-01-28 17:00:00'
-""", text="info_expired_time info_finish_date")
+"""
+
+
+@query(TRANSACTIONS_SQL, text="info_expired_time info_finish_date")
 def transaction_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     flow = flows.SIGNATURE_TRANSACTION
     first = flow.ingest(
-        empty_table(spark, flow.table), transaction_documents(spark, folder, False), Run.on("2024-01-29")
+        empty_table(spark, flow.table), transaction_documents(spark, folder, False), Run.on("2024-01-29"), LABELS
     )
-    return flat(flow.ingest(first, transaction_documents(spark, folder, True), Run.on("2024-01-25")))
+    return flat(flow.ingest(first, transaction_documents(spark, folder, True), Run.on("2024-01-25"), LABELS))
+
+
+@query(TRANSACTIONS_SQL, text="info_expired_time info_finish_date")
+def stored_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    """As above through storage: the run of an earlier day comes second and counts."""
+    root, flow = work_folder(spark, "backfill"), flows.SIGNATURE_TRANSACTION
+    for day, changed in (("2024-01-29", False), ("2024-01-25", True)):
+        source = transaction_documents(spark, folder, changed)
+        ingest_into(spark, root, flow, source, Run.on(day), day, LABELS, buckets=4)
+    return flat(current(spark, root, flow.table, table_schema(spark, flow.table)))
 
 
 # --- problem guides --------------------------------------------------------------
@@ -820,4 +844,4 @@ from t qualify row_number() over (partition by k order by info_created_date desc
 """)
 def problem_guide_table(spark: SparkSession, folder: str) -> DataFrame:
     target = empty_table(spark, "ProblemGuide")
-    return flat(flows.PROBLEM_GUIDE.ingest(target, guide_documents(spark, folder), Run.on("2024-02-01")))
+    return flat(flows.PROBLEM_GUIDE.ingest(target, guide_documents(spark, folder), Run.on("2024-02-01"), LABELS))

@@ -191,14 +191,14 @@ def accumulated_by_locality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _display_sql() -> str:
-    headers = cumulative_headers(CUMULATIVE_RUN, Labels())
+    headers = cumulative_headers(CUMULATIVE_RUN, Labels("Operator", "Service"))
     named = ", ".join(f'{column} as "{header}"' for column, header in headers.items())
     return f"select {named} from ({CUMULATIVE_SQL})"
 
 
 @query(_display_sql())
 def accumulated_display(spark: SparkSession, folder: str) -> DataFrame:
-    return display_cumulative(accumulated_by_locality(spark, folder), CUMULATIVE_RUN)
+    return display_cumulative(accumulated_by_locality(spark, folder), CUMULATIVE_RUN, Labels("Operator", "Service"))
 
 
 @query(f"""
@@ -371,5 +371,5 @@ def report_append(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("info"),
     )
     for day in ("1998-06-15", "1998-07-15", "1998-06-15"):
-        write_report(signing_report(orders, Run.on(day)), path, "data_report")
+        write_report(signing_report(orders, run := Run.on(day)), path, "data_report", run.closed_month_end.year)
     return read_where(spark, path).select("data_report", "client_id", "month", "success", "un_success")

@@ -16,7 +16,7 @@ from daybook.plans.tables import ingest_into, table_schema
 from daybook.session import work_folder
 from daybook.sources.archives import latest_entry, overlapping, read_manifest
 from daybook.sources.keyed import current
-from daybook.verification.flows import transaction_documents
+from daybook.verification.flows import LABELS, transaction_documents
 from daybook.verification.lookups import areas, fold_sql
 from daybook.verification.registry import query
 from daybook.verification.tables import table
@@ -63,9 +63,10 @@ def locality_snapshot_by_ward(spark: SparkSession, folder: str) -> DataFrame:
     """Two snapshots published; the newest one is read back through the manifest."""
     root = work_folder(spark, "localities")
     wards, area_documents = ward_documents(spark, folder), areas(spark, folder)
-    publish_localities(spark, root, wards.limit(0), area_documents, Run.on("1998-06-14"))
-    publish_localities(spark, root, wards, area_documents, Run.on("1998-06-15"))
-    return read_localities(spark, root)
+    older = wards.withColumn("WardId", F.col("WardId") + 1)
+    publish_localities(spark, root, older, area_documents, Run.on("1998-06-14"), LABELS)
+    publish_localities(spark, root, wards, area_documents, Run.on("1998-06-15"), LABELS)
+    return read_localities(spark, root, LABELS)
 
 
 # Months of orders as archives, against a closed window and both half-open ones.
@@ -145,13 +146,13 @@ def archive_and_empty(spark: SparkSession, folder: str) -> DataFrame:
     root = work_folder(spark, "archiving")
     run = Run.on("2024-01-29")
     documents = transaction_documents(spark, folder, False)
-    ingest_into(spark, root, SIGNATURE_TRANSACTION, documents, run, "20240129000000", buckets=4)
-    if not archive_transactions(spark, root, run, buckets=4):
+    ingest_into(spark, root, SIGNATURE_TRANSACTION, documents, run, "20240129000000", LABELS, buckets=4)
+    if not archive_transactions(spark, root, run):
         raise RuntimeError("the archive is not whole")
     manifest = read_manifest(spark, f"{root}/manifest")
     entry = latest_entry(manifest, ARCHIVED).first()
     archive = spark.read.parquet(entry["file_name"])
-    live = current(spark, root, ARCHIVED, table_schema(spark, ARCHIVED), 4)
+    live = current(spark, root, ARCHIVED, table_schema(spark, ARCHIVED))
 
     def counted(rows: DataFrame, what: str) -> DataFrame:
         return rows.agg(

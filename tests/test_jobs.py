@@ -126,7 +126,7 @@ def space(spark):
     entries = [("status", "CertOrder", 52, "failed"), ("status", "Register", 3, "done")]
     spark.createDataFrame(entries, "type string, table string, code int, description_vi string").write.parquet(dictionary)
     documents = Documents(spark)
-    return Workspace(spark, root, documents, dictionary, LABELS, 4, documents.archives)
+    return Workspace(spark, root, documents, documents.archives, LABELS, dictionary, 4)
 
 
 def test_daily_ingest_reports_and_cut_off(spark, space):
@@ -204,10 +204,10 @@ def test_archiving_can_be_started_again(spark, monkeypatch):
     root = work_folder(spark, "again")
     rows = [{"_id": f"x{i}", "reqTime": datetime(2025, 4, 20 + i)} for i in range(3)]
     documents = spark.createDataFrame(rows, SCHEMAS["SignatureTransaction"])
-    ingest_into(spark, root, flows.SIGNATURE_TRANSACTION, documents, RUN, "1", buckets=4)
+    ingest_into(spark, root, flows.SIGNATURE_TRANSACTION, documents, RUN, "1", LABELS, buckets=4)
 
     def live():
-        return current(spark, root, "SignatureTransaction", table_schema(spark, "SignatureTransaction"), 4).count()
+        return current(spark, root, "SignatureTransaction", table_schema(spark, "SignatureTransaction")).count()
 
     def fail(*_, **__):
         raise RuntimeError("lost")
@@ -216,16 +216,16 @@ def test_archiving_can_be_started_again(spark, monkeypatch):
         with monkeypatch.context() as patched:
             patched.setattr(archiving, step, fail)
             with pytest.raises(RuntimeError):
-                archiving.archive_transactions(spark, root, NEXT, 4)
+                archiving.archive_transactions(spark, root, NEXT)
         assert live() == 3, "nothing is emptied before the archive is recorded"
-    assert archiving.archive_transactions(spark, root, NEXT, 4)
+    assert archiving.archive_transactions(spark, root, NEXT)
     assert live() == 0
     assert read_manifest(spark, f"{root}/manifest").count() == 1
 
     # The same rows once more, under another run: the recorded archive is not overwritten.
-    ingest_into(spark, root, flows.SIGNATURE_TRANSACTION, documents, RUN, "3", buckets=4)
+    ingest_into(spark, root, flows.SIGNATURE_TRANSACTION, documents, RUN, "3", LABELS, buckets=4)
     with pytest.raises(FileExistsError):
-        archiving.archive_transactions(spark, root, Run.on("2025-07-01"), 4)
+        archiving.archive_transactions(spark, root, Run.on("2025-07-01"))
     assert live() == 3
 
 

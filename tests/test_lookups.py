@@ -1,14 +1,16 @@
+import random
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-import pytest
 
-from daybook.operators import aliases
 from daybook.operators.aliases import fold_aliases
 from daybook.operators.lookups import decode_province, decode_status, resolve_area, status_entries
+from daybook.plans.labels import Labels
 from daybook.plans.locality import explode_areas, locality_snapshot, ward_schema
 from daybook.sources.collections import SCHEMAS
 
+LABELS = Labels("Operator", "Service")
 AREAS = "position int, code string, name string, other_code string, area_code string, area_name string"
 
 
@@ -67,7 +69,7 @@ def model_fold(areas):
 NAME = st.text("abB", max_size=4)
 
 
-@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("123456"), NAME, st.sampled_from(["", "z"])), max_size=9))
 def test_fold_against_a_row_by_row_model(spark, areas):
     rows = [(i, c, n, o, "r", "region") for i, (c, n, o) in enumerate(areas)]
@@ -75,11 +77,13 @@ def test_fold_against_a_row_by_row_model(spark, areas):
     assert [(r.code, r.name, r.other_code) for r in folded.collect()] == model_fold(areas)
 
 
-def test_fold_refuses_what_is_no_area_dimension(spark, monkeypatch):
-    monkeypatch.setattr(aliases, "MAX_AREAS", 2)
-    rows = [(i, str(i), f"name {i}", "", "r", "region") for i in range(3)]
-    with pytest.raises(ValueError):
-        fold_aliases(spark.createDataFrame(rows, AREAS))
+def test_fold_of_many_areas(spark):
+    """More areas than any task would fold alone, in chains and with repeated codes."""
+    rng = random.Random(6)
+    areas = [(str(rng.randrange(9000)), f"{rng.randrange(1 << 24):x}", "") for _ in range(12_000)]
+    rows = [(i, c, n, o, "r", "region") for i, (c, n, o) in enumerate(areas)]
+    folded = fold_aliases(spark.createDataFrame(rows, AREAS)).collect()
+    assert [(r.code, r.name, r.other_code) for r in folded] == model_fold(areas)
 
 
 def test_locality_snapshot(spark):
@@ -100,9 +104,9 @@ def test_locality_snapshot(spark):
             (3, "p", "SO", 1, "d", 1, 3, "w", 1, False),
             (4, "p", "K", 1, "d", 1, 4, "w", 1, False),
         ],
-        ward_schema(),
+        ward_schema(LABELS),
     )
-    got = {r.ward_id: r for r in locality_snapshot(wards, areas).collect()}
+    got = {r.ward_id: r for r in locality_snapshot(wards, areas, LABELS).collect()}
     assert set(got) == {1, 2, 3}
     assert (got[1].province_code, got[1].province_other_code, got[1].area_local_name) == ("HN", "HT", "north")
     assert (got[2].province_code, got[2].province_name, got[2].co_tuyen_thu) == ("HN", "", False)

@@ -23,7 +23,7 @@ def stored(spark):
         schema = table_schema(spark, name)
         row = {"row_key": "k", "period": "2025-04", **families}
         publish(spark.createDataFrame([row], schema), root, name, "1", 8)
-        return current(spark, root, name, schema, 8)
+        return current(spark, root, name, schema)
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield {

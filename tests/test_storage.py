@@ -7,12 +7,14 @@ from daybook.operators.merge import insert_or_patch, latest_per_key
 from daybook.sources.archives import append_manifest, latest_entry, latest_path, read_manifest, scan_with_archives
 from daybook.sources.collections import SCHEMAS, in_window, read_collection
 from daybook.sources.keyed import (
+    bucket_count,
+    changed_keys,
     current,
     is_published,
     publish,
     publish_empty,
     stage,
-    touched_rows,
+    rows_of_periods,
     version_path,
 )
 from daybook.sources.parquet import read_dictionary, read_where, write_report
@@ -35,17 +37,17 @@ def test_work_folder_is_below_the_shared_one(spark):
 def test_versions(spark):
     root = work_folder(spark, "keyed")
     first = spark.createDataFrame([("a", ("1",), "p1"), ("b", ("1",), "p1"), ("z", ("1",), "p9")], STORED)
-    assert current(spark, root, "T", first.schema, 4).count() == 0
+    assert current(spark, root, "T", first.schema).count() == 0
     publish(first, root, "T", "20240101", 4)
     publish(spark.createDataFrame([("y", ("9",), "p1")], STORED), root, "Other", "20250101", 4)
-    held = current(spark, root, "T", first.schema, 4)
+    held = current(spark, root, "T", first.schema)
 
     # b lies in p1 and stays there; c is new in p2; p9 is not touched.
-    batch = stage(spark.createDataFrame([("b", ("2",), "p2"), ("c", ("2",), "p2")], STORED), 4)
-    touched = touched_rows(held, batch)
+    batch = stage(spark.createDataFrame([("b", ("2",), "p2"), ("c", ("2",), "p2")], STORED), 4, work_folder(spark, "batch"))
+    touched = rows_of_periods(held, ["p1", "p2"])
     assert sorted(r.row_key for r in touched.collect()) == ["a", "b"]
     path = publish(insert_or_patch(touched, batch, "info", ["s"]), root, "T", "20240102", 4)
-    now = current(spark, root, "T", first.schema, 4)
+    now = current(spark, root, "T", first.schema)
     assert sorted((r.row_key, r.info.s, r.period) for r in now.collect()) == [
         ("a", "1", "p1"), ("b", "2", "p1"), ("c", "2", "p2"), ("z", "1", "p9"),
     ]
@@ -54,11 +56,11 @@ def test_versions(spark):
         publish(first, root, "T", "20240102", 4)
 
     publish_empty(spark, root, "T", "20240103")
-    assert current(spark, root, "T", first.schema, 4).count() == 0
+    assert current(spark, root, "T", first.schema).count() == 0
     publish(first.limit(0), root, "T", "20240104", 4)
     assert is_published(spark, root, "T", "20240104")
     publish(first.filter("row_key = 'a'"), root, "T", "20240105", 4)
-    assert [r.row_key for r in current(spark, root, "T", first.schema, 4).collect()] == ["a"]
+    assert [r.row_key for r in current(spark, root, "T", first.schema).collect()] == ["a"]
 
 
 def test_a_failed_job_leaves_the_current_version(spark):
@@ -67,9 +69,9 @@ def test_a_failed_job_leaves_the_current_version(spark):
     publish(first, root, "T", "1", 4)
     # What a job leaves that dies after its files and before the list of versions.
     first.write.partitionBy("period").parquet(version_path(root, "T", "2"))
-    assert current(spark, root, "T", first.schema, 4).count() == 2
+    assert current(spark, root, "T", first.schema).count() == 2
     publish(first.filter("row_key = 'a'"), root, "T", "2", 4)
-    assert [r.row_key for r in current(spark, root, "T", first.schema, 4).collect()] == ["a"]
+    assert [r.row_key for r in current(spark, root, "T", first.schema).collect()] == ["a"]
     assert is_published(spark, root, "T", "2") and not is_published(spark, root, "T", "3")
 
 
@@ -81,11 +83,11 @@ def test_merge_shuffles_neither_table_nor_staged_batch(spark):
         F.concat(F.lit("p"), (F.col("id") % 4).cast("string")).alias("period"),
     )
     publish(rows, root, "T", "1", 8)
-    target = current(spark, root, "T", rows.schema, 8)
-    batch = stage(rows.filter("period = 'p1'").withColumn("info", F.struct(F.lit("y").alias("s"))), 8)
+    target = current(spark, root, "T", rows.schema)
+    batch = stage(rows.filter("period = 'p1'").withColumn("info", F.struct(F.lit("y").alias("s"))), 8, work_folder(spark, "batch"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        touched = touched_rows(target, batch)
+        touched = rows_of_periods(target, ["p1"])
         merged = insert_or_patch(touched, batch, "info", ["s"])
         assert exchanges(merged) == []
         plan = touched._jdf.queryExecution().executedPlan().toString()
@@ -100,13 +102,13 @@ def test_merge_shuffles_neither_table_nor_staged_batch(spark):
 def test_report_runs_are_kept_once(spark):
     path = work_folder(spark, "report")
     rows = spark.createDataFrame([("2024/01/15 00:00:00", 1), ("2024/01/15 00:00:00", 2)], "data_report string, n int")
-    assert write_report(rows, path, "data_report") == 2
+    assert write_report(rows, path, "data_report", 2024) == 2
     later = spark.createDataFrame([("2025/01/15 00:00:00", 3)], "data_report string, n int")
-    assert write_report(later, path, "data_report") == 1
-    assert write_report(rows.filter("n = 1"), path, "data_report") == 1
-    assert write_report(rows.limit(0), path, "data_report") == 0
+    assert write_report(later, path, "data_report", 2024) == 1
+    assert write_report(rows.filter("n = 1"), path, "data_report", 2024) == 1
+    assert write_report(rows.limit(0), path, "data_report", 2024) == 0
     got = read_where(spark, path)
-    assert sorted((r.report_year, r.n) for r in got.collect()) == [(2024, 1), (2025, 3)]
+    assert sorted((r.report_year, r.n) for r in got.collect()) == [(2024, 1), (2024, 3)]
 
 
 def test_optional_equality_reaches_the_scan(spark):
@@ -126,6 +128,35 @@ def test_dictionary_keeps_its_order(spark):
     assert [r.description_vi for r in got] == ["d0", "d1", "d2"]
 
 
+def test_dictionary_of_several_files(spark):
+    """Spark deals larger files out first; entries keep the order of the file names."""
+    path = work_folder(spark, "dictionary")
+    ddl = "type string, table string, code int, description_vi string"
+    for name, rows in (("a", [("status", "CertOrder", 5, "first")]), ("b", [("status", "CertOrder", i % 9, f"later {i}") for i in range(5000)])):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{path}/{name}")
+    both = spark.read.option("recursiveFileLookup", "true").schema(ddl).parquet(path)
+    assert both.count() == 5001
+    got = read_dictionary(spark, f"{path}/*").where("code = 5").orderBy("position").first()
+    assert got.description_vi == "first"
+
+
+def test_buckets_and_order_are_the_table_s_own(spark):
+    root = work_folder(spark, "own")
+    rows = spark.createDataFrame([(str(i), ("1",), "p") for i in range(50)], STORED)
+    publish(rows, root, "T", "2", 4)
+    assert bucket_count(spark, root, "T", 8) == 4
+    # A run of an earlier stamp that is published later counts.
+    publish(rows.limit(3), root, "T", "1", 4)
+    assert current(spark, root, "T", rows.schema).count() == 3
+
+
+def test_changed_keys(spark):
+    rows = [("a", ("1",), "p1"), ("b", ("1",), "p1"), ("c", (None,), "p2")]
+    old = spark.createDataFrame(rows, STORED)
+    new = spark.createDataFrame([rows[0], ("b", ("2",), "p1"), rows[2], ("d", ("1",), "p3")], STORED)
+    assert sorted((r.row_key, r.period) for r in changed_keys(old, new).collect()) == [("b", "p1"), ("d", "p3")]
+
+
 def test_latest_snapshot(spark):
     path = work_folder(spark, "manifest")
     for stamp, table, file in (("2", "L", "b"), ("2", "L", "c"), ("1", "L", "z"), ("9", "M", "m")):
