@@ -14,6 +14,7 @@ from daybook.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    oracles,
     pii,
     quality,
     sharding,
@@ -21,7 +22,7 @@ from daybook.llm import (
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_ngram_jaccard_join": oracles.NGRAM_JOIN, "op8_mix_sources": oracles.MIX}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
