@@ -7,8 +7,11 @@ of these make a band: lines of similarity 0.8 share a band with a probability of
 all their shingles, links become components, and of each component the first
 line, by document and place, is kept.
 
-A band of m lines gives m - 1 pairs with its least line first; only lines that are
-still in different components then are compared with each other.
+A band of m lines gives m - 1 pairs with its least line first. Lines of bands that
+then still hold several components are compared with each other by exact prefixes:
+their shingles are ordered by how many of these lines hold them, rare ones first,
+and lines of enough similarity share one among the first. A passage that very many
+lines hold stands last in all of them and brings no pairs about.
 
 Defined results: lines end at line feeds; lines without a word are never removed;
 equal lines are one line with several places; a null text has no lines; documents
@@ -19,7 +22,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.bits import may_hold, table_of
@@ -51,19 +54,22 @@ def _lines(docs: DataFrame, text: str) -> DataFrame:
     return docs.select("row", "doc_id", split).where(F.col("line").rlike(f"[^{WHITE}]"))
 
 
-def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose shingle sets are similar enough."""
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("line_key")).distinct(), "wanted")
+def _sets(wanted: DataFrame, lines: DataFrame) -> DataFrame:
+    """(line_key, grams) of the lines whose keys are wanted, each once."""
+    wanted = written(wanted.distinct(), "wanted")
     table = table_of(wanted, "line_key")
     # Shingles are made of wanted lines only, and of the few the table cannot tell from them.
-    sets = (
+    found = (
         lines.where(may_hold(table, F.xxhash64("line")))
         .groupBy(F.xxhash64("line").alias("line_key"))
         .agg(F.first("line").alias("line"))
         .join(wanted, "line_key", "left_semi")
-        .select("line_key", shingles(F.col("line")).alias("grams"))
     )
-    sets = written(sets, "line_sets")
+    return written(found.select("line_key", shingles(F.col("line")).alias("grams")), "line_sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` whose shingle sets are similar enough."""
     a = sets.select(F.col("line_key").alias("a"), F.col("grams").alias("grams_a"))
     b = sets.select(F.col("line_key").alias("b"), F.col("grams").alias("grams_b"))
     both = F.size(F.array_intersect("grams_a", "grams_b"))
@@ -71,6 +77,40 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
 
 
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """(gram, line_key, n, reach): the first shingles of each line that may be similar to others.
+
+    reach is how many shingles of the line from this one on other lines hold. A
+    shingle that one line alone holds meets nothing, and stands first.
+    """
+    grams = written(sets.select("line_key", F.size("grams").alias("n"), F.explode("grams").alias("gram")), "grams")
+    held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    by_line = Window.partitionBy("line_key")
+    enough = F.ceil(F.col("n") * PERCENT / 100)
+    placed = (
+        grams.join(held, "gram")
+        .withColumn("shared", F.count(F.lit(1)).over(by_line))
+        .where(F.col("shared") >= enough)
+        .withColumn("reach", F.col("shared") - F.row_number().over(by_line.orderBy("held", "gram")) + 1)
+        .where(F.col("reach") >= enough)
+    )
+    return written(placed.select("gram", "line_key", "n", "reach"), "placed")
+
+
+def _reaches() -> Column:
+    """Whether two lines that meet under a shingle can be similar enough.
+
+    Before their first common shingle two lines share nothing, so no similar pair is missed.
+    """
+    return F.least("p.reach", "q.reach") * (100 + PERCENT) >= (F.col("p.n") + F.col("q.n")) * PERCENT
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """(a, b), each pair once."""
+    a, b = F.least("p.line_key", "q.line_key"), F.greatest("p.line_key", "q.line_key")
+    return met.select(a.alias("a"), b.alias("b")).distinct()
+
+
 def similar_lines(sketches: DataFrame, lines: DataFrame) -> DataFrame:
     """(node, root) of the keys of lines that are similar to others.
 
@@ -88,7 +128,8 @@ def similar_lines(sketches: DataFrame, lines: DataFrame) -> DataFrame:
     met = written(entries.join(shared, "band"), "met")
     first = met.where("line_key <> least").select(F.col("least").alias("a"), F.col("line_key").alias("b")).distinct()
     checked = written(first, "checked")
-    links = written(_verified(checked, lines), "links")
+    ends = checked.select(F.explode(F.array("a", "b")).alias("line_key"))
+    links = written(_verified(checked, _sets(ends, lines)), "links")
     roots = written(components(links), "roots")
 
     grouped = met.join(roots, F.col("line_key") == F.col("node"), "left").select(
@@ -97,15 +138,26 @@ def similar_lines(sketches: DataFrame, lines: DataFrame) -> DataFrame:
     open_bands = (
         grouped.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("band")
     )
-    left = written(grouped.join(open_bands, "band", "left_semi"), "open")
-    p, q = left.alias("p"), left.alias("q")
-    pairs = (
-        p.join(q, (F.col("p.band") == F.col("q.band")) & (F.col("p.root") < F.col("q.root")))
-        .select(F.least("p.line_key", "q.line_key").alias("a"), F.greatest("p.line_key", "q.line_key").alias("b"))
-        .distinct()
-        .join(checked, ["a", "b"], "left_anti")
-    )
-    more = written(_verified(written(pairs, "rest"), lines), "more")
+    open_lines = written(grouped.join(open_bands, "band", "left_semi").select("line_key", "root").distinct(), "open")
+    sets = _sets(open_lines.select("line_key"), lines)
+    placed = _prefixes(sets)
+
+    # The lines of a meeting in a random order, each with the one before it: a line stands in several
+    # meetings and so meets several others, which joins most of what is alike at little cost.
+    in_turn = Window.partitionBy("gram").orderBy(F.xxhash64("gram", "line_key"), "line_key")
+    chained = placed.select(
+        F.struct("line_key", "n", "reach").alias("p"), F.lag(F.struct("line_key", "n", "reach")).over(in_turn).alias("q")
+    ).where("q is not null")
+    tried = written(_pairs(chained.where(_reaches())), "tried")
+    links = written(links.unionByName(_verified(tried.join(checked, ["a", "b"], "left_anti"), sets)), "links")
+    roots = written(components(links), "roots")
+
+    rooted = placed.join(roots, F.col("line_key") == F.col("node"), "left")
+    rooted = written(rooted.select(*placed.columns, F.coalesce("root", "line_key").alias("root")), "rooted")
+    apart = (F.col("p.gram") == F.col("q.gram")) & (F.col("p.root") < F.col("q.root"))
+    pairs = _pairs(rooted.alias("p").join(rooted.alias("q"), apart & _reaches()))
+    pairs = pairs.join(checked.unionByName(tried), ["a", "b"], "left_anti")
+    more = written(_verified(written(pairs, "rest"), sets), "more")
     return components(links.unionByName(more))
 
 
