@@ -116,7 +116,7 @@ def _table(keys: DataFrame, key: str) -> np.ndarray:
 
 
 def _holds(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = (keys & np.uint64(BIT_SLOTS - 1)).astype(np.int64)
+    slot = (keys & np.uint64(32 * len(table) - 1)).astype(np.int64)
     return (table[slot >> 5] >> (slot & 31).astype(np.uint32) & 1).astype(bool)
 
 
@@ -304,7 +304,8 @@ def repeated_spots(docs: DataFrame, text: str = "text") -> DataFrame:
     place = F.col("first")
     wanted = written(_with_place(contexts.where("several").select("lead", "context", place["text_key"].alias("text_key"), place["at"].alias("at"))), "wanted")
     sizes = wanted.groupBy("lead").agg(F.count(F.lit(1)).alias("kinds"))
-    found = _context_bytes(texts, wanted).dropDuplicates(["lead", "context"])
+    # Other places of a wanted context pass the table too; none of them may stand in for the wanted one.
+    found = _context_bytes(texts, wanted).dropDuplicates(["place", "lead", "context"])
     found = written(found.join(wanted.select("place", "lead", "context"), ["place", "lead", "context"], "left_semi").join(sizes, "lead"), "bytes")
     masks = _masks(found.where(F.col("kinds") <= CROWDED)).unionByName(_crowded_masks(found.where(F.col("kinds") > CROWDED)))
     status = (

@@ -110,6 +110,21 @@ def test_suffix_dedup(docs, rows, monkeypatch, crowded):
     assert bag(suffix_dedup.digest(docs).collect()) == expected
 
 
+@pytest.mark.parametrize("crowded", [50_000, 1])
+def test_suffix_dedup_when_other_places_pass_the_table(spark, monkeypatch, crowded):
+    monkeypatch.setattr(suffix_dedup, "BIT_SLOTS", 32)
+    monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
+    rng = plain.random.Random(7)
+    shared, edited = plain.prose(rng, 150), plain.prose(rng, 150)
+    half = len(edited) // 2
+    texts = [f"{plain.prose(rng, 40)}\n{shared}\n{plain.prose(rng, 40)}" for _ in range(12)]
+    texts += [edited, edited + " end", "start " + edited, edited[:half] + "#" + edited[half + 1 :]] + [shared[40:]] * 2
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], SCHEMA).repartition(4)
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digest(docs).collect()}
+    expected = plain.repeated_bytes(texts)
+    assert got == {i: (n, runs, hashlib.sha256(left).hexdigest()) for i, (left, n, runs) in enumerate(expected)}
+
+
 def test_fuzzy_lines(docs, rows):
     gone = defaultdict(list)
     for i, place in sorted(plain.removed_lines(rows)):
