@@ -1,11 +1,11 @@
 """Fuzzy line de-duplication: MinHash, banding, exact Jaccard, distributed union-find.
 
-A line's shingles are the runs of ``WIDTH`` characters that begin at its words,
-in lower case. Its signature is the ``SKETCH`` least shingle hashes, and each two
-of these make a band: lines of similarity 0.8 share a band with a probability of
-0.99. Lines that share a band are verified by the exact Jaccard similarity of
-all their shingles, links become components, and of each component the first
-line, by document and place, is kept.
+A line's shingles are the runs of ``WIDTH`` characters at every place of the whole
+line, in lower case; a shorter line is one shingle. Its signature is the ``SKETCH``
+least shingle hashes, and each two of these make a band: lines of similarity 0.8
+share a band with a probability of 0.99. Lines that share a band are verified by the
+exact Jaccard similarity of all their shingles, links become components, and of each
+component the first line, by document and place, is kept.
 
 A band of m lines gives m - 1 pairs with its least line first. Lines of bands that
 then still hold several components are compared with each other by exact prefixes:
@@ -29,8 +29,9 @@ from daybook.llm.bits import may_hold, table_of
 from daybook.llm.common import WHITE, bind, unused, written
 from daybook.llm.components import components
 
-WIDTH, PERCENT, SKETCH = 20, 80, 5
-_SHINGLE = rf"(?<![^{WHITE}])(?=([^{WHITE}](?s:.){{0,{WIDTH - 1}}}))"
+WIDTH, PERCENT, SKETCH = 8, 80, 5
+# Each match takes one character, a pair of surrogates whole, and looks at those after it.
+_SHINGLE = rf"(?s)(?=(.{{{WIDTH}}}|^.{{1,{WIDTH - 1}}}\z))."
 
 
 def shingles(line: Column) -> Column:

@@ -140,6 +140,27 @@ def test_fuzzy_lines(docs, rows):
     assert len(left) == sum(lines) - sum(map(len, gone.values()))
 
 
+def test_fuzzy_lines_by_all_their_characters(spark):
+    rng = plain.random.Random(11)
+    lines = ["https://example.com/archive/2021/05/first-article.html", "https://example.com/archive/about", "short", "Short", "shor"]
+    lines += ["data:image/png;base64," + "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(n)) for n in (80, 80, 200)]
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(120))
+    lines += [han[:60], han[:20] + han[80:120], han[:60] + "\u3002", "\U0001f600" * 3 + han[60:], "\U0001f600" * 4 + han[60:]]
+    for n in (8, 15, 25, 40, 60):
+        words = plain.prose(rng, n).split(" ")
+        lines += [" ".join(words), " ".join([*words[: n // 2], "other", *words[n // 2 + 1 :]])]
+
+    def whole(line, width=8):
+        return {line.lower()[k : k + width] for k in range(max(1, len(line) - width + 1))}
+
+    sets = [whole(x) for x in lines]
+    alike = [(i, j) for i in range(len(lines)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    expected = {i for i, root in enumerate(plain.groups(len(lines), alike)) if root != i}
+    assert not expected & {0, 1, 4, 5, 6, 7, 8, 9} and {3, 10, 20, 22} <= expected
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(lines)], SCHEMA)
+    assert {r.doc_id for r in line_dedup.digest(docs).collect() if r.n_removed} == expected
+
+
 def test_decontamination(spark, docs, rows):
     texts = [t for _, t, _ in rows]
     rng = plain.random.Random(5)
