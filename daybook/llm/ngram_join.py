@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.bits import without
-from daybook.llm.common import written
+from daybook.llm.common import unused, written
 from daybook.llm.components import components
 from daybook.llm.shingles import mixed, shingle_hashes
 
@@ -388,14 +388,29 @@ def component_ids(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFra
 def one_of_each_group(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """``docs`` without near duplicates: of each group the row with the least doc_id stays.
 
-    Rows are told apart by doc_id and text: rows that repeat both stay or go
-    together, and of rows without doc_id the one with the least hash stays.
+    Rows are told apart by doc_id and text: rows that repeat both, and equal texts
+    without doc_id, stay or go together; ``one_row_of_each_group`` parts them.
     """
     key = F.xxhash64("doc_id", "text")
-    narrow = docs.select("doc_id", "text", key.alias("own_key"))
-    grouped = written(similar_groups(narrow, "text", width, percent).where("root is not null"), "groups")
+    return without(docs, key, _others(docs.select("doc_id", "text", key.alias("own_key")), percent, width), "own_key")
+
+
+def one_row_of_each_group(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
+    """``docs`` with exactly one row of each group: the first with the least doc_id, null ids last.
+
+    ``docs`` is written first, so that rows keep their numbers.
+    """
+    row = unused(docs, "_row")
+    whole = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    dropped = _others(whole.select("doc_id", "text", F.col(row).alias("own_key")), percent, width)
+    return without(whole, F.col(row), dropped, "own_key").drop(row)
+
+
+def _others(rows: DataFrame, percent: int, width: int) -> DataFrame:
+    """(own_key) of the ``rows`` (doc_id, text, own_key) that their groups do not keep."""
+    grouped = written(similar_groups(rows, "text", width, percent).where("root is not null"), "groups")
     # A missing id sorts after all others.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own_key")
     best = grouped.groupBy("root").agg(F.min(order).alias("best"))
     dropped = grouped.join(best, "root").where(F.col("own_key") != F.col("best.own_key")).select("own_key")
-    return without(docs, key, written(dropped, "dropped"), "own_key")
+    return written(dropped, "dropped")

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from daybook.llm import (
     components,
     decontamination,
@@ -90,6 +91,20 @@ def test_one_of_each_group(docs, rows):
     assert bag(kept.select("doc_id", "text").collect()) == expected
 
 
+def test_stage_keeps_one_row_of_each_group(spark, rows):
+    text = "seven words are in this short text"
+    many = rows + [(70_000, text, "s1")] * 40 + [(None, text + " again", "s1")] * 40 + [(None, text[::-1], None)] * 40
+    sets, group = plain.near_duplicate_groups([t for _, t, _ in many])
+    found = corpus_pipeline.keep_one_of_each_group(spark, spark.createDataFrame(many, SCHEMA).repartition(3), "")
+    best = {}
+    for (doc_id, _, _), g, s in zip(many, group, sets, strict=True):
+        if s:
+            best[g] = min((doc_id is None, doc_id or 0), best.get(g, (True, 10**9)))
+    alone = Counter(d for (d, _, _), s in zip(many, sets, strict=True) if not s)
+    assert found.columns == ["doc_id", "text", "source"]
+    assert Counter(r.doc_id for r in found.collect()) == alone + Counter(None if none else d for none, d in best.values())
+
+
 def test_trie_shares_paths():
     rng = np.random.default_rng(3)
     probe = np.sort(rng.choice(60, 30, replace=False))
