@@ -2,8 +2,8 @@
 
 Base matches of four kinds are seeds. The word before an identifier is its
 lexical pattern; patterns and instances form a graph whose scores are exchanged
-for ``ROUNDS`` rounds: a pattern is as sure of a kind as the mean score of the
-different instances it precedes, an instance as its surest pattern. Where a sure
+until none rises by more than ``SETTLED``: a pattern is as sure of a kind as the mean
+score of the different instances it precedes, an instance as its surest pattern. Where a sure
 pattern precedes something of a kind's form that no base pattern matches, that
 is personal data too.
 
@@ -43,7 +43,8 @@ FORMS = {
     "card": r"^(?:[^0-9A-Za-z]*[0-9]){12,19}$",
     "phone": r"^\+?(?:[().\x20/-]*[0-9]){7,15}$",
 }
-ROUNDS = 3
+#: Scores only rise, and no further than 1; a lesser rise than this ends the rounds.
+SETTLED = 1e-6
 #: A pattern must be this sure, by this many different instances.
 SURE, SUPPORT = 0.8, 5
 
@@ -151,8 +152,8 @@ def found_patterns(occurrences: DataFrame) -> DataFrame:
     )
     seeds = edges.where("seed is not null").groupBy("value", F.col("seed").alias("kind")).agg(F.lit(1.0).alias("score"))
     sizes = edges.groupBy("left").agg(F.count(F.lit(1)).alias("n"))
-    scores = seeds
-    for step in range(ROUNDS):
+    scores, before, step = seeds, (0, 0.0), 0
+    while True:
         patterns = written(
             edges.join(scores, "value")
             .groupBy("left", "kind")
@@ -162,9 +163,12 @@ def found_patterns(occurrences: DataFrame) -> DataFrame:
             .where((F.col("sure") >= SURE) & (F.col("support") >= SUPPORT)),
             f"patterns{step}",
         )
+        now = patterns.agg(F.count(F.lit(1)), F.coalesce(F.sum("sure"), F.lit(0.0))).first()
+        if now[0] == before[0] and now[1] - before[1] <= SETTLED:
+            return patterns
+        before, step = now, step + 1
         spread = edges.where("seed is null").join(patterns, "left").groupBy("value", "kind")
         scores = seeds.unionByName(spread.agg(F.max("sure").alias("score")))
-    return patterns
 
 
 def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -305,6 +305,17 @@ def test_personal_data(spark):
     assert masked[len(texts) - 1] == "call phone: ************ now" and masked[8] is None
 
 
+def test_patterns_are_found_through_long_chains(spark):
+    edges, known, sizes = [("p0", f"s{i}", "phone") for i in range(3750)], [], (750, 150, 30, 6, 1)
+    for k, n in enumerate(sizes):
+        new = [f"x{k}_{i}" for i in range(n)]
+        edges += [(f"p{k}", v, None) for v in known + new]
+        known = new
+    edges += [("none", f"x0_{i}", None) for i in range(4)] + [("half", f"{c}0_{i}", None) for c in "xy" for i in range(6)]
+    found = pii.found_patterns(spark.createDataFrame(edges, "left string, value string, seed string"))
+    assert sorted((r["left"], r.kind) for r in found.collect()) == [(f"p{k}", "phone") for k in range(len(sizes))]
+
+
 PAGES = [
     (
         "<html><head><title>T</title><script>x='</p>'</script></head><body><nav><a href=/>The home of it</a></nav>"
