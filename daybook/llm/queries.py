@@ -18,7 +18,10 @@ from daybook.llm import (
     pii,
     quality,
     sharding,
+    spelling,
     suffix_dedup,
+    toxicity,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +104,21 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
     return html_text.extracted(table(spark, folder, "pages"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every frequent word of the documents with its near words, its form and its root."""
+    return spelling.variants(spelling.words_of(table(spark, folder, "documents")))
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding on the leading components of all of them, each of variance 1."""
+    return whitening.digest(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """How likely every document is to be toxic, by classifiers learned from positives and unlabelled texts."""
+    return toxicity.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
