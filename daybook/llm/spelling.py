@@ -4,12 +4,12 @@ A dictionary holds the grams of three and four characters that are frequent amon
 the words, and only while the gram without its last character is held too; it is as
 small as ``LISTED`` says, whatever the input. A padded word is cut into the longest
 held gram at every place (two characters where none is held), without the grams
-that lie inside an earlier one. One edit changes only the grams about it; their
-greatest number over all places is the word's bound. Two words one edit apart
-therefore share two grams (from ``SHORTEST`` code points on, by the padding), and
-the two rarest they share are among the rarest ``bound + 2`` of either. Words are
-listed under these pairs of grams, with the distance of each gram from the end of
-the word that the edit does not move; what meets in a list is verified.
+that lie inside an earlier one. An edit changes only the grams that end within a few
+characters of it; for every place a word's bounds tell which these are, and the same
+grams lie outside them in the word that the edit makes. So two words one edit apart
+agree on the rarest grams outside: a word is listed once for each choice of the
+``SHARED`` rarest that some place leaves, with the distance of each gram from the end
+of the word that the edit does not move. What meets in a list is verified.
 
 Defined results: null and repeated words count once, with the sum of their numbers;
 words below ``SHORTEST`` code points are returned without near words; a null text
@@ -31,8 +31,8 @@ from daybook.llm.common import written
 
 #: Lengths of grams, and the padding at both ends of a word.
 LEAST, MOST, PAD = 2, 4, 3
-#: From here on two words one edit apart share two grams.
-SHORTEST = 7
+#: Rarest grams that words are listed by, and the length from which on every place leaves two at least.
+SHARED, SHORTEST = 3, 7
 #: Grams of a length that the dictionary holds at most, and that have a known frequency.
 LISTED = 1 << 15
 #: Words of a list that are compared with each other; longer lists are split by what an edit leaves.
@@ -42,8 +42,6 @@ RATIO = 10
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RUN = r"[A-Za-zÀ-ÿ]"
-#: What is known of a gram: itself without its last and without its first character, its second and third pair.
-PARTS = ("head", "tail", "second", "third")
 _HEAD, _TAIL = "\x02" * PAD, "\x03" * PAD
 
 
@@ -83,21 +81,17 @@ def _in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 class Grams:
-    """Held grams of each length with their frequencies, and what may change beside an edit."""
+    """Held grams of each length, and the frequencies of all grams that are not rare."""
 
-    def __init__(self, counts: Iterable[tuple[int, ...]]) -> None:
-        """``counts``: length, gram, its head and tail, its second and third pair of characters, number."""
-        rows = sorted((q, *[np.uint64(x % 2**64) for x in hashes], n) for q, *hashes, n in counts)
+    def __init__(self, counts: Iterable[tuple[int, int, int, int]]) -> None:
+        """``counts``: length, gram, the gram without its last character, number."""
+        rows = sorted((q, np.uint64(gram % 2**64), np.uint64(head % 2**64), n) for q, gram, head, n in counts)
         column = lambda q, k, kind=np.uint64: np.array([x[k] for x in rows if x[0] == q], kind)
         self.known = {q: column(q, 1) for q in range(LEAST, MOST + 1)}
-        self.number = {q: column(q, 6, np.int64) for q in self.known}
-        # A gram of four is held while its head of three is.
-        whole = _in(column(4, 2), self.known[3])
-        self.held = {3: self.known[3], 4: self.known[4][whole]}
-        #: Grams that a held one is longer than, and those it ends with.
-        self.heads = {2: np.unique(column(3, 2)), 3: np.unique(column(4, 2)[whole])}
-        self.triples = np.unique(column(4, 3)[whole])
-        self.pairs = np.unique(np.concatenate([column(3, 4), column(4, 4)[whole], column(4, 5)[whole]]))
+        self.number = {q: column(q, 3, np.int64) for q in self.known}
+        self.held = {LEAST + 1: self.known[LEAST + 1]}
+        for q in range(LEAST + 2, MOST + 1):
+            self.held[q] = self.known[q][_in(column(q, 2), self.held[q - 1])]
 
     def frequency(self, q: np.ndarray, gram: np.ndarray) -> np.ndarray:
         """How often a gram occurs; 0 for the rare ones the dictionary does not know."""
@@ -108,48 +102,21 @@ class Grams:
         return out
 
     def cut(self, words: list[str]) -> tuple[np.ndarray, ...]:
-        """Grams of words, word by word: (word, start, end, hash, length), and the bound of each word."""
+        """Grams of words, the rarest of each word first: (word, start, end, hash)."""
         c = _Cut(words)
         longest = np.full(len(c.left), LEAST, np.int64)
         for q in range(LEAST + 1, MOST + 1):
             longest[(longest == q - 1) & (c.left >= q) & _in(c.gram[q], self.held[q])] = q
         places = np.flatnonzero(c.left >= LEAST)
         ends = places + longest[places]
-        before = np.concatenate(([0], np.maximum.accumulate(ends)[:-1])) if len(ends) else ends
-        kept = ends > before
+        # Kept if it reaches further than all grams before it; those of earlier words end before this one begins.
+        kept = ends > np.concatenate(([0], np.maximum.accumulate(ends)[:-1]))
         start, end = places[kept], ends[kept]
-        q = end - start
-        gram = np.choose(q - LEAST, [c.gram[k][start] for k in range(LEAST, MOST + 1)]) if len(q) else start.astype(np.uint64)
-        return c.of_place[start], start - c.starts[c.of_place[start]], end - c.starts[c.of_place[start]], gram, q, self._bounds(c, start, end, gram, q)
-
-    def _bounds(self, c: _Cut, start: np.ndarray, end: np.ndarray, gram: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """The most grams of a word that an edit at one place may change.
-
-        Those that hold the place; those that end before it and may grow over it; and
-        those right behind it that a gram from before or on it may come to cover.
-        """
-        size = len(c.left) + 1
-        hit = np.zeros(size + MOST, np.int64)
-        np.add.at(hit, start, 1)
-        np.add.at(hit, end, -1)
-        touched = np.cumsum(hit)[:size]
-        grows = np.zeros(len(q), bool)
-        for length in range(LEAST, MOST):
-            grows |= (q == length) & _in(gram, self.heads[length])
-        np.add.at(touched, end[grows], 1)
-        for back, table in ((2, self.pairs), (3, self.triples)):
-            # The gram ends ``back`` characters behind the edit.
-            first = end - back
-            fits = (first > c.starts[c.of_place[start]]) & (start >= first)
-            first = first[fits]
-            covered = first[_in(c.gram[back][first], table)]
-            np.add.at(touched, covered - 1, 1)
-        out = np.zeros(len(c.sizes), np.int64)
-        if len(out):
-            real = np.repeat(c.starts + PAD, c.sizes - 2 * PAD) + _within(c.sizes - 2 * PAD)
-            word = np.repeat(np.arange(len(out)), c.sizes - 2 * PAD)
-            np.maximum.at(out, word, touched[real])
-        return out
+        q, word = end - start, c.of_place[start]
+        gram = np.choose(q - LEAST, [c.gram[k][start] for k in range(LEAST, MOST + 1)])
+        order = np.lexsort((start, gram, self.frequency(q, gram), word))
+        first = c.starts[word]
+        return word[order], (start - first)[order], (end - first)[order], gram[order]
 
 
 def _within(sizes: np.ndarray) -> np.ndarray:
@@ -163,12 +130,9 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for q in range(LEAST, MOST + 1):
             at = np.flatnonzero(c.left >= q)
             gram, first, n = np.unique(c.gram[q][at], return_index=True, return_counts=True)
-            at = at[first]
-            pair = lambda k, least: c.gram[2][at + k] if q >= least else np.zeros(len(at), np.uint64)
-            hashes = (gram, c.gram[q - 1][at], c.gram[q - 1][at + 1], pair(1, 3), pair(2, 4))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(gram), q, np.int32)), *[pa.array(x.view(np.int64)) for x in hashes], pa.array(n.astype(np.int64))],
-                names=["q", "gram", *PARTS, "n"],
+            head = c.gram[q - 1][at[first]]
+            yield pa.RecordBatch.from_pydict(
+                {"q": np.full(len(gram), q, np.int32), "gram": gram.view(np.int64), "head": head.view(np.int64), "n": n.astype(np.int64)}
             )
 
 
@@ -180,48 +144,57 @@ def dictionary(words: DataFrame) -> Grams:
     places = words.agg(F.sum(F.length("word") + 2 * PAD)).first()[0] or 0
     counts = (
         words.select("word")
-        .mapInArrow(_count_grams, "q int, gram long, " + ", ".join(f"{p} long" for p in PARTS) + ", n long")
+        .mapInArrow(_count_grams, "q int, gram long, head long, n long")
         .groupBy("q", "gram")
-        .agg(*[F.max(p).alias(p) for p in PARTS], F.sum("n").alias("n"))
+        .agg(F.max("head").alias("head"), F.sum("n").alias("n"))
         .where(F.col("n") * LISTED >= places)
     )
     return Grams(tuple(r) for r in counts.collect())  # 3 * LISTED rows at most
 
 
+def _keys(grams: Grams, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word, key): each word once under every choice of its rarest grams that an edit leaves."""
+    word, start, end, gram = grams.cut(words)
+    sizes = np.bincount(word, minlength=len(words))
+    first = np.cumsum(sizes) - sizes
+    # An edit reaches grams of at most MOST + 1 different ends; so many more cover what it leaves.
+    rank = np.arange(MOST + 1 + SHARED)
+    there = rank < sizes[:, None]
+    at = np.minimum(first[:, None] + rank, len(word) - 1)
+    # A word of n characters has n places to replace or delete at and n + 1 to insert at.
+    length = np.array([len(w) for w in words], np.int64)
+    owner = np.repeat(np.arange(len(words)), 2 * length + 1)
+    step = _within(2 * length + 1)
+    left = PAD + step // 2  # characters before it
+    right = PAD + (step + 1) // 2  # where the characters behind it begin
+    ends = end[at][owner]
+    before, behind = ends < left[:, None], ends >= right[:, None] + MOST
+    alive = there[owner] & (before | behind)
+    met = np.cumsum(alive, axis=1)
+    key = np.zeros(len(owner), np.uint64)
+    for k in range(1, SHARED + 1):
+        found = met[:, -1] >= k
+        pick = (np.arange(len(owner)), (met >= k).argmax(axis=1))
+        chosen = at[owner, pick[1]]
+        from_left = before[pick]
+        offset = np.where(from_left, start[chosen], length[owner] + 2 * PAD - start[chosen])
+        key = np.where(found, _mix(_mix(key, gram[chosen]), offset * 2 + from_left), key)
+    order = np.lexsort((key, owner))
+    owner, key = owner[order], key[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
+    return owner[new], key[new]
+
+
 def _postings(grams: Grams) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(key, word, n): a word under pairs of its rarest grams."""
+    """(key, word, n)"""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            if not words:
-                continue
-            word, start, end, gram, q, bound = grams.cut(words)
-            order = np.lexsort((start, gram, grams.frequency(q, gram), word))
-            word, start, end, gram = (x[order] for x in (word, start, end, gram))
-            sizes = np.bincount(word, minlength=len(words))
-            first = np.cumsum(sizes) - sizes
-            taken = np.minimum(sizes, bound + 2)
-            length = np.array([len(w) + 2 * PAD for w in words], np.int64)
-            keys, owners = [], []
-            for b in range(1, int(taken.max())):
-                own = np.flatnonzero(taken > b)
-                for a in range(b):
-                    i, j = first[own] + a, first[own] + b
-                    i, j = np.where(start[i] < start[j], i, j), np.where(start[i] < start[j], j, i)
-                    for side, fits, x, y in (
-                        # Both before the edit, both behind it, or one on either side.
-                        (1, end[j] <= length[own] - PAD, start[i], start[j]),
-                        (2, start[i] >= PAD, length[own] - start[i], length[own] - start[j]),
-                        (3, end[i] <= start[j], start[i], length[own] - start[j]),
-                    ):
-                        keys.append(_mix(_mix(_mix(gram[i], gram[j]), x * 8 + side), y)[fits])
-                        owners.append(own[fits])
-            owner = np.concatenate(owners)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), *[c.take(pa.array(owner)) for c in batch.columns]],
-                names=["key", "word", "n"],
-            )
+            if batch.num_rows:
+                owner, key = _keys(grams, batch.column(0).to_pylist())
+                words = [c.take(pa.array(owner)) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *words], names=["key", "word", "n"])
 
     return listed
 
