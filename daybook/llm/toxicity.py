@@ -170,16 +170,9 @@ class Classifier:
 # --- samples -----------------------------------------------------------------------------
 
 
-def _texts(rows: DataFrame, side: int, most: int) -> DataFrame:
-    """(hash, text, side) of the ``most`` different texts of least hash."""
-    hashed = rows.select(F.xxhash64("text").alias("hash"), "text")
-    least = hashed.select("hash").distinct().orderBy("hash").limit(most)
-    return (
-        hashed.join(F.broadcast(least), "hash")  # POSITIVES or UNLABELLED numbers at most
-        .groupBy("hash")
-        .agg(F.max("text").alias("text"))
-        .withColumn("side", F.lit(side))
-    )
+def _least(hashes: DataFrame, side: int, most: int) -> DataFrame:
+    """(hash, side) of the ``most`` least different hashes."""
+    return hashes.select("hash").distinct().orderBy("hash").limit(most).withColumn("side", F.lit(side))
 
 
 def _all_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +212,8 @@ def _places(places: dict[str, int], heads: frozenset[str]) -> Callable[[Iterator
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Classifier | None:
     """Classifiers from the training part of the documents; None without positives."""
-    training = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(~held_out(F.col("id")))
+    texts = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    training = texts.where(~held_out(F.col("id"))).withColumn("hash", F.xxhash64("text"))
     known = (
         labels.select(F.col(doc_id).alias("id"), F.col(label).alias("toxic"))
         .where(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id")))
@@ -229,8 +223,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     share = known.agg(F.avg("toxic")).first()[0]
     if not share:
         return None
-    positives = training.join(known.where("toxic = 1").select("id"), "id", "left_semi")
-    sample = written(_texts(positives, 1, POSITIVES).unionByName(_texts(training, 0, UNLABELLED)), "toxic_sample")
+    hashes = training.select("id", "hash")
+    positives = hashes.join(known.where("toxic = 1").select("id"), "id", "left_semi")
+    chosen = written(_least(positives, 1, POSITIVES).unionByName(_least(hashes, 0, UNLABELLED)), "toxic_hashes")
+    found = training.join(F.broadcast(chosen), "hash")  # POSITIVES + UNLABELLED rows at most
+    sample = written(found.groupBy("hash", "side").agg(F.max("text").alias("text")), "toxic_sample")
     sizes = dict(sample.groupBy("side").count().collect())
     if not sizes.get(1):
         return None
