@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -44,6 +45,7 @@ def main() -> None:
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "12g",
             "spark.sql.shuffle.partitions": cpus,
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="daybook-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

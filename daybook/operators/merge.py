@@ -97,12 +97,12 @@ def insert_or_patch(
 
 
 def replace_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Whole-row put: rows of the batch replace those of the same key.
+    """Whole-row put: rows of the batch replace those of the same key, in all columns the batch has.
 
     A full outer join rather than an anti join and a union, which would compute
     the batch twice.
     """
-    put = [c for c in target.columns if c not in (KEY, PERIOD)]
+    put = [c for c in target.columns if c not in (KEY, PERIOD) and c in batch.columns]
     result = {c: f"if(new_row is not null, new_row.`{c}`, `{c}`)" for c in put}
     incoming = [f"{struct_of({c: c for c in put})} as new_row"]
     return _join_batch(target, batch, incoming).selectExpr(

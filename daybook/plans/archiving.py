@@ -79,5 +79,5 @@ def archive_transactions(spark: SparkSession, root: str, run: Run) -> bool:
         raise RuntimeError(f"{path} holds {copied} of {entry['count']} rows; the live table stays as it is")
     if not earlier:
         append_manifest(spark, manifest, [tuple(entry)])
-    publish_empty(spark, root, ARCHIVED, f"{stamp}_empty")
+    publish_empty(spark, root, ARCHIVED, stamp, schema)
     return True

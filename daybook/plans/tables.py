@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StructType
 
 from daybook.operators.merge import KEY, PERIOD
 from daybook.plans import flows
@@ -16,16 +19,15 @@ from daybook.session import work_folder
 from daybook.sources.archives import scan_with_archives
 from daybook.sources.collections import SCHEMAS
 from daybook.sources.keyed import (
+    CHANGED,
     bucket_count,
-    changed_keys,
+    bucketed,
     current,
-    discard,
+    finish,
+    forget,
     is_published,
+    periods_of,
     publish,
-    rows_of_periods,
-    shuffled_by_bucket,
-    stage,
-    version_path,
 )
 
 ALL_FLOWS = (*flows.DAILY, flows.PROBLEM_GUIDE)
@@ -72,29 +74,57 @@ def ingest_into(
 ) -> dict[str, object]:
     """Merge one collection into the stored table and make the result current.
 
-    The batch is written once, bucketed like the table. It is merged with the rows
-    of its own keys first, which tells what really changes; only the periods of
-    those rows are written again, and none if nothing changes. ``buckets`` counts
-    for the first version of a table; later ones keep its buckets. Returns the new
-    path and how many records were scanned and quarantined.
+    The batch is written once, bucketed like the table. The index tells which
+    periods its keys lie in; only these are read, merged and staged, and only those
+    with a row that really changes are replaced. ``buckets`` counts for the first
+    run into a table; later ones keep its buckets. Returns how many records were
+    scanned and quarantined.
     """
     schema = table_schema(spark, flow.table)
+    finish(spark, root, flow.table, schema)
     buckets = bucket_count(spark, root, flow.table, buckets)
     seen = Observation()
-    staged = work_folder(spark, "batch")
-    with shuffled_by_bucket(spark, buckets):
-        target = current(spark, root, flow.table, schema)
-        batch = stage(flow.flatten(flow.scan(documents, run, labels, seen), run, labels), buckets, staged)
-        old = target.join(batch.select(KEY), KEY, "left_semi")
-        moved = work_folder(spark, "changed")
-        changes = stage(changed_keys(old, flow.merge(old, batch, run)), buckets, moved)
-        periods = [row[PERIOD] for row in changes.select(PERIOD).distinct().collect()]
-        touched = rows_of_periods(target, periods)
-        merged = flow.merge(touched, batch.join(changes.select(KEY), KEY, "left_semi"), run)
-        path = publish(merged, root, flow.table, stamp, buckets)
-    discard(batch, staged)
-    discard(changes, moved)
-    return {"path": path, **seen.get}
+    folder = work_folder(spark, "batch")
+    with shuffles_into(spark, buckets):
+        batch = bucketed(flow.flatten(flow.scan(documents, run, labels, seen), run, labels), folder, buckets)
+    merged = merged_periods(spark, root, flow, batch, run)
+    publish(merged, root, flow.table, stamp, buckets, schema)
+    forget(spark, folder, os.path.dirname(folder))
+    return seen.get
+
+
+def merged_periods(spark: SparkSession, root: str, flow: Flow, batch: DataFrame, run: Run) -> DataFrame:
+    """All rows of the periods a batch touches, merged, and whether they are ``CHANGED``.
+
+    Nothing is shuffled: the rows compared with are carried along.
+    """
+    target = current(spark, root, flow.table, table_schema(spark, flow.table))
+    touched = target.filter(F.col(PERIOD).isin(periods_of(spark, root, flow.table, batch)))
+    merged = flow.merge(touched.withColumn("row_before", comparable(touched)), batch, run)
+    return merged.withColumn(CHANGED, ~F.col("row_before").eqNullSafe(comparable(merged.drop("row_before")))).drop("row_before")
+
+
+def comparable(rows: DataFrame) -> Column:
+    """All cells of a row but its key, maps as sorted entries."""
+    return F.struct(
+        *[
+            F.array_sort(F.map_entries(f.name)).alias(f.name) if isinstance(f.dataType, MapType) else F.col(f.name)
+            for f in sorted(rows.schema.fields, key=lambda f: f.name)
+            if f.name != KEY
+        ]
+    )
+
+
+@contextmanager
+def shuffles_into(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Shuffle the batch into as many partitions as there are buckets, so that each task writes the files of its own."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 def daily_ingest(
@@ -116,7 +146,7 @@ def daily_ingest(
     for step, flow in enumerate(flows.DAILY):
         stamp = f"{run.time:%Y%m%d%H%M%S}{step:02d}"
         if is_published(spark, root, flow.table, stamp):
-            outcome[flow.collection] = {"path": version_path(root, flow.table, stamp)}
+            outcome[flow.collection] = {}
             continue
         source = documents(flow.collection)
         if flow is flows.SIGNATURE_TRANSACTION:

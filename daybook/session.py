@@ -32,8 +32,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared ``spark.checkpoint.dir``.
 
-    Without that setting only a local session gets a folder of its own: on a
-    cluster a machine-local path would be lost with its executor.
+    Without that setting a local session, as in tests, gets a folder of its own;
+    on a cluster it must be set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -43,15 +43,32 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/daybook-{uuid.uuid4().hex}/{name}"
 
 
+def _path(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    hadoop_path, system = _path(spark, path)
+    return system.exists(hadoop_path)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Remove a path below the work folder, on whatever file system it lies."""
-    if "/daybook-" not in path:
-        raise ValueError(f"{path} is no work folder")
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right below a path, sorted; none if there is no such path."""
+    hadoop_path, system = _path(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(hadoop_path)) if system.exists(hadoop_path) else []
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Put an empty file at a path."""
+    hadoop_path, system = _path(spark, path)
+    system.create(hadoop_path, True).close()
+
+
+def remove_path(spark: SparkSession, path: str, root: str) -> None:
+    """Remove a path below ``root``, on whatever file system it lies."""
+    if not path.startswith(root.rstrip("/") + "/"):
+        raise ValueError(f"{path} does not lie below {root}")
+    hadoop_path, system = _path(spark, path)
+    system.delete(hadoop_path, True)

@@ -1,193 +1,158 @@
-"""Keyed tables on storage: partitioned by period, bucketed by key, versioned.
-
-A version writes the periods it changes to a new path; a small list then names,
-per table and period, the path that counts. The table is the newest path of each
-period, declared to Spark as one partitioned and bucketed table. The path being
-read is never overwritten, periods a run does not touch are not written again, and
-a job that dies half way leaves the current version in place.
+"""Keyed tables on storage, with an index of the periods their keys lie in.
+
+``<root>/<table>/rows`` is a Parquet table partitioned by period and bucketed by key;
+``keys`` holds keys and periods alone, laid out alike. A change is first staged whole
+below ``staged``, as all rows of each period it changes, and counts from the moment a
+mark with its stamp lies there. Then it replaces these periods by dynamic partition
+overwrite. A job that dies in between has lost nothing: readers take the staged
+periods, and the next change brings the replacement to its end first. One job at a
+time changes a table. Marks are empty files: ``runs/<stamp>`` and ``buckets/<number>``.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from contextlib import contextmanager
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StructType
+from pyspark.sql.types import StructType
 
 from daybook.operators.merge import KEY, PERIOD
-from daybook.session import path_exists, remove_path
+from daybook.session import mark, names_below, path_exists, remove_path
 
-# ``sequence`` counts publications of a table: the newest path is the last published
-# one, whatever its stamp. ``buckets`` is what the files of a path were written with.
-VERSIONS_DDL = (
-    "stamp string, table_name string, period string, path string, count bigint, sequence bigint, buckets int"
-)
+#: Tells the staged rows that are not as they were; only periods that have any are replaced.
+CHANGED = "changed_row"
+KEYS = StructType.fromDDL(f"{KEY} string, {PERIOD} string")
 
 
-def _catalog_name(*parts: str) -> str:
-    return "keyed_" + hashlib.md5("\n".join(parts).encode()).hexdigest()
+def _name(path: str) -> str:
+    return "keyed_" + hashlib.md5(path.encode()).hexdigest()
 
 
-def _quoted(text: str) -> str:
-    """A SQL string literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def declared(spark: SparkSession, path: str, schema: StructType, buckets: int) -> DataFrame:
+    """The table at a path, partitioned and bucketed, with the periods that lie there now."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{_name(path)}` ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
+        f"PARTITIONED BY (`{PERIOD}`) CLUSTERED BY (`{KEY}`) SORTED BY (`{KEY}`) INTO {buckets} BUCKETS LOCATION '{location}'"
+    )
+    if path_exists(spark, path):
+        spark.sql(f"MSCK REPAIR TABLE `{_name(path)}` SYNC PARTITIONS")
+    return spark.table(_name(path))
 
 
-def version_path(root: str, table: str, stamp: str) -> str:
-    return f"{root}/{table}/{table}_{stamp}"
+def bucketed(rows: DataFrame, path: str, buckets: int, *by: str) -> DataFrame:
+    """Rows written to a path, bucketed by key like the tables, and read again."""
+    writer = rows.write.mode("overwrite").option("path", path).bucketBy(buckets, KEY).sortBy(KEY)
+    (writer.partitionBy(*by) if by else writer).saveAsTable(_name(path))
+    return rows.sparkSession.table(_name(path))
 
 
-def _versions(spark: SparkSession, root: str, table: str) -> DataFrame:
-    if not path_exists(spark, f"{root}/versions"):
-        return spark.createDataFrame([], VERSIONS_DDL)
-    return spark.read.schema(VERSIONS_DDL).parquet(f"{root}/versions").filter(F.col("table_name") == table)
+def forget(spark: SparkSession, path: str, root: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS `{_name(path)}`")
+    remove_path(spark, path, root)
 
 
-def _list_version(spark: SparkSession, root: str, rows: list[tuple]) -> None:
-    """One file, so that a version appears as a whole."""
-    spark.createDataFrame(rows, VERSIONS_DDL).coalesce(1).write.mode("append").parquet(f"{root}/versions")
+def _waiting(spark: SparkSession, root: str, table: str) -> str | None:
+    """Stamp of a change that is staged and not known to have replaced all its periods."""
+    return next(iter(names_below(spark, f"{root}/{table}/staged/stamp")), None)
 
 
 def is_published(spark: SparkSession, root: str, table: str, stamp: str) -> bool:
-    return not _versions(spark, root, table).filter(F.col("stamp") == stamp).isEmpty()
-
-
-def _next_sequence(spark: SparkSession, root: str, table: str) -> int:
-    return (_versions(spark, root, table).agg(F.max("sequence")).first()[0] or 0) + 1
-
-
-def _locations(spark: SparkSession, root: str, table: str) -> dict[str, tuple[str, int]]:
-    """Newest path of each period that holds rows, and its buckets; as many as there are periods."""
-    newest = (
-        _versions(spark, root, table)
-        .filter(F.col("period").isNotNull())
-        .groupBy("period")
-        .agg(F.max_by(F.struct("path", "buckets"), "sequence").alias("newest"))
-        .select("period", "newest.*")
-    )
-    return {row["period"]: (row["path"], row["buckets"]) for row in newest.collect() if row["path"]}
+    return path_exists(spark, f"{root}/{table}/runs/{stamp}") or _waiting(spark, root, table) == stamp
 
 
 def bucket_count(spark: SparkSession, root: str, table: str, wanted: int) -> int:
-    """What the table's files are bucketed by; ``wanted`` if it has none yet.
+    """The buckets a table has had from its first run on; ``wanted`` before it."""
+    return int(next(iter(names_below(spark, f"{root}/{table}/buckets")), wanted))
 
-    Every version of a table is written with the count of the one before, so that
-    all its periods are bucketed alike.
-    """
-    counts = {buckets for _, buckets in _locations(spark, root, table).values()}
-    if len(counts) > 1:
-        raise ValueError(f"periods of {table} are bucketed unlike: {sorted(counts)}")
-    return counts.pop() if counts else wanted
 
+def _staged_periods(spark: SparkSession, root: str, table: str) -> list[str]:
+    names = names_below(spark, f"{root}/{table}/staged/rows")
+    return [n.removeprefix(f"{PERIOD}=") for n in names if n.startswith(f"{PERIOD}=")]
 
-def current(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
-    """The current version; empty before the first one.
 
-    Joins and aggregates on the key read it without a shuffle, and a filter on
-    the period reads only the periods it names.
-    """
-    locations = {period: path for period, (path, _) in _locations(spark, root, table).items()}
-    if not locations:
-        return spark.createDataFrame([], schema)
-    buckets = bucket_count(spark, root, table, 0)
-    name = _catalog_name(*sorted(locations.values()))
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet PARTITIONED BY (`{PERIOD}`) "
-        f"CLUSTERED BY (`{KEY}`) SORTED BY (`{KEY}`) INTO {buckets} BUCKETS LOCATION {_quoted(f'{root}/{table}/{name}')}"
-    )
-    partitions = " ".join(
-        f"PARTITION (`{PERIOD}` = {_quoted(p)}) LOCATION {_quoted(path)}" for p, path in locations.items()
-    )
-    spark.sql(f"ALTER TABLE `{name}` ADD IF NOT EXISTS {partitions}")
-    return spark.table(f"`{name}`")
+def _staged(spark: SparkSession, root: str, table: str, schema: StructType, buckets: int) -> DataFrame:
+    cells = [f for f in schema.fields if f.name != PERIOD]
+    whole = StructType(cells).add(CHANGED, "boolean").add(PERIOD, "string")
+    return declared(spark, f"{root}/{table}/staged/rows", whole, buckets)
 
 
-@contextmanager
-def shuffled_by_bucket(spark: SparkSession, buckets: int) -> Iterator[None]:
-    """Shuffle into as many partitions as there are buckets.
+def current(spark: SparkSession, root: str, table: str, schema: StructType, part: str = "rows") -> DataFrame:
+    """The table as of its last change, replaced already or not; empty before the first one.
 
-    Then a merge shuffles its batch once, and each task writes the files of its
-    own buckets only.
+    Joins and aggregates on the key read it without a shuffle, and a filter on the
+    period reads only the periods it names.
     """
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(buckets))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
-def stage(rows: DataFrame, buckets: int, path: str) -> DataFrame:
-    """Rows written to a path of the shared work folder, bucketed by key, for more than one use."""
-    spark = rows.sparkSession
-    name = _catalog_name(path)
-    rows.write.option("path", path).bucketBy(buckets, KEY).sortBy(KEY).saveAsTable(name)
-    return spark.table(name)
-
-
-def discard(staged: DataFrame, path: str) -> None:
-    """Forget a staged batch and remove its files."""
-    spark = staged.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS `{_catalog_name(path)}`")
-    remove_path(spark, path)
-
-
-def rows_of_periods(target: DataFrame, periods: list[str]) -> DataFrame:
-    return target.filter(F.col(PERIOD).isin(periods))
-
+    buckets, waiting = bucket_count(spark, root, table, 0), _waiting(spark, root, table)
+    if not buckets or (waiting and waiting.endswith(EMPTY)):
+        return spark.createDataFrame([], schema)
+    rows = declared(spark, f"{root}/{table}/{part}", schema, buckets)
+    if not waiting:
+        return rows
+    replaced = F.col(PERIOD).isin(_staged_periods(spark, root, table))
+    staged = _staged(spark, root, table, schema if part == "rows" else KEYS, buckets)
+    return rows.filter(~replaced).unionByName(staged.select(*schema.names))
 
-def changed_keys(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(row_key, period) of the rows of ``new`` that ``old`` lacks or has otherwise.
 
-    Both hold a key once and are bucketed by it, so nothing is shuffled.
-    """
-    cells = lambda df: F.struct(
-        *[
-            F.array_sort(F.map_entries(f.name)).alias(f.name) if isinstance(f.dataType, MapType) else F.col(f.name)
-            for f in sorted(df.schema.fields, key=lambda f: f.name)
-            if f.name != KEY
-        ]
-    )
-    before = old.select(KEY, cells(old).alias("before"))
-    after = new.select(KEY, PERIOD, cells(new).alias("after"))
-    return after.join(before, KEY, "left").filter(~F.col("after").eqNullSafe(F.col("before"))).select(KEY, PERIOD)
+def periods_of(spark: SparkSession, root: str, table: str, batch: DataFrame) -> list[str]:
+    """The periods in which the rows of a batch lie, or will lie, by the index alone."""
+    known = current(spark, root, table, KEYS, "keys").select(KEY, F.col(PERIOD).alias("known"))
+    found = batch.select(KEY, PERIOD).join(known, KEY, "left").select(F.coalesce("known", PERIOD).alias(PERIOD))
+    return sorted(row[PERIOD] for row in found.distinct().collect())
 
 
-def publish(rows: DataFrame, root: str, table: str, stamp: str, buckets: int) -> str:
-    """Write the periods of ``rows`` as a version and make them current; returns its path.
+def publish(rows: DataFrame, root: str, table: str, stamp: str, buckets: int, schema: StructType) -> None:
+    """Replace the periods of ``rows`` that have a row marked as ``CHANGED``.
 
-    ``rows`` must hold all rows of each period it has any of. A path that was
-    written but never listed is what a failed job left behind, and is written
-    anew; a listed one is never touched.
+    ``rows`` must hold all rows of each period it has any of.
     """
-    spark = rows.sparkSession
-    path, sequence = version_path(root, table, stamp), _next_sequence(spark, root, table)
+    spark, path = rows.sparkSession, f"{root}/{table}/staged"
     if is_published(spark, root, table, stamp):
-        raise FileExistsError(f"version {stamp} of {table} is already published")
-    (
-        rows.write.mode("overwrite")
-        .option("path", path)
-        .partitionBy(PERIOD)
-        .bucketBy(buckets, KEY)
-        .sortBy(KEY)
-        .saveAsTable(_catalog_name(path))
-    )
-    counts = spark.table(_catalog_name(path)).groupBy(PERIOD).count().collect()
-    listed = [(stamp, table, c[PERIOD], f"{path}/{PERIOD}={c[PERIOD]}", c["count"], sequence, buckets) for c in counts]
-    # The row without a period marks the version as complete, even one without rows.
-    _list_version(spark, root, [*listed, (stamp, table, None, path, sum(c["count"] for c in counts), sequence, buckets)])
-    # The version is read by its listed paths; the name it was written under is not needed again.
-    spark.sql(f"DROP TABLE IF EXISTS `{_catalog_name(path)}`")
-    return path
-
-
-def publish_empty(spark: SparkSession, root: str, table: str, stamp: str) -> None:
-    """Make the table empty: every period it has gets a version without a path."""
-    sequence = _next_sequence(spark, root, table)
-    emptied = [(stamp, table, period, "", 0, sequence, None) for period in _locations(spark, root, table)]
-    _list_version(spark, root, [*emptied, (stamp, table, None, "", 0, sequence, None)])
+        raise FileExistsError(f"run {stamp} of {table} is already published")
+    finish(spark, root, table, schema)
+    forget(spark, f"{path}/rows", root)
+    staged = bucketed(rows.select(*[c for c in schema.names if c != PERIOD], CHANGED, PERIOD), f"{path}/rows", buckets, PERIOD)
+    changed = {r[PERIOD] for r in staged.filter(CHANGED).select(PERIOD).distinct().collect()}
+    for period in set(_staged_periods(spark, root, table)) - changed:
+        remove_path(spark, f"{path}/rows/{PERIOD}={period}", root)
+    mark(spark, f"{root}/{table}/buckets/{buckets}")
+    mark(spark, f"{path}/stamp/{stamp}")
+    finish(spark, root, table, schema)
+
+
+#: What the stamp of a change that leaves nothing ends with.
+EMPTY = "_empty"
+
+
+def publish_empty(spark: SparkSession, root: str, table: str, stamp: str, schema: StructType) -> None:
+    """Make the table empty."""
+    finish(spark, root, table, schema)
+    mark(spark, f"{root}/{table}/staged/stamp/{stamp}{EMPTY}")
+    finish(spark, root, table, schema)
+
+
+def finish(spark: SparkSession, root: str, table: str, schema: StructType) -> None:
+    """Bring a staged change to its end; running it again changes nothing."""
+    stamp = _waiting(spark, root, table)
+    if stamp is None:
+        return
+
+    buckets, periods = bucket_count(spark, root, table, 0), _staged_periods(spark, root, table)
+
+    def replace(part: str, columns: StructType) -> None:
+        declared(spark, f"{root}/{table}/{part}", columns, buckets)
+        staged.select(*columns.names).write.insertInto(_name(f"{root}/{table}/{part}"), overwrite=True)
+
+    if stamp.endswith(EMPTY):
+        for part in ("rows", "keys"):
+            forget(spark, f"{root}/{table}/{part}", root)
+    elif periods:
+        staged = _staged(spark, root, table, schema, buckets)
+        with ThreadPoolExecutor(2) as both:
+            list(both.map(replace, ("rows", "keys"), (schema, KEYS)))
+    mark(spark, f"{root}/{table}/runs/{stamp}")
+    forget(spark, f"{root}/{table}/staged/rows", root)
+    remove_path(spark, f"{root}/{table}/staged", root)

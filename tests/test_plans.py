@@ -4,12 +4,13 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from daybook.plans.reports import cumulative_report, signing_report, unmatched_registrations, orders_in_window
 from daybook.plans.run import Run
 from daybook.plans.tables import table_schema
 from daybook.session import work_folder
-from daybook.sources.keyed import current, publish
+from daybook.sources.keyed import CHANGED, current, publish
 
 RUN = Run.on("2025-05-15")
 
@@ -22,7 +23,7 @@ def stored(spark):
     def table(name, **families):
         schema = table_schema(spark, name)
         row = {"row_key": "k", "period": "2025-04", **families}
-        publish(spark.createDataFrame([row], schema), root, name, "1", 8)
+        publish(spark.createDataFrame([row], schema).withColumn(CHANGED, F.lit(True)), root, name, "1", 8, schema)
         return current(spark, root, name, schema)
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -6,17 +6,11 @@ from pyspark.sql import functions as F
 from daybook.operators.merge import insert_or_patch, latest_per_key
 from daybook.sources.archives import append_manifest, latest_entry, latest_path, read_manifest, scan_with_archives
 from daybook.sources.collections import SCHEMAS, in_window, read_collection
-from daybook.sources.keyed import (
-    bucket_count,
-    changed_keys,
-    current,
-    is_published,
-    publish,
-    publish_empty,
-    stage,
-    rows_of_periods,
-    version_path,
-)
+from daybook.plans import flows, tables
+from daybook.plans.labels import Labels
+from daybook.plans.run import Run
+from daybook.sources import keyed
+from daybook.sources.keyed import CHANGED, KEYS, bucket_count, bucketed, current, is_published, periods_of, publish, publish_empty
 from daybook.sources.parquet import read_dictionary, read_where, write_report
 from daybook.functions.times import instant
 from daybook.session import work_folder
@@ -34,66 +28,147 @@ def test_work_folder_is_below_the_shared_one(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_versions(spark):
-    root = work_folder(spark, "keyed")
-    first = spark.createDataFrame([("a", ("1",), "p1"), ("b", ("1",), "p1"), ("z", ("1",), "p9")], STORED)
-    assert current(spark, root, "T", first.schema).count() == 0
-    publish(first, root, "T", "20240101", 4)
-    publish(spark.createDataFrame([("y", ("9",), "p1")], STORED), root, "Other", "20250101", 4)
-    held = current(spark, root, "T", first.schema)
-
-    # b lies in p1 and stays there; c is new in p2; p9 is not touched.
-    batch = stage(spark.createDataFrame([("b", ("2",), "p2"), ("c", ("2",), "p2")], STORED), 4, work_folder(spark, "batch"))
-    touched = rows_of_periods(held, ["p1", "p2"])
-    assert sorted(r.row_key for r in touched.collect()) == ["a", "b"]
-    path = publish(insert_or_patch(touched, batch, "info", ["s"]), root, "T", "20240102", 4)
-    now = current(spark, root, "T", first.schema)
-    assert sorted((r.row_key, r.info.s, r.period) for r in now.collect()) == [
-        ("a", "1", "p1"), ("b", "2", "p1"), ("c", "2", "p2"), ("z", "1", "p9"),
-    ]
-    assert sorted(r.row_key for r in spark.read.parquet(path).collect()) == ["a", "b", "c"]
-    with pytest.raises(FileExistsError):
-        publish(first, root, "T", "20240102", 4)
+def stored(spark, *rows):
+    """Rows of (key, value, period), all marked as changed."""
+    return spark.createDataFrame([(k, (v,), p) for k, v, p in rows], STORED).withColumn(CHANGED, F.lit(True))
+
+
+def held(spark, root, schema, table="T"):
+    return sorted((r.row_key, r.info.s, r.period) for r in current(spark, root, table, schema).collect())
 
-    publish_empty(spark, root, "T", "20240103")
-    assert current(spark, root, "T", first.schema).count() == 0
-    publish(first.limit(0), root, "T", "20240104", 4)
-    assert is_published(spark, root, "T", "20240104")
-    publish(first.filter("row_key = 'a'"), root, "T", "20240105", 4)
-    assert [r.row_key for r in current(spark, root, "T", first.schema).collect()] == ["a"]
 
+def index(spark, root):
+    return sorted(tuple(r) for r in current(spark, root, "T", KEYS, "keys").select("row_key", "period").collect())
 
-def test_a_failed_job_leaves_the_current_version(spark):
-    root = work_folder(spark, "failed")
-    first = spark.createDataFrame([("a", ("1",), "p"), ("b", ("1",), "p")], STORED)
-    publish(first, root, "T", "1", 4)
-    # What a job leaves that dies after its files and before the list of versions.
-    first.write.partitionBy("period").parquet(version_path(root, "T", "2"))
-    assert current(spark, root, "T", first.schema).count() == 2
-    publish(first.filter("row_key = 'a'"), root, "T", "2", 4)
-    assert [r.row_key for r in current(spark, root, "T", first.schema).collect()] == ["a"]
-    assert is_published(spark, root, "T", "2") and not is_published(spark, root, "T", "3")
+
+def test_changed_periods_are_replaced(spark):
+    root = work_folder(spark, "keyed")
+    first = stored(spark, ("a", "1", "p1"), ("b", "1", "p1"), ("z", "1", "p9"))
+    schema = first.drop(CHANGED).schema
+    assert held(spark, root, schema) == []
+    publish(first, root, "T", "20240101", 4, schema)
+    publish(stored(spark, ("y", "9", "p1")), root, "Other", "20250101", 4, schema)
+
+    # b lies in p1 and stays there; c is new in p2; p9 is not touched and not read.
+    batch = bucketed(stored(spark, ("b", "2", "p2"), ("c", "2", "p2")).drop(CHANGED), work_folder(spark, "batch"), 4)
+    assert periods_of(spark, root, "T", batch) == ["p1", "p2"]
+    touched = current(spark, root, "T", schema).filter("period in ('p1', 'p2')")
+    merged = insert_or_patch(touched, batch, "info", ["s"]).withColumn(CHANGED, F.col("row_key") == "b")
+    publish(merged, root, "T", "20240102", 4, schema)
+    # Only periods with changed rows are replaced.
+    assert held(spark, root, schema) == [("a", "1", "p1"), ("b", "2", "p1"), ("z", "1", "p9")]
+    assert index(spark, root) == [("a", "p1"), ("b", "p1"), ("z", "p9")]
+    with pytest.raises(FileExistsError):
+        publish(first, root, "T", "20240102", 4, schema)
+
+    publish_empty(spark, root, "T", "20240103", schema)
+    assert held(spark, root, schema) == index(spark, root) == []
+    publish(first.limit(0), root, "T", "20240104", 4, schema)
+    assert is_published(spark, root, "T", "20240104") and not is_published(spark, root, "T", "20240105")
+    publish(first.filter("row_key = 'a'"), root, "T", "20240105", 4, schema)
+    assert held(spark, root, schema) == [("a", "1", "p1")]
+    assert held(spark, root, schema, "Other") == [("y", "9", "p1")]
+
+
+@pytest.mark.parametrize("lost", ["before", "rows", "keys", "mark"])
+def test_a_lost_job_loses_no_change(spark, monkeypatch, lost):
+    """A job dies before it replaces, between rows and index, or before it says that it is done."""
+    root = work_folder(spark, "lost")
+    first = stored(spark, ("a", "1", "p"), ("b", "1", "p"), ("c", "1", "q"))
+    schema = first.drop(CHANGED).schema
+    publish(first, root, "T", "1", 4, schema)
+    change = stored(spark, ("a", "2", "p"), ("b", "1", "p"), ("d", "2", "p"), ("e", "2", "r"))
+
+    def die(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        if lost == "before":
+            patched.setattr(keyed, "ThreadPoolExecutor", die)
+        elif lost == "mark":
+            real = keyed.mark
+            patched.setattr(keyed, "mark", lambda spark, path: die() if "/runs/" in path else real(spark, path))
+        else:
+            real = keyed.declared
+            other = "/keys" if lost == "rows" else "/T/rows"
+            patched.setattr(keyed, "declared", lambda spark, path, *rest: die() if path.endswith(other) else real(spark, path, *rest))
+        with pytest.raises(RuntimeError, match="lost"):
+            publish(change, root, "T", "2", 4, schema)
+    after = [("a", "2", "p"), ("b", "1", "p"), ("c", "1", "q"), ("d", "2", "p"), ("e", "2", "r")]
+    keys = [(k, p) for k, _, p in after]
+    # Readers take the change at once; it is not made again, and the next one finishes it first.
+    assert held(spark, root, schema) == after and index(spark, root) == keys
+    assert is_published(spark, root, "T", "2")
+    keyed.finish(spark, root, "T", schema)
+    assert held(spark, root, schema) == after and index(spark, root) == keys
+    publish(stored(spark, ("c", "3", "q")), root, "T", "3", 4, schema)
+    assert held(spark, root, schema) == [("c", "3", "q") if k == "c" else (k, v, p) for k, v, p in after]
+
+
+def test_a_job_lost_while_it_stages_changes_nothing(spark, monkeypatch):
+    root = work_folder(spark, "staging")
+    first = stored(spark, ("a", "1", "p"))
+    schema = first.drop(CHANGED).schema
+    publish(first, root, "T", "1", 4, schema)
+    with monkeypatch.context() as patched:
+        patched.setattr(keyed, "mark", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            publish(stored(spark, ("a", "2", "p"), ("b", "2", "q")), root, "T", "2", 4, schema)
+    assert held(spark, root, schema) == [("a", "1", "p")] and not is_published(spark, root, "T", "2")
+    publish(stored(spark, ("a", "3", "p")), root, "T", "2", 4, schema)
+    assert held(spark, root, schema) == [("a", "3", "p")]
+
+
+def test_an_ingest_reads_only_the_months_of_its_keys(spark):
+    """Files of other months are spoiled: whoever read them would fail."""
+    root, flow, labels = work_folder(spark, "months"), flows.PROBLEM_GUIDE, Labels("-", "-")
+
+    def guides(*rows):
+        made = [{"_id": k, "Status": s, "CreatedDate": datetime(2024, month, 5)} for k, s, month in rows]
+        return spark.createDataFrame(made, SCHEMAS["ProblemGuide"])
+
+    def ingest(stamp, *rows):
+        tables.ingest_into(spark, root, flow, guides(*rows), Run.on("2024-09-01"), stamp, labels, buckets=2)
+
+    ingest("1", *[(f"k{i}", "old", 1 + i % 6) for i in range(30)])
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for month in (1, 2, 4, 5, 6):
+        for file in system.listStatus(hadoop(f"{root}/ProblemGuide/rows/period=2024-{month:02d}")):
+            out = system.create(file.getPath(), True)
+            out.writeBytes("spoiled")
+            out.close()
+    # The key says March, whatever date the document has now; a new key is born in August.
+    ingest("2", ("k2", "new", 1), ("k8", "old", 3), ("n", "new", 8))
+    schema = tables.table_schema(spark, "ProblemGuide")
+    rows = current(spark, root, "ProblemGuide", schema).filter("period in ('2024-03', '2024-08')").collect()
+    assert {r.row_key: r.info.status for r in rows} == {"k2": "new", "k8": "old", "k14": "old", "k20": "old", "k26": "old", "n": "new"}
+    plan = spark.table(keyed._name(f"{root}/ProblemGuide/rows")).filter("period = '2024-03'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(period" in plan
+    # Nothing changes, so nothing is replaced.
+    before = {f.getPath().getName() for f in system.listStatus(hadoop(f"{root}/ProblemGuide/rows/period=2024-03"))}
+    ingest("3", ("k2", "new", 3))
+    assert before == {f.getPath().getName() for f in system.listStatus(hadoop(f"{root}/ProblemGuide/rows/period=2024-03"))}
 
 
 def test_merge_shuffles_neither_table_nor_staged_batch(spark):
-    root = work_folder(spark, "bucketed")
+    root, flow = work_folder(spark, "bucketed"), flows.SIGNATURE_TRANSACTION
+    schema = tables.table_schema(spark, flow.table)
     rows = spark.range(1000).select(
         F.col("id").cast("string").alias("row_key"),
-        F.struct(F.lit("x").alias("s")).alias("info"),
+        F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema["info"].dataType.fields]).alias("info"),
         F.concat(F.lit("p"), (F.col("id") % 4).cast("string")).alias("period"),
     )
-    publish(rows, root, "T", "1", 8)
-    target = current(spark, root, "T", rows.schema)
-    batch = stage(rows.filter("period = 'p1'").withColumn("info", F.struct(F.lit("y").alias("s"))), 8, work_folder(spark, "batch"))
+    publish(rows.withColumn(CHANGED, F.lit(True)), root, flow.table, "1", 8, schema)
+    batch = bucketed(rows.filter("period = 'p1'"), work_folder(spark, "batch"), 8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        touched = rows_of_periods(target, ["p1"])
-        merged = insert_or_patch(touched, batch, "info", ["s"])
+        merged = tables.merged_periods(spark, root, flow, batch, Run.on("2024-01-01"))
         assert exchanges(merged) == []
-        plan = touched._jdf.queryExecution().executedPlan().toString()
-        assert "PartitionFilters: [isnotnull(period" in plan and "p1" in plan
-        assert merged.groupBy("info.s").count().collect() == [("y", 250)]
-        unstaged = insert_or_patch(touched, latest_per_key(rows, ["info"]), "info", ["s"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(period" in plan and "(period#" in plan and "= p1)" in plan
+        assert merged.groupBy(CHANGED).count().collect() == [(False, 250)]
+        unstaged = insert_or_patch(current(spark, root, flow.table, schema), latest_per_key(rows, ["info"]), "info", [])
         assert len(exchanges(unstaged)) == 1, "a batch is shuffled once for de-duplication and join"
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -142,19 +217,20 @@ def test_dictionary_of_several_files(spark):
 
 def test_buckets_and_order_are_the_table_s_own(spark):
     root = work_folder(spark, "own")
-    rows = spark.createDataFrame([(str(i), ("1",), "p") for i in range(50)], STORED)
-    publish(rows, root, "T", "2", 4)
-    assert bucket_count(spark, root, "T", 8) == 4
+    rows = stored(spark, *[(str(i), "1", "p") for i in range(50)])
+    schema = rows.drop(CHANGED).schema
+    publish(rows, root, "T", "2", 4, schema)
+    assert bucket_count(spark, root, "T", 8) == 4 and bucket_count(spark, root, "U", 8) == 8
     # A run of an earlier stamp that is published later counts.
-    publish(rows.limit(3), root, "T", "1", 4)
-    assert current(spark, root, "T", rows.schema).count() == 3
+    publish(rows.limit(3), root, "T", "1", 4, schema)
+    assert current(spark, root, "T", schema).count() == 3
 
 
-def test_changed_keys(spark):
-    rows = [("a", ("1",), "p1"), ("b", ("1",), "p1"), ("c", (None,), "p2")]
-    old = spark.createDataFrame(rows, STORED)
-    new = spark.createDataFrame([rows[0], ("b", ("2",), "p1"), rows[2], ("d", ("1",), "p3")], STORED)
-    assert sorted((r.row_key, r.period) for r in changed_keys(old, new).collect()) == [("b", "p1"), ("d", "p3")]
+def test_comparable_rows_tell_maps_by_their_entries(spark):
+    ddl = "row_key string, m map<string,string>, s string"
+    rows = spark.createDataFrame([("a", {"x": "1", "y": "2"}, None), ("b", {"y": "2", "x": "1"}, None), ("c", {"x": "1"}, "")], ddl)
+    cells = [r[0] for r in rows.orderBy("row_key").select(tables.comparable(rows)).collect()]
+    assert cells[0] == cells[1] != cells[2]
 
 
 def test_latest_snapshot(spark):
