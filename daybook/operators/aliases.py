@@ -1,9 +1,11 @@
 """Fold of areas whose names contain each other into representatives with an other code.
 
-The fold goes through the areas in order, but an area depends only on earlier
-ones that share its code, or the code of an earlier area whose name pairs with
-its own. So it runs in rounds: each round decides every area that no undecided
-area is in the way of, by joins on codes, and writes what it decided.
+The fold goes through the areas in order, but what becomes of an area depends only on
+who stands in the places of representatives that ever hold a name that pairs with its
+own. So it runs in rounds over names, not areas: a round looks at the first undecided
+area of every name and, where all that can matter to it is known, decides it and the
+areas of that name behind it until something changes. A place is known as long as
+every undecided area of it pairs with its holder: such an area is absorbed somewhere.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 from daybook.session import work_folder
 
 CELLS = ["position", "code", "name", "other_code", "area_code", "area_name"]
+#: Characters of the grams that names are met by; shorter names are grams themselves.
+GRAM = 3
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -22,32 +26,33 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _parts(name: Column) -> Column:
-    """All distinct substrings of a name."""
-    n = F.length(name)
-    return F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.sequence(F.lit(1), n),
-                lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(name, i, k)),
-            )
-        )
-    )
-
-
-def _pairs(areas: DataFrame) -> DataFrame:
-    """(later, earlier, slot): earlier areas whose name contains a later one's or lies in it.
+def _pairs(names: DataFrame) -> DataFrame:
+    """(x, y): ids of names of which one contains the other, both ways, every name with itself.
 
-    Names are met by their parts with an equi-join; names, not areas, are paired,
-    so that a name which many areas have is one row.
+    A name is filed under its rarest gram, by which all names that may contain it
+    find it: as many rows as a name has characters, not as it has parts.
     """
-    names = areas.select(F.lower("name").alias("low")).distinct()
-    parts = names.select(F.col("low").alias("whole"), F.explode(_parts(F.col("low"))).alias("low"))
-    inside = parts.join(names, "low").select(F.col("whole").alias("x"), F.col("low").alias("y"))
-    both = _stored(inside.unionByName(inside.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "names")
-    later = areas.select(F.lower("name").alias("x"), F.col("position").alias("later"))
-    earlier = areas.select(F.lower("name").alias("y"), F.col("position").alias("earlier"), "slot")
-    return later.join(both, "x").join(earlier, "y").where("earlier < later").select("later", "earlier", "slot")
+    low = F.col("low")
+
+    def parts(size: int) -> Column:
+        places = F.sequence(F.lit(1), F.length(low) - (size - 1))
+        return F.when(F.length(low) >= size, F.transform(places, lambda i: F.substring(low, i, F.lit(size))))
+
+    grams = [parts(size) for size in range(1, GRAM + 1)]
+    all_grams = F.array_distinct(F.concat(*[F.coalesce(g, F.array().cast("array<string>")) for g in grams]))
+    held = _stored(names.select("id", F.least(F.length(low), F.lit(GRAM)).alias("size"), F.explode(all_grams).alias("gram")), "grams")
+    counts = held.groupBy("gram").agg(F.count("*").alias("n"))
+    filed = (
+        held.where(F.length("gram") == F.col("size"))
+        .join(counts, "gram")
+        .groupBy("id")
+        .agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+        .select("gram", F.col("id").alias("y"))
+    )
+    met = held.select("gram", F.col("id").alias("x")).join(filed, "gram").select("x", "y")
+    whole, part = names.select(F.col("id").alias("x"), low.alias("whole")), names.select(F.col("id").alias("y"), low.alias("part"))
+    inside = _stored(met.join(part, "y").join(whole, "x").where("contains(whole, part)").select("x", "y"), "inside")
+    return inside.unionByName(inside.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
 
 
 def fold_aliases(areas: DataFrame) -> DataFrame:
@@ -62,46 +67,87 @@ def fold_aliases(areas: DataFrame) -> DataFrame:
     # A place among the representatives belongs to a code; a missing code is one as well.
     slot = F.when(F.col("code").isNull(), "").otherwise(F.concat(F.lit("="), F.col("code")))
     named = areas.select(*CELLS).filter(F.coalesce(F.length("name"), F.lit(0)) > 0)
-    named = _stored(named.withColumn("slot", slot), "areas")
-    pairs = _stored(_pairs(named), "pairs")
-    own = named.select(F.col("position").alias("later"), "slot")
-    needs = _stored(pairs.select("later", "slot").unionByName(own).distinct(), "needs")
-
-    undecided = named.select("position", "slot")
-    decided = None  # position, slot, into: the slot that absorbed the area, or null
+    named = _stored(named.select("*", slot.alias("slot"), F.lower("name").alias("low")), "areas")
+    names = _stored(named.select("low").distinct().withColumn("id", F.monotonically_increasing_id()), "names")
+    pairs = _stored(_pairs(names), "pairs")
+    undecided = _stored(named.join(names, "low").select("position", "slot", "id"), "undecided")
+    # The slots that ever hold a name which pairs with x.
+    reach = pairs.join(undecided.select(F.col("id").alias("y"), "slot").distinct(), "y").select("x", "slot").distinct()
+    reach = _stored(reach, "reach")
+
+    decided = holders = None  # of all rounds: position, slot, id, into: the slot that absorbed the area, or null
     while not undecided.isEmpty():
-        first = undecided.groupBy("slot").agg(F.min("position").alias("first"))
-        waiting = needs.join(first, "slot").where("first < later").select("later").distinct()
-        ready = undecided.join(waiting, F.col("position") == F.col("later"), "left_anti")
-        if decided is None:
-            verdict = ready.select("position", "slot", F.lit(None).cast("string").alias("into"))
-        else:
-            verdict = _decide(ready, decided, pairs)
-        verdict = _stored(verdict, "round")
+        if holders is None:
+            holders = undecided.limit(0)
+        verdict = _stored(_decide(undecided, holders, reach, pairs), "round")
+        if verdict.isEmpty():
+            raise RuntimeError("no area could be decided")  # the first undecided one always can
         decided = verdict if decided is None else decided.unionByName(verdict)
+        holders = _stored(holders.unionByName(verdict.where("into is null").drop("into")), "holders")
         undecided = _stored(undecided.join(verdict, "position", "left_anti"), "undecided")
     if decided is None:
         return named.select(*CELLS)
     return _representatives(named, decided)
 
 
-def _decide(ready: DataFrame, decided: DataFrame, pairs: DataFrame) -> DataFrame:
-    """What becomes of areas for which all that matters is decided."""
-    holders = decided.where("into is null").select("slot", F.col("position").alias("holder"))
-    starts = holders.groupBy("slot").agg(F.min("holder").alias("start"))
-    mine = ready.select(F.col("position").alias("later"))
-    wanted = pairs.join(mine, "later", "left_semi").select("later", "slot").distinct()
-    # Who stands in a slot when the area comes: its last holder before it.
-    standing = (
-        wanted.join(holders, "slot").where("holder < later").groupBy("later", "slot").agg(F.max("holder").alias("earlier"))
+def _decide(undecided: DataFrame, holders: DataFrame, reach: DataFrame, pairs: DataFrame) -> DataFrame:
+    """What becomes of the areas of every name up to its next change, where that is known."""
+    first = undecided.groupBy(F.col("id").alias("x")).agg(F.min("position").alias("now"))
+    events = holders.withColumn("held", F.lit(True)).unionByName(undecided.withColumn("held", F.lit(False)))
+    before = F.col("position") < F.col("now")
+    held, place = F.col("held"), F.struct("position", "id")
+    slots = (
+        reach.join(first, "x")
+        .join(events, "slot")
+        .groupBy("x", "slot", "now")
+        .agg(
+            F.max(F.when(held & before, place)).alias("last"),
+            F.min(F.when(held & before, F.col("position"))).alias("start"),
+            F.min(F.when(~held & before, F.col("position"))).alias("open"),
+            F.min(F.when(held & ~before, F.col("position"))).alias("next"),
+        )
+        .select("*", F.col("last.id").alias("holder"), F.col("last.position").alias("since"))
     )
-    hits = (
-        standing.join(pairs.select("later", "earlier").distinct(), ["later", "earlier"], "left_semi")
-        .join(starts, "slot")
-        .groupBy("later")
-        .agg(F.min_by("slot", "start").alias("into"))
+    # Undecided areas that may come to hold a slot: they do not pair with its holder.
+    harmless = pairs.select(F.col("x").alias("id"), F.col("y").alias("holder"))
+    rivals = (
+        slots.select("x", "slot", "now", "holder", "since")
+        .join(undecided, "slot")
+        .where("id <> x and (since is null or position > since)")
+        .join(harmless, ["id", "holder"], "left_anti")
+        .groupBy("x", "slot")
+        .agg(F.bool_or(before).alias("rivalled"), F.min(F.when(~before, F.col("position"))).alias("rival"))
+    )
+    matches = pairs.select("x", F.col("y").alias("holder"), F.lit(True).alias("pairs"))
+    known = (
+        slots.join(rivals, ["x", "slot"], "left")
+        .join(matches, ["x", "holder"], "left")
+        .select(
+            "x",
+            "slot",
+            "now",
+            "pairs",
+            "start",
+            # A slot counts from its first area on, which may be one that is not decided.
+            F.least("start", "open").alias("counts"),
+            F.least("next", "rival").alias("turn"),
+            (F.coalesce("rivalled", F.lit(False)) | F.coalesce(F.col("open") < F.col("start"), F.lit(False))).alias("unsure"),
+        )
+    )
+    sure_hit = F.when(~F.col("unsure") & F.col("pairs"), F.struct("start", "slot"))
+    best = known.groupBy("x", "now").agg(
+        F.min(sure_hit).alias("hit"), F.min(F.when(F.col("unsure"), F.col("counts"))).alias("unsure_from")
+    )
+    ready = best.where("unsure_from is null or unsure_from > hit.start")
+    until = (
+        known.select("x", "counts", "turn").join(ready, "x").where("counts <= hit.start").groupBy("x").agg(F.min("turn").alias("until"))
+    )
+    verdict = ready.join(until, "x", "left").select("x", "now", "until", F.col("hit.slot").alias("into"))
+    return (
+        undecided.join(verdict, F.col("id") == F.col("x"))
+        .where("position = now or (into is not null and (until is null or position <= until))")
+        .select("position", "slot", "id", "into")
     )
-    return ready.join(hits, F.col("position") == F.col("later"), "left").select("position", "slot", "into")
 
 
 def _representatives(named: DataFrame, decided: DataFrame) -> DataFrame:

@@ -51,13 +51,23 @@ def archive_rows(rows: DataFrame, date_report: Column) -> DataFrame:
     return rows.select(F.col(KEY).alias("_id"), date_report.alias("date_report"), "info.*")
 
 
+def fingerprint(rows: DataFrame) -> tuple:
+    """Number of rows and a sum of their hashes: the same for the same rows in any order.
+
+    Every cell is hashed behind its place, so that a null in one column and in the
+    next one differ.
+    """
+    cells = [c for i, name in enumerate(sorted(rows.columns)) for c in (F.lit(i), F.col(name))]
+    hashes = F.sum(F.xxhash64(*cells).cast("decimal(38,0)"))
+    return tuple(rows.agg(F.count("*").alias("count"), hashes.alias("hashes")).first())
+
+
 def archive_transactions(spark: SparkSession, root: str, run: Run) -> bool:
     """Archive the live transactions; False when there are none, an error when the copy is not whole.
 
-    The live table is emptied only after the archive was read back with the same
-    number of rows, and by listing an empty version: the archived one stays on
-    storage until it is cleaned up. A run that failed on the way can be started
-    again: an archive it recorded is kept, one it did not record is written anew.
+    The live table is emptied only after the archive was read back and has the same
+    ``fingerprint``. A run that failed on the way can be started again: an archive it
+    recorded is kept, one it did not record is written anew.
     """
     schema, manifest = table_schema(spark, ARCHIVED), f"{root}/manifest"
     live = current(spark, root, ARCHIVED, schema)
@@ -74,9 +84,10 @@ def archive_transactions(spark: SparkSession, root: str, run: Run) -> bool:
         if earlier:
             raise FileExistsError(f"{path} was archived by another run")
         archive_rows(live, run.time_column).write.mode("overwrite").parquet(path)
-    copied = spark.read.schema(archive_rows(live, run.time_column).schema).parquet(path).count()
-    if copied != entry["count"]:
-        raise RuntimeError(f"{path} holds {copied} of {entry['count']} rows; the live table stays as it is")
+    rows = archive_rows(live, run.time_column)
+    wanted, copied = fingerprint(rows), fingerprint(spark.read.schema(rows.schema).parquet(path))
+    if copied != wanted:
+        raise RuntimeError(f"{path} is no copy of the live table, which stays as it is: {copied} against {wanted}")
     if not earlier:
         append_manifest(spark, manifest, [tuple(entry)])
     publish_empty(spark, root, ARCHIVED, stamp, schema)

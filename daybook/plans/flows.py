@@ -242,7 +242,7 @@ USER = Flow(
             is_test isTest flag
             pre_status preStatus
             province_code provinceCode
-            province_codes _province_codes
+            province_codes _province_codes blank
             source source
             province_id identityAddress.provinceId
             province_name identityAddress.provinceName
@@ -252,7 +252,7 @@ USER = Flow(
             ward_name identityAddress.wardName
             street_name identityAddress.streetName
             address identityAddress.address
-            roles _roles
+            roles _roles blank
         """,
     },
     patch="status status_desc modified_date province_code province_codes roles pre_status",
@@ -326,7 +326,7 @@ REQUEST_CERT = Flow(
             pricing_code pricingCode
             pricing_name pricingName
             username username
-            locality_code _locality
+            locality_code _locality blank
             uid uid
             identity_id identityId
             full_name fullName
@@ -387,7 +387,7 @@ CREDENTIAL = Flow(
             uid identity.uid
             client_id identity.createdByClientId
             client_name identity.createdByClientName
-            locality_code _locality
+            locality_code _locality blank
             ma_tb identity.DHSXKDSubcriptionCode
             source identity.source
             contract_number contract.number
@@ -399,8 +399,8 @@ CREDENTIAL = Flow(
             valid_from _cert.validFrom as_is
             valid_to _cert.validTo as_is
             request_cert_id _cert.requestId
-            cert_status _cert_status
-            cert_status_desc _cert_status_desc
+            cert_status _cert_status blank
+            cert_status_desc _cert_status_desc blank
         """,
     },
     patch="status status_desc modified_date serial valid_from valid_to request_cert_id"

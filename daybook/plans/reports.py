@@ -37,32 +37,42 @@ ORDER_STATE_DDL = ", ".join(f"{name} string" for name in ORDER_STATE_COLUMNS)
 def signing_report(transactions: DataFrame, run: Run) -> DataFrame:
     """Successful and other signings of the month, per client and month.
 
-    Two steps: sums per client, month and name run as one hash aggregate with a
-    map-side combine, and only its few rows decide which name came first.
+    Sums per client, month and name run as one hash aggregate that does not read the
+    keys. Which name came first is asked only for the few clients and months that
+    have several, in a scan of names and keys alone.
     """
     start, end = run.monthly_window
-    scanned = transactions.select(
-        "row_key", "info.app_id", "info.app_name", "info.req_time", "info.status"
-    ).filter(half_open(F.col("req_time"), start, end))
-    signed = F.coalesce(F.col("status") == SIGNED, F.lit(False))
-    per_name = (
-        scanned.filter(F.col("app_id").isNotNull())
-        .groupBy(F.col("app_id").alias("client_id"), month_label(F.col("req_time")).alias("month"), "app_name")
-        .agg(
-            F.sum(signed.cast("int")).alias("success"),
-            F.sum((~signed).cast("int")).alias("un_success"),
-            F.min("row_key").alias("first_key"),
-        )
+    in_month = (
+        transactions.select("row_key", "info.app_id", "info.app_name", "info.req_time", "info.status")
+        .filter(half_open(F.col("req_time"), start, end) & F.col("app_id").isNotNull())
+        .select("row_key", F.col("app_id").alias("client_id"), month_label(F.col("req_time")).alias("month"), "app_name", "status")
     )
-    first_key = F.when(F.col("app_name").isNotNull(), F.col("first_key"))
-    report = (
-        per_name.groupBy("client_id", "month")
+    signed = F.coalesce(F.col("status") == SIGNED, F.lit(False))
+    totals = (
+        in_month.groupBy("client_id", "month", "app_name")
+        .agg(F.sum(signed.cast("int")).alias("success"), F.sum((~signed).cast("int")).alias("un_success"))
+        .groupBy("client_id", "month")
         .agg(
-            F.min_by("app_name", first_key).alias("client_name"),
             F.sum("success").alias("success"),
             F.sum("un_success").alias("un_success"),
+            F.count("app_name").alias("names"),
+            F.max("app_name").alias("some_name"),
         )
-        .withColumn("data_report", F.lit(f"{run.time:%Y/%m/%d %H:%M:%S}"))
+    )
+    several = totals.filter("names > 1").select("client_id", "month")
+    first = (
+        in_month.filter(F.col("app_name").isNotNull())
+        .join(several, ["client_id", "month"], "left_semi")
+        .groupBy("client_id", "month")
+        .agg(F.min_by("app_name", "row_key").alias("first_name"))
+    )
+    report = totals.join(first, ["client_id", "month"], "left").select(
+        F.lit(f"{run.time:%Y/%m/%d %H:%M:%S}").alias("data_report"),
+        "client_id",
+        F.coalesce("first_name", "some_name").alias("client_name"),
+        "month",
+        "success",
+        "un_success",
     )
     return typed(report, SIGNING_DDL)
 

@@ -86,7 +86,7 @@ def merged_sql(columns: str, patch: str, fill: str = "", numbers: str = "") -> s
     for c in columns.split():
         if c in patch.split():
             blank = "" if c in numbers.split() else f" and a.{c} is distinct from ''"
-            absent = "" if c in fill.split() else f" and a.{c} is not null"
+            absent = "" if c in fill.split() or c not in numbers.split() else f" and a.{c} is not null"
             out.append(
                 f"case when a.k is null then b.{c} when b.k is not null and a.{c} is distinct from b.{c}"
                 f"{blank}{absent} then b.{c} else a.{c} end as {c}"
@@ -126,7 +126,8 @@ def cert_order_documents(spark: SparkSession, folder: str, later: bool) -> DataF
         log(F.when(priority == "2-HIGH", "1").otherwise("0"), "second", 2),
         log(F.lit("false"), "third", 3),
     )
-    urls = F.array(*[F.struct(tag(n, key).alias("UrlSigned")) for n in ("draft", "signed")])
+    signed = F.when(F.lit(later) | (F.col("o_custkey") % 3 != 0), tag("signed", key))
+    urls = F.array(*[F.struct(u.alias("UrlSigned")) for u in (tag("draft", key), signed)])
     return documents(
         rows,
         "CertOrder",
@@ -144,6 +145,8 @@ def cert_order_documents(spark: SparkSession, folder: str, later: bool) -> DataF
         UpdatedDate=F.when(state == "O", instant(NO_DATE)).otherwise(updated),
         Logs=F.when(segment != "FURNITURE", logs).otherwise(F.array()),
         AcceptanceDocuments=F.when(state == "F", urls).when(state == "O", F.array()),
+        # Null at first for half of the customers; filled later.
+        **{n: F.when(F.lit(later) | (F.col("o_custkey") % 2 == 0), tag(n, key)) for n in ("CredentialId", "Serial", "ContractUrl")},
         Address=F.when(
             F.col("c_nationkey") >= 5,
             tags(key, "provinceId provinceName districtId districtName wardId wardName streetName address"),
@@ -172,8 +175,6 @@ def _cert_order_sql(name: str, later: bool, window: tuple[str, str]) -> str:
         ma_hrm ma_hrm
         source Source
         request_cert_id RequestCertId
-        serial Serial
-        credential_id CredentialId
         pricing_code PricingCode
         pricing_name PricingName
         code Code
@@ -181,9 +182,12 @@ def _cert_order_sql(name: str, later: bool, window: tuple[str, str]) -> str:
         validity Validity
         ma_gt MaGt
         previous_serial PreviousSerial
-        contract_url ContractUrl
         """,
     )
+    filled = ", ".join(
+        f"case when {later} or o_custkey % 2 = 0 then '{s}-' || k end as info_{t}"
+        for t, s in (("credential_id", "CredentialId"), ("serial", "Serial"), ("contract_url", "ContractUrl"))
+    )
     address = ", ".join(
         f"case when c_nationkey >= 5 then '{s}-' || k else '' end as {t}"
         for t, s in (
@@ -212,13 +216,13 @@ def _cert_order_sql(name: str, later: bool, window: tuple[str, str]) -> str:
          o_orderpriority = '2-HIGH' as second
   from {name}_docs),
 {name} as (
-  select k, {fields}, {address},
+  select k, {fields}, {filled}, {address},
          case c_mktsegment when 'HOUSEHOLD' then 'tESt ' || c_name else c_name end as info_full_name,
          cast(status as varchar) as info_status,
          case o_orderpriority when '3-MEDIUM' then '' else '{'later' if later else 'first'} ' || o_orderstatus end as info_status_desc,
          epoch_ms(o_orderdate) as info_created_date, epoch_ms(updated) as info_updated_date,
          cast(cast(o_totalprice as decimal(15, 2)) as varchar) as info_pricing_price,
-         case o_orderstatus when 'F' then 'signed-' || k else '' end as info_acceptance_url,
+         case when o_orderstatus <> 'F' then '' when {later} or o_custkey % 3 <> 0 then 'signed-' || k end as info_acceptance_url,
          case when failed then case when second then 'second-' else 'first-' end || k end as info_log_content,
          case when failed then epoch_ms(o_orderdate + case when second then interval 2 hour else interval 1 hour end)
               end as info_log_created_date
@@ -244,7 +248,8 @@ CERT_ORDER_COLUMNS = (
     + _cert_order_sql("b", True, SECOND_WINDOW)
     + merged_sql(
         CERT_ORDER_COLUMNS,
-        "info_status info_status_desc info_updated_date info_acceptance_url info_log_content info_log_created_date",
+        "info_status info_status_desc info_updated_date info_request_cert_id info_credential_id info_contract_url "
+        "info_acceptance_url info_log_content info_log_created_date info_serial",
         fill="info_log_content info_log_created_date",
         numbers="info_updated_date info_log_created_date",
     ),
@@ -255,6 +260,51 @@ def cert_order_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     return flat(flows.CERT_ORDER.ingest(first, cert_order_documents(spark, folder, True), SECOND, LABELS))
 
 
+# --- second runs: texts that change, stay, are blank or absent before or after ------
+
+
+def varied(documents: DataFrame, fields: str, later: bool, key: str = "_id") -> DataFrame:
+    """By the number of the record: absent, blank or given text that is changed later; text that goes; text that stays."""
+    n, new = F.split(key, "-")[0].cast("long") % 5, F.lit("later")
+
+    def cell(field: str) -> Column:
+        first = F.when(n == 1, "").when(n > 1, F.col(field))
+        return F.when(n < 3, new).when(n == 4, F.col(field)) if later else first
+
+    return documents.withColumns({f: cell(f) for f in fields.split()})
+
+
+def varied_sql(select: str, columns: str, later: bool) -> str:
+    n = "cast(split_part(k, '-', 1) as bigint) % 5"
+    cells = [
+        f"case when {n} < 3 then 'later' when {n} = 4 then {c} end as {c}" if later else f"case when {n} = 1 then '' when {n} > 1 then {c} end as {c}"
+        for c in columns.split()
+    ]
+    return f"select * replace ({', '.join(cells)}) from ({select})"
+
+
+def two_runs_sql(flow: flows.Flow, ctes: str, select: str, columns: str) -> str:
+    """SQL of a first and a second run of a flow; the second one's window takes the place of the first one's."""
+    later = select
+    for first, second in zip(FIRST_WINDOW, SECOND_WINDOW, strict=True):
+        later = later.replace(first, second)
+    family = next(iter(flow.families))
+    lines = [line.split() for line in flow.families[family].strip().splitlines()]
+    merged = merged_sql(
+        " ".join(f"{family}_{name}" for name, *_ in lines),
+        " ".join(f"{family}_{c}" for c in flow.patch.split()),
+        numbers=" ".join(f"{family}_{name}" for name, _, *kind in lines if kind and kind[0] in ("instant", "as_is")),
+    )
+    return f"with {ctes} a as ({varied_sql(select, columns, False)}), b as ({varied_sql(later, columns, True)}) {merged}"
+
+
+def two_runs(spark: SparkSession, flow: flows.Flow, source: DataFrame, fields: str) -> DataFrame:
+    rows = empty_table(spark, flow.table)
+    for run, later in ((FIRST, False), (SECOND, True)):
+        rows = flow.ingest(rows, varied(source, fields, later), run, LABELS)
+    return flat(rows.select(KEY, next(iter(flow.families))))
+
+
 # --- registrations and users into one table --------------------------------------
 
 
@@ -360,22 +410,24 @@ _USER_TAGS = """
 """
 
 
-@query(f"""
-with c as (
+_CUSTOMERS = """
+c as (
   select customer.*, cast(c_custkey as varchar) as k, made, last from customer
   join (select o_custkey, min(o_orderdate) as made, max(o_orderdate) as last from orders group by o_custkey)
     on o_custkey = c_custkey),
 r as (select *, case when c_mktsegment <> 'BUILDING' then last end as modified from c where c_acctbal > 0),
 u as (
   select *, case when c_nationkey <> 7 then last + interval 5 hour end as modified
-  from c where c_mktsegment <> 'BUILDING'),
-a as (
+  from c where c_mktsegment <> 'BUILDING')
+"""
+REGISTERS = f"""
   select k, {tag_sql("register", _REGISTER_TAGS)}, {_address_sql("register", _REGISTER_PLACE)},
          cast(c_nationkey as varchar) as register_status, epoch_ms(made) as register_create_date,
          epoch_ms(modified) as register_modified_date
   from r where (made >= timestamp '{FIRST_WINDOW[0]}' or modified >= timestamp '{FIRST_WINDOW[0]}')
-    and made < timestamp '{FIRST_WINDOW[1]}'),
-b as (
+    and made < timestamp '{FIRST_WINDOW[1]}'
+"""
+USERS = f"""
   select k, {tag_sql("info", _USER_TAGS)}, {_address_sql("info", _USER_PLACE)},
          cast(c_nationkey as varchar) as info_status, epoch_ms(made) as info_create_date,
          epoch_ms(modified) as info_modified_date,
@@ -384,7 +436,12 @@ b as (
          case when c_nationkey > 9 then 'north, south' else '' end as info_province_codes,
          case when c_mktsegment = 'HOUSEHOLD' then '' else ', ' || split_part(c_name, '#', 2) end as info_roles
   from u where (made >= timestamp '{FIRST_WINDOW[0]}' or modified >= timestamp '{FIRST_WINDOW[0]}')
-    and made < timestamp '{FIRST_WINDOW[1]}')
+    and made < timestamp '{FIRST_WINDOW[1]}'
+"""
+
+
+@query(f"""
+with {_CUSTOMERS}, a as ({REGISTERS}), b as ({USERS})
 select coalesce(a.k, b.k) as row_key, a.* exclude (k), b.* exclude (k) from a full outer join b on a.k = b.k
 """, text="register_create_date register_modified_date info_create_date info_modified_date")
 def user_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -392,6 +449,22 @@ def user_table(spark: SparkSession, folder: str) -> DataFrame:
     return flat(flows.USER.ingest(registered, user_documents(spark, folder), FIRST, LABELS))
 
 
+@query(
+    two_runs_sql(flows.REGISTER, _CUSTOMERS + ",", REGISTERS, "register_status_desc"),
+    text="register_create_date register_modified_date",
+)
+def register_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return two_runs(spark, flows.REGISTER, register_documents(spark, folder), "statusDesc")
+
+
+@query(
+    two_runs_sql(flows.USER, _CUSTOMERS + ",", USERS, "info_status_desc info_province_code info_pre_status"),
+    text="info_create_date info_modified_date",
+)
+def user_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return two_runs(spark, flows.USER, user_documents(spark, folder), "statusDesc provinceCode preStatus")
+
+
 # --- signing-turn orders ---------------------------------------------------------
 
 
@@ -440,11 +513,12 @@ _TURN_TAGS = """
 """
 
 
-@query(f"""
+TURN_ORDERS = f"""
 with l as (
   select *, cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as k,
          cast(l_partkey as varchar) as p, cast(l_suppkey as varchar) as s
-  from lineitem),
+  from lineitem
+  where timestamp '1998-01-01 00:00:00' >= timestamp '{FIRST_WINDOW[0]}' or l_shipdate >= timestamp '{FIRST_WINDOW[0]}'),
 newest as (
   select * from l
   qualify row_number() over (
@@ -454,7 +528,7 @@ newest as (
              case when l_returnflag = 'A' then 'tocdo-' || p else '' end desc,
              case when l_returnflag = 'A' then 'code-' || s else '' end desc,
              case when l_returnflag = 'A' then cast(l_linenumber as varchar) else '0' end desc, p || '-' || s desc) = 1)
-select k as row_key, {tag_sql("info", _TURN_TAGS)},
+select k, {tag_sql("info", _TURN_TAGS)},
        {", ".join(f"case when l_linestatus = 'O' then '{c}-' || k else '' end as info_{c}" for c in ("ma_tb", "ma_gd", "ma_kh", "ma_hd", "ma_hrm"))},
        cast(l_linenumber as varchar) as info_status, epoch_ms(timestamp '1998-01-01 00:00:00') as info_created_date,
        epoch_ms(l_shipdate) as info_updated_date,
@@ -464,12 +538,24 @@ select k as row_key, {tag_sql("info", _TURN_TAGS)},
        case when l_returnflag = 'A' then cast(l_linenumber as varchar) else '0' end as info_sign_turn_number,
        p || '-' || s as info_total_money
 from newest
-""")
+"""
+
+
+@query(f"select k as row_key, * exclude (k) from ({TURN_ORDERS})")
 def turn_order_table(spark: SparkSession, folder: str) -> DataFrame:
     target = empty_table(spark, "PersonalSignTurnOrder")
     return flat(flows.PERSONAL_SIGN_TURN_ORDER.ingest(target, turn_order_documents(spark, folder), FIRST, LABELS))
 
 
+@query(
+    two_runs_sql(flows.PERSONAL_SIGN_TURN_ORDER, "", TURN_ORDERS, "info_status_desc info_payment_status info_payment_status_desc"),
+    text="info_created_date info_updated_date",
+)
+def turn_order_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    source = turn_order_documents(spark, folder)
+    return two_runs(spark, flows.PERSONAL_SIGN_TURN_ORDER, source, "StatusDesc PaymentStatus PaymentStatusDesc")
+
+
 # --- certificate requests and certificates into one table ------------------------
 
 
@@ -521,8 +607,7 @@ _REQUEST_TAGS = """
 """
 
 
-@query(f"""
-with a as (
+REQUESTS = f"""
   select k, {tag_sql("info", _REQUEST_TAGS)}, '' as info_locality_code,
          case o_orderstatus when 'O' then '  ' else 'OPER-' || k end as info_username,
          epoch_ms(o_orderdate) as info_created_date,
@@ -531,7 +616,12 @@ with a as (
   from (select *, cast(o_orderkey as varchar) as k from orders)
   where (o_orderdate >= timestamp '{FIRST_WINDOW[0]}'
          or (o_orderstatus <> 'F' and o_orderdate + interval 1 day >= timestamp '{FIRST_WINDOW[0]}'))
-    and o_orderdate < timestamp '{FIRST_WINDOW[1]}'),
+    and o_orderdate < timestamp '{FIRST_WINDOW[1]}'
+"""
+
+
+@query(f"""
+with a as ({REQUESTS}),
 b as (
   select k, 'status-' || k as cert_cert_status, 'statusDesc-' || k as cert_cert_status_desc,
          cast(l_partkey as varchar) || '-' || cast(l_suppkey as varchar) as cert_serial, 'subject-' || k as cert_subject,
@@ -549,6 +639,14 @@ def cert_table(spark: SparkSession, folder: str) -> DataFrame:
     return flat(flows.CERT.ingest(requested, cert_documents(spark, folder), FIRST, LABELS))
 
 
+@query(
+    two_runs_sql(flows.REQUEST_CERT, "", REQUESTS, "info_status info_status_desc"),
+    text="info_created_date info_updated_time info_approve_time",
+)
+def request_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return two_runs(spark, flows.REQUEST_CERT, request_documents(spark, folder), "status statusDesc")
+
+
 # --- credentials with status history, two runs -----------------------------------
 
 
@@ -647,10 +745,10 @@ def _credential_sql(name: str, later: bool, window: tuple[str, str]) -> str:
     and c_mktsegment <> 'MACHINERY' and o_orderpriority <> '4-NOT SPECIFIED' and c_nationkey <> 24),
 {name} as (
   select k, {tag_sql("info", CREDENTIAL_TAGS)},
-         case o_orderpriority when '5-LOW' then 'CN=' || o_orderstatus || ' Testing,O=X' else '' end as info_subject_dn,
+         case o_orderpriority when '5-LOW' then 'CN=' || o_orderstatus || ' Testing,O=X' end as info_subject_dn,
          case o_orderpriority when '1-URGENT' then '{"1" if later else "0"}' else '0' end as info_status,
          epoch_ms(o_orderdate) as info_created_date, epoch_ms({touched}) as info_modified_date,
-         coalesce(username, '') as info_username,
+         username as info_username,
          case when o_orderstatus <> 'F' then 'LocalityCode-' || k
               when username is null then ' '
               when o_orderpriority = '1-URGENT' then 'OPE' else 'OP' end as info_locality_code,
@@ -767,7 +865,7 @@ def transaction_documents(spark: SparkSession, folder: str, late: bool) -> DataF
     )
 
 
-_TRANSACTION_TAGS = """
+TRANSACTION_TAGS = """
     serial certSerial
     credential_id credentialId
     identity_id identityId
@@ -784,7 +882,7 @@ _TRANSACTION_TAGS = """
 
 TRANSACTIONS_SQL = f"""
 with e as (select *, cast(event_id as varchar) as k, date_trunc('second', ts) as second from events)
-select k as row_key, {tag_sql("info", _TRANSACTION_TAGS)},
+select k as row_key, {tag_sql("info", TRANSACTION_TAGS)},
        case when ts >= timestamp '2024-01-15 00:00:00' and second < timestamp '2024-01-24 17:00:00' then '1' else event_type end as info_status,
        epoch_ms(second) as info_req_time,
        case when event_type <> 'view' then epoch_ms(second + interval 1 minute) end as info_expired_time,
@@ -833,15 +931,29 @@ def guide_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("""
+GUIDES = """
 with t as (select *, cast(conv_id as varchar) || '-' || cast(turn as varchar) as k from conversations)
-select k as row_key, 'ErrorMessage-' || k as info_error_message, text as info_guide_content, 'InUsed-' || k as info_in_used,
-       case when role <> 'assistant' then role else '' end as info_status, 'StatusDesc-' || k as info_status_desc,
+select k, 'ErrorMessage-' || k as info_error_message, text as info_guide_content, 'InUsed-' || k as info_in_used,
+       case when role <> 'assistant' then role end as info_status, 'StatusDesc-' || k as info_status_desc,
        'type-' || k as info_type_error, 'type_error_desc-' || k as info_type_error_desc,
        case when role = 'user' then epoch_ms(timestamp '2024-01-01 00:00:00')
             else epoch_ms(timestamp '2024-02-01 00:00:00') end as info_created_date
 from t qualify row_number() over (partition by k order by info_created_date desc, text desc, info_status desc) = 1
-""")
+"""
+
+
+@query(f"select k as row_key, * exclude (k) from ({GUIDES})")
 def problem_guide_table(spark: SparkSession, folder: str) -> DataFrame:
     target = empty_table(spark, "ProblemGuide")
     return flat(flows.PROBLEM_GUIDE.ingest(target, guide_documents(spark, folder), Run.on("2024-02-01"), LABELS))
+
+
+@query(
+    two_runs_sql(flows.PROBLEM_GUIDE, "", GUIDES, "info_error_message info_status_desc info_type_error info_type_error_desc")
+)
+def problem_guide_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    rows, flow = empty_table(spark, "ProblemGuide"), flows.PROBLEM_GUIDE
+    for later in (False, True):
+        source = varied(guide_documents(spark, folder), "ErrorMessage StatusDesc type type_error_desc", later)
+        rows = flow.ingest(rows, source, Run.on("2024-02-01"), LABELS)
+    return flat(rows)

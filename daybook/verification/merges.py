@@ -164,8 +164,7 @@ def status_map_history(spark: SparkSession, folder: str) -> DataFrame:
     second = dated.filter(F.col("last_ship") >= instant("1999-11-01 00:00:00")).select(
         "row_key", F.struct(F.lit("O").alias("status")).alias("info")
     )
-    nothing = first.limit(0).withColumn("status_log", F.lit(None).cast("map<date,string>"))
-    rows = nothing
+    rows = spark.createDataFrame([], "row_key string, info struct<status:string>, status_log map<date,string>")
     for batch, day in ((first, "1999-10-31"), (second, "1999-11-30")):
         log = ("status_log", "status", day)
         rows = insert_or_patch(rows, batch, "info", ["status"], history=log)

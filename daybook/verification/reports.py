@@ -349,17 +349,17 @@ def unmatched_registration_anti_join(spark: SparkSession, folder: str) -> DataFr
 
 
 @query("""
-with d as (select unnest([date '1998-06-15', date '1998-07-15']) as run_date)
-select strftime(run_date, '%Y/%m/%d') || ' 00:00:00' as data_report, o_orderpriority as client_id,
+with d as (select unnest([date '1998-06-15', date '1998-07-15', date '1999-01-15']) as run_date)
+select strftime(run_date, '%Y/%m/%d') || ' 00:00:00' as data_report, 1998 as report_year, o_orderpriority as client_id,
        strftime(o_orderdate, '%Y-%m') as month,
        cast(count(*) filter (where o_orderstatus = 'F') as integer) as success,
        cast(count(*) filter (where o_orderstatus <> 'F') as integer) as un_success
 from orders join d on o_orderdate < date_trunc('month', run_date) + interval 17 hour - interval 1 day
                   and o_orderdate >= date_trunc('month', run_date) + interval 17 hour - interval 1 day - interval 1 month
-group by 1, 2, 3
+group by all
 """)
 def report_append(spark: SparkSession, folder: str) -> DataFrame:
-    """Two runs appended, the first of them twice: each is kept once."""
+    """Three runs appended, the first of them twice: each is kept once, that of January under the year it closes."""
     path = work_folder(spark, "signing")
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("row_key"),
@@ -370,6 +370,6 @@ def report_append(spark: SparkSession, folder: str) -> DataFrame:
             F.when(F.col("o_orderstatus") == "F", "1").otherwise("0").alias("status"),
         ).alias("info"),
     )
-    for day in ("1998-06-15", "1998-07-15", "1998-06-15"):
+    for day in ("1998-06-15", "1998-07-15", "1998-06-15", "1999-01-15"):
         write_report(signing_report(orders, run := Run.on(day)), path, "data_report", run.closed_month_end.year)
-    return read_where(spark, path).select("data_report", "client_id", "month", "success", "un_success")
+    return read_where(spark, path).select("data_report", "report_year", "client_id", "month", "success", "un_success")

@@ -190,9 +190,9 @@ def archive_overlap_scan(spark: SparkSession, folder: str) -> DataFrame:
     months = (
         orders.groupBy("month")
         .agg(F.min("o_orderdate").alias("fromTime"), F.max("o_orderdate").alias("toTime"))
-        .withColumn("newest", F.lit("200108"))
     )
-    catalogue = months.filter(F.col("month") != F.col("newest")).select(
+    newest = months.agg(F.max("month")).first()[0]
+    catalogue = months.filter(F.col("month") != newest).select(
         F.lit("orders").alias("sourceCollection"),
         F.concat(F.lit("month="), "month").alias("collectionName"),
         "fromTime",
@@ -204,7 +204,7 @@ def archive_overlap_scan(spark: SparkSession, folder: str) -> DataFrame:
         return spark.read.schema(schema).parquet(*[f"{root}/{name}" for name in names])
 
     start, end = instant("1998-06-15 00:00:00"), instant("1998-09-15 00:00:00")
-    rows = scan_with_archives(open_months(["month=200108"]), catalogue, "orders", start, end, open_months)
+    rows = scan_with_archives(open_months([f"month={newest}"]), catalogue, "orders", start, end, open_months)
     return rows.filter(half_open(F.col("o_orderdate"), start, end)).select(
         "o_orderkey", "o_custkey", to_epoch_ms(F.col("o_orderdate")).alias("created_ms")
     )

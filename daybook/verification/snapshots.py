@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.times import instant, to_epoch_ms
+from daybook.operators.merge import KEY
 from daybook.plans.archiving import ARCHIVED, archive_transactions, manifest_rows, span
 from daybook.plans.flows import SIGNATURE_TRANSACTION
 from daybook.plans.locality import publish_localities, read_localities
@@ -16,7 +17,7 @@ from daybook.plans.tables import ingest_into, table_schema
 from daybook.session import work_folder
 from daybook.sources.archives import latest_entry, overlapping, read_manifest
 from daybook.sources.keyed import current
-from daybook.verification.flows import LABELS, transaction_documents
+from daybook.verification.flows import LABELS, TRANSACTION_TAGS, flat, tag_sql, transaction_documents
 from daybook.verification.lookups import areas, fold_sql
 from daybook.verification.registry import query
 from daybook.verification.tables import table
@@ -97,6 +98,16 @@ def archive_catalogue_overlap(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def _archived(spark: SparkSession, folder: str) -> str:
+    """Transactions ingested, archived and emptied below a new root."""
+    root, run = work_folder(spark, "archiving"), Run.on("2024-01-29")
+    documents = transaction_documents(spark, folder, False)
+    ingest_into(spark, root, SIGNATURE_TRANSACTION, documents, run, "20240129000000", LABELS, buckets=4)
+    if not archive_transactions(spark, root, run):
+        raise RuntimeError("there was nothing to archive")
+    return root
+
+
 MANIFEST = """
 select '19980615000000' as date_report,
        strftime(arg_min(o_orderdate, o_orderkey), '%Y-%m-%d %H:%M:%S.%f') as start_time,
@@ -123,12 +134,36 @@ def archive_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return monthly_manifest(spark, folder)
 
 
+# The snapshot of the latest stamp, which is not the one of the last file name.
 @query(f"""
-select date_report, start_time, end_time, 'orders' as table_name, file_name, description, count
-from ({MANIFEST}) order by date_report desc, file_name desc limit 1
+select cast(20200101 - cast(substr(end_time, 1, 4) as integer) * 12 - cast(substr(end_time, 6, 2) as integer) as varchar) as date_report,
+       start_time, end_time, 'orders' as table_name, file_name, description, count
+from ({MANIFEST}) order by 1 desc, file_name desc limit 1
 """)
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_entry(monthly_manifest(spark, folder).withColumn("table_name", F.lit("orders")), "orders")
+    year, month = F.substring("end_time", 1, 4).cast("int"), F.substring("end_time", 6, 2).cast("int")
+    manifest = monthly_manifest(spark, folder).withColumns(
+        {"table_name": F.lit("orders"), "date_report": (F.lit(20200101) - year * 12 - month).cast("string")}
+    )
+    return latest_entry(manifest, "orders")
+
+
+# All cells of an archive, read back by the path that the manifest names.
+@query(f"""
+with e as (select *, cast(event_id as varchar) as k, date_trunc('second', ts) as second from events)
+select k as row_key, {tag_sql("info", TRANSACTION_TAGS)}, event_type as info_status, epoch_ms(second) as info_req_time,
+       case when event_type <> 'view' then epoch_ms(second + interval 1 minute) end as info_expired_time,
+       cast(null as bigint) as info_finish_date, cast(user_id as varchar) as info_app_id, event_type as info_app_name,
+       epoch_ms(timestamp '2024-01-29 00:00:00') as date_report
+from e where second < timestamp '2024-01-28 17:00:00'
+""", text="info_expired_time info_finish_date")
+def archive_contents(spark: SparkSession, folder: str) -> DataFrame:
+    entry = latest_entry(read_manifest(spark, f"{_archived(spark, folder)}/manifest"), ARCHIVED).first()
+    archive = spark.read.parquet(entry["file_name"])
+    cells = F.struct(*[c for c in archive.columns if c not in ("_id", "date_report")]).alias("info")
+    return flat(archive.select(F.col("_id").alias(KEY), cells)).join(
+        archive.select(F.col("_id").alias(KEY), to_epoch_ms("date_report").alias("date_report")), KEY
+    )
 
 
 # Stored table, archive, manifest and the emptied table, as one list of counts.
@@ -143,12 +178,7 @@ union all
 select 'live', 0, null, null
 """, text="first_ms last_ms")
 def archive_and_empty(spark: SparkSession, folder: str) -> DataFrame:
-    root = work_folder(spark, "archiving")
-    run = Run.on("2024-01-29")
-    documents = transaction_documents(spark, folder, False)
-    ingest_into(spark, root, SIGNATURE_TRANSACTION, documents, run, "20240129000000", LABELS, buckets=4)
-    if not archive_transactions(spark, root, run):
-        raise RuntimeError("the archive is not whole")
+    root = _archived(spark, folder)
     manifest = read_manifest(spark, f"{root}/manifest")
     entry = latest_entry(manifest, ARCHIVED).first()
     archive = spark.read.parquet(entry["file_name"])

@@ -229,6 +229,28 @@ def test_archiving_can_be_started_again(spark, monkeypatch):
     assert live() == 3
 
 
+@pytest.mark.parametrize("change", ["case when _id = 'x1' then 'other' else status end as status", "app_id as app_name, app_name as app_id"])
+def test_an_archive_with_another_cell_does_not_empty_the_table(spark, monkeypatch, change):
+    root = work_folder(spark, "cell")
+    rows = [{"_id": f"x{i}", "reqTime": datetime(2025, 4, 20 + i), "status": "1", "appId": "a"} for i in range(3)]
+    documents = spark.createDataFrame(rows, SCHEMAS["SignatureTransaction"])
+    ingest_into(spark, root, flows.SIGNATURE_TRANSACTION, documents, RUN, "1", LABELS, buckets=4)
+    schema = table_schema(spark, "SignatureTransaction")
+    with monkeypatch.context() as patched:
+        patched.setattr(archiving, "publish_empty", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            archiving.archive_transactions(spark, root, NEXT)
+    path = read_manifest(spark, f"{root}/manifest").first()["file_name"]
+    kept = spark.createDataFrame(spark.read.parquet(path).collect(), spark.read.parquet(path).schema)
+    changed = [c.split(" as ")[-1] for c in change.split(", ")]
+    kept.selectExpr(*[c for c in kept.columns if c not in changed], *change.split(", ")).select(kept.columns).write.mode("overwrite").parquet(path)
+    with pytest.raises(RuntimeError, match="no copy"):
+        archiving.archive_transactions(spark, root, NEXT)
+    assert current(spark, root, "SignatureTransaction", schema).count() == 3
+    kept.write.mode("overwrite").parquet(path)
+    assert archiving.archive_transactions(spark, root, NEXT)
+
+
 def test_every_flow_column_is_declared_once(spark):
     for flow in (*flows.DAILY, flows.PROBLEM_GUIDE):
         cells = {f: flow.cells(f) for f in flow.families}

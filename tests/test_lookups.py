@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -86,6 +88,25 @@ def test_fold_of_many_areas(spark):
     assert [(r.code, r.name, r.other_code) for r in folded] == model_fold(areas)
 
 
+@pytest.mark.parametrize("codes", [20_000, 1, 7])
+def test_fold_of_equal_names(spark, codes):
+    """Pairs are those of names; all areas of a name are decided together."""
+    areas = [(str(i % codes), "North", "") for i in range(20_000)] + [("x", "south", ""), ("0", "East", ""), ("5", "the north", "")]
+    rows = [(i, c, n, o, "r", "region") for i, (c, n, o) in enumerate(areas)]
+    folded = fold_aliases(spark.createDataFrame(rows, AREAS)).collect()
+    assert [(r.code, r.name, r.other_code) for r in folded] == model_fold(areas)
+
+
+def test_fold_of_long_names(spark):
+    rng = random.Random(8)
+    long = ["".join(rng.choice("abcdé ") for _ in range(2_000)) for _ in range(40)]
+    names = long + [x[k : k + n] for x in long[:20] for k, n in ((0, 1), (700, 2), (5, 3), (900, 40), (100, 1_900))] + [long[0].upper(), "a" * 2_000]
+    areas = [(str(rng.randrange(60)), n, "") for n in rng.sample(names, len(names))]
+    rows = [(i, c, n, o, "r", "region") for i, (c, n, o) in enumerate(areas)]
+    folded = fold_aliases(spark.createDataFrame(rows, AREAS)).collect()
+    assert [(r.code, r.name, r.other_code) for r in folded] == model_fold(areas)
+
+
 def test_locality_snapshot(spark):
     areas = spark.createDataFrame(
         [
