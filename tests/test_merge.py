@@ -46,7 +46,7 @@ def test_key_cases(spark):
         "unchanged": ("a", "t", T1),
         "changed": ("b", "t", T2),
         "old blank": ("", "t", None),
-        "old absent": (None, "t", T2),
+        "old absent": ("b", "t", T2),
         "blanked": ("", "t", None),
         "batch only": ("b", "b", T2),
     }
