@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import os
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybook.session import work_folder
+from daybook.session import remove_path, work_folder
 
 #: What separates words, as a character class without its brackets.
 WHITE = r"\x20\x09-\x0D"
 WORD = f"[^{WHITE}]+"
 
 
+#: Where the paths of what is written are noted.
+_NOTED: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read again.
 
@@ -22,10 +29,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_folder(spark, name)
+    if _NOTED.get() is not None:
+        _NOTED.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def noted(paths: list[str]) -> Iterator[None]:
+    """Add the paths of all that is ``written`` meanwhile to a list."""
+    before = _NOTED.set(paths)
+    try:
+        yield
+    finally:
+        _NOTED.reset(before)
+
+
+def release(paths: list[str], kept: DataFrame) -> None:
+    """Remove what was written to ``paths`` but for what ``kept`` is read from, and forget it."""
+    folders = {path: os.path.dirname(path) for path in paths}
+    files = kept.inputFiles() if folders else []
+    used = {path for path, folder in folders.items() if any(os.path.basename(folder) in file for file in files)}
+    for path in set(paths) - used:
+        remove_path(kept.sparkSession, folders[path], os.path.dirname(folders[path]))
+    paths[:] = sorted(used)
+
+
 def unused(df: DataFrame | Iterable[str], name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it."""
     taken = {c.lower() for c in (df.columns if isinstance(df, DataFrame) else df)}

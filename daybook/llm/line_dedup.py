@@ -49,10 +49,10 @@ def bands(sketch: Column) -> Column:
     return F.array_compact(F.array(*two, F.when(F.size(sketch) == 1, F.xxhash64(F.get(sketch, F.lit(0))))))
 
 
-def _lines(docs: DataFrame, text: str) -> DataFrame:
-    """(row, doc_id, place, line) of the lines that hold a word."""
-    split = F.posexplode(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n")).alias("place", "line")
-    return docs.select("row", "doc_id", split).where(F.col("line").rlike(f"[^{WHITE}]"))
+def _lines(text: Column) -> Column:
+    """Array of (place, line) of the lines of a text that hold a word."""
+    split = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x, i: F.struct(i.alias("place"), x.alias("line")))
+    return F.filter(split, lambda x: x["line"].rlike(f"[^{WHITE}]"))
 
 
 def _sets(wanted: DataFrame, lines: DataFrame) -> DataFrame:
@@ -167,10 +167,17 @@ def removed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
 
     ``docs`` has a column row that numbers its rows.
     """
-    lines = _lines(docs, text)
-    sketch = F.slice(shingles(F.col("line")), 1, SKETCH).alias("sketch")
-    places = written(lines.select("row", "doc_id", "place", F.xxhash64("line").alias("line_key"), sketch), "places")
-    roots = similar_lines(places.select("line_key", "sketch"), lines.select("line"))
+    found = _lines(F.col(f"`{text}`"))
+    entry = lambda x: F.struct(
+        x["place"].alias("place"),
+        F.xxhash64(x["line"]).alias("line_key"),
+        F.slice(shingles(x["line"]), 1, SKETCH).alias("sketch"),
+    )
+    # Rows and what becomes of their lines are written at once: a row keeps its number in all uses.
+    rows = written(docs.select("row", "doc_id", F.transform(found, entry).alias("lines")), "places")
+    places = rows.select("row", "doc_id", F.explode("lines").alias("at")).select("row", "doc_id", "at.*")
+    lines = docs.select(F.explode(found).alias("at")).select("at.line")
+    roots = similar_lines(places.select("line_key", "sketch"), lines)
     again = places.groupBy("line_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("line_key")
     node = roots.select(F.col("node").alias("line_key"), "root")
     groups = again.join(node, "line_key", "full").select("line_key", F.coalesce("root", "line_key").alias("root"))
@@ -183,15 +190,9 @@ def removed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
         .groupBy("row")
         .agg(F.array_sort(F.collect_list("place")).alias("removed"))
     )
-    counts = places.groupBy("row").agg(F.count(F.lit(1)).alias("n_lines"))
-    return (
-        docs.select("row", "doc_id")
-        .join(counts, "row", "left")
-        .join(gone, "row", "left")
-        .select(
-            "row", "doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
-            F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
-        )
+    removed = F.coalesce("removed", F.array().cast("array<int>")).alias("removed")
+    return rows.select("row", "doc_id", F.size("lines").cast("long").alias("n_lines")).join(gone, "row", "left").select(
+        "row", "doc_id", "n_lines", removed
     )
 
 

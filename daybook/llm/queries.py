@@ -54,7 +54,7 @@ def op2_exact_shards(spark: SparkSession, folder: str) -> DataFrame:
         sharding.crc32_of_text(F.col("text")).alias("text_crc32"),
         F.lit("rows").alias("law"),
     )
-    dealt = sharding.shuffled_shards(rows, 8, scan=True)
+    dealt = sharding.shuffled_shards(rows, 8)
     return dealt.withColumn("grown_shard", F.lit(None).cast("int"))
 
 

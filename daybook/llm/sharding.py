@@ -22,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,60 +72,53 @@ def _hypergeometric(rng: np.random.Generator, good: int, other: int, n: int) ->
     return taken
 
 
-def shuffled_shards(docs: DataFrame, shards: int, seed: int = 0, scan: bool = False) -> DataFrame:
+def shuffled_shards(docs: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """``docs`` with shard (0 to shards - 1) and slot, its place in the shard from 0.
 
-    ``scan`` says that ``docs`` reads files with narrow steps only. Columns called
-    shard and slot give way.
+    ``docs`` is written first with the number of each row, by which it is counted and dealt:
+    how the copy is split into tasks later does not matter. Columns called shard and slot
+    give way.
     """
     docs = docs.drop("shard", "slot")
-    if not scan:
-        docs = written(docs, "rows")
-    part = unused(docs, "_part")
-    counted = docs.groupBy(F.spark_partition_id().alias(part)).agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = np.zeros(1 + max((r[part] for r in counted), default=0), np.int64)
-    for r in counted:  # a row for each input partition
-        counts[r[part]] = r["n"]
-    sizes = shard_sizes(int(counts.sum()), shards)
-    matrix = communication_matrix(counts, sizes, seed)
-    share = docs.sparkSession.sparkContext.broadcast(matrix)  # partitions by shards, whatever the rows
+    key = unused(docs, "_row")
+    whole = written(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    counted = whole.groupBy(F.shiftright(key, 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {r["part"]: r["n"] for r in sorted(counted)}  # a row for each partition that was written
+    sizes = shard_sizes(sum(counts.values()), shards)
+    matrix = communication_matrix(np.array(list(counts.values()), np.int64), sizes, seed)
+    share = docs.sparkSession.sparkContext.broadcast(dict(zip(counts, matrix, strict=True)))
     blocks = max(1, -(-int(sizes.max(initial=0)) // BLOCK_ROWS))
 
-    extra = [unused(docs, c) for c in ("_shard", "_order", "_place")]
+    extra = [unused(whole, c) for c in ("_shard", "_order")]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = TaskContext.get().partitionId()
-        row = share.value[p] if p < len(share.value) else np.zeros(shards, np.int64)
-        rng = np.random.default_rng([seed, 2, p])
-        labels = rng.permutation(np.repeat(np.arange(shards, dtype=np.int32), row))
-        first = 0
+        part, labels, orders = None, None, None
         for batch in batches:
-            last = first + batch.num_rows
-            if last > len(labels):
-                raise RuntimeError(f"partition {p} holds more rows than were counted")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.array(labels[first:last]),
-                    pa.array(rng.integers(0, 2**62, batch.num_rows)),
-                    pa.array(np.arange(first, last, dtype=np.int64) + (np.int64(p) << 33)),
-                ],
-                [*batch.schema.names, *extra],
-            )
-            first = last
-        if first != len(labels):
-            raise RuntimeError(f"partition {p} holds fewer rows than were counted")
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    shard, order, place = extra
-    dealt = docs.mapInArrow(deal, f"{fields}, {shard} int, {order} long, {place} long")
+            ids = np.asarray(batch.column(batch.schema.get_field_index(key)))
+            label, order = np.empty(len(ids), np.int32), np.empty(len(ids), np.int64)
+            for p in np.unique(ids >> 33).tolist():
+                if p != part:
+                    rng = np.random.default_rng([seed, 2, p])
+                    part, labels = p, rng.permutation(np.repeat(np.arange(shards, dtype=np.int32), share.value[p]))
+                    orders = rng.integers(0, 2**62, len(labels))
+                mine = ids >> 33 == p
+                at = ids[mine] & ((1 << 33) - 1)
+                label[mine], order[mine] = labels[at], orders[at]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(label), pa.array(order)], [*batch.schema.names, *extra])
+
+    def dealt_out(rows: DataFrame) -> DataFrame:
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        return rows.mapInArrow(deal, f"{fields}, {shard} int, {order} long")
+
+    shard, order = extra
+    place = key
+    dealt = dealt_out(whole)
     block = unused(dealt, "_block")
     dealt = dealt.withColumn(block, _block_of(F.col(order), blocks))
     if blocks == 1:
         starts = None
     else:
-        # No column of the rows is read here, only how many there are.
-        narrow = docs.select(F.lit(0).alias("_")).mapInArrow(_labels_only(deal, extra), f"{shard} int, {order} long, {place} long")
+        narrow = dealt_out(whole.select(key))  # no column of the rows is read here
         sums = narrow.groupBy(shard, _block_of(F.col(order), blocks).alias(block)).agg(F.count(F.lit(1)).alias("_n"))
         before = F.sum("_n").over(Window.partitionBy(shard).orderBy(block)) - F.col("_n")
         starts = sums.select(shard, block, before.alias("_start"))
@@ -143,14 +135,6 @@ def _block_of(order: Column, blocks: int) -> Column:
     return F.floor(order / F.lit(float(2**62)) * blocks).cast("int")
 
 
-def _labels_only(deal, names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in deal(batches):
-            yield batch.select(names)
-
-    return run
-
-
 def crc32_of_text(text: Column) -> Column:
     """Of the UTF-8 bytes; of none for null."""
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))

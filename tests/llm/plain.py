@@ -150,7 +150,6 @@ def leaks(texts, items, percent=80):
     return found
 
 
-SHINGLE = re.compile("(?<![^\x20\x09-\x0d])(?=([^\x20\x09-\x0d](?s:.){0,19}))")
 
 
 def removed_lines(rows, percent=80):
@@ -161,7 +160,7 @@ def removed_lines(rows, percent=80):
             if WORD.search(line):
                 places[line].append((doc_id is None, doc_id or 0, i, place))
     lines = list(places)
-    sets = [frozenset(m.group(1) for m in SHINGLE.finditer(x.lower())) for x in lines]
+    sets = [frozenset(x.lower()[k : k + 8] for k in range(max(1, len(x.lower()) - 7))) for x in lines]
     links = [
         (i, j)
         for i in range(len(lines))

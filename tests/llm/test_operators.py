@@ -261,7 +261,7 @@ def test_mixing(spark, docs, rows):
 @pytest.mark.parametrize("block_rows", [10_000, 5])
 def test_sharding(docs, rows, monkeypatch, block_rows):
     monkeypatch.setattr(sharding, "BLOCK_ROWS", block_rows)
-    dealt = sharding.shuffled_shards(docs.withColumn("crc", sharding.crc32_of_text(F.col("text"))), 8, seed=4, scan=True)
+    dealt = sharding.shuffled_shards(docs.withColumn("crc", sharding.crc32_of_text(F.col("text"))), 8, seed=4)
     got = dealt.collect()
     assert bag((r.doc_id, r.text) for r in got) == bag(r[:2] for r in rows)
     assert all(r.crc == zlib.crc32((r.text or "").encode()) for r in got)
@@ -371,3 +371,57 @@ def test_empty_tables(spark, none):
         mixing.taken_words(none), mixing.mix(none), sharding.shuffled_shards(none, 8), pii.digest(none),
     ):
         assert out.count() == 0
+
+
+@pytest.mark.parametrize("given", ["repartitioned", "joined"])
+def test_rows_keep_their_numbers(spark, docs, given):
+    """Rows that no plain scan numbers alike in two jobs: results are those of the written table."""
+    if given == "repartitioned":
+        again = docs.repartition(7)
+    else:
+        again = docs.join(docs.select(F.col("doc_id").alias("other")).distinct(), F.col("doc_id").eqNullSafe(F.col("other"))).drop("other")
+    assert bag(line_dedup.digest(again).select("doc_id", "n_lines").collect()) == bag(line_dedup.digest(docs).select("doc_id", "n_lines").collect())
+    with_own = docs.select("doc_id", F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), "text", F.lit(1).alias("own"))
+    licences_of = lambda rows: bag(licences.scanned(rows).collect())
+    shuffled = with_own.repartition(7) if given == "repartitioned" else with_own.join(with_own.select(F.col("doc_id").alias("other")).distinct(), F.col("doc_id").eqNullSafe(F.col("other"))).drop("other")
+    assert licences_of(shuffled) == licences_of(with_own)
+
+
+def test_shards_do_not_depend_on_how_files_are_split(spark, docs):
+    dealt = sharding.shuffled_shards(docs.select("doc_id", "text").repartition(9), 3, seed=1)
+    first = bag((r.doc_id, r.text, r.shard, r.slot) for r in dealt.collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        again = dealt.select("*")
+        assert bag((r.doc_id, r.text, r.shard, r.slot) for r in again.collect()) == first
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_scratch_is_released(spark):
+    from daybook.llm import common
+
+    paths, left = [], []
+    with common.noted(paths):
+        first = common.written(spark.range(5), "first")
+        second = common.written(first.where("id > 1"), "second")
+        with common.noted(left):
+            third = common.written(second.limit(1), "third")
+    assert len(paths) == 2 and len(left) == 1
+    common.release(paths, second)
+    assert len(paths) == 1 and second.count() == 3 and third.count() == 1
+    common.release(paths, third)
+    assert paths == [] and third.count() == 1
+    common.release(left, third)
+    assert len(left) == 1 and third.count() == 1
+
+
+def test_licence_scan_of_little(spark):
+    files = spark.createDataFrame(
+        [(1, None, None), (2, "a/LICENSE", None), (3, "a/b/c", ""), (4, "d", "word " * 200_000), (4, "d", "word " * 200_000)],
+        "own long, path string, text string",
+    ).withColumns({c: F.lit("x") for c in ("row", "place", "near", "kept", "passages", "passage", "directory")})
+    got = licences.scanned(files)
+    assert got.columns == [c for c in files.columns if c != "text"] + ["licence", "cosine", "found", "licence_dir"]
+    assert [r.licence for r in got.collect()] == [None] * 5
+    assert licences.scanned(files.limit(0)).count() == 0
