@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.bits import without
-from daybook.llm.common import unused, written
+from daybook.llm.common import noted, release, unused, written
 from daybook.llm.components import components
 from daybook.llm.shingles import mixed, shingle_hashes
 
@@ -246,12 +246,14 @@ def _links(pairs: DataFrame, texts: DataFrame, classes: np.ndarray, width: int,
     one by one, so that a set with very many partners is no single task.
     """
     wanted = pairs.select(F.explode(F.array("key_a", "key_b")).alias("row_key")).distinct()
-    sets = _sets(texts.select("text", "row_key"), wanted, classes, width)
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TRIE).alias("tries"))
-    dealt = written(
-        pairs.join(sizes, "a").select("a", "key_a", "b", "key_b", F.pmod(F.xxhash64("b"), F.col("tries")).alias("trie")),
-        "pairs",
-    )
+    scratch: list[str] = []
+    with noted(scratch):
+        sets = _sets(texts.select("text", "row_key"), wanted, classes, width)
+        dealt = written(
+            pairs.join(sizes, "a").select("a", "key_a", "b", "key_b", F.pmod(F.xxhash64("b"), F.col("tries")).alias("trie")),
+            "pairs",
+        )
     # Sets grow with the input: they are met by moving both sides, never by copying one.
     own = sets.hint("merge")
     members = dealt.join(own, (F.col("b") == F.col("set_id")) & (F.col("key_b") == F.col("row_key")))
@@ -294,7 +296,9 @@ def _links(pairs: DataFrame, texts: DataFrame, classes: np.ndarray, width: int,
         if names:
             yield done()
 
-    return grouped.mapInArrow(compare, "a long, b long")
+    links = written(grouped.mapInArrow(compare, "a long, b long"), "links")
+    release(scratch, links)
+    return links
 
 
 def _reaches(a: str, b: str, percent: int) -> Column:
@@ -333,9 +337,12 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
     row = [F.col(f"`{c}`") for c in docs.columns]
     texts = docs.select(F.col(f"`{text}`").alias("text"), F.xxhash64(*row).alias("row_key"), *others)
     classes = _frequency_classes(texts.select("text"), width)
+    scratch: list[str] = []
     while True:
-        rows = written(_prefixes(texts, classes, width, percent), "prefixes")
-        shared = written(_shared_grams(rows), "shared")
+        with noted(scratch):
+            rows = written(_prefixes(texts, classes, width, percent), "prefixes")
+            release(scratch, rows)  # of an earlier turn
+            shared = written(_shared_grams(rows), "shared")
         crowded = shared.where((F.col("n") > CROWDED) & (F.shiftright("gram", GRAM_BITS) == 0))
         better = _raised(classes, crowded)
         if (better == classes).all():
@@ -343,10 +350,12 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
         classes = better
 
     met = written(_meetings(rows, shared), "meetings")
+    rows = written(rows.drop("prefix", "row_key"), "rows")
+    release(scratch, rows)
     p, q = met.where("set_id = least").alias("p"), met.where("set_id <> least").alias("q")
     first = p.join(q, (F.col("p.gram") == F.col("q.gram")) & _reaches("p", "q", percent))
     checked = written(_pairs(first), "checked")
-    links = written(_links(checked, texts, classes, width, percent), "links")
+    links = _links(checked, texts, classes, width, percent)
     roots = written(components(links), "roots")
 
     # Pairs that meet but are in different groups yet.
@@ -362,11 +371,10 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
         q, (F.col("p.gram") == F.col("q.gram")) & (F.col("p.root") < F.col("q.root")) & _reaches("p", "q", percent)
     )
     pairs = _pairs(across).join(checked, ["a", "b"], "left_anti")
-    more = written(_links(written(pairs, "rest"), texts, classes, width, percent), "more")
+    more = _links(written(pairs, "rest"), texts, classes, width, percent)
     roots = components(links.unionByName(more))
     return (
-        rows.drop("prefix", "row_key")
-        .join(roots, F.col("set_id") == F.col("node"), "left")
+        rows.join(roots, F.col("set_id") == F.col("node"), "left")
         .withColumn("root", F.coalesce("root", "set_id"))
         .drop("node")
     )
