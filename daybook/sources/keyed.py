@@ -23,7 +23,7 @@ from daybook.session import mark, names_below, path_exists, remove_path
 
 #: Tells the staged rows that are not as they were; only periods that have any are replaced.
 CHANGED = "changed_row"
-KEYS = StructType.fromDDL(f"{KEY} string, {PERIOD} string")
+KEYS = StructType().add(KEY, "string").add(PERIOD, "string")
 
 
 def _name(path: str) -> str:

@@ -1,6 +1,8 @@
 """Every registered query against its SQL, over the smallest given tables."""
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -44,3 +46,10 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_entry_imports_without_a_session():
+    """The entry module may be imported before any session is made."""
+    code = "import __spark_entry__ as entry; assert set(entry.oracle_sql()) <= set(entry.queries())"
+    folder = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    subprocess.run([sys.executable, "-c", code], cwd=folder, check=True, timeout=120)
