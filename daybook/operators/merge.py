@@ -40,15 +40,14 @@ def latest_per_key(batch: DataFrame, newest: Sequence[str], key: str = KEY) -> D
 
 
 def changed(old: str, new: str, is_text: bool = True, fill_absent: bool = False) -> str:
-    """Patch test: the old cell differs from the new one and is not blank.
+    """Patch test: the old cell is neither absent nor blank and differs from the new one.
 
-    An absent text is not blank and can be filled; an absent instant, which stands for
-    a blank one, only with ``fill_absent``.
+    With ``fill_absent`` an absent cell counts as different too; a blank one never does.
     """
     tests = [f"not ({old} <=> {new})"]
     if is_text:
         tests.append(f"not ({old} <=> '')")
-    elif not fill_absent:
+    if not fill_absent:
         tests.append(f"{old} is not null")
     return " and ".join(tests)
 

@@ -109,9 +109,13 @@ class Flow:
         if self.write == "put":
             return put_columns(target, rows, family)
         history = (*self.history, run.closed_day.isoformat()) if self.history else None
-        return insert_or_patch(
-            target, rows, family, self.patch.split(), self.fill.split(), companions, history
-        )
+        return insert_or_patch(target, rows, family, self.patch.split(), self._filled(family), companions, history)
+
+    def _filled(self, family: str) -> list[str]:
+        """Patch columns that are filled when absent: texts, whose blank is another value, and those named."""
+        lines = (line.split() for line in self.families[family].strip().splitlines())
+        dated = {name for name, _, *kind in lines if kind and kind[0] in ("instant", "as_is")}
+        return [c for c in self.patch.split() if c not in dated or c in self.fill.split()]
 
     def ingest(self, target: DataFrame, documents: DataFrame, run: Run, labels: Labels) -> DataFrame:
         """Windowed scan, flatten and merge."""
