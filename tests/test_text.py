@@ -49,7 +49,7 @@ def test_cells(values):
     assert values([None, "", "x"], "string", F.expr(cell("v", "blank"))) == ["", "", "x"]
     # A field of a record that is missing is blank, a missing field absent.
     assert values([None, (None,), ("x",)], "struct<s:string>", F.expr(cell("v.s"))) == ["", None, "x"]
-    assert values([None, 5], "int", F.expr(cell("v"))) == ["", "5"]
+    assert values([None, 5], "int", F.expr(cell("v"))) == [None, "5"]
     assert values([None, True, False], "boolean", F.expr(cell("v", "flag"))) == ["", "True", "False"]
 
 
