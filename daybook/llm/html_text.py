@@ -2,9 +2,11 @@
 
 A page is cut into blocks at block-level tags. The first pass classifies blocks
 by link density, length and stop-word density; elements that name themselves
-navigation, advert, comment and so on are bad as a whole. The second pass gives
-every ambiguous block the label of the nearest decided one around it, within the
-article if the page marks one.
+navigation, advert, comment and so on are bad as a whole, unless they hold the
+article. Where no listed language is seen, length and link density decide alone.
+The second pass gives every ambiguous block the label of the nearest decided one
+around it, within the article if the page marks one that the text around it does
+not outweigh.
 
 Defined results: a null page is empty; a page without main text gives the empty
 text; unclosed elements end with the element around them, and scripts, styles
@@ -55,14 +57,32 @@ FURNITURE_NAMES = frozenset(
     sponsored subscribe toolbar widget
     """.split()
 )
+#: Of these, the ones that mark a compound name by its last part; others have a second sense there (market-share).
+LAST_PARTS = FURNITURE_NAMES - frozenset(
+    "consent cookie cookies copyright header notice notices overlay promotion related recommended respond share sharing social".split()
+)
+#: First parts that say something of a layout, and last parts of things that hold what the first part names.
+STATES = frozenset("has have hide is no non not show under with without".split())
+HOLDERS = frozenset(
+    """
+    area bar block bottom box buttons column container form holder inner items left link links list message notice outer
+    panel posts right section slot text thread top unit wrap wrapper
+    """.split()
+)
+#: Names and elements that stay furniture even around an article: comments and teasers are articles too.
+FIRM_NAMES = frozenset("comment comments disqus recommended related replies respond".split())
+FIRM_TAGS = frozenset("head nav footer aside menu select".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 #: A block with a larger share of its characters in links is bad.
 MOST_LINKS = 0.33
 #: Characters of a block that is decided by its stop words; shorter ones are ambiguous.
 LEAST_LENGTH = 70
-#: Share of stop words of running text.
+#: The same in wide characters, of scripts that write more with each of them.
+LEAST_WIDE = 25
+#: Share of stop words of running text, and the share below which a page is in no listed language.
 LEAST_STOP_WORDS = 0.15
+FOREIGN = 0.03
 
 _MARKUP = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+|[^>]*)>", re.DOTALL
@@ -70,6 +90,7 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
+_WIDE = re.compile("[\u2e80-\ud7ff\uf900-\ufaff]")
 
 
 @dataclass
@@ -83,28 +104,56 @@ class Block:
     label: str = field(default="")
 
 
-def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in FURNITURE_TAGS or (tag == "header" and not in_article):
-        return True
-    if tag in ("html", "body", "article", "main") or not attributes.strip():
-        return False
+def _named(names: str, in_article: bool) -> str:
+    """The furniture that a class or id names, or nothing."""
+    for name in names.split():
+        parts = [x.lower() for x in _NAME_PART.findall(name)]
+        whole = "".join(parts)
+        if whole in FURNITURE_NAMES and not (in_article and whole == "header"):
+            return whole
+        if len(parts) < 2 or parts[0] in STATES:
+            continue
+        if parts[-1] in LAST_PARTS or (parts[-1] == "header" and parts[0] in ("global", "main", "site", "top")):
+            return parts[-1]
+        if parts[0] in FURNITURE_NAMES and all(x in HOLDERS for x in parts[1:]):
+            return parts[0]
+    return ""
+
+
+def _furniture(tag: str, attributes: str, in_article: bool) -> int:
+    """0 for no furniture, 1 for furniture unless it holds an article, 2 for furniture in any case."""
+    if tag in FURNITURE_TAGS:
+        return 2 if tag in FIRM_TAGS else 1
+    if tag == "header" and not in_article:
+        return 1
+    if tag in ("html", "body", "main") or not attributes.strip():
+        return 0
+    found = 0
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
-        if name == "role" and value.lower() in FURNITURE_ROLES:
-            return True
-        if name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if name in ("class", "id") and any(x.lower() in FURNITURE_NAMES for x in _NAME_PART.findall(value)):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|$)", attributes))
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            found = 2
+        elif name == "style" and re.search(r"display\s*:\s*none", value):
+            found = 2
+        elif name == "role" and value.lower() in FURNITURE_ROLES:
+            found = max(found, 1)
+        elif name in ("class", "id"):
+            named = _named(value, in_article)
+            if tag == "article":
+                named = named if named in FIRM_NAMES and in_article else ""
+            found = max(found, 2 if named in FIRM_NAMES else 1 if named else 0)
+    return 2 if re.search(r"(?:^|\s)hidden(?:\s|/|$)", _ATTRIBUTE.sub(" ", attributes), re.IGNORECASE) else found
+
+
+def _keeps(entry: tuple[str, int, int]) -> bool:
+    """Whether an open element stays furniture when an article begins in it: named or hidden, not merely left open."""
+    return entry[1] == 2 and entry[0] not in FIRM_TAGS
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks with text, in page order; ``article`` numbers the article a block is in, 0 for none."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, furniture, article
+    stack: list[tuple[str, int, int]] = []  # tag, furniture, article
     texts: list[str] = []
     links = articles = at = 0
     link_depth = False
@@ -155,33 +204,46 @@ def blocks_of(page: str) -> list[Block]:
             end_block()
             link_depth = False
             if tag in ("article", "main"):
-                # Furniture that was never closed ends where the article begins.
-                while stack and stack[-1][1]:
+                # Furniture that was never closed ends where the article begins; what holds one is none.
+                while stack and stack[-1][1] and not _keeps(stack[-1]):
                     stack.pop()
+                stack = [(t, f if f == 2 else 0, a) for t, f, a in stack]
                 articles += not any(a for _, _, a in stack)
             if tag in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == tag:
                 stack.pop()  # these close the one before
             if tag not in VOID_TAGS and not attributes.endswith("/"):
                 article = articles if tag in ("article", "main") else (stack[-1][2] if stack else 0)
-                stack.append((tag, _is_furniture(tag, attributes, bool(article)), article))
-        elif tag not in VOID_TAGS and _is_furniture(tag, attributes, bool(stack and stack[-1][2])):
+                stack.append((tag, _furniture(tag, attributes, bool(article)), article))
+        elif tag not in VOID_TAGS and (kind := _furniture(tag, attributes, bool(stack and stack[-1][2]))):
             end_block()
-            stack.append((tag, True, stack[-1][2] if stack else 0))
+            stack.append((tag, kind, stack[-1][2] if stack else 0))
     end_block()
     return found
 
 
 def classify(blocks: list[Block]) -> None:
     """First pass: good, bad or ambiguous; second pass: the nearest decided label."""
-    marked = any(b.article and not b.bad for b in blocks)
     for b in blocks:
         words = _WORD.findall(b.text.lower())
         b.words, b.stops = len(words), sum(w in STOP_WORDS for w in words)
-        if b.bad or (marked and not b.article) or b.links > MOST_LINKS * len("".join(b.text.split())):
-            b.label = "bad"
-        elif b.text.startswith(("©", "(c)")) and len(b.text) < 200:
+        b.bad = b.bad or b.links > MOST_LINKS * len("".join(b.text.split()))
+        b.bad = b.bad or (b.text.startswith(("©", "(c)")) and len(b.text) < 200)
+    shown = [b for b in blocks if not b.bad]
+    foreign = sum(b.stops for b in shown) < FOREIGN * sum(b.words for b in shown)
+
+    def runs(b: Block) -> bool:
+        """Whether a block is running text by itself; where no listed language is seen, its length decides."""
+        if foreign:
+            return len(b.text) >= LEAST_LENGTH or len(_WIDE.findall(b.text)) >= LEAST_WIDE
+        return len(b.text) >= LEAST_LENGTH and b.stops >= LEAST_STOP_WORDS * b.words
+
+    # An article that is outweighed by running text around it is a teaser, not the main text.
+    inside = sum(len(b.text) for b in shown if b.article)
+    marked = inside > 0 and inside >= sum(len(b.text) for b in shown if not b.article and runs(b))
+    for b in blocks:
+        if b.bad or (marked and not b.article):
             b.label = "bad"
-        elif len(b.text) >= LEAST_LENGTH and b.stops >= LEAST_STOP_WORDS * b.words:
+        elif runs(b):
             b.label = "good"
     # Distance to, and label of, the nearest decided block of the same region on either side.
     near: list[list[tuple[int, str]]] = [[] for _ in blocks]

@@ -347,6 +347,34 @@ def test_main_text(spark):
     assert "second one" in got[1].text and "Yes." in got[1].text and "link" not in got[1].text
 
 
+_TEXT = "The first paragraph of the article is long enough to be taken as text that is read by a person."
+_REPLY = "I think that this is the reply of a reader and that it is as long as a text has to be to be one."
+_HAN = "\u8fd9\u662f\u4e00\u4e2a\u5173\u4e8e\u6570\u636e\u5904\u7406\u7684\u957f\u6bb5\u843d" * 3
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class='layout has-sidebar'><div><article><p>{_TEXT}</article></div></div>", _TEXT),
+        (f"<div class='content no-sidebar'><p>{_TEXT}</div>", _TEXT),
+        (f"<div class='market-share header-fixed'><p>{_TEXT}</div>", _TEXT),
+        (f"<form id='page'><div class='widget'><main><p>{_TEXT}</main></div></form>", _TEXT),
+        (f"<article><header class='entry-header'><h1>A title</h1></header><p>{_TEXT}</article>", f"A title\n{_TEXT}"),
+        (f"<article><div title='a hidden gem'><p>{_TEXT}</div></article>", _TEXT),
+        (f"<article><p>{_TEXT}<div hidden><p>{_REPLY}</div></article>", _TEXT),
+        (f"<div><p>{_TEXT}</div><div HIDDEN><p>{_REPLY}</div>", _TEXT),
+        (f"<div><p>{_TEXT}<p>{_TEXT}</div><article><p>A teaser.</article>", f"{_TEXT}\n{_TEXT}"),
+        (f"<body><p>{_HAN}</p><ul><li><a href=x>{_HAN}</a></ul>", _HAN),
+        (f"<article><p>{_TEXT}</article><ol class='comment-list'><li><article><p>{_REPLY}</article></ol>", _TEXT),
+        (f"<div class='site-header'><p>{_REPLY}</div><p>{_TEXT}</p><div class='share-buttons'><p>{_REPLY}</div>", _TEXT),
+        (f"<nav>Unclosed<article><p>{_TEXT}</article>", _TEXT),
+        (f"<p>{_TEXT}</p>" * 20_000, "\n".join([_TEXT] * 20_000)),
+    ],
+)
+def test_main_text_of_common_pages(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_licences(spark):
     files = [
         ("LICENSE", "Released under the MIT License."), ("a.py", "x"), ("lib/gpl/COPYING", "This work is licensed under the GNU General Public License, version 3."),
