@@ -363,7 +363,7 @@ _HAN = "\u8fd9\u662f\u4e00\u4e2a\u5173\u4e8e\u6570\u636e\u5904\u7406\u7684\u957f
         (f"<article><div title='a hidden gem'><p>{_TEXT}</div></article>", _TEXT),
         (f"<article><p>{_TEXT}<div hidden><p>{_REPLY}</div></article>", _TEXT),
         (f"<div><p>{_TEXT}</div><div HIDDEN><p>{_REPLY}</div>", _TEXT),
-        (f"<div><p>{_TEXT}<p>{_TEXT}</div><article><p>A teaser.</article>", f"{_TEXT}\n{_TEXT}"),
+        (f"<div><p>{_TEXT}<p>{_TEXT}</div><article><a href=x>A teaser.</a></article>", f"{_TEXT}\n{_TEXT}"),
         (f"<body><p>{_HAN}</p><ul><li><a href=x>{_HAN}</a></ul>", _HAN),
         (f"<article><p>{_TEXT}</article><ol class='comment-list'><li><article><p>{_REPLY}</article></ol>", _TEXT),
         (f"<div class='site-header'><p>{_REPLY}</div><p>{_TEXT}</p><div class='share-buttons'><p>{_REPLY}</div>", _TEXT),
