@@ -1,24 +1,28 @@
 """Personal data: base patterns, and identifiers found by the contexts these stand in.
 
-Base matches of four kinds are seeds. The word before an identifier is its
-lexical pattern; patterns and instances form a graph whose scores are exchanged
-until none rises by more than ``SETTLED``: a pattern is as sure of a kind as the mean
-score of the different instances it precedes, an instance as its surest pattern. Where a sure
-pattern precedes something of a kind's form that no base pattern matches, that
-is personal data too.
+Base matches of four kinds are seeds. What stands beside an identifier is its
+lexical patterns: the word before it, the two words before it and the word after
+it. Patterns and instances form a graph whose scores are exchanged until none
+rises by more than ``SETTLED``: a pattern is as sure of a kind as the mean
+score of the different instances it stands beside, an instance as its surest pattern. Where a sure
+pattern stands beside something of a kind's form that no base pattern matches, that
+is personal data too. Candidates are words with a digit or at sign, groups of
+digits joined by single blanks, brackets, dots, slashes or hyphens, and mail
+addresses written out in words.
 
 Base patterns are written so that a search is linear in the text: a match may
 begin only where a run of its first characters begins or the last match ended.
 
 Defined results: a null text is empty; spans count code points from 0, the end
 exclusive; base matches that fail their check are never brought back; a found
-span never touches a base span or another found one; repeated and null ids are
+span never touches a base span or another found one; words further than ``BESIDE``
+characters from an identifier's ends are no context of it; repeated and null ids are
 rows like others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from daybook.llm.common import WHITE, bind, unused, written
@@ -34,14 +38,21 @@ PATTERNS = {
 }
 #: What a text must hold for a pattern to match at all.
 TRIGGERS = {"email": "@", "ip": "[0-9]", "card": "[0-9]", "phone": r"\+"}
-#: Words that may be identifiers: they hold a digit or an at sign.
-CANDIDATE = rf"(?<![^{WHITE}])[^{WHITE}0-9@]*+[0-9@][^{WHITE}]*+"
+#: What may be an identifier: a written-out mail address, groups of digits, a word with a digit or at sign.
+_AT, _DOT = r"(?i:at|\(at\)|\[at\])", r"(?i:dot|\(dot\)|\[dot\])"
+_GROUP = r"[(\[]?[0-9]++[)\]]?+"
+_CLOSING = r"\"')\]}>.,;:!?"
+_NUMBER = rf"{_GROUP}(?:[./-]?{_GROUP})*+(?=[{_CLOSING}]*+(?:[{WHITE}]|\z))"
+CANDIDATE = (
+    rf"(?<![^{WHITE}])(?:{_LOCAL}++\x20{_AT}\x20[A-Za-z0-9-]++(?:\x20{_DOT}\x20[A-Za-z0-9-]++)++"
+    rf"|\+?+{_NUMBER}(?:\x20{_NUMBER})*+|[^{WHITE}0-9@]*+[0-9@][^{WHITE}]*+)"
+)
 #: What a found identifier of a kind must look like.
 FORMS = {
-    "email": r"^[^@]+@[^@]+$",
+    "email": rf"^[^@\x20]+@[^@\x20]+$|^{_LOCAL}+ {_AT} [A-Za-z0-9-]+(?: {_DOT} [A-Za-z0-9-]+)+$",
     "ip": r"^[0-9A-Fa-f]*[.:][0-9A-Fa-f]*[.:][0-9A-Fa-f.:]*$",
     "card": r"^(?:[^0-9A-Za-z]*[0-9]){12,19}$",
-    "phone": r"^\+?(?:[().\x20/-]*[0-9]){7,15}$",
+    "phone": r"^\+?(?:[()\[\].\x20/-]*[0-9]){7,15}[)\]]?$",
 }
 #: Scores only rise, and no further than 1; a lesser rise than this ends the rounds.
 SETTLED = 1e-6
@@ -49,27 +60,57 @@ SETTLED = 1e-6
 SURE, SUPPORT = 0.8, 5
 
 
+#: Numbers that are summed one by one; their sums are summed in turn.
+BLOCK = 256
+
+
+def _running_sums(numbers: Column) -> Column:
+    """Sums of the first one, two, three ... numbers; arrays that grow one by one stay short."""
+
+    def grown(block: Column) -> Column:
+        return F.aggregate(
+            block,
+            F.array().cast("array<int>"),
+            lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + x)),
+        )
+
+    starts = lambda blocks: F.aggregate(
+        blocks, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.element_at(x, -1)))
+    )
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / BLOCK).cast("int")),
+        lambda k: grown(F.slice(numbers, k * BLOCK + 1, F.lit(BLOCK))),
+    )
+    return bind(
+        blocks,
+        lambda bs: bind(
+            starts(bs),
+            lambda before: F.flatten(F.transform(bs, lambda x, k: F.transform(x, lambda n: n + F.get(before, k)))),
+        ),
+    )
+
+
 def spans(text: Column, pattern: str) -> Column:
-    """Leftmost matches in order: array of (start, end, match, gap), gap being the text before."""
-
-    def walk(found: Column, gaps: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            start = acc["at"] + F.length(F.get(gaps, i))
-            end = start + F.length(F.get(found, i))
-            here = F.struct(
-                start.alias("start"), end.alias("end"), F.get(found, i).alias("match"), F.get(gaps, i).alias("gap")
-            )
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(here)).alias("out"))
-
-        kind = "array<struct<start:int,end:int,match:string,gap:string>>"
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda acc: acc["out"])
-
-    empty = F.array().cast("array<struct<start:int,end:int,match:string,gap:string>>")
+    """Leftmost matches in order: array of (start, end, match, gap, next), with the text before and after."""
+
+    def placed(found: Column, gaps: Column) -> Column:
+        lengths = F.transform(found, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
+        return bind(
+            _running_sums(lengths),
+            lambda ends: F.transform(
+                found,
+                lambda m, i: F.struct(
+                    (F.get(ends, i) - F.length(m)).alias("start"), F.get(ends, i).alias("end"), m.alias("match"),
+                    F.get(gaps, i).alias("gap"), F.get(gaps, i + 1).alias("next"),
+                ),
+            ),
+        )
+
+    empty = F.array().cast("array<struct<start:int,end:int,match:string,gap:string,next:string>>")
     return bind(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda found: F.when(F.size(found) == 0, empty).otherwise(
-            bind(F.split(text, pattern, -1), lambda gaps: walk(found, gaps))
+            bind(F.split(text, pattern, -1), lambda gaps: placed(found, gaps))
         ),
     )
 
@@ -118,34 +159,116 @@ def base_spans(text: Column, kind: str) -> Column:
 
 
 def _candidates(text: Column) -> Column:
-    """Array of (start, end, value, left): words with a digit or at sign, bare of punctuation."""
+    """Array of (start, end, value, contexts): what may be an identifier, bare of punctuation around it."""
+
+    def contexts(gap: Column, after: Column) -> Column:
+        two = F.lower(F.regexp_extract(gap, rf"([^{WHITE}]++[{WHITE}]++[^{WHITE}]++)[{WHITE}]*+$", 1))
+        one = F.lower(F.regexp_extract(gap, rf"([^{WHITE}]++)[{WHITE}]*+$", 1))
+        right = F.lower(F.regexp_extract(after, rf"^[{WHITE}]+([^{WHITE}]+)(?:[{WHITE}]|$)", 1))
+        return F.array(
+            F.when(one != "", F.concat(one, F.lit(" _"))),
+            F.when(two != "", F.concat(F.regexp_replace(two, f"[{WHITE}]+", " "), F.lit(" _"))),
+            F.when(right != "", F.concat(F.lit("_ "), right)),
+        )
 
     def bare(x: Column) -> Column:
-        front = F.length(F.regexp_extract(x["match"], r"^[\"'(\[{<]*", 0))
+        front = F.when(
+            x["match"].rlike(r"^[(\[][0-9]+[)\]]."), F.lit(0)  # a bracketed group of digits is part of its number
+        ).otherwise(F.length(F.regexp_extract(x["match"], r"^[\"'(\[{<]*", 0)))
         back = F.length(F.regexp_extract(x["match"], r"[\"')\]}>.,;:!?]*$", 0))
         value = F.substring(x["match"], front + 1, F.greatest(F.lit(0), F.length(x["match"]) - front - back))
-        left = F.lower(F.regexp_extract(x["gap"], rf"([^{WHITE}]++)[{WHITE}]*+$", 1))
+        # The last words before and the first one after; long texts beside an identifier are cut to their ends first.
         return F.struct(
-            (x["start"] + front).alias("start"), (x["end"] - back).alias("end"), value.alias("value"), left.alias("left")
+            (x["start"] + front).alias("start"), (x["end"] - back).alias("end"), value.alias("value"),
+            contexts(_last_words(x["gap"]), _first_words(x["next"])).alias("contexts"),
         )
 
-    kind = "array<struct<start:int,end:int,value:string,left:string>>"
+    kind = "array<struct<start:int,end:int,value:string,contexts:array<string>>>"
     found = F.transform(spans(text, CANDIDATE), bare)
-    return F.when(text.rlike("[0-9@]"), F.filter(found, lambda x: x["end"] > x["start"])).otherwise(F.array().cast(kind))
+    return F.when(text.rlike(rf"[0-9@]|\x20{_DOT}\x20"), F.filter(found, lambda x: x["end"] > x["start"])).otherwise(F.array().cast(kind))
+
+
+#: Longest text beside an identifier that is searched for words; words that do not end there are no context.
+BESIDE = 200
+
+
+def _last_words(gap: Column) -> Column:
+    return F.when(F.length(gap) <= BESIDE, gap).otherwise(F.regexp_extract(F.right(gap, F.lit(BESIDE)), rf"[{WHITE}](?s:.*)$", 0))
+
 
+def _first_words(gap: Column) -> Column:
+    return F.when(F.length(gap) <= BESIDE, gap).otherwise(F.regexp_extract(F.left(gap, F.lit(BESIDE)), rf"^(?s:.*)[{WHITE}]", 0))
 
-def _touches(spans_: Column, start: Column, end: Column) -> Column:
-    return F.exists(spans_, lambda b: (b["start"] < end) & (start < b["end"]))
 
+def _so_far(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-def _begins(spans_: Column, start: Column, end: Column) -> Column:
-    return F.exists(spans_, lambda b: (b["start"] >= start) & (b["start"] < end))
+
+def _occurrences(found: DataFrame, row: str, base: dict[str, str], cands: str) -> DataFrame:
+    """(row, start, end, value, contexts, seed, known, failed) of every candidate, set against the base spans.
+
+    Spans and candidates of a row are put in order, and what begins before and
+    after each candidate is carried along, so that their number counts once.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    entry = lambda kind, good: lambda x: F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("value"),
+        none("array<string>").alias("contexts"), F.lit(kind).alias("kind"), F.lit(good).alias("good"),
+    )
+    candidate = lambda x: F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"),
+        x["contexts"].alias("contexts"), none("string").alias("kind"), none("boolean").alias("good"),
+    )
+    arrays = [F.transform(F.col(cands), candidate)]
+    for k in KINDS:
+        arrays += [
+            F.transform(F.col(f"{base[k]}.good"), entry(k, True)),
+            F.transform(F.col(f"{base[k]}.failed"), entry(k, False)),
+        ]
+    entries = (
+        found.where(F.size(cands) > 0)
+        .select(F.col(row).alias("row"), F.concat(*arrays).alias("entries"))
+        .select("row", F.explode("entries").alias("e"))
+        .select("row", "e.*")
+    )
+    # A span that begins with a candidate counts as one that begins after it.
+    rising = _so_far(Window.partitionBy("row").orderBy("start", F.col("kind").isNotNull()))
+    falling = _so_far(Window.partitionBy("row").orderBy(F.col("start").desc(), F.col("kind").isNull()))
+    is_good = lambda k: F.col("good") & (F.col("kind") == k)
+    is_failed = lambda k: ~F.col("good") & (F.col("kind") == k)
+    before = {"good_end": F.max(F.when(F.col("good"), F.col("end"))).over(rising)}
+    after = {}
+    for k in KINDS:
+        before[f"failed_end_{k}"] = F.max(F.when(is_failed(k), F.col("end"))).over(rising)
+        after[f"failed_start_{k}"] = F.last(F.when(is_failed(k), F.col("start")), ignorenulls=True).over(falling)
+        after[f"next_{k}"] = F.last(F.when(is_good(k), F.struct("start", "value")), ignorenulls=True).over(falling)
+    set_against = entries.withColumns(before).withColumns(after).where("kind is null")
+    begins = lambda k: F.col(f"next_{k}.start") < F.col("end")
+    yes = lambda test: F.coalesce(test, F.lit(False))
+    # What begins within a candidate is its seed, whole: the kind first named, if several do.
+    seed = F.coalesce(*[F.when(begins(k), F.lit(k)) for k in KINDS])
+    whole = F.coalesce(*[F.when(begins(k), F.col(f"next_{k}.value")) for k in KINDS], F.col("value"))
+    known = yes(F.col("good_end") > F.col("start"))
+    failed = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    yes(F.col(f"failed_end_{k}") > F.col("start")) | yes(F.col(f"failed_start_{k}") < F.col("end")), F.lit(k)
+                )
+                for k in KINDS
+            ]
+        )
+    )
+    return set_against.select(
+        "row", "start", "end", F.array_compact("contexts").alias("contexts"), F.lower(whole).alias("value"),
+        seed.alias("seed"), (known | seed.isNotNull()).alias("known"), failed.alias("failed"),
+    ).where(F.col("seed").isNotNull() | ~F.col("known"))
 
 
 def found_patterns(occurrences: DataFrame) -> DataFrame:
     """(left, kind, sure, support) of the patterns that are sure enough.
 
-    ``occurrences`` holds left, value and seed, the kind of a base match or null.
+    ``occurrences`` holds left (the pattern), value and seed, the kind of a base match or null.
     """
     edges = written(
         occurrences.where("left <> ''").groupBy("left", "value").agg(F.max("seed").alias("seed")), "edges"
@@ -184,31 +307,14 @@ def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     base = {kind: unused(kept, f"_{kind}") for kind in KINDS}
     found = written(found, "base")
 
-    good = F.concat(*[F.col(f"{base[k]}.good") for k in KINDS])
-    start, end = F.col("c.start"), F.col("c.end")
-    # What begins within a candidate is its seed, whole: the kind first named, if several do.
-    seed = F.coalesce(*[F.when(_begins(F.col(f"{base[k]}.good"), start, end), F.lit(k)) for k in KINDS])
-    begun = lambda k: F.filter(F.col(f"{base[k]}.good"), lambda b: (b["start"] >= start) & (b["start"] < end))
-    whole = F.coalesce(*[F.get(begun(k), 0)["match"] for k in KINDS], F.col("c.value"))
-    failed = F.array_compact(
-        F.array(*[F.when(_touches(F.col(f"{base[k]}.failed"), start, end), F.lit(k)) for k in KINDS])
-    )
-    occurrences = written(
-        found.where(F.size(cands) > 0)
-        .withColumn("c", F.explode(cands))
-        .select(
-            F.col(row).alias("row"), "c.start", "c.end", "c.left", F.lower(whole).alias("value"),
-            seed.alias("seed"), _touches(good, start, end).alias("known"), failed.alias("failed"),
-        )
-        .where(F.col("seed").isNotNull() | ~F.col("known")),
-        "occurrences",
-    )
-    patterns = found_patterns(occurrences)
+    occurrences = written(_occurrences(found, row, base, cands), "occurrences")
+    beside = lambda rows: rows.withColumn("left", F.explode("contexts")).drop("contexts")
+    patterns = found_patterns(beside(occurrences.select("contexts", "value", "seed")))
     form = F.lit(False)
     for k in KINDS:
         form = form | ((F.col("kind") == k) & F.col("value").rlike(FORMS[k]))
     more = (
-        occurrences.where("seed is null and not known")
+        beside(occurrences.where("seed is null and not known"))
         .join(patterns, "left")
         .where(form & ~F.array_contains("failed", F.col("kind")))
         .groupBy("row", "start", "end")

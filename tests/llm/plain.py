@@ -4,7 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
-WORD = re.compile("[^\x20\x09-\x0d]+")
+WHITE = "\x20\x09-\x0d"
+WORD = re.compile(f"[^{WHITE}]+")
 VOCABULARY = [a + b + c for a in "bdfgklmnprst" for b in "aeiou" for c in ("", "n", "r", "st")]
 
 
@@ -126,6 +127,105 @@ def personal(text):
     ]
 
 
+_WRITTEN_OUT = r"[A-Za-z0-9._%+-]+ (?i:at|\(at\)|\[at\]) [A-Za-z0-9-]+(?: (?i:dot|\(dot\)|\[dot\]) [A-Za-z0-9-]+)+"
+_DIGITS = r"[(\[]?[0-9]+[)\]]?(?:[./-]?[(\[]?[0-9]+[)\]]?)*"
+_NUMERIC = re.compile(rf"({_DIGITS})[\"')\]}}>.,;:!?]*")
+_OTHERWISE = {
+    "email": re.compile(rf"[^@ ]+@[^@ ]+|{_WRITTEN_OUT}"),
+    "ip": re.compile(r"[0-9A-Fa-f]*[.:][0-9A-Fa-f]*[.:][0-9A-Fa-f.:]*"),
+    "card": re.compile(r"(?:[^0-9A-Za-z]*[0-9]){12,19}"),
+    "phone": re.compile(r"\+?(?:[()\[\]. /-]*[0-9]){7,15}[)\]]?"),
+}
+
+
+def _identifier_like(text):
+    """(start, end) of written-out mail addresses, runs of numbers and words with a digit or at sign, in order."""
+    words = [m.span() for m in WORD.finditer(text)]
+    i = 0
+    while i < len(words):
+        start, end = words[i]
+        mail = re.compile(_WRITTEN_OUT).match(text, start)
+        first = _NUMERIC.fullmatch(text[start:end].removeprefix("+"))
+        if mail:
+            end = mail.end()
+        elif first:
+            at = end - (len(text[start:end].removeprefix("+")) - len(first[1]))
+            while i + 1 < len(words) and at == end and text[end : words[i + 1][0]] == " ":
+                more = _NUMERIC.fullmatch(text[words[i + 1][0] : words[i + 1][1]])
+                if not more:
+                    break
+                i, end = i + 1, words[i + 1][1]
+                at = words[i][0] + len(more[1])
+            end = at
+        elif not re.search("[0-9@]", text[start:end]):
+            i += 1
+            continue
+        yield start, end
+        while i < len(words) and words[i][0] < end:
+            i += 1
+
+
+def found_personal(texts, sure=0.8, support=5):
+    """For each text, the spans beside sure contexts as {(start, end): kinds that are surest}."""
+    seen = []  # text, start, end, value, seed, contexts, failed
+    for t, text in enumerate(texts):
+        text = text or ""
+        good, failed = [], []
+        for k, kind in enumerate(BASE):
+            passed = {x for x in personal(text) if x.startswith(kind)}
+            for m in re.finditer(BASE[kind], text):
+                digits = len(re.sub("[^0-9]", "", m.group()))
+                if f"{kind}:{m.start()}:{m.end()}" in passed:
+                    good.append((k, kind, *m.span(), m.group()))
+                elif kind != "card" or 16 <= digits <= 19:
+                    failed.append((kind, *m.span()))
+        found = list(_identifier_like(text))
+        for n, (a, b) in enumerate(found):
+            before = text[found[n - 1][1] if n else 0 : a]
+            after = text[b : found[n + 1][0] if n + 1 < len(found) else len(text)]
+            left, right = WORD.findall(before.lower()), re.match(f"[{WHITE}]+([^{WHITE}]+)(?:[{WHITE}]|$)", after.lower())
+            contexts = {f"{left[-1]} _"} if left else set()
+            contexts |= {f"{left[-2]} {left[-1]} _"} if len(left) > 1 else set()
+            contexts |= {f"_ {right[1]}"} if right else set()
+            value = text[a:b]
+            front = 0 if re.match(r"[(\[][0-9]+[)\]].", value, re.DOTALL) else len(value) - len(value.lstrip("\"'([{<"))
+            a, b = a + front, a + len(value.rstrip("\"')]}>.,;:!?"))
+            if a >= b:
+                continue
+            inner = sorted(g for g in good if a <= g[2] < b)
+            if not inner and any(g[2] < b and a < g[3] for g in good):
+                continue
+            misses = {kind for kind, x, y in failed if x < b and a < y}
+            seen.append((t, a, b, (inner[0][4] if inner else text[a:b]).lower(), inner[0][1] if inner else None, contexts, misses))
+    beside, kinds = defaultdict(set), {}
+    for *_, value, seed, contexts, _ in seen:
+        for c in contexts:
+            beside[c].add(value)
+            kinds[c, value] = max(kinds.get((c, value)) or "", seed or "")
+    scores = {(v, k): 1.0 for (_, v), k in kinds.items() if k}
+    while True:
+        patterns = {}
+        for c, values in beside.items():
+            for kind in BASE:
+                mass = sum(scores.get((v, kind), 0.0) for v in values)
+                if mass >= support and mass / len(values) >= sure:
+                    patterns[c, kind] = mass / len(values)
+        then = {(v, k): 1.0 for (_, v), k in kinds.items() if k}
+        for (c, kind), score in patterns.items():
+            for v in beside[c]:
+                if not kinds[c, v]:
+                    then[v, kind] = max(then.get((v, kind), 0.0), score)
+        if then == scores:
+            break
+        scores = then
+    out = [defaultdict(dict) for _ in texts]
+    for t, a, b, value, seed, contexts, misses in seen:
+        for (c, kind), score in patterns.items():
+            if seed is None and c in contexts and kind not in misses and _OTHERWISE[kind].fullmatch(value):
+                out[t][a, b][kind] = max(score, out[t][a, b].get(kind, 0.0))
+    return [{span: {k for k, s in by.items() if s > max(by.values()) - 1e-9} for span, by in o.items()} for o in out]
+
+
 def leaks(texts, items, percent=80):
     """{(text index, item index): best similarity} of windows as long as the item."""
     found = {}

@@ -1,6 +1,7 @@
 """The operators against plain Python on documents with every awkward case."""
 
 import hashlib
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -305,6 +306,43 @@ def test_personal_data(spark):
     assert masked[len(texts) - 1] == "call phone: ************ now" and masked[8] is None
 
 
+def test_identifiers_in_sure_contexts(spark):
+    rng = plain.random.Random(12)
+    words = lambda n: plain.prose(rng, n)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    texts = [f"{words(3)} mobile number +44 20 {digits(4)} {digits(4)} please {words(2)}" for _ in range(30)]
+    texts += [f"{words(3)} write to {words(1)}{i}@example.org today" for i in range(20)]
+    texts += [f"{words(2)} server 10.{i}.0.{i} down {words(2)}" for i in range(20)]
+    texts += [f"{words(2)} charge 4111 1111 1111 1111 or {words(1)} and visa {digits(3)}" for _ in range(3)]
+    unseen = [
+        "the mobile number (212) 555-0100 please", "a mobile number 020 7946 0958, please", "mobile number [020] 7946/0958",
+        "just write to jo at example dot com today", "write to jo.b (at) mail [dot] example (dot) org.", "server fe80::1:2 down",
+        "the number of 12 34 5 things", "mobile number 12", "+44 20 7946 please", "please 3782 822463 10005", "x (555-0100) please",
+    ]
+    texts += [*unseen, *unseen, None, "", "1 2 3 4 5 6 7 8 please", "mobile number +44 20 7946 0958 111111111111111111 please"]
+    texts += [f"{words(rng.randrange(4))} {rng.choice(unseen)} {words(2)}\n{rng.choice(unseen)}" for _ in range(60)]
+    texts += [t for t in PERSONAL if t and len(t) < 2000]
+    found = pii.digest(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], SCHEMA).repartition(3)).collect()
+    got = {r.doc_id: set(filter(None, r.spans.split(","))) - set(plain.personal(texts[r.doc_id])) for r in found}
+    expected = plain.found_personal(texts)
+    assert sum(map(len, expected)) > 60
+    for i, spans in enumerate(expected):
+        assert {tuple(map(int, x.split(":")[1:])) for x in got[i]} == set(spans), texts[i]
+        assert all(x.split(":")[0] in spans[tuple(map(int, x.split(":")[1:]))] for x in got[i])
+    first = len(texts) - texts[::-1].index(None) - 1 - 2 * len(unseen)
+    assert got[first] == {"phone:18:32"} and got[first + 3] == {"email:14:35"}
+
+
+def test_personal_data_of_a_text_of_numbers(spark):
+    many = [" ".join(f"x {10**6 + i}" for i in range(100_000)), "1 " * 100_000 + "2a", "a@b.c " * 50_000]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(many)], SCHEMA)
+    begun = time.monotonic()
+    got = {r.doc_id: r for r in pii.digest(docs).collect()}
+    assert time.monotonic() - begun < 90
+    for i, text in enumerate(many):
+        assert got[i].spans == ",".join(plain.personal(text))
+
+
 def test_patterns_are_found_through_long_chains(spark):
     edges, known, sizes = [("p0", f"s{i}", "phone") for i in range(3750)], [], (750, 150, 30, 6, 1)
     for k, n in enumerate(sizes):
