@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.bits import without
@@ -182,7 +182,7 @@ def _meetings(rows: DataFrame, shared: DataFrame) -> DataFrame:
     return (
         entries.groupBy("gram", "set_id", "n_shingles", "reach")
         .agg(F.min("row_key").alias("row_key"))
-        .join(shared.select("gram", "least"), "gram")
+        .join(shared.select("gram", "least", "n"), "gram")
     )
 
 
@@ -325,6 +325,35 @@ def _pairs(met: DataFrame) -> DataFrame:
     )
 
 
+#: A round of a few partners each that leaves more than this share of the groups apart is the last one.
+JOINING = 0.8
+#: Sets of one meeting that are put in a chain together.
+CHAIN = 1000
+
+
+def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """The meetings of sets of different groups, with the root of each set."""
+    grouped = met.join(roots, F.col("set_id") == F.col("node"), "left").select(
+        "gram", "n", "set_id", "row_key", "reach", "n_shingles", F.coalesce("root", "set_id").alias("root")
+    )
+    between = (
+        grouped.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("gram")
+    )
+    return written(grouped.join(between, "gram", "left_semi"), "apart")
+
+
+def _chained(apart: DataFrame, turn: int) -> DataFrame:
+    """(p, q): each set of a meeting with the one before it in a random order, if that is of another group.
+
+    A set stands in several meetings and so meets several others. Large meetings
+    are several chains, so that none is a single task.
+    """
+    whole = F.struct("set_id", "row_key", "reach", "n_shingles", "root")
+    chain = F.pmod(F.xxhash64("set_id", F.lit(turn)), F.ceil(F.col("n") / CHAIN))
+    order = Window.partitionBy("gram", chain).orderBy(F.xxhash64("gram", "set_id", F.lit(turn)), "set_id")
+    return apart.select(whole.alias("p"), F.lag(whole).over(order).alias("q")).where("p.root <> q.root")
+
+
 def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The columns of ``docs`` but ``text``, with n_shingles, set_id and root.
 
@@ -349,28 +378,37 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
             break
         classes = better
 
-    met = written(_meetings(rows, shared), "meetings")
+    meetings: list[str] = []
+    with noted(meetings):
+        met = written(_meetings(rows, shared), "meetings")
     rows = written(rows.drop("prefix", "row_key"), "rows")
     release(scratch, rows)
     p, q = met.where("set_id = least").alias("p"), met.where("set_id <> least").alias("q")
     first = p.join(q, (F.col("p.gram") == F.col("q.gram")) & _reaches("p", "q", percent))
-    checked = written(_pairs(first), "checked")
-    links = _links(checked, texts, classes, width, percent)
+    tried = written(_pairs(first), "checked")
+    links = _links(tried, texts, classes, width, percent)
     roots = written(components(links), "roots")
 
-    # Pairs that meet but are in different groups yet.
-    grouped = met.join(roots, F.col("set_id") == F.col("node"), "left").select(
-        "gram", "set_id", "row_key", "reach", "n_shingles", F.coalesce("root", "set_id").alias("root")
-    )
-    between = (
-        grouped.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("gram")
-    )
-    open_sets = written(grouped.join(between, "gram", "left_semi"), "open")
-    p, q = open_sets.alias("p"), open_sets.alias("q")
+    # Sets that meet but are in different groups yet: a few partners each, for as long as that joins groups ...
+    apart = _apart(met, roots)
+    release(meetings, apart)
+    groups, turn = apart.select("root").distinct().count(), 0
+    while groups:
+        pairs = _pairs(_chained(apart, turn).where(_reaches("p", "q", percent)))
+        pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "tried")
+        links = written(links.unionByName(_links(pairs, texts, classes, width, percent)), "links")
+        roots, tried = written(components(links), "roots"), tried.unionByName(pairs)
+        apart = _apart(apart.drop("root"), roots)
+        left, turn = apart.select("root").distinct().count(), turn + 1
+        if left > JOINING * groups:
+            break
+        groups = left
+    # ... and then all that are still apart, so that no link is missed.
+    p, q = apart.alias("p"), apart.alias("q")
     across = p.join(
         q, (F.col("p.gram") == F.col("q.gram")) & (F.col("p.root") < F.col("q.root")) & _reaches("p", "q", percent)
     )
-    pairs = _pairs(across).join(checked, ["a", "b"], "left_anti")
+    pairs = _pairs(across).join(tried, ["a", "b"], "left_anti")
     more = _links(written(pairs, "rest"), texts, classes, width, percent)
     roots = components(links.unionByName(more))
     return (
