@@ -186,6 +186,10 @@ def _meetings(rows: DataFrame, shared: DataFrame) -> DataFrame:
     )
 
 
+#: Rows whose sets are made and handed on together.
+SET_ROWS = 500
+
+
 def _sets(texts: DataFrame, wanted: DataFrame, classes: np.ndarray, width: int) -> DataFrame:
     """(set_id, row_key, grams) of the rows of ``wanted``, and of some others.
 
@@ -195,7 +199,8 @@ def _sets(texts: DataFrame, wanted: DataFrame, classes: np.ndarray, width: int)
     shared = texts.sparkSession.sparkContext.broadcast((classes, _bit_table(wanted, "row_key")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        parts = (batch.slice(at, SET_ROWS) for batch in batches for at in range(0, batch.num_rows, SET_ROWS))
+        for batch in parts:
             table, bits = shared.value
             keys = np.asarray(batch.column(1))
             chosen = _in_table(bits, keys)
