@@ -56,7 +56,8 @@ def last_error_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Links of a page; pages of one site have none, an empty array.
+# Links of a page; pages of one site have none, an empty array. A field the last link lacks is
+# blank, as without any link.
 @query("""
 with p as (
   select page_id, case when contains(url, 'spam-farm') then []
@@ -79,8 +80,8 @@ def last_element_fields(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "pages").select("page_id", last_item(pricings).alias("last"))
     return rows.select(
         "page_id",
-        F.expr(cell("last.Name")).alias("last_link"),
-        F.expr(cell("last.Code")).alias("long_link"),
+        F.expr(cell("last.Name", "blank")).alias("last_link"),
+        F.expr(cell("last.Code", "blank")).alias("long_link"),
     )
 
 

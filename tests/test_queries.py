@@ -40,6 +40,14 @@ def test_query(spark, duck, name):
     assert rows_of(got) == rows_of(expected)
 
 
+def test_fields_the_last_element_lacks_are_blank(spark, tmp_path):
+    links = ['<a href="/first"><a href="/b">', '<a href="/b"><a href="/last">', "none", None]
+    rows = [(i, "http://a.example", html) for i, html in enumerate(links)] + [(4, "http://spam-farm", links[1])]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = catalogue.QUERIES["last_element_fields"](spark, str(tmp_path)).orderBy("page_id")
+    assert [tuple(r)[1:] for r in got.collect()] == [("/b", ""), ("/last", "/last"), ("", ""), ("", ""), ("", "")]
+
+
 def test_every_query_has_sql():
     assert set(catalogue.SQL) == set(catalogue.QUERIES) <= set(__spark_entry__.queries())
 
