@@ -78,7 +78,9 @@ def matched(passages: DataFrame, templates: DataFrame, least: float = LEAST_COSI
     statement. Inverse document frequencies count the distinct passages and the
     templates. Words that no template has only lengthen a vector.
     """
-    kinds = written(passages.select("passage").where("passage is not null").distinct(), "passages")
+    # A whole licence file is a passage: its words carry its number, not its text.
+    distinct = passages.select("passage").where("passage is not null").distinct()
+    kinds = written(distinct.withColumn("number", F.monotonically_increasing_id()), "passages")
     texts = kinds.select(F.col("passage").alias("text")).unionByName(templates.select(F.col("statement").alias("text")))
     weights = written(
         texts.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
@@ -98,16 +100,16 @@ def matched(passages: DataFrame, templates: DataFrame, least: float = LEAST_COSI
 
     known = vectors(templates, "template", "statement").withColumnRenamed("weight", "known")
     near = (
-        vectors(kinds, "passage", "passage")
+        vectors(kinds, "number", "passage")
         .join(known, "term")
-        .groupBy("passage", "template")
+        .groupBy("number", "template")
         .agg(F.sum(F.col("weight") * F.col("known")).alias("cosine"))
         .where(F.col("cosine") >= least)
         .join(templates.select("template", "licence"), "template")
     )
     # Rounded, so that the order of a sum decides no tie.
     best = F.min(F.struct((-F.round("cosine", 9)).alias("far"), "licence")).alias("best")
-    return near.groupBy("passage").agg(best).select(
+    return near.groupBy("number").agg(best).join(kinds, "number").select(
         "passage", F.col("best.licence").alias("licence"), (-F.col("best.far")).alias("cosine")
     )
 

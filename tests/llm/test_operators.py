@@ -20,6 +20,7 @@ from daybook.llm import (
     ngram_join,
     pii,
     quality,
+    queries,
     sharding,
     suffix_dedup,
 )
@@ -491,3 +492,25 @@ def test_licence_scan_of_little(spark):
     assert got.columns == [c for c in files.columns if c != "text"] + ["licence", "cosine", "found", "licence_dir"]
     assert [r.licence for r in got.collect()] == [None] * 5
     assert licences.scanned(files.limit(0)).count() == 0
+
+
+def test_licences_of_the_query_are_inherited(spark, tmp_path):
+    """Rows of the registered query against a walk from every path up to the root."""
+    gpl, mit = "This work is licensed under the GNU General Public License, version 3.", "Released under the MIT License."
+    texts = {1: f"tree\n{gpl}", 2: "a\nb", 1001: f"1\n2\n3\n4\n{mit}", 1002: "c", 2001: "x\n" * 20 + mit, 2002: None, 3001: ""}
+    given = [(i, text, "en", "s1", 0) for i, text in texts.items()] + [(5, "alone", "de", "s1", 0), (6, "alone", None, None, 0)]
+    spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.QUERIES["op1_licence_scan"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(given)
+    own = {r.path: r.licence for r in got.values() if r.found == "header"}
+    assert own == {"s1/en/LICENSE.1": "GPL-3.0", "s1/en/1/LICENSE.1001": "MIT", "s1/en/2/2001": "MIT"}
+    owners = {path.rpartition("/")[0]: licence for path, licence in own.items() if "LICENSE" in path}
+    for r in got.values():
+        if r.path not in own:
+            above = r.path.rpartition("/")[0]
+            while above not in owners and above:
+                above = above.rpartition("/")[0]
+            assert (r.licence, r.licence_dir) == (owners.get(above), above if above in owners else None)
+            assert r.found == ("inherited" if above in owners else None)
+    assert {i for i, r in got.items() if r.found == "inherited"} == {2, 1002, 2002, 3001}
+    assert got[1002].licence == "MIT" and got[2].licence == "GPL-3.0"
