@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from daybook.operators.merge import insert_or_patch, latest_per_key
@@ -174,6 +175,26 @@ def test_merge_shuffles_neither_table_nor_staged_batch(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_write_reads_one_bucket_a_task(spark, monkeypatch):
+    """What a task sorts does not grow with the files of the table, of which many bytes' worth would be read at once."""
+    plans = []
+    for name in ("saveAsTable", "insertInto"):
+
+        def spied(writer, *given, write=getattr(DataFrameWriter, name), **named):
+            plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+            return write(writer, *given, **named)
+
+        monkeypatch.setattr(DataFrameWriter, name, spied)
+    root, schema = work_folder(spark, "writes"), tables.table_schema(spark, "Credential")
+    rows = spark.createDataFrame([{"row_key": str(n), "period": "2025-04"} for n in range(50)], schema)
+    batch = bucketed(rows.withColumn(CHANGED, F.lit(True)), work_folder(spark, "write"), 4)
+    plans.clear()
+    publish(batch, root, "Credential", "1", 4, schema)
+    assert len(plans) == 3 and all("Bucketed: true" in plan for plan in plans)
+    assert current(spark, root, "Credential", schema).count() == 50
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
+
+
 def test_report_runs_are_kept_once(spark):
     path = work_folder(spark, "report")
     rows = spark.createDataFrame([("2024/01/15 00:00:00", 1), ("2024/01/15 00:00:00", 2)], "data_report string, n int")
