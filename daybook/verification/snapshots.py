@@ -161,9 +161,8 @@ def archive_contents(spark: SparkSession, folder: str) -> DataFrame:
     entry = latest_entry(read_manifest(spark, f"{_archived(spark, folder)}/manifest"), ARCHIVED).first()
     archive = spark.read.parquet(entry["file_name"])
     cells = F.struct(*[c for c in archive.columns if c not in ("_id", "date_report")]).alias("info")
-    return flat(archive.select(F.col("_id").alias(KEY), cells)).join(
-        archive.select(F.col("_id").alias(KEY), to_epoch_ms("date_report").alias("date_report")), KEY
-    )
+    report = F.struct(F.col("date_report").alias("report")).alias("date")
+    return flat(archive.select(F.col("_id").alias(KEY), cells, report))
 
 
 # Stored table, archive, manifest and the emptied table, as one list of counts.
