@@ -3,6 +3,7 @@ from datetime import date, datetime
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from daybook.operators import merge
 from daybook.operators.merge import insert_or_patch, latest_per_key, put_columns, replace_rows
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -147,3 +148,26 @@ def test_latest_per_key(spark):
     )
     got = sorted(map(tuple, latest_per_key(rows, ["at"]).collect()))
     assert got == [("a", T2, "c"), ("b", T1, "a")]
+
+
+def test_copies_of_a_hot_key_are_collapsed_before_they_meet(spark, monkeypatch):
+    rows = spark.range(0, 1000, numPartitions=4).selectExpr(
+        "if(id < 900, 'hot', if(id = 999, null, concat('k', id % 50))) as row_key", "id % 300 as at", "id as v"
+    )
+
+    def newest():
+        best = {}
+        for key, at, v in rows.collect():
+            best[key] = max(best.get(key, (-1, -1)), (at, v))
+        return {(k, *r) for k, r in best.items()}
+
+    def shuffles(frame):
+        return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    plain = latest_per_key(rows, ["at"])
+    assert shuffles(plain) == 1, "rows are shuffled once"
+    monkeypatch.setattr(merge, "CHUNK", 100)
+    dealt = latest_per_key(rows, ["at"])
+    assert shuffles(dealt) == 3, "those of the hot key are collapsed by key and chunk before"
+    assert set(map(tuple, plain.collect())) == set(map(tuple, dealt.collect())) == newest()
+
