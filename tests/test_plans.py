@@ -6,9 +6,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.operators.merge import insert_or_patch, latest_per_key
 from daybook.plans.reports import cumulative_report, signing_report, unmatched_registrations, orders_in_window
 from daybook.plans.run import Run
-from daybook.plans.tables import table_schema
+from daybook.plans.tables import empty_table, table_schema
 from daybook.session import work_folder
 from daybook.sources.keyed import CHANGED, current, publish
 
@@ -75,3 +76,16 @@ def test_registrations_are_not_shuffled(stored):
     plan = plan_of(unmatched_registrations(stored["User"], orders_in_window(stored["CertOrder"], RUN), RUN))
     assert below_exchanges(plan) == ["HashAggregate"], "only the distinct keys of the orders are"
     assert "subject" not in re.search(r"ReadSchema: (.*)", plan).group(1)
+
+
+def test_rows_merged_into_an_empty_table_are_shuffled_once(spark):
+    """The join of a second run takes the first one's rows as their de-duplication left them."""
+    rows = spark.range(100).selectExpr("cast(id as string) as row_key", "id as at", "'p' as period")
+    schema = table_schema(spark, "ProblemGuide")
+    info = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema["info"].dataType.fields]).alias("info")
+    merged = empty_table(spark, "ProblemGuide")
+    assert merged.schema == schema
+    for _ in range(2):
+        merged = insert_or_patch(merged, latest_per_key(rows.select("row_key", info, "period"), ["info"]), "info", ["status"])
+    assert plan_of(merged).count("Exchange hashpartitioning") == 2
+    assert merged.count() == 100
