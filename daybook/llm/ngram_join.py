@@ -8,9 +8,11 @@ tries: sets that begin alike share the overlap of what they share, and a
 subtree is left as soon as the lengths that remain cannot reach the required
 overlap.
 
-Only groups are asked for, so a meeting place of m sets gives m - 1 pairs with
-its least set first; after these are joined, pairs within a group are settled
-and only pairs between different groups are compared, with no cap on either.
+Only groups are asked for, so a meeting place of m sets gives pairs with its most
+central set and with the next one first; after these are joined, pairs within a
+group are settled and only pairs between different groups are compared, with no
+cap on either. Before two sets are compared, parity bits of both bound how many
+n-grams only one of them has; no similar pair exceeds the bound.
 
 Defined results: equal sets are one set (compared once), nulls, empty texts and
 texts without words have the empty set and stay alone, repeated and null ids
@@ -43,6 +45,8 @@ FREQUENT = 8
 CROWDED = 512
 #: Sets in a trie.
 TRIE = 256
+#: 64-bit words of parity that are at hand wherever sets meet.
+WORDS = 4
 
 
 def needed(size_a: int, size_b: int, percent: int) -> int:
@@ -71,6 +75,20 @@ def _fingerprint(grams: np.ndarray) -> int:
     return int(mixed(np.array([mixed(grams ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64)]))[0] >> np.uint64(2))
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """Whether an odd number of n-grams falls on each of at least two slots an n-gram, in 64-bit words.
+
+    Two sets of equally many words differ in at most as many slots as there are
+    n-grams that only one of them has. Words are a power of two, ``WORDS`` at
+    least; half as many are the exclusive or of both halves.
+    """
+    words = WORDS
+    while 64 * words < 2 * len(grams):
+        words *= 2
+    odd = np.bincount((grams & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _frequency_classes(texts: DataFrame, width: int) -> np.ndarray:
     """One byte per slot: the binary logarithm of how many texts hold an n-gram of it.
 
@@ -118,23 +136,24 @@ def _in_table(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(texts: DataFrame, classes: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Of every row its set's size and fingerprint, and the prefix of the ordered set."""
+    """Of every row its set's size, fingerprint and parity, and the prefix of the ordered set."""
     shared = texts.sparkSession.sparkContext.broadcast(classes)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, firsts = [], [], []
+            sizes, prints, bits, firsts = [], [], [], []
             for grams in _distinct_grams(batch.column(0), width):
                 sizes.append(len(grams))
                 prints.append(_fingerprint(grams) if len(grams) else None)
+                bits.append(parity(grams) if len(grams) else np.empty(0, np.int64))
                 firsts.append(_ordered(grams, shared.value)[: prefix_length(len(grams), percent)])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), _lists(firsts)],
-                [*batch.schema.names[1:], "n_shingles", "set_id", "prefix"],
+                [*batch.columns[1:], pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), _lists(bits), _lists(firsts)],
+                [*batch.schema.names[1:], "n_shingles", "set_id", "parity", "prefix"],
             )
 
     rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields[1:])
-    return texts.mapInArrow(read, f"{rest}, n_shingles long, set_id long, prefix array<long>")
+    return texts.mapInArrow(read, f"{rest}, n_shingles long, set_id long, parity array<long>, prefix array<long>")
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -144,18 +163,18 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _shared_grams(rows: DataFrame) -> DataFrame:
-    """(gram, least, n) of the n-grams that stand in the prefixes of several sets."""
+    """(gram, n) of the n-grams that stand in the prefixes of several sets."""
     return (
         rows.select("set_id", F.explode("prefix").alias("gram"))
         .groupBy("gram")
         .agg(F.min("set_id").alias("least"), F.max("set_id").alias("most"), F.count(F.lit(1)).alias("n"))
         .where("least < most")
-        .select("gram", "least", "n")
+        .select("gram", "n")
     )
 
 
 def _meetings(rows: DataFrame, shared: DataFrame) -> DataFrame:
-    """(gram, set_id, row_key, n_shingles, reach, least): which sets meet where, each once.
+    """(gram, set_id, row_key, n_shingles, reach, n): which sets meet where, each once.
 
     reach is how many n-grams the set has from this one on; row_key names one row
     that has the set.
@@ -182,7 +201,7 @@ def _meetings(rows: DataFrame, shared: DataFrame) -> DataFrame:
     return (
         entries.groupBy("gram", "set_id", "n_shingles", "reach")
         .agg(F.min("row_key").alias("row_key"))
-        .join(shared.select("gram", "least", "n"), "gram")
+        .join(shared, "gram")
     )
 
 
@@ -330,32 +349,86 @@ def _pairs(met: DataFrame) -> DataFrame:
     )
 
 
+def _distance(a: Column, b: Column) -> Column:
+    """In how many slots the parity of two sets differs, that of more words halved before."""
+    xor = lambda x, y: x.bitwiseXOR(y)
+
+    def halved(x: Column, y: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), xor)).otherwise(x)
+
+    bits = F.zip_with(halved(a, b), halved(b, a), lambda x, y: F.bit_count(xor(x, y)))
+    return F.aggregate(bits, F.lit(0), lambda n, x: n + x)
+
+
+def _not_too_far(distance: Column, sizes: Column, percent: int) -> Column:
+    """Whether two sets of ``sizes`` n-grams together, of which only one has ``distance``, can be similar enough."""
+    return distance * (100 + percent) <= sizes * (100 - percent)
+
+
+def _comparable(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` of ``_pairs`` whose parity does not tell that they are too far apart."""
+    side = lambda x: sets.select(F.col("set_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}"))
+    near = _not_too_far(_distance(F.col("parity_a"), F.col("parity_b")), F.col("n_a") + F.col("n_b"), percent)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(near).select(*pairs.columns)
+
+
+def _near(a: str, b: str, percent: int) -> Column:
+    """The same of two sets that meet, by the few words that are at hand there."""
+    bits = [F.bit_count(F.col(f"{a}.parity_{i}").bitwiseXOR(F.col(f"{b}.parity_{i}"))) for i in range(WORDS)]
+    return _not_too_far(sum(bits[1:], bits[0]), F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles"), percent)
+
+
 #: A round of a few partners each that leaves more than this share of the groups apart is the last one.
 JOINING = 0.8
 #: Sets of one meeting that are put in a chain together.
 CHAIN = 1000
 
 
-def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """The meetings of sets of different groups, with the root of each set."""
-    grouped = met.join(roots, F.col("set_id") == F.col("node"), "left").select(
-        "gram", "n", "set_id", "row_key", "reach", "n_shingles", F.coalesce("root", "set_id").alias("root")
+def _few_words(sets: DataFrame) -> list[Column]:
+    """``WORDS`` words of the parity of a set, whatever its size."""
+    folded = lambda i: F.aggregate(
+        F.filter("parity", lambda _, at: at % WORDS == i), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y)
+    )
+    return [folded(i).alias(f"parity_{i}") for i in range(WORDS)]
+
+
+def _apart(met: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The meetings of sets of different groups, with root and few words of parity of each set."""
+    rooted = sets.join(roots, F.col("set_id") == F.col("node"), "left").select(
+        "set_id", F.coalesce("root", "set_id").alias("root"), *_few_words(sets)
     )
+    grouped = met.select("gram", "n", "set_id", "row_key", "reach", "n_shingles").join(rooted, "set_id")
     between = (
         grouped.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("gram")
     )
     return written(grouped.join(between, "gram", "left_semi"), "apart")
 
 
+def _meeting(turn: int) -> tuple[Column, Column]:
+    """The chain of a set in a meeting; large meetings are several chains, so that none is a single task."""
+    return F.col("gram"), F.pmod(F.xxhash64("gram", "set_id", F.lit(turn)), F.ceil(F.col("n") / CHAIN))
+
+
+def _hung(met: DataFrame) -> DataFrame:
+    """(p, q): each set of a chain with its first one and with the one before it.
+
+    The first one has the fewest n-grams before the common one, which are those that few
+    others have: copies with changes hang on the copy without.
+    """
+    whole = F.struct("set_id", "row_key", "reach", "n_shingles")
+    order = Window.partitionBy(*_meeting(0)).orderBy(F.col("n_shingles") - F.col("reach"), F.xxhash64("gram", "set_id"), "set_id")
+    found = met.select(whole.alias("p"), F.array(F.first(whole).over(order), F.lag(whole).over(order)).alias("others"))
+    return found.select("p", F.explode("others").alias("q")).where("p.set_id <> q.set_id")
+
+
 def _chained(apart: DataFrame, turn: int) -> DataFrame:
-    """(p, q): each set of a meeting with the one before it in a random order, if that is of another group.
+    """(p, q): each set of a chain with the one before it in a random order, if that is of another group.
 
-    A set stands in several meetings and so meets several others. Large meetings
-    are several chains, so that none is a single task.
+    A set stands in several meetings and so meets several others.
     """
-    whole = F.struct("set_id", "row_key", "reach", "n_shingles", "root")
-    chain = F.pmod(F.xxhash64("set_id", F.lit(turn)), F.ceil(F.col("n") / CHAIN))
-    order = Window.partitionBy("gram", chain).orderBy(F.xxhash64("gram", "set_id", F.lit(turn)), "set_id")
+    whole = F.struct("set_id", "row_key", "reach", "n_shingles", "root", *[f"parity_{i}" for i in range(WORDS)])
+    order = Window.partitionBy(*_meeting(turn)).orderBy(F.xxhash64("gram", "set_id", F.lit(turn)), "set_id")
     return apart.select(whole.alias("p"), F.lag(whole).over(order).alias("q")).where("p.root <> q.root")
 
 
@@ -386,35 +459,34 @@ def similar_groups(docs: DataFrame, text: str = "text", width: int = 5, percent:
     meetings: list[str] = []
     with noted(meetings):
         met = written(_meetings(rows, shared), "meetings")
-    rows = written(rows.drop("prefix", "row_key"), "rows")
+    parities: list[str] = []
+    with noted(parities):
+        sets = rows.where("set_id is not null").groupBy("set_id", "n_shingles").agg(F.first("parity").alias("parity"))
+        sets = written(sets.join(met.select("set_id").distinct(), "set_id", "left_semi"), "parities")
+    rows = written(rows.drop("prefix", "parity", "row_key"), "rows")
     release(scratch, rows)
-    p, q = met.where("set_id = least").alias("p"), met.where("set_id <> least").alias("q")
-    first = p.join(q, (F.col("p.gram") == F.col("q.gram")) & _reaches("p", "q", percent))
-    tried = written(_pairs(first), "checked")
+    # A few partners for each set, for as long as that joins groups ...
+    tried = written(_comparable(_pairs(_hung(met).where(_reaches("p", "q", percent))), sets, percent), "tried")
     links = _links(tried, texts, classes, width, percent)
     roots = written(components(links), "roots")
-
-    # Sets that meet but are in different groups yet: a few partners each, for as long as that joins groups ...
-    apart = _apart(met, roots)
+    apart, groups, turn = _apart(met, sets, roots), sets.count(), 1
     release(meetings, apart)
-    groups, turn = apart.select("root").distinct().count(), 0
-    while groups:
-        pairs = _pairs(_chained(apart, turn).where(_reaches("p", "q", percent)))
-        pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "tried")
+    while (left := apart.select("root").distinct().count()) <= JOINING * groups and left:
+        pairs = _pairs(_chained(apart, turn).where(_reaches("p", "q", percent) & _near("p", "q", percent)))
+        pairs = written(_comparable(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent), "tried")
         links = written(links.unionByName(_links(pairs, texts, classes, width, percent)), "links")
         roots, tried = written(components(links), "roots"), tried.unionByName(pairs)
-        apart = _apart(apart.drop("root"), roots)
-        left, turn = apart.select("root").distinct().count(), turn + 1
-        if left > JOINING * groups:
-            break
-        groups = left
+        apart, groups, turn = _apart(apart, sets, roots), left, turn + 1
     # ... and then all that are still apart, so that no link is missed.
     p, q = apart.alias("p"), apart.alias("q")
     across = p.join(
-        q, (F.col("p.gram") == F.col("q.gram")) & (F.col("p.root") < F.col("q.root")) & _reaches("p", "q", percent)
+        q,
+        (F.col("p.gram") == F.col("q.gram")) & (F.col("p.root") < F.col("q.root"))
+        & _reaches("p", "q", percent) & _near("p", "q", percent),
     )
-    pairs = _pairs(across).join(tried, ["a", "b"], "left_anti")
+    pairs = _comparable(_pairs(across).join(tried, ["a", "b"], "left_anti"), sets, percent)
     more = _links(written(pairs, "rest"), texts, classes, width, percent)
+    release(parities, more)
     roots = components(links.unionByName(more))
     return (
         rows.join(roots, F.col("set_id") == F.col("node"), "left")

@@ -1,6 +1,7 @@
 """The operators against plain Python on documents with every awkward case."""
 
 import hashlib
+import random
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -79,6 +80,36 @@ def test_ngram_join_when_everything_is_crowded(docs, rows, monkeypatch):
     assert found.count() == len({g for g, s in zip(group, sets, strict=True) if s})
 
 
+def test_parity_bounds_the_difference(spark):
+    rng, sets = np.random.default_rng(3), []
+    for size, changed in ((1, 0), (5, 2), (127, 5), (128, 3), (129, 9), (146, 30), (600, 60), (1030, 40), (4000, 300)):
+        grams = np.unique(rng.integers(0, 1 << 58, size, dtype=np.uint64))
+        sets += [(grams, np.unique(np.concatenate([grams[changed:], rng.integers(0, 1 << 58, changed + 1, dtype=np.uint64)])))]
+    given = [(ngram_join.parity(a).tolist(), ngram_join.parity(b).tolist(), len(np.setxor1d(a, b))) for a, b in sets]
+    assert any(len(a) != len(b) for a, b, _ in given)
+    told = spark.createDataFrame(given, "a array<long>, b array<long>, n long").select(
+        ngram_join._distance(F.col("a"), F.col("b")).alias("d"), ngram_join._distance(F.col("b"), F.col("a")).alias("e"), "n"
+    )
+    for r in told.collect():
+        assert r.d == r.e and r.n / 2 < r.d <= r.n
+
+
+def test_copies_that_are_too_far_apart_are_not_compared(spark, monkeypatch):
+    rng, texts, compared, links = random.Random(5), [], [], ngram_join._links
+    base = [f"{w}{i}" for i, w in enumerate(plain.prose(rng, 160).split(" "))]
+    for k in range(150):
+        words = list(base)
+        for at in rng.sample(range(4, 156), 3):
+            words[at] = f"other{k}x{at}"
+        texts.append(" ".join(words))
+    monkeypatch.setattr(ngram_join, "_links", lambda pairs, *more: compared.append(pairs.count()) or links(pairs, *more))
+    found = ngram_join.component_ids(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    _, group = plain.near_duplicate_groups(texts)
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(group))
+    # Each one meets all others: 11175 pairs.
+    assert sum(compared) < 1500
+
+
 def test_one_of_each_group(docs, rows):
     sets, group = plain.near_duplicate_groups([t for _, t, _ in rows])
     best = {}
