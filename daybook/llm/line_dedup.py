@@ -1,17 +1,24 @@
 """Fuzzy line de-duplication: MinHash, banding, exact Jaccard, distributed union-find.
 
 A line's shingles are the runs of ``WIDTH`` characters at every place of the whole
-line, in lower case; a shorter line is one shingle. Its signature is the ``SKETCH``
-least shingle hashes, and each two of these make a band: lines of similarity 0.8
-share a band with a probability of 0.99. Lines that share a band are verified by the
-exact Jaccard similarity of all their shingles, links become components, and of each
+line, in lower case; a shorter line is one shingle. Its signature is the least shingle
+hash in ``SIZE`` orders, and each two neighbours of these make a band. Two lines are
+candidates if they share a band and at least ``AGREE`` of all minima: lines of
+similarity 0.8 are with a probability of 0.993. Candidates are verified by the exact
+Jaccard similarity of all their shingles, links become components, and of each
 component the first line, by document and place, is kept.
 
-A band of m lines gives m - 1 pairs with its least line first. Lines of bands that
-then still hold several components are compared with each other by exact prefixes:
-their shingles are ordered by how many of these lines hold them, rare ones first,
-and lines of enough similarity share one among the first. A passage that very many
-lines hold stands last in all of them and brings no pairs about.
+A band of m lines gives m - 1 pairs with its least line first. Of bands that then
+still hold several components, the lines outside the largest are compared with all
+others: each with one at random first, then the best pair of each two components, then
+the rest. Bands in which that
+would be very many pairs are first split by two more minima that candidates share,
+so that lines with a frequent passage in common are not all compared. Parity bits of the
+shingles of two lines bound how many only one of them has, so that pairs which cannot be
+similar enough are left out where they meet.
+
+Shingles are never stored: signatures are aggregated as the shingles are made, and
+pairs are verified from the text of their lines.
 
 Defined results: lines end at line feeds; lines without a word are never removed;
 equal lines are one line with several places; a null text has no lines; documents
@@ -20,6 +27,7 @@ without id come after all others; the longest lines are taken whole.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,24 +37,68 @@ from daybook.llm.bits import may_hold, table_of
 from daybook.llm.common import WHITE, bind, unused, written
 from daybook.llm.components import components
 
-WIDTH, PERCENT, SKETCH = 8, 80, 5
-# Each match takes one character, a pair of surrogates whole, and looks at those after it.
-_SHINGLE = rf"(?s)(?=(.{{{WIDTH}}}|^.{{1,{WIDTH - 1}}}\z))."
+WIDTH, PERCENT, SIZE, AGREE = 8, 80, 10, 4
+#: Comparisons within a band from which it is split.
+CROWDED = 1 << 24
+#: Bits that are kept of each minimum beside the bands.
+_KEPT = 6
+#: 64-bit words of parity bits.
+WORDS = 16
+# Bytes of a character in UTF-32, where all have the same length.
+_CHAR = 4
+
+
+def _places(encoded: Column) -> Column:
+    """Where in a line in UTF-32 a shingle begins; at its first byte if it is shorter than one."""
+    return F.sequence(F.lit(1), F.greatest(F.length(encoded) - F.lit((WIDTH - 1) * _CHAR), F.lit(1)), F.lit(_CHAR))
+
+
+def _shingle(encoded: Column, place: Column) -> Column:
+    return F.xxhash64(F.substring(encoded, place, F.lit(WIDTH * _CHAR)))
+
+
+def _encoded(line: Column) -> Column:
+    return F.encode(F.lower(line), "UTF-32")
 
 
 def shingles(line: Column) -> Column:
-    """Distinct shingle hashes of a line, ascending."""
-    found = F.regexp_extract_all(F.lower(line), F.lit(_SHINGLE), F.lit(1))
-    return F.sort_array(F.array_distinct(F.transform(found, lambda x: F.xxhash64(x))))
+    """Distinct shingle hashes of a line."""
+    return F.array_distinct(bind(_encoded(line), lambda b: F.transform(_places(b), lambda i: _shingle(b, i))))
 
 
-def bands(sketch: Column) -> Column:
-    """A hash for each two members of a signature; one alone is a band as well."""
+def _signatures(lines: DataFrame) -> DataFrame:
+    """(line_key, bands, kept) of each different line; kept holds some bits of all its minima.
+
+    Order i is that of the hashes with i added to their first bits without carry: a
+    random order like any other, for which no further hash is needed.
+    """
+    encoded = lines.select(F.xxhash64("line").alias("line_key"), _encoded(F.col("line")).alias("encoded"))
+    # One row a shingle, which goes from the generator straight into the aggregate.
+    at = encoded.select("line_key", "encoded", F.explode(_places(F.col("encoded"))).alias("place"))
+    hashed = at.select("line_key", _shingle(F.col("encoded"), F.col("place")).alias("h"))
+    orders = [F.lit((i - 8) << 60) for i in range(SIZE)]
+    least = hashed.groupBy("line_key").agg(*[F.min(F.col("h").bitwiseXOR(o)).alias(f"m{i}") for i, o in enumerate(orders)])
+    bands = F.array(*[F.xxhash64(F.lit(i), F.col(f"m{i}"), F.col(f"m{i + 1}")) for i in range(0, SIZE, 2)])
+    bits = [F.shiftleft(F.col(f"m{i}").bitwiseAND(F.lit((1 << _KEPT) - 1)), i * _KEPT) for i in range(SIZE)]
+    return least.select("line_key", bands.alias("bands"), reduce(Column.bitwiseOR, bits).alias("kept"))
+
+
+def _minimum(kept: Column, i: int) -> Column:
+    return F.shiftright(kept, i * _KEPT).bitwiseAND(F.lit((1 << _KEPT) - 1))
+
+
+def _agreeing(p: Column, q: Column) -> Column:
+    """How many minima of two lines agree, as far as is kept of them: never fewer than really do."""
+    return reduce(Column.__add__, [(_minimum(p.bitwiseXOR(q), i) == 0).cast("int") for i in range(SIZE)])
+
+
+def _finer(band: Column, at: Column, kept: Column) -> Column:
+    """What becomes of a band in which candidates agree twice: a band for each two other minima."""
     two = [
-        F.when(F.size(sketch) > j, F.xxhash64(F.get(sketch, F.lit(i)), F.get(sketch, F.lit(j))))
-        for i, j in combinations(range(SKETCH), 2)
+        F.when(~at.isin(i // 2, j // 2), F.xxhash64(band, F.lit(i), F.lit(j), _minimum(kept, i), _minimum(kept, j)))
+        for i, j in combinations(range(SIZE), 2)
     ]
-    return F.array_compact(F.array(*two, F.when(F.size(sketch) == 1, F.xxhash64(F.get(sketch, F.lit(0))))))
+    return F.array_compact(F.array(*two))
 
 
 def _lines(text: Column) -> Column:
@@ -55,111 +107,143 @@ def _lines(text: Column) -> Column:
     return F.filter(split, lambda x: x["line"].rlike(f"[^{WHITE}]"))
 
 
-def _sets(wanted: DataFrame, lines: DataFrame) -> DataFrame:
-    """(line_key, grams) of the lines whose keys are wanted, each once."""
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("line_key"))
+
+
+def _texts(wanted: DataFrame, lines: DataFrame) -> DataFrame:
+    """(line_key, line) of the lines whose keys are wanted, each once."""
     wanted = written(wanted.distinct(), "wanted")
-    table = table_of(wanted, "line_key")
-    # Shingles are made of wanted lines only, and of the few the table cannot tell from them.
+    # Only wanted lines are moved, and the few that the table cannot tell from them.
     found = (
-        lines.where(may_hold(table, F.xxhash64("line")))
+        lines.where(may_hold(table_of(wanted, "line_key"), F.xxhash64("line")))
         .groupBy(F.xxhash64("line").alias("line_key"))
         .agg(F.first("line").alias("line"))
         .join(wanted, "line_key", "left_semi")
     )
-    return written(found.select("line_key", shingles(F.col("line")).alias("grams")), "line_sets")
+    return written(found, "texts")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose shingle sets are similar enough."""
-    a = sets.select(F.col("line_key").alias("a"), F.col("grams").alias("grams_a"))
-    b = sets.select(F.col("line_key").alias("b"), F.col("grams").alias("grams_b"))
-    both = F.size(F.array_intersect("grams_a", "grams_b"))
-    alike = bind(both, lambda n: 100 * n >= PERCENT * (F.size("grams_a") + F.size("grams_b") - n))
-    return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` whose shingles are similar enough."""
+    a = texts.select(F.col("line_key").alias("a"), F.col("line").alias("line_a"))
+    b = texts.select(F.col("line_key").alias("b"), F.col("line").alias("line_b"))
+    sets = pairs.select("a", "b").join(a, "a").join(b, "b").select(
+        "a", "b", shingles(F.col("line_a")).alias("of_a"), shingles(F.col("line_b")).alias("of_b")
+    )
+    # Counts are written before they are looked at, so that shingles are made once.
+    counted = written(
+        sets.select(
+            "a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("n"), (F.size("of_a") + F.size("of_b")).alias("of_both")
+        ),
+        "counted",
+    )
+    return counted.where(F.col("n") * 100 >= (F.col("of_both") - F.col("n")) * PERCENT).select("a", "b")
 
 
-def _prefixes(sets: DataFrame) -> DataFrame:
-    """(gram, line_key, n, reach): the first shingles of each line that may be similar to others.
+def _open(entries: DataFrame) -> DataFrame:
+    """The entries of bands with several components, and main, the component with most lines of the band.
 
-    reach is how many shingles of the line from this one on other lines hold. A
-    shingle that one line alone holds meets nothing, and stands first.
+    others and total are the lines outside main and all lines.
     """
-    grams = written(sets.select("line_key", F.size("grams").alias("n"), F.explode("grams").alias("gram")), "grams")
-    held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    by_line = Window.partitionBy("line_key")
-    enough = F.ceil(F.col("n") * PERCENT / 100)
-    placed = (
-        grams.join(held, "gram")
-        .withColumn("shared", F.count(F.lit(1)).over(by_line))
-        .where(F.col("shared") >= enough)
-        .withColumn("reach", F.col("shared") - F.row_number().over(by_line.orderBy("held", "gram")) + 1)
-        .where(F.col("reach") >= enough)
+    groups = entries.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    bands = groups.groupBy("band").agg(
+        F.count(F.lit(1)).alias("groups"), F.sum("n").alias("total"), F.max("n").alias("most"), F.max_by("root", "n").alias("main")
     )
-    return written(placed.select("gram", "line_key", "n", "reach"), "placed")
+    bands = bands.where("groups > 1").select("band", "main", "total", (F.col("total") - F.col("most")).alias("others"))
+    return entries.join(bands, "band")
 
 
-def _reaches() -> Column:
-    """Whether two lines that meet under a shingle can be similar enough.
+def _meeting(rooted: DataFrame) -> DataFrame:
+    """The entries of open bands, and those of what crowded ones are split into."""
+    whole = written(_open(rooted), "open")
+    crowded = F.col("others") * F.col("total") > CROWDED
+    finer = whole.where(crowded).select(
+        "line_key", "kept", "root", "at", F.explode(_finer(F.col("band"), F.col("at"), F.col("kept"))).alias("band")
+    )
+    return whole.where(~crowded).unionByName(_open(finer.select(*rooted.columns)))
 
-    Before their first common shingle two lines share nothing, so no similar pair is missed.
-    """
-    return F.least("p.reach", "q.reach") * (100 + PERCENT) >= (F.col("p.n") + F.col("q.n")) * PERCENT
 
+def _marks(texts: DataFrame) -> DataFrame:
+    """(line_key, size, w0 and on): how many shingles a line has, and the parity of their number in each slot."""
+    each = texts.select("line_key", F.explode(shingles(F.col("line"))).alias("h"))
+    word = F.pmod(F.shiftright("h", 6), F.lit(WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+    parity = [F.bit_xor(F.when(word == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{j}") for j in range(WORDS)]
+    return each.groupBy("line_key").agg(F.count(F.lit(1)).alias("size"), *parity)
 
-def _pairs(met: DataFrame) -> DataFrame:
-    """(a, b), each pair once."""
-    a, b = F.least("p.line_key", "q.line_key"), F.greatest("p.line_key", "q.line_key")
-    return met.select(a.alias("a"), b.alias("b")).distinct()
 
+def _apart() -> Column:
+    """Whether an entry p outside the main component and an entry q are candidates of different components."""
+    # Lines of the main component are met once, the others in one order.
+    once = (F.col("q.root") == F.col("q.main")) | (F.col("p.line_key") < F.col("q.line_key"))
+    agree = _agreeing(F.col("p.kept"), F.col("q.kept")) >= AGREE
+    return (F.col("p.band") == F.col("q.band")) & (F.col("p.root") != F.col("q.root")) & once & agree
 
-def similar_lines(sketches: DataFrame, lines: DataFrame) -> DataFrame:
-    """(node, root) of the keys of lines that are similar to others.
 
-    ``sketches`` has line_key and sketch of every line, ``lines`` the lines themselves.
-    """
-    # Copies of a line are told apart from similar lines by their count alone.
-    distinct = sketches.groupBy("line_key").agg(F.first("sketch").alias("sketch"))
-    entries = written(distinct.select("line_key", F.explode(bands(F.col("sketch"))).alias("band")), "bands")
-    shared = (
-        entries.groupBy("band")
-        .agg(F.min("line_key").alias("least"), F.max("line_key").alias("most"))
-        .where("least < most")
-        .select("band", "least")
-    )
-    met = written(entries.join(shared, "band"), "met")
-    first = met.where("line_key <> least").select(F.col("least").alias("a"), F.col("line_key").alias("b")).distinct()
-    checked = written(first, "checked")
-    ends = checked.select(F.explode(F.array("a", "b")).alias("line_key"))
-    links = written(_verified(checked, _sets(ends, lines)), "links")
+def _close() -> Column:
+    """False only if p and q are not similar enough: slots of different parity are shingles of one of them."""
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"p.w{j}").bitwiseXOR(F.col(f"q.w{j}"))) for j in range(WORDS)])
+    most = (F.col("p.size") + F.col("q.size")) * (100 - PERCENT)
+    return (F.abs(F.col("p.size") - F.col("q.size")) * (100 + PERCENT) <= most) & (differ * (100 + PERCENT) <= most)
+
+
+def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``pairs`` with x and y, the roots of a and b, where these differ."""
+    x = roots.select(F.col("node").alias("a"), F.col("root").alias("x"))
+    y = roots.select(F.col("node").alias("b"), F.col("root").alias("y"))
+    both = pairs.join(x, "a", "left").join(y, "b", "left").withColumns({"x": F.coalesce("x", "a"), "y": F.coalesce("y", "b")})
+    return both.where("x <> y")
+
+
+def similar_lines(lines: DataFrame) -> DataFrame:
+    """(node, root) of the keys of lines that are similar to others, of the ``lines`` that hold a word."""
+    signed = written(_signatures(lines), "signatures")
+    entries = signed.select("line_key", "kept", F.posexplode("bands").alias("at", "band"))
+    shared = entries.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.min("line_key").alias("least")).where("m > 1")
+    met = written(entries.join(shared.select("band", "least"), "band"), "met")
+
+    with_least = (F.col("p.band") == F.col("q.band")) & (F.col("p.least") == F.col("q.line_key"))
+    stars = met.where("line_key <> least").alias("p").join(met.where("line_key = least").alias("q"), with_least)
+    stars = stars.where(_agreeing(F.col("p.kept"), F.col("q.kept")) >= AGREE)
+    tried = written(stars.select(F.col("q.line_key").alias("a"), F.col("p.line_key").alias("b")).distinct(), "tried")
+    links = _links(tried, _texts(_ends(tried), lines))
     roots = written(components(links), "roots")
 
-    grouped = met.join(roots, F.col("line_key") == F.col("node"), "left").select(
-        "band", "line_key", F.coalesce("root", "line_key").alias("root")
-    )
-    open_bands = (
-        grouped.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("band")
-    )
-    open_lines = written(grouped.join(open_bands, "band", "left_semi").select("line_key", "root").distinct(), "open")
-    sets = _sets(open_lines.select("line_key"), lines)
-    placed = _prefixes(sets)
-
-    # The lines of a meeting in a random order, each with the one before it: a line stands in several
-    # meetings and so meets several others, which joins most of what is alike at little cost.
-    in_turn = Window.partitionBy("gram").orderBy(F.xxhash64("gram", "line_key"), "line_key")
-    chained = placed.select(
-        F.struct("line_key", "n", "reach").alias("p"), F.lag(F.struct("line_key", "n", "reach")).over(in_turn).alias("q")
-    ).where("q is not null")
-    tried = written(_pairs(chained.where(_reaches())), "tried")
-    links = written(links.unionByName(_verified(tried.join(checked, ["a", "b"], "left_anti"), sets)), "links")
+    rooted = met.join(roots, F.col("line_key") == F.col("node"), "left")
+    rooted = rooted.select("line_key", "kept", "at", "band", F.coalesce("root", "line_key").alias("root"))
+    meeting = written(_meeting(written(rooted, "rooted")), "meeting")
+    small, every = meeting.where("root <> main").alias("p"), meeting.alias("q")
+    ends = small.join(every, _apart(), "left_semi").unionByName(every.join(small, _apart(), "left_semi"))
+    texts = _texts(ends.select("line_key"), lines)
+    marked = written(meeting.join(written(_marks(texts), "marks"), "line_key"), "marked")
+
+    # The lines of a band in a random order, each with the one before it, join most of what is alike at little cost.
+    in_turn = Window.partitionBy("band").orderBy(F.xxhash64("band", "line_key"), "line_key")
+    entry = F.struct("line_key", "kept", "root", "size", *[f"w{j}" for j in range(WORDS)])
+    chained = marked.select(entry.alias("p"), F.lag(entry).over(in_turn).alias("q"))
+    agree = _agreeing(F.col("p.kept"), F.col("q.kept")) >= AGREE
+    chained = chained.where((F.col("p.root") != F.col("q.root")) & agree & _close())
+    chained = chained.select(F.least("p.line_key", "q.line_key").alias("a"), F.greatest("p.line_key", "q.line_key").alias("b"))
+    turned = written(chained.distinct().join(tried, ["a", "b"], "left_anti"), "turned")
+    tried = tried.unionByName(turned)
+    links = links.unionByName(_links(turned, texts))
     roots = written(components(links), "roots")
+    marked = marked.drop("root", "main", "total", "others").join(roots, F.col("line_key") == F.col("node"), "left")
+    marked = written(_open(marked.withColumn("root", F.coalesce("root", "line_key")).drop("node")), "marked")
 
-    rooted = placed.join(roots, F.col("line_key") == F.col("node"), "left")
-    rooted = written(rooted.select(*placed.columns, F.coalesce("root", "line_key").alias("root")), "rooted")
-    apart = (F.col("p.gram") == F.col("q.gram")) & (F.col("p.root") < F.col("q.root"))
-    pairs = _pairs(rooted.alias("p").join(rooted.alias("q"), apart & _reaches()))
-    pairs = pairs.join(checked.unionByName(tried), ["a", "b"], "left_anti")
-    more = written(_verified(written(pairs, "rest"), sets), "more")
-    return components(links.unionByName(more))
+    pairs = marked.where("root <> main").alias("p").join(marked.alias("q"), _apart() & _close())
+    a, b = F.least("p.line_key", "q.line_key"), F.greatest("p.line_key", "q.line_key")
+    pairs = pairs.select(a.alias("a"), b.alias("b"), _agreeing(F.col("p.kept"), F.col("q.kept")).alias("same")).distinct()
+    left = written(pairs.join(tried, ["a", "b"], "left_anti"), "left")
+    if left.isEmpty():
+        return roots
+    x, y = F.least("x", "y"), F.greatest("x", "y")
+    best = _rooted(left, roots).groupBy(x, y).agg(F.max_by(F.struct("a", "b"), "same").alias("pair")).select("pair.*")
+    best = written(best, "best")
+    links = links.unionByName(_links(best, texts))
+    rest = _rooted(left.join(best, ["a", "b"], "left_anti"), written(components(links), "roots"))
+    return components(links.unionByName(_links(rest, texts)))
 
 
 def removed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -168,16 +252,11 @@ def removed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     ``docs`` has a column row that numbers its rows.
     """
     found = _lines(F.col(f"`{text}`"))
-    entry = lambda x: F.struct(
-        x["place"].alias("place"),
-        F.xxhash64(x["line"]).alias("line_key"),
-        F.slice(shingles(x["line"]), 1, SKETCH).alias("sketch"),
-    )
+    entry = lambda x: F.struct(x["place"].alias("place"), F.xxhash64(x["line"]).alias("line_key"))
     # Rows and what becomes of their lines are written at once: a row keeps its number in all uses.
     rows = written(docs.select("row", "doc_id", F.transform(found, entry).alias("lines")), "places")
     places = rows.select("row", "doc_id", F.explode("lines").alias("at")).select("row", "doc_id", "at.*")
-    lines = docs.select(F.explode(found).alias("at")).select("at.line")
-    roots = similar_lines(places.select("line_key", "sketch"), lines)
+    roots = similar_lines(docs.select(F.explode(found).alias("at")).select("at.line"))
     again = places.groupBy("line_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("line_key")
     node = roots.select(F.col("node").alias("line_key"), "root")
     groups = again.join(node, "line_key", "full").select("line_key", F.coalesce("root", "line_key").alias("root"))

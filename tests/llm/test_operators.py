@@ -1,6 +1,7 @@
 """The operators against plain Python on documents with every awkward case."""
 
 import hashlib
+import os
 import random
 import time
 import zlib
@@ -209,6 +210,29 @@ def test_fuzzy_lines_by_all_their_characters(spark):
     assert {r.doc_id for r in line_dedup.digest(docs).collect() if r.n_removed} == expected
 
 
+def test_fuzzy_lines_store_no_shingles(spark):
+    """Lines that meet under a long passage: what is written stays near the text, eight bytes a character were not."""
+    from daybook.llm import common
+
+    rng = plain.random.Random(3)
+    made = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, paths = made(700), []
+    lines = [passage + made(300) for _ in range(1000)]
+    lines[700] = lines[3][:-20] + made(20)
+    given = spark.createDataFrame([(i, t, None) for i, t in enumerate(lines)], SCHEMA)
+    with common.noted(paths):
+        gone = {r.doc_id for r in line_dedup.digest(given).collect() if r.n_removed}
+    assert gone == {700}
+    folders = [p.removeprefix("file:") for p in paths]
+    stored = sum(os.path.getsize(os.path.join(at, f)) for p in folders for at, _, files in os.walk(p) for f in files)
+    assert 0 < stored < 3 * sum(map(len, lines))
+
+
+def test_fuzzy_lines_of_crowded_bands(docs, rows, monkeypatch):
+    monkeypatch.setattr(line_dedup, "CROWDED", 0)
+    assert sum(r.n_removed for r in line_dedup.digest(docs).collect()) == len(plain.removed_lines(rows))
+
+
 def test_decontamination(spark, docs, rows):
     texts = [t for _, t, _ in rows]
     rng = plain.random.Random(5)
