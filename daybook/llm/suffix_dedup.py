@@ -25,11 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.bits import may_hold, table_of
-from daybook.llm.common import unused, written
+from daybook.llm.common import bind, unused, written
 from daybook.llm.shingles import SLICE, buffers, mixed, slices
 
 LENGTH, LEAD = 200, 64
@@ -39,6 +40,8 @@ REACH = LENGTH - LEAD
 CONTEXT, STRINGS = REACH + LENGTH, REACH + 1
 #: Contexts of one lead that are compared in one task.
 CROWDED = 50_000
+#: Bytes of a text whose contexts are cut together.
+PIECE = 1 << 20
 #: Slots of the bit table that thins out the second scan; 2 MB, whatever the input.
 BIT_SLOTS = 1 << 24
 
@@ -143,43 +146,29 @@ def _repeated_anchors(texts: DataFrame, leads: DataFrame) -> DataFrame:
 
 
 def _context_bytes(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(lead, context, bytes, left, right) of the wanted contexts, and of some others.
+    """(lead, context, kinds, bytes, left, right) of the ``wanted`` contexts, each cut at its one place.
 
     ``bytes`` are CONTEXT long, the anchor at REACH; left and right are how many of
     them exist before and from the anchor.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(_table(wanted, "place"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = np.asarray(batch.column(1))
-            rows: list[tuple] = []
-            for i, data in _each_text(batch):
-                at, lead, context = anchors(data)
-                place = _place(keys[i], at)
-                for k in np.flatnonzero(_holds(shared.value, place)):
-                    a = int(at[k])
-                    low, high = max(0, a - REACH), min(len(data), a + LENGTH)
-                    body = bytes(REACH - (a - low)) + data[low:high].tobytes() + bytes(LENGTH - (high - a))
-                    rows.append((place[k], lead[k], context[k], body, a - low, high - a))
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[_signed(np.array(c, np.uint64)) for c in columns[:3]],
-                    pa.array(columns[3], pa.binary()),
-                    *[pa.array(c, pa.int32()) for c in columns[4:]],
-                ],
-                ["place", "lead", "context", "bytes", "left", "right"],
-            )
-
-    return texts.select("text", "text_key").mapInArrow(
-        run, "place long, lead long, context long, bytes binary, left int, right int"
+    # The places of a very long text are dealt with in pieces, so that no row grows with it.
+    places = wanted.groupBy("text_key", F.floor(F.col("at") / PIECE)).agg(
+        F.collect_list(F.struct("lead", "context", "kinds", "at")).alias("places")
     )
+    once = texts.groupBy("text_key").agg(F.first("text").alias("text"))
 
+    def cut(body: Column, spot: Column) -> Column:
+        left = F.least(spot["at"], F.lit(REACH))
+        inner = F.substring(body, spot["at"] - left + 1, left + F.lit(LENGTH))
+        right = F.length(inner) - left
+        padded = F.rpad(F.lpad(inner, F.lit(REACH) + right, F.lit(b"\0")), F.lit(CONTEXT), F.lit(b"\0"))
+        return F.struct(*[spot[c].alias(c) for c in ("lead", "context", "kinds")], padded.alias("bytes"), left.alias("left"), right.alias("right"))
 
-def _place(text_key: int, at: np.ndarray) -> np.ndarray:
-    key = np.array([text_key], np.int64).view(np.uint64)
-    return mixed(mixed(key) + at.astype(np.uint64) * _STEP)
+    # The bytes of a text are made once, not once for each of its places.
+    body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    cuts = bind(body, lambda b: F.transform("places", lambda spot: cut(b, spot)))
+    # Both sides grow with the input, so both are moved.
+    return once.join(places.hint("merge"), "text_key").select(F.explode(cuts).alias("cut")).select("cut.*")
 
 
 def _string_keys(lead: np.ndarray, body: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,6 +183,22 @@ def _string_keys(lead: np.ndarray, body: np.ndarray, left: np.ndarray, right: np
     return keys, exists
 
 
+def _rolled_keys(lead: np.ndarray, body: np.ndarray) -> Iterator[np.ndarray]:
+    """Hash of the string j bytes before the anchor of each context, for one j after the other.
+
+    Held at a time are the bytes and one hash of each context, however many share a lead.
+    """
+    columns = np.ascontiguousarray(body.T)
+    last = _powers(_STEP, LENGTH)[-1]
+    own, keys = mixed(lead), np.zeros(len(lead), np.uint64)
+    for i in reversed(range(REACH, CONTEXT)):
+        keys = keys * _STEP + _VALUES[columns[i]]
+    for j in range(STRINGS):
+        yield mixed(keys + own)
+        if j < REACH:
+            keys = (keys - _VALUES[columns[CONTEXT - 1 - j]] * last) * _STEP + _VALUES[columns[REACH - 1 - j]]
+
+
 def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     lead, context, left, right = (np.asarray(batch.column(batch.schema.names.index(c))) for c in ("lead", "context", "left", "right"))
     raw = b"".join(batch.column(batch.schema.names.index("bytes")).to_pylist())
@@ -201,6 +206,21 @@ def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return lead.view(np.uint64), context, body, left, right
 
 
+def _compared(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """(lead, context, mask) of the contexts in ``parts`` of which some string occurs again in them."""
+    lead, context, body, left, right = (np.concatenate([p[k] for p in parts]) for k in range(5))
+    twice = np.zeros((len(lead), STRINGS), bool)
+    for j, keys in enumerate(_rolled_keys(lead, body)):
+        rows = np.flatnonzero((left >= j) & (right >= LENGTH - j))
+        _, back, counts = np.unique(keys[rows], return_inverse=True, return_counts=True)
+        twice[rows, j] = counts[back] > 1
+    some = twice.any(axis=1)
+    masks = [m.tobytes() for m in np.packbits(twice[some], axis=1)]
+    return pa.RecordBatch.from_arrays(
+        [_signed(lead[some]), pa.array(context[some]), pa.array(masks, pa.binary())], ["lead", "context", "mask"]
+    )
+
+
 def _masks(contexts: DataFrame) -> DataFrame:
     """(lead, context, mask): which strings of a context some other context of the lead holds.
 
@@ -210,20 +230,6 @@ def _masks(contexts: DataFrame) -> DataFrame:
     # Leads are hashes of leading bytes: their order deals equal beginnings to one bucket.
     sorted_ = contexts.repartitionByRange("lead").sortWithinPartitions("lead").select("lead", "context", "bytes", "left", "right")
 
-    def compare(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        lead, context, body, left, right = (np.concatenate([p[k] for p in parts]) for k in range(5))
-        keys, exists = _string_keys(lead, body, left, right)
-        twice = np.zeros(exists.shape, bool)
-        for j in range(STRINGS):
-            rows = np.flatnonzero(exists[:, j])
-            _, back, counts = np.unique(keys[rows, j], return_inverse=True, return_counts=True)
-            twice[rows, j] = counts[back] > 1
-        some = twice.any(axis=1)
-        masks = [m.tobytes() for m in np.packbits(twice[some], axis=1)]
-        return pa.RecordBatch.from_arrays(
-            [_signed(lead[some]), pa.array(context[some]), pa.array(masks, pa.binary())], ["lead", "context", "mask"]
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
@@ -231,17 +237,17 @@ def _masks(contexts: DataFrame) -> DataFrame:
                 part = _columns(batch.slice(first, 2000))
                 # What came before is done unless its last lead goes on.
                 if held and held[-1][0][-1] != part[0][0]:
-                    yield compare(held)
+                    yield _compared(held)
                     held = []
                 inner = np.flatnonzero(part[0][1:] != part[0][:-1])
                 if len(inner):
                     cut = int(inner[-1]) + 1
-                    yield compare([*held, tuple(x[:cut] for x in part)])
+                    yield _compared([*held, tuple(x[:cut] for x in part)])
                     held = [tuple(x[cut:] for x in part)]
                 else:
                     held.append(part)
         if held:
-            yield compare(held)
+            yield _compared(held)
 
     return sorted_.mapInArrow(run, "lead long, context long, mask binary")
 
@@ -263,21 +269,12 @@ def _crowded_masks(contexts: DataFrame) -> DataFrame:
     fields = ("lead", "context", "bytes", "left", "right")
     strings = written(contexts.select(*fields).mapInArrow(explode, "lead long, context long, j int, string long"), "strings")
     twice = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
-    found = strings.join(twice, "string").groupBy("lead", "context").agg(F.collect_list("j").alias("js"))
-    # The bits in the order in which packed masks hold them.
-    bits = F.transform(
-        F.sequence(F.lit(0), F.lit(8 * (-(-STRINGS // 8)) - 1)),
-        lambda j: F.when(F.array_contains("js", j), F.lit("1")).otherwise(F.lit("0")),
-    )
-    hexes = F.transform(
-        F.sequence(F.lit(0), F.lit(-(-STRINGS // 8) - 1)),
-        lambda k: F.lpad(F.conv(F.array_join(F.slice("bits", 8 * k + 1, F.lit(8)), ""), 2, 16), 2, "0"),
-    )
-    return (
-        found.withColumn("bits", bits)
-        .withColumn("mask", F.unhex(F.array_join(hexes, "")))
-        .select("lead", "context", "mask")
-    )
+    # Three numbers hold the bits in the order in which packed masks hold them.
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(63) - F.col("j") % 64)
+    words = [F.bit_or(F.when(F.floor(F.col("j") / 64) == k, bit).otherwise(F.lit(0).cast("long"))) for k in range(-(-STRINGS // 64))]
+    found = strings.join(twice, "string").groupBy("lead", "context").agg(*[w.alias(f"w{k}") for k, w in enumerate(words)])
+    hexes = F.concat(*[F.lpad(F.hex(f"w{k}"), 16, "0") for k in range(len(words))])
+    return found.select("lead", "context", F.unhex(F.substring(hexes, 1, 2 * -(-STRINGS // 8))).alias("mask"))
 
 
 def repeated_spots(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -301,12 +298,9 @@ def repeated_spots(docs: DataFrame, text: str = "text") -> DataFrame:
         "contexts",
     )
     # One place stands for each context of a lead that has several.
-    place = F.col("first")
-    wanted = written(_with_place(contexts.where("several").select("lead", "context", place["text_key"].alias("text_key"), place["at"].alias("at"))), "wanted")
+    wanted = contexts.where("several").select("lead", "context", "first.*")
     sizes = wanted.groupBy("lead").agg(F.count(F.lit(1)).alias("kinds"))
-    # Other places of a wanted context pass the table too; none of them may stand in for the wanted one.
-    found = _context_bytes(texts, wanted).dropDuplicates(["place", "lead", "context"])
-    found = written(found.join(wanted.select("place", "lead", "context"), ["place", "lead", "context"], "left_semi").join(sizes, "lead"), "bytes")
+    found = written(_context_bytes(texts, wanted.join(sizes, "lead")), "bytes")
     masks = _masks(found.where(F.col("kinds") <= CROWDED)).unionByName(_crowded_masks(found.where(F.col("kinds") > CROWDED)))
     status = (
         contexts.select("lead", "context", (F.col("n") > 1).alias("all"))
@@ -323,18 +317,6 @@ def repeated_spots(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def _with_place(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key = np.asarray(batch.column(2)).view(np.uint64)
-            at = np.asarray(batch.column(3)).astype(np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], _signed(mixed(mixed(key) + at * _STEP))], ["lead", "context", "place"]
-            )
-
-    return rows.mapInArrow(run, "lead long, context long, place long")
-
-
 def covered(length: int, spots: list[dict]) -> np.ndarray:
     """Which bytes of a text lie in a repeated string."""
     edges = np.zeros(length + 1, np.int64)
@@ -379,17 +361,21 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [x or b"" for x in batch.column(0).to_pylist()]
-            out = [_remaining(x, s) for x, s in zip(raw, batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[2:],
-                    pa.array([o[0] for o in out], pa.binary()),
-                    pa.array([len(x) for x in raw], pa.int64()),
-                    *[pa.array([o[k] for o in out], pa.int64()) for k in (1, 2)],
-                ],
-                [*batch.schema.names[2:], "kept", "n_bytes", "n_removed", "n_spans"],
-            )
+            at = np.concatenate([np.zeros(1, np.int64), np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0))])
+            # Spots are Python objects while they are looked at: those of a slice at a time.
+            for first, last in slices(at, SLICE):
+                part = batch.slice(first, last - first)
+                raw = [x or b"" for x in part.column(0).to_pylist()]
+                out = [_remaining(x, s) for x, s in zip(raw, part.column(1).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *part.columns[2:],
+                        pa.array([o[0] for o in out], pa.binary()),
+                        pa.array([len(x) for x in raw], pa.int64()),
+                        *[pa.array([o[k] for o in out], pa.int64()) for k in (1, 2)],
+                    ],
+                    [*part.schema.names[2:], "kept", "n_bytes", "n_removed", "n_spans"],
+                )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     moved = hit.select(body.alias("_body"), spots, *names).mapInArrow(

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -174,6 +175,46 @@ def test_suffix_dedup_when_other_places_pass_the_table(spark, monkeypatch, crowd
     assert got == {i: (n, runs, hashlib.sha256(left).hexdigest()) for i, (left, n, runs) in enumerate(expected)}
 
 
+def test_suffix_contexts_are_cut_only_where_wanted(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BIT_SLOTS", 32)  # full, as at size: a bit table cannot tell places apart
+    rng = plain.random.Random(8)
+    texts = [plain.prose(rng, 200) + "\u00e9" for _ in range(8)]
+    places = [(0, 0), (0, 300), (3, 70), (5, len(texts[5].encode()) - suffix_dedup.LEAD)]
+    docs = spark.createDataFrame([(t,) for t in texts * 2], "text string").repartition(3)
+    docs = docs.withColumn("text_key", F.xxhash64("text"))
+    keys = {r.text: r.text_key for r in docs.collect()}
+    wanted = spark.createDataFrame(
+        [(7, k, keys[texts[i]], at, 4) for k, (i, at) in enumerate(places)], "lead long, context long, text_key long, at int, kinds long"
+    )
+    got = {r.context: (bytes(r.bytes), r.left, r.right) for r in suffix_dedup._context_bytes(docs, wanted).collect()}
+    expected = {}
+    for k, (i, at) in enumerate(places):
+        data = texts[i].encode()
+        before, after = data[max(0, at - suffix_dedup.REACH) : at], data[at : at + suffix_dedup.LENGTH]
+        padded = before.rjust(suffix_dedup.REACH, b"\0") + after.ljust(suffix_dedup.LENGTH, b"\0")
+        expected[k] = padded, len(before), len(after)
+    assert got == expected
+    assert suffix_dedup._context_bytes(docs, wanted).count() == len(places)
+
+
+def test_many_contexts_of_one_lead_are_compared_in_little_memory():
+    n = 4000
+    rng = np.random.default_rng(5)
+    body = rng.integers(0, 256, (n, suffix_dedup.CONTEXT), dtype=np.uint8)
+    body[1, 10:300] = body[0, 10:300]
+    whole = np.full(n, suffix_dedup.REACH), np.full(n, suffix_dedup.LENGTH)
+    parts = [(np.full(n, 9, np.uint64), np.arange(n), body, *whole)]
+    tracemalloc.start()
+    out = suffix_dedup._compared(parts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2000 * n
+    held = np.unpackbits(np.frombuffer(out.column(2)[0].as_py(), np.uint8))
+    # Strings that lie in the equal bytes 10 to 300 begin at 10 to 100.
+    assert out.column(1).to_pylist() == [0, 1]
+    assert np.flatnonzero(held).tolist() == list(range(suffix_dedup.REACH - 100, suffix_dedup.REACH - 10 + 1))
+
+
 def test_fuzzy_lines(docs, rows):
     gone = defaultdict(list)
     for i, place in sorted(plain.removed_lines(rows)):
