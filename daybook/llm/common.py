@@ -45,13 +45,13 @@ def noted(paths: list[str]) -> Iterator[None]:
         _NOTED.reset(before)
 
 
-def release(paths: list[str], kept: DataFrame) -> None:
-    """Remove what was written to ``paths`` but for what ``kept`` is read from, and forget it."""
+def release(paths: list[str], *kept: DataFrame) -> None:
+    """Remove what was written to ``paths`` but for what any of ``kept`` is read from, and forget it."""
     folders = {path: os.path.dirname(path) for path in paths}
-    files = kept.inputFiles() if folders else []
+    files = [file for df in kept for file in df.inputFiles()] if folders else []
     used = {path for path, folder in folders.items() if any(os.path.basename(folder) in file for file in files)}
     for path in set(paths) - used:
-        remove_path(kept.sparkSession, folders[path], os.path.dirname(folders[path]))
+        remove_path(kept[0].sparkSession, folders[path], os.path.dirname(folders[path]))
     paths[:] = sorted(used)
 
 

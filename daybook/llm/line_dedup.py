@@ -33,8 +33,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.bits import may_hold, table_of
-from daybook.llm.common import WHITE, bind, unused, written
+from daybook.llm.bits import thinned
+from daybook.llm.common import WHITE, bind, noted, release, unused, written
 from daybook.llm.components import components
 
 WIDTH, PERCENT, SIZE, AGREE = 8, 80, 10, 4
@@ -116,7 +116,7 @@ def _texts(wanted: DataFrame, lines: DataFrame) -> DataFrame:
     wanted = written(wanted.distinct(), "wanted")
     # Only wanted lines are moved, and the few that the table cannot tell from them.
     found = (
-        lines.where(may_hold(table_of(wanted, "line_key"), F.xxhash64("line")))
+        thinned(lines, F.xxhash64("line"), wanted, "line_key")
         .groupBy(F.xxhash64("line").alias("line_key"))
         .agg(F.first("line").alias("line"))
         .join(wanted, "line_key", "left_semi")
@@ -124,6 +124,11 @@ def _texts(wanted: DataFrame, lines: DataFrame) -> DataFrame:
     return written(found, "texts")
 
 
+def _some(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of the lines of ``pairs``, if these are few of all, and a few others."""
+    return thinned(texts, F.col("line_key"), _ends(pairs), "line_key")
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` whose shingles are similar enough."""
     a = texts.select(F.col("line_key").alias("a"), F.col("line").alias("line_a"))
@@ -146,22 +151,28 @@ def _open(entries: DataFrame) -> DataFrame:
 
     others and total are the lines outside main and all lines.
     """
-    groups = entries.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    bands = groups.groupBy("band").agg(
-        F.count(F.lit(1)).alias("groups"), F.sum("n").alias("total"), F.max("n").alias("most"), F.max_by("root", "n").alias("main")
-    )
-    bands = bands.where("groups > 1").select("band", "main", "total", (F.col("total") - F.col("most")).alias("others"))
-    return entries.join(bands, "band")
+    # Dealt by band once, for both windows.
+    one, whole = Window.partitionBy("band", "root"), Window.partitionBy("band")
+    sized = entries.repartition("band").withColumn("n", F.count(F.lit(1)).over(one))
+    sized = sized.withColumns({
+        "most": F.max(F.struct("n", "root")).over(whole),
+        "total": F.count(F.lit(1)).over(whole),
+        "several": F.min("root").over(whole) != F.max("root").over(whole),
+    })
+    main, others = F.col("most")["root"].alias("main"), (F.col("total") - F.col("most")["n"]).alias("others")
+    return sized.where("several").select(*entries.columns, main, "total", others)
 
 
 def _meeting(rooted: DataFrame) -> DataFrame:
-    """The entries of open bands, and those of what crowded ones are split into."""
+    """The entries of open bands, and those of what crowded ones are split into, written."""
     whole = written(_open(rooted), "open")
     crowded = F.col("others") * F.col("total") > CROWDED
+    if whole.where(crowded).isEmpty():
+        return whole
     finer = whole.where(crowded).select(
         "line_key", "kept", "root", "at", F.explode(_finer(F.col("band"), F.col("at"), F.col("kept"))).alias("band")
     )
-    return whole.where(~crowded).unionByName(_open(finer.select(*rooted.columns)))
+    return written(whole.where(~crowded).unionByName(_open(finer.select(*rooted.columns))), "meeting")
 
 
 def _marks(texts: DataFrame) -> DataFrame:
@@ -197,26 +208,39 @@ def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def similar_lines(lines: DataFrame) -> DataFrame:
-    """(node, root) of the keys of lines that are similar to others, of the ``lines`` that hold a word."""
-    signed = written(_signatures(lines), "signatures")
-    entries = signed.select("line_key", "kept", F.posexplode("bands").alias("at", "band"))
-    shared = entries.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.min("line_key").alias("least")).where("m > 1")
-    met = written(entries.join(shared.select("band", "least"), "band"), "met")
-
-    with_least = (F.col("p.band") == F.col("q.band")) & (F.col("p.least") == F.col("q.line_key"))
-    stars = met.where("line_key <> least").alias("p").join(met.where("line_key = least").alias("q"), with_least)
-    stars = stars.where(_agreeing(F.col("p.kept"), F.col("q.kept")) >= AGREE)
-    tried = written(stars.select(F.col("q.line_key").alias("a"), F.col("p.line_key").alias("b")).distinct(), "tried")
+    """(node, root) of the keys of lines that are similar to others, of the ``lines`` that hold a word.
+
+    What is written on the way is removed as soon as nothing reads it any more.
+    """
+    scratch: list[str] = []
+    with noted(scratch):
+        found = _components_of(lines, scratch)
+    roots = written(found, "roots")
+    release(scratch, roots)
+    return roots
+
+
+def _components_of(lines: DataFrame, scratch: list[str]) -> DataFrame:
+    entries = _signatures(lines).select("line_key", "kept", F.posexplode("bands").alias("at", "band"))
+    # Entries are dealt once, by band; the least line comes with each of them.
+    band = Window.partitionBy("band")
+    met = entries.repartition("band").withColumns({"m": F.count(F.lit(1)).over(band), "least": F.min(F.struct("line_key", "kept")).over(band)})
+    met = written(met.where("m > 1").drop("m"), "met")
+
+    stars = met.where((F.col("line_key") != F.col("least.line_key")) & (_agreeing(F.col("kept"), F.col("least.kept")) >= AGREE))
+    tried = written(stars.select(F.col("least.line_key").alias("a"), F.col("line_key").alias("b")).distinct(), "tried")
     links = _links(tried, _texts(_ends(tried), lines))
     roots = written(components(links), "roots")
+    release(scratch, met, tried, links, roots)
 
     rooted = met.join(roots, F.col("line_key") == F.col("node"), "left")
-    rooted = rooted.select("line_key", "kept", "at", "band", F.coalesce("root", "line_key").alias("root"))
-    meeting = written(_meeting(written(rooted, "rooted")), "meeting")
+    meeting = _meeting(rooted.select("line_key", "kept", "at", "band", F.coalesce("root", "line_key").alias("root")))
+    release(scratch, meeting, tried, links)
     small, every = meeting.where("root <> main").alias("p"), meeting.alias("q")
     ends = small.join(every, _apart(), "left_semi").unionByName(every.join(small, _apart(), "left_semi"))
     texts = _texts(ends.select("line_key"), lines)
-    marked = written(meeting.join(written(_marks(texts), "marks"), "line_key"), "marked")
+    marked = written(meeting.join(_marks(texts), "line_key"), "marked")
+    release(scratch, marked, texts, tried, links)
 
     # The lines of a band in a random order, each with the one before it, join most of what is alike at little cost.
     in_turn = Window.partitionBy("band").orderBy(F.xxhash64("band", "line_key"), "line_key")
@@ -227,10 +251,11 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     chained = chained.select(F.least("p.line_key", "q.line_key").alias("a"), F.greatest("p.line_key", "q.line_key").alias("b"))
     turned = written(chained.distinct().join(tried, ["a", "b"], "left_anti"), "turned")
     tried = tried.unionByName(turned)
-    links = links.unionByName(_links(turned, texts))
+    links = links.unionByName(_links(turned, _some(texts, turned)))
     roots = written(components(links), "roots")
     marked = marked.drop("root", "main", "total", "others").join(roots, F.col("line_key") == F.col("node"), "left")
     marked = written(_open(marked.withColumn("root", F.coalesce("root", "line_key")).drop("node")), "marked")
+    release(scratch, marked, texts, tried, links, roots)
 
     pairs = marked.where("root <> main").alias("p").join(marked.alias("q"), _apart() & _close())
     a, b = F.least("p.line_key", "q.line_key"), F.greatest("p.line_key", "q.line_key")
@@ -238,12 +263,14 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     left = written(pairs.join(tried, ["a", "b"], "left_anti"), "left")
     if left.isEmpty():
         return roots
+    release(scratch, left, texts, links, roots)
     x, y = F.least("x", "y"), F.greatest("x", "y")
     best = _rooted(left, roots).groupBy(x, y).agg(F.max_by(F.struct("a", "b"), "same").alias("pair")).select("pair.*")
     best = written(best, "best")
-    links = links.unionByName(_links(best, texts))
+    links = links.unionByName(_links(best, _some(texts, best)))
     rest = _rooted(left.join(best, ["a", "b"], "left_anti"), written(components(links), "roots"))
-    return components(links.unionByName(_links(rest, texts)))
+    rest = written(rest.select("a", "b"), "rest")
+    return components(links.unionByName(_links(rest, _some(texts, rest))))
 
 
 def removed_lines(docs: DataFrame, text: str = "text") -> DataFrame:

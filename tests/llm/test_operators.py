@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from daybook.llm import (
+    bits,
+    common,
     components,
     decontamination,
     html_text,
@@ -269,6 +271,40 @@ def test_fuzzy_lines_store_no_shingles(spark):
     assert 0 < stored < 3 * sum(map(len, lines))
 
 
+def test_fuzzy_lines_leave_one_table_and_move_wanted_lines_only(spark, monkeypatch):
+    rng = plain.random.Random(4)
+    lines = [plain.prose(rng, 40) for _ in range(300)]
+    lines += [x + " end" for x in lines[:30]] + [f"start {x} end" for x in lines[:10]]
+    path = str(common.work_folder(spark, "given"))
+    spark.createDataFrame([(t,) for t in lines], "line string").write.parquet(path)
+    given, moved = spark.read.parquet(path), []
+
+    def looked_at(rows, key, wanted, name):
+        found = bits.thinned(rows, key, wanted, name)
+        moved.append((found.count(), wanted.distinct().count()))
+        return found
+
+    monkeypatch.setattr(line_dedup, "thinned", looked_at)
+    folder = os.path.dirname(os.path.dirname(path.removeprefix("file:")))
+    before, paths = set(os.listdir(folder)), []
+    with common.noted(paths):
+        roots = line_dedup.similar_lines(given)
+    assert roots.count() == 70 and roots.select("root").distinct().count() == 30
+    # All of these lines are a few slots of the table, so that lines that are not wanted do not pass.
+    assert moved and all(n <= wanted + 1 for n, wanted in moved)
+    # Of what is written on the way the result alone is left.
+    assert [os.path.basename(os.path.dirname(p)) for p in paths] == list(set(os.listdir(folder)) - before)
+
+
+def test_thinned_keeps_all_wanted_rows(spark):
+    rows = spark.range(1000).select(F.xxhash64("id").alias("k"), F.lit(1).alias("_table")).union(spark.sql("select cast(null as bigint), 1"))
+    wanted = rows.where("k % 7 = 0 or k is null")
+    kept = bits.thinned(rows, F.col("k"), wanted, "k")
+    assert kept.columns == ["k", "_table"]
+    assert wanted.where("k is not null").exceptAll(kept).count() == 0 and kept.count() <= wanted.count() + 5
+    assert bits.thinned(rows, F.col("k"), wanted.limit(0), "k").count() == 0
+
+
 def test_fuzzy_lines_of_crowded_bands(docs, rows, monkeypatch):
     monkeypatch.setattr(line_dedup, "CROWDED", 0)
     assert sum(r.n_removed for r in line_dedup.digest(docs).collect()) == len(plain.removed_lines(rows))
